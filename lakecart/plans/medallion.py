@@ -43,8 +43,11 @@ class Layout:
 
 
 def scratch_layout(spark: SparkSession, name: str) -> Layout:
-    """A fresh layout under the shared scratch folder (used by query keys and tests)."""
-    return Layout(root=scratch_dir(spark, name))
+    """A fresh layout, with its own catalog namespaces, under the shared scratch folder."""
+    root = scratch_dir(spark, name)
+    tag = root.rsplit("-", 1)[-1]
+    return Layout(root=root, bronze_db=f"lakecart_bronze_{tag}", silver_db=f"lakecart_silver_{tag}",
+                  gold_db=f"lakecart_gold_{tag}")
 
 
 class ParityError(RuntimeError):
@@ -141,5 +144,20 @@ def gold_row_counts(spark: SparkSession, gold_locations: dict[str, str]) -> Data
     return out
 
 
+def load_row_counts(spark: SparkSession, database: str, tables) -> DataFrame:
+    """(table_name, row_count) per table in ``database``; a table that does not exist counts 0."""
+    frames = []
+    for t in tables:
+        if spark.catalog.tableExists(f"{database}.{t}"):
+            n = spark.table(f"{database}.{t}").agg(F.count(F.lit(1)).alias("row_count"))
+        else:
+            n = spark.range(1).select(F.lit(0).cast("bigint").alias("row_count"))
+        frames.append(n.select(F.lit(t).alias("table_name"), "row_count"))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 __all__ = ["Layout", "scratch_layout", "extract", "build_bronze", "build_silver", "build_gold",
            "run_all", "row_parity", "gold_row_counts", "read_silver", "silver_frame", "GOLD_TABLES"]

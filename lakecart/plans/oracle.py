@@ -335,3 +335,218 @@ for _t in TABLES:
 
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)
+
+
+# ------------------------------------------------------------ more keys
+def _union(parts: list[str]) -> str:
+    return "\nUNION ALL\n".join(parts)
+
+
+_COUNTS = _union([f"SELECT '{t}' AS table_name, COUNT(*) AS row_count FROM m_{t}" for t in TABLES])
+_COUNTS_DT = _union([f"SELECT '{t}' AS table_name, '2024-01-01' AS dt, COUNT(*) AS row_count FROM m_{t}"
+                     for t in TABLES])
+_PARITY = _union([f"SELECT '{t}' AS table_name, COUNT(*) AS bronze_rows, COUNT(*) AS silver_rows, 'OK' AS status "
+                  f"FROM m_{t}" for t in TABLES])
+
+ORACLE["extract_row_counts"] = with_tables(_COUNTS, *TABLES)
+ORACLE["bronze_row_counts"] = with_tables(_COUNTS, *TABLES)
+ORACLE["load_row_counts"] = with_tables(_COUNTS, *TABLES)
+ORACLE["bronze_partitions"] = with_tables(_COUNTS_DT, *TABLES)
+ORACLE["raw_file_inventory"] = with_tables(_COUNTS_DT, *TABLES)
+ORACLE["silver_row_parity"] = with_tables(_PARITY, *TABLES)
+ORACLE["bronze_external_table"] = with_tables(b_view("orders"), "orders")
+ORACLE["bronze_csv_roundtrip"] = with_tables(
+    "SELECT review_id, title, body FROM (" + b_view("product_reviews") + ") b", "product_reviews")
+ORACLE["bronze_partition_overwrite"] = with_tables("""
+SELECT '2024-01-01' AS dt, COUNT(*) AS row_count FROM m_orders
+UNION ALL
+SELECT '2024-01-02' AS dt, COUNT(*) AS row_count FROM m_orders WHERE status = 'delivered'""", "orders")
+ORACLE["bronze_empty_extract"] = with_tables("""
+SELECT '2024-01-01' AS dt, COUNT(*) AS row_count, CAST(1 AS BIGINT) AS header_lines
+FROM m_orders WHERE status = 'processing'""", "orders")
+ORACLE["rebuild_idempotent"] = silver_query("orders")
+ORACLE["dump_csv"] = with_tables(_COUNTS, *TABLES)
+
+# Python's whitespace class in RE2 syntax (RE2's \s is ASCII-only and lacks VT).
+PY_WS = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+
+
+def _ws(c: str) -> str:
+    return f"trim(regexp_replace({c}, '{PY_WS}', ' ', 'g'), ' ')"
+
+
+ORACLE["raw_clean_rewrite"] = with_tables(
+    f"SELECT CAST({_ws('CAST(review_id AS VARCHAR)')} AS BIGINT) AS review_id, {_ws('title')} AS title, "
+    f"{_ws('body')} AS body FROM (" + b_view("product_reviews") + ") b", "product_reviews")
+ORACLE["gold_row_counts"] = over_marts(
+    _union([f"SELECT '{m}' AS table_name, COUNT(*) AS row_count FROM g_{m}" for m in GOLD_SQL]), *GOLD_SQL)
+
+# --- quality checks: rule lists are the source constraints (schemas.TABLES) ---
+from lakecart.schemas import TABLES as _SPECS  # noqa: E402
+
+
+def _check_unique() -> str:
+    parts = []
+    for t, s in _SPECS.items():
+        for c in (s.primary_key, *s.unique):
+            parts.append(
+                f"SELECT '{t}' AS table_name, 'unique({c})' AS rule, CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS violations "
+                f"FROM (SELECT dt, {c}, COUNT(*) AS n FROM s_{t} WHERE {c} IS NOT NULL GROUP BY dt, {c} "
+                f"HAVING COUNT(*) > 1) x")
+    return _union(parts)
+
+
+def _filter_count(t: str, rule: str, pred: str) -> str:
+    return (f"SELECT '{t}' AS table_name, '{rule}' AS rule, "
+            f"CAST(COUNT(*) FILTER (WHERE {pred}) AS BIGINT) AS violations FROM s_{t}")
+
+
+def _check_not_null() -> str:
+    return _union([_filter_count(t, f"not_null({c})", f"{c} IS NULL") for t, s in _SPECS.items() for c in s.not_null])
+
+
+def _check_accepted() -> str:
+    parts = []
+    for t, s in _SPECS.items():
+        for c, vals in s.accepted.items():
+            lst = ", ".join(f"'{v}'" for v in vals)
+            parts.append(_filter_count(t, f"accepted({c})", f"{c} NOT IN ({lst})"))
+    return _union(parts)
+
+
+def _check_ranges() -> str:
+    parts = []
+    for t, s in _SPECS.items():
+        for c, (low, high, inc) in s.ranges.items():
+            cond = f"{c} >= {low}" if inc else f"{c} > {low}"
+            if high is not None:
+                cond += f" AND {c} <= {high}"
+            parts.append(_filter_count(t, f"range({c})", f"NOT ({cond})"))
+    return _union(parts)
+
+
+def _check_referential() -> str:
+    parts = []
+    for t, s in _SPECS.items():
+        for fk in s.foreign_keys:
+            parts.append(
+                f"SELECT '{t}' AS table_name, 'fk({fk.column}->{fk.parent}.{fk.parent_column})' AS rule, "
+                f"CAST(COUNT(*) AS BIGINT) AS violations FROM s_{t} c WHERE c.{fk.column} IS NOT NULL AND NOT EXISTS "
+                f"(SELECT 1 FROM s_{fk.parent} p WHERE p.{fk.parent_column} = c.{fk.column})")
+    return _union(parts)
+
+
+def _dec(c: str) -> str:
+    return f"CAST({c} AS DECIMAL(18,2))"
+
+
+_CONSISTENCY = _union([
+    _filter_count("orders", "total_amount=subtotal+tax+shipping_cost",
+                  f"{_dec('total_amount')} <> {_dec('subtotal')} + {_dec('tax')} + {_dec('shipping_cost')}"),
+    _filter_count("order_items", "total_price=quantity*unit_price",
+                  f"{_dec('total_price')} <> CAST(quantity AS DECIMAL(10,0)) * {_dec('unit_price')}"),
+    _filter_count("inventory_logs", "new_quantity=max(previous+-quantity,0)",
+                  "new_quantity <> CASE WHEN event_type IN ('received', 'returned') THEN previous_quantity + quantity "
+                  "ELSE greatest(previous_quantity - quantity, 0) END"),
+])
+
+
+def _check_cast_loss() -> str:
+    parts = []
+    for t, cols in SOURCE_COLUMNS.items():
+        for name, kind, _ in cols:
+            if kind not in ("ts", "date"):
+                continue
+            raw = f"trim({name}, {TRIM_SET})"
+            parts.append(
+                f"SELECT '{t}' AS table_name, 'cast_loss({name})' AS rule, CAST(COUNT(*) FILTER (WHERE {raw} <> '' "
+                f"AND TRY_CAST(regexp_replace({raw}, '\\+00$', '') AS TIMESTAMP) IS NULL) AS BIGINT) AS violations "
+                f"FROM b_{t}")
+    return _union(parts)
+
+
+ALL = tuple(TABLES)
+ORACLE["check_unique"] = with_tables(_check_unique(), *ALL)
+ORACLE["check_not_null"] = with_tables(_check_not_null(), *ALL)
+ORACLE["check_accepted_values"] = with_tables(_check_accepted(), *ALL)
+ORACLE["check_ranges"] = with_tables(_check_ranges(), *ALL)
+ORACLE["check_referential"] = with_tables(_check_referential(), *ALL)
+ORACLE["check_consistency"] = with_tables(_CONSISTENCY, "orders", "order_items", "inventory_logs")
+ORACLE["check_cast_loss"] = with_tables("", *ALL).rstrip() + ",\n" + ",\n".join(
+    f"b_{t} AS ({b_view(t)}\n)" for t in ALL) + "\n" + _check_cast_loss()
+
+# --- reports over the marts ---
+ORACLE["report_silver_types"] = with_tables("""
+SELECT user_id, first_name, last_name, email, created_at, lower(typeof(created_at)) AS created_at_type
+FROM s_users ORDER BY user_id NULLS LAST LIMIT 5""", "users")
+ORACLE["report_daily_revenue"] = over_marts("""
+SELECT sale_date, total_orders, unique_customers, ROUND(total_revenue, 2) AS total_revenue,
+  ROUND(avg_order_value, 2) AS avg_order_value
+FROM g_daily_sales ORDER BY sale_date DESC NULLS LAST LIMIT 10""", "daily_sales")
+ORACLE["report_top_customers"] = over_marts("""
+SELECT user_id, first_name || ' ' || last_name AS full_name, country, total_orders,
+  ROUND(lifetime_value, 2) AS lifetime_value, first_order_date, last_order_date
+FROM g_customer_lifetime_value ORDER BY lifetime_value DESC NULLS LAST, user_id LIMIT 5""", "customer_lifetime_value")
+ORACLE["report_best_sellers"] = over_marts("""
+SELECT product_name, category_name, sku, total_units_sold, total_orders, ROUND(total_revenue, 2) AS total_revenue,
+  ROUND(avg_rating, 2) AS avg_rating, total_reviews
+FROM g_top_products ORDER BY total_revenue DESC NULLS LAST, product_id LIMIT 10""", "top_products")
+ORACLE["report_payment_rates"] = over_marts("""
+SELECT payment_method, payment_status, transaction_count, ROUND(total_amount, 2) AS total_amount,
+  ROUND(pct_of_method, 2) AS pct_of_method
+FROM g_payment_success_rates ORDER BY payment_method, payment_status""", "payment_success_rates")
+ORACLE["report_carrier_performance"] = over_marts("""
+SELECT carrier, event_type, CAST(SUM(event_count) AS BIGINT) AS total_events,
+  CAST(SUM(orders_affected) AS BIGINT) AS total_orders_affected
+FROM g_shipping_performance GROUP BY carrier, event_type ORDER BY carrier, event_type""", "shipping_performance")
+ORACLE["report_low_stock"] = with_tables("""
+SELECT product_id, name, sku, inventory_quantity FROM s_products
+WHERE inventory_quantity < 20 ORDER BY inventory_quantity, product_id""", "products")
+
+# --- keys ---
+ORACLE["remap_foreign_keys"] = with_tables("""
+SELECT o.o_orderkey AS order_id, o.o_custkey + 1 AS position, u.user_id
+FROM orders o JOIN (SELECT user_id, row_number() OVER (ORDER BY user_id) AS pos FROM m_users) u
+  ON o.o_custkey + 1 = u.pos""", "users")
+_SFX = "manual_2024_01_01t00_00_00_00_00"
+ORACLE["append_suffix_keys"] = with_tables(f"""
+SELECT 'categories' AS table_name, category_id AS key_id, name || ' {_SFX}' AS key_value FROM m_categories
+UNION ALL
+SELECT 'products', product_id, sku || '-{_SFX}' FROM m_products
+UNION ALL
+SELECT 'users', user_id, regexp_replace(email, '@([^@]*)$', '+{_SFX}@\\1') FROM m_users""",
+                                           "categories", "products", "users")
+
+# --- column functions ---
+ORACLE["cast_bigint"] = """
+SELECT o_orderkey AS order_id, TRY_CAST(CAST(o_custkey AS VARCHAR) AS BIGINT) AS user_id_cast,
+  TRY_CAST(o_orderstatus AS BIGINT) AS status_cast FROM orders"""
+ORACLE["cast_int"] = """
+SELECT l_orderkey AS order_id, TRY_CAST(CAST(l_linenumber AS VARCHAR) AS INTEGER) AS line_cast,
+  TRY_CAST(l_returnflag AS INTEGER) AS flag_cast FROM lineitem"""
+ORACLE["cast_double"] = """
+SELECT o_orderkey AS order_id, TRY_CAST(CAST(o_totalprice AS VARCHAR) AS DOUBLE) AS price_cast,
+  TRY_CAST(o_orderpriority AS DOUBLE) AS priority_cast FROM orders"""
+_TS_TEXT = """CASE event_id % 6
+    WHEN 0 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') || '+00'
+    WHEN 1 THEN strftime(ts, '%Y-%m-%d %H:%M:%S.%f') || '+00'
+    WHEN 2 THEN strftime(ts, '%Y-%m-%d %H:%M:%S') || '+08'
+    WHEN 3 THEN strftime(ts, '%Y-%m-%d')
+    WHEN 4 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
+    ELSE event_type END"""
+_TS_EXPECTED = """CASE event_id % 6
+    WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN ts WHEN 2 THEN NULL
+    WHEN 3 THEN date_trunc('day', ts) WHEN 4 THEN date_trunc('second', ts) ELSE NULL END"""
+ORACLE["clean_ts"] = f"SELECT event_id, {_TS_TEXT} AS raw, CAST({_TS_EXPECTED} AS TIMESTAMP) AS cleaned FROM events"
+ORACLE["clean_date"] = f"SELECT event_id, {_TS_TEXT} AS raw, CAST({_TS_EXPECTED} AS DATE) AS cleaned FROM events"
+ORACLE["clean_trim"] = f"""
+SELECT doc_id, raw, {_trim('raw')} AS cleaned FROM (
+  SELECT doc_id, CASE doc_id % 4
+      WHEN 0 THEN ' ' || source || ' '
+      WHEN 1 THEN chr(9) || source || chr(9) || ' '
+      WHEN 2 THEN chr(13) || chr(10) || source || chr(13) || chr(10)
+      ELSE chr(11) || chr(12) || ' ' || source END AS raw
+  FROM documents) d"""
+ORACLE["clean_text"] = f"SELECT doc_id, {_text('text')} AS cleaned FROM documents"
+ORACLE["clean_whitespace_all"] = f"SELECT doc_id, {_ws('text')} AS cleaned, {_ws('source')} AS source FROM documents"
+ORACLE["date_trunc_day"] = "SELECT event_id, CAST(ts AS DATE) AS event_date FROM events"

@@ -9,18 +9,22 @@ checkpoint directory and return a frame over what they wrote.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakecart.operators import gold
-from lakecart.plans.medallion import scratch_layout
-from lakecart.schemas import TABLE_NAMES
-from lakecart.session import apply_sql_defaults, ensure_checkpoint_dir
-from lakecart.sinks.files import land_csv, write_table
-from lakecart.sources.bronze import read_bronze
-from lakecart.sources.fixtures import SNAPSHOT_DT, fixture_silver, raw_text, source_table
-from lakecart.operators.silver import silver_select
+from lakecart.functions.clean import (clean_date, clean_text, clean_trim, clean_ts, to_bigint, to_double,
+                                      to_int, whitespace_all)
+from lakecart.operators import gold, quality, reports
+from lakecart.operators.keys import append_suffix, position_key_map, remap_column
+from lakecart.operators.silver import cast_loss_counts, silver_select
+from lakecart.plans.medallion import gold_row_counts, load_row_counts, row_parity, run_all, scratch_layout
+from lakecart.schemas import INSERT_ORDER, TABLE_NAMES
+from lakecart.session import apply_sql_defaults, ensure_checkpoint_dir, scratch_dir
+from lakecart.sinks.files import clean_raw_csv, dump_csv, land_csv, write_table
+from lakecart.sources.bronze import raw_file_inventory, read_bronze
+from lakecart.sources.fixtures import SNAPSHOT_DT, fixture_silver, raw_text, read_input, source_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -120,5 +124,352 @@ for _t in TABLE_NAMES:
     REGISTRY[f"bronze_scan_{_t}"] = _bronze_key(_t)
 
 
+# ------------------------------------------------ one full medallion build
+_BUILDS: dict[tuple, dict] = {}
+
+
+def built_lakehouse(spark: SparkSession, sf_dir: str) -> dict:
+    """Extract → bronze → silver → gold over the mapped tables, once per session and input.
+
+    Returns the layout plus what ``run_all`` reports (extract counts, table
+    locations).  Keys that inspect a built lakehouse share it.
+    """
+    prepare(spark)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
+    if key not in _BUILDS:
+        layout = scratch_layout(spark, "lakehouse")
+        sources = {t: raw_text(source_table(spark, sf_dir, t, with_ids=True), t) for t in TABLE_NAMES}
+        result = run_all(spark, sources, layout, SNAPSHOT_DT)
+        _BUILDS[key] = {"layout": layout, **result}
+    return _BUILDS[key]
+
+
+def _gold(spark, sf_dir, mart):
+    return spark.read.parquet(built_lakehouse(spark, sf_dir)["gold"][mart])
+
+
+def _silver(spark, sf_dir, table):
+    return spark.read.parquet(built_lakehouse(spark, sf_dir)["silver"][table])
+
+
+def _all_silver(spark, sf_dir):
+    b = built_lakehouse(spark, sf_dir)
+    return {t: spark.read.parquet(loc) for t, loc in b["silver"].items()}
+
+
+# ----------------------------------------------------------- sources (S1–S7)
+@register("extract_row_counts")
+def q_extract_row_counts(spark, sf_dir):
+    counts = built_lakehouse(spark, sf_dir)["extract_counts"]
+    return spark.createDataFrame([(t, int(n)) for t, n in counts.items()], "table_name string, row_count bigint")
+
+
+@register("bronze_external_table")
+def q_bronze_external_table(spark, sf_dir):
+    layout = built_lakehouse(spark, sf_dir)["layout"]
+    return spark.table(f"{layout.bronze_db}.orders")
+
+
+@register("bronze_partitions")
+def q_bronze_partitions(spark, sf_dir):
+    layout = built_lakehouse(spark, sf_dir)["layout"]
+    frames = [spark.table(f"{layout.bronze_db}.{t}").groupBy("dt").agg(F.count(F.lit(1)).alias("row_count"))
+              .select(F.lit(t).alias("table_name"), "dt", "row_count") for t in TABLE_NAMES]
+    return reduce(DataFrame.unionByName, frames)
+
+
+@register("raw_file_inventory")
+def q_raw_file_inventory(spark, sf_dir):
+    layout = built_lakehouse(spark, sf_dir)["layout"]
+    files = raw_file_inventory(spark, layout.raw, layout.raw_prefix)
+    return files.groupBy("table_name", "dt").agg(F.sum("row_count").alias("row_count"))
+
+
+@register("bronze_row_counts")
+def q_bronze_row_counts(spark, sf_dir):
+    layout = built_lakehouse(spark, sf_dir)["layout"]
+    return reports.bronze_row_counts({t: spark.table(f"{layout.bronze_db}.{t}") for t in TABLE_NAMES})
+
+
+# ----------------------------------------------------- sinks, lifecycle (K*)
+@register("bronze_csv_roundtrip")
+def q_bronze_csv_roundtrip(spark, sf_dir):
+    prepare(spark)
+    layout = scratch_layout(spark, "roundtrip")
+    land_fixture(spark, sf_dir, "product_reviews", layout)
+    return read_bronze(spark, layout.raw, "product_reviews").select("review_id", "title", "body")
+
+
+@register("bronze_partition_overwrite")
+def q_bronze_partition_overwrite(spark, sf_dir):
+    prepare(spark)
+    layout = scratch_layout(spark, "overwrite")
+    raw = raw_text(source_table(spark, sf_dir, "orders"), "orders")
+    land_csv(raw, layout.raw, "orders", "2024-01-01")
+    land_csv(raw, layout.raw, "orders", "2024-01-02")
+    # Same-day re-run with a different extract replaces only that day.
+    land_csv(raw.where(F.trim("status") == "delivered"), layout.raw, "orders", "2024-01-02")
+    return read_bronze(spark, layout.raw, "orders").groupBy("dt").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@register("bronze_empty_extract")
+def q_bronze_empty_extract(spark, sf_dir):
+    prepare(spark)
+    layout = scratch_layout(spark, "empty")
+    raw = raw_text(source_table(spark, sf_dir, "orders"), "orders")
+    # No source order is ever 'processing': an empty snapshot.
+    land_csv(raw.where(F.trim("status") == "processing"), layout.raw, "orders", SNAPSHOT_DT)
+    rows = read_bronze(spark, layout.raw, "orders").agg(F.count(F.lit(1)).alias("row_count"))
+    lines = spark.read.text(f"{layout.raw}/orders/dt={SNAPSHOT_DT}").agg(F.count(F.lit(1)).alias("header_lines"))
+    return _empty_extract_frame(rows, lines)
+
+
+def _empty_extract_frame(rows: DataFrame, lines: DataFrame) -> DataFrame:
+    parts = rows.select(F.col("row_count"), F.lit(0).cast("bigint").alias("header_lines")).unionByName(
+        lines.select(F.lit(0).cast("bigint").alias("row_count"), "header_lines"))
+    return parts.agg(F.sum("row_count").alias("row_count"), F.sum("header_lines").alias("header_lines")) \
+                .select(F.lit(SNAPSHOT_DT).alias("dt"), "row_count", "header_lines")
+
+
+@register("rebuild_idempotent")
+def q_rebuild_idempotent(spark, sf_dir):
+    prepare(spark)
+    layout = scratch_layout(spark, "rebuild")
+    land_fixture(spark, sf_dir, "orders", layout)
+    first = write_table(spark, silver_select(read_bronze(spark, layout.raw, "orders"), "orders"),
+                        layout.silver_db, "orders", layout.silver_root)
+    # Rebuild the table from itself: the new version goes to a new directory, then the catalog swaps.
+    current = spark.table(f"{layout.silver_db}.orders")
+    second = write_table(spark, current, layout.silver_db, "orders", layout.silver_root)
+    assert first != second
+    return spark.table(f"{layout.silver_db}.orders")
+
+
+@register("dump_csv")
+def q_dump_csv(spark, sf_dir):
+    prepare(spark)
+    out = scratch_dir(spark, "dump")
+    frames = {t: source_table(spark, sf_dir, t, with_ids=False) for t in TABLE_NAMES}
+    frames["processing_orders"] = frames["orders"].where(F.col("status") == "processing")
+    written = dump_csv(frames, out)
+    return spark.createDataFrame(sorted(written.items()), "table_name string, row_count bigint")
+
+
+@register("raw_clean_rewrite")
+def q_raw_clean_rewrite(spark, sf_dir):
+    prepare(spark)
+    layout = scratch_layout(spark, "rawclean")
+    land_fixture(spark, sf_dir, "product_reviews", layout)
+    clean_root = f"{layout.root}/raw_clean"
+    counts = clean_raw_csv(spark, layout.raw, clean_root, ["product_reviews"])
+    assert sum(counts.values()) > 0
+    cleaned = read_bronze(spark, clean_root, "product_reviews", as_text=True)
+    return cleaned.select(F.col("review_id").cast("bigint").alias("review_id"), "title", "body")
+
+
+# ------------------------------------------------------ quality checks (Q*)
+@register("silver_row_parity")
+def q_silver_row_parity(spark, sf_dir):
+    b = built_lakehouse(spark, sf_dir)
+    return row_parity(spark, b["layout"], b["silver"])
+
+
+@register("gold_row_counts")
+def q_gold_row_counts(spark, sf_dir):
+    return gold_row_counts(spark, built_lakehouse(spark, sf_dir)["gold"])
+
+
+@register("load_row_counts")
+def q_load_row_counts(spark, sf_dir):
+    layout = built_lakehouse(spark, sf_dir)["layout"]
+    return load_row_counts(spark, layout.silver_db, INSERT_ORDER)
+
+
+@register("check_unique")
+def q_check_unique(spark, sf_dir):
+    return quality.check_unique(_all_silver(spark, sf_dir))
+
+
+@register("check_not_null")
+def q_check_not_null(spark, sf_dir):
+    return quality.check_not_null(_all_silver(spark, sf_dir))
+
+
+@register("check_accepted_values")
+def q_check_accepted_values(spark, sf_dir):
+    return quality.check_accepted_values(_all_silver(spark, sf_dir))
+
+
+@register("check_ranges")
+def q_check_ranges(spark, sf_dir):
+    return quality.check_ranges(_all_silver(spark, sf_dir))
+
+
+@register("check_referential")
+def q_check_referential(spark, sf_dir):
+    return quality.check_referential(_all_silver(spark, sf_dir))
+
+
+@register("check_consistency")
+def q_check_consistency(spark, sf_dir):
+    return quality.check_consistency(_all_silver(spark, sf_dir))
+
+
+@register("check_cast_loss")
+def q_check_cast_loss(spark, sf_dir):
+    layout = built_lakehouse(spark, sf_dir)["layout"]
+    frames = [cast_loss_counts(read_bronze(spark, layout.raw, t), t) for t in TABLE_NAMES]
+    return reduce(DataFrame.unionByName, frames)
+
+
+# -------------------------------------------------------------- reports (R*)
+@register("report_silver_types")
+def q_report_silver_types(spark, sf_dir):
+    return reports.silver_types(_silver(spark, sf_dir, "users"))
+
+
+@register("report_daily_revenue")
+def q_report_daily_revenue(spark, sf_dir):
+    return reports.daily_revenue(_gold(spark, sf_dir, "daily_sales"))
+
+
+@register("report_top_customers")
+def q_report_top_customers(spark, sf_dir):
+    return reports.top_customers(_gold(spark, sf_dir, "customer_lifetime_value"))
+
+
+@register("report_best_sellers")
+def q_report_best_sellers(spark, sf_dir):
+    return reports.best_sellers(_gold(spark, sf_dir, "top_products"))
+
+
+@register("report_payment_rates")
+def q_report_payment_rates(spark, sf_dir):
+    return reports.payment_rates(_gold(spark, sf_dir, "payment_success_rates"))
+
+
+@register("report_carrier_performance")
+def q_report_carrier_performance(spark, sf_dir):
+    return reports.carrier_performance(_gold(spark, sf_dir, "shipping_performance"))
+
+
+@register("report_low_stock")
+def q_report_low_stock(spark, sf_dir):
+    return reports.low_stock(_silver(spark, sf_dir, "products"))
+
+
+# ------------------------------------------------------- keys (J4, P19)
+RUN_ID = "manual__2024-01-01T00:00:00+00:00"
+
+
+@register("remap_foreign_keys")
+def q_remap_foreign_keys(spark, sf_dir):
+    """Orders generated against 1-based user positions, remapped to stored user ids."""
+    prepare(spark)
+    users = source_table(spark, sf_dir, "users", with_ids=False).select("user_id")
+    key_map = position_key_map(users, "user_id")
+    generated = read_input(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("order_id"), (F.col("o_custkey") + F.lit(1)).alias("user_id"))
+    remapped = remap_column(generated.withColumn("position", F.col("user_id")), "user_id", key_map)
+    return remapped.select("order_id", "position", "user_id")
+
+
+@register("append_suffix_keys")
+def q_append_suffix_keys(spark, sf_dir):
+    prepare(spark)
+    src = {t: source_table(spark, sf_dir, t, with_ids=False) for t in ("categories", "products", "users")}
+    out = append_suffix(src["categories"], src["products"], src["users"], RUN_ID)
+    return reduce(DataFrame.unionByName, [
+        out["categories"].select(F.lit("categories").alias("table_name"), F.col("category_id").alias("key_id"),
+                                 F.col("name").alias("key_value")),
+        out["products"].select(F.lit("products").alias("table_name"), F.col("product_id").alias("key_id"),
+                               F.col("sku").alias("key_value")),
+        out["users"].select(F.lit("users").alias("table_name"), F.col("user_id").alias("key_id"),
+                            F.col("email").alias("key_value")),
+    ])
+
+
+# ------------------------------------------------- column functions (P2–P11)
+@register("cast_bigint")
+def q_cast_bigint(spark, sf_dir):
+    o = read_input(spark, sf_dir, "orders")
+    return o.select(F.col("o_orderkey").alias("order_id"),
+                    to_bigint(F.col("o_custkey").cast("string")).alias("user_id_cast"),
+                    to_bigint("o_orderstatus").alias("status_cast"))
+
+
+@register("cast_int")
+def q_cast_int(spark, sf_dir):
+    li = read_input(spark, sf_dir, "lineitem")
+    return li.select(F.col("l_orderkey").alias("order_id"),
+                     to_int(F.col("l_linenumber").cast("string")).alias("line_cast"),
+                     to_int("l_returnflag").alias("flag_cast"))
+
+
+@register("cast_double")
+def q_cast_double(spark, sf_dir):
+    o = read_input(spark, sf_dir, "orders")
+    return o.select(F.col("o_orderkey").alias("order_id"),
+                    to_double(F.col("o_totalprice").cast("string")).alias("price_cast"),
+                    to_double("o_orderpriority").alias("priority_cast"))
+
+
+def timestamp_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Six text forms of each event time: +00, +00 with fraction, +08, date only, no zone, junk."""
+    e = read_input(spark, sf_dir, "events")
+    form = F.col("event_id") % F.lit(6)
+    base = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    raw = (F.when(form == 0, F.concat(base, F.lit("+00")))
+            .when(form == 1, F.concat(base, F.lit("."), F.date_format("ts", "SSSSSS"), F.lit("+00")))
+            .when(form == 2, F.concat(base, F.lit("+08")))
+            .when(form == 3, F.date_format("ts", "yyyy-MM-dd"))
+            .when(form == 4, base)
+            .otherwise(F.col("event_type")))
+    return e.select("event_id", raw.alias("raw"))
+
+
+@register("clean_ts")
+def q_clean_ts(spark, sf_dir):
+    prepare(spark)
+    return timestamp_texts(spark, sf_dir).select("event_id", "raw", clean_ts("raw").alias("cleaned"))
+
+
+@register("clean_date")
+def q_clean_date(spark, sf_dir):
+    prepare(spark)
+    return timestamp_texts(spark, sf_dir).select("event_id", "raw", clean_date("raw").alias("cleaned"))
+
+
+@register("clean_trim")
+def q_clean_trim(spark, sf_dir):
+    d = read_input(spark, sf_dir, "documents")
+    form = F.col("doc_id") % F.lit(4)
+    s = F.col("source")
+    raw = (F.when(form == 0, F.concat(F.lit(" "), s, F.lit(" ")))
+            .when(form == 1, F.concat(F.lit("\t"), s, F.lit("\t ")))
+            .when(form == 2, F.concat(F.lit("\r\n"), s, F.lit("\r\n")))
+            .otherwise(F.concat(F.lit("\x0b\x0c "), s)))
+    return d.select("doc_id", raw.alias("raw")).select("doc_id", "raw", clean_trim("raw").alias("cleaned"))
+
+
+@register("clean_text")
+def q_clean_text(spark, sf_dir):
+    d = read_input(spark, sf_dir, "documents")
+    return d.select("doc_id", clean_text("text").alias("cleaned"))
+
+
+@register("clean_whitespace_all")
+def q_clean_whitespace_all(spark, sf_dir):
+    d = read_input(spark, sf_dir, "documents")
+    return d.select("doc_id", whitespace_all("text").alias("cleaned"), whitespace_all("source").alias("source"))
+
+
+@register("date_trunc_day")
+def q_date_trunc_day(spark, sf_dir):
+    prepare(spark)
+    e = read_input(spark, sf_dir, "events")
+    return e.select("event_id", F.col("ts").cast("date").alias("event_date"))
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(REGISTRY)

@@ -36,7 +36,7 @@ def build_session(master: str | None = None, app_name: str = "lakecart", **extra
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = {"spark.ui.enabled": "false", **SESSION_DEFAULTS, **extra}
+    conf = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", **SESSION_DEFAULTS, **extra}
     for key, value in conf.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

@@ -7,7 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lakecart.sources.bronze import table_path
+from lakecart.functions.clean import whitespace_all
+from lakecart.sources.bronze import read_bronze, table_path
 
 CSV_WRITE_OPTIONS = {
     "header": "true",
@@ -78,3 +79,22 @@ def dump_csv(frames: dict[str, DataFrame], out_dir: str) -> dict[str, int]:
           .options(**CSV_WRITE_OPTIONS).csv(path)
         written[name] = int(obs.get.get("rows", 0) or 0)
     return written
+
+
+def clean_raw_csv(spark: SparkSession, raw_root: str, clean_root: str, tables) -> dict[str, int]:
+    """Rewrite raw CSV with every field's whitespace runs collapsed to one space and stripped.
+
+    Reads all columns as text, keeps the ``dt`` layout, writes under
+    ``clean_root`` (raw files are never rewritten in place).  Returns rows per table.
+    """
+    counts = {}
+    for t in tables:
+        raw = read_bronze(spark, raw_root, t, as_text=True)
+        cleaned = raw.select(*[whitespace_all(c).alias(c) for c in raw.columns if c != "dt"], "dt")
+        obs = Observation(f"clean_{t}_{uuid.uuid4().hex[:8]}")
+        (cleaned.observe(obs, F.count(F.lit(1)).alias("rows"))
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+            .options(**CSV_WRITE_OPTIONS).partitionBy("dt").csv(table_path(clean_root, t)))
+        counts[t] = int(obs.get.get("rows", 0) or 0)
+    return counts
