@@ -5,7 +5,8 @@ task.  Here the rows are range-partitioned and sorted by ``k``; each row gets
 its position inside its partition, the per-partition counts (one row per
 partition, a bounded table) give each partition's starting offset, and one
 broadcast join of that small table yields the global number.  The tagged data
-is reliably checkpointed first so both uses see the same partition layout.
+is reliably checkpointed first so both uses see the same partition layout,
+and the numbered result is checkpointed so reuse does not repeat the work.
 """
 
 from __future__ import annotations
@@ -37,4 +38,5 @@ def dense_row_id(df: DataFrame, order_by: list[str | Column], id_col: str) -> Da
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     out = tagged.join(F.broadcast(offsets), "_part")
     out = out.withColumn(id_col, (F.col("_offset") + F.col("_pos") + F.lit(1)).cast("bigint"))
-    return out.drop("_mid", "_part", "_pos", "_offset")
+    # Materialise once more so later plans scan the ids instead of re-deriving offsets.
+    return out.drop("_mid", "_part", "_pos", "_offset").checkpoint(eager=True)

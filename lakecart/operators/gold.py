@@ -9,6 +9,12 @@ the joined pairs: the results equal the join-then-group definition exactly.
 
 Money sums are exact decimals cast to DOUBLE; NULLs sort last in both
 directions, as in the warehouse.
+
+The warehouse statements end in ORDER BY, but a stored table has no reading
+order, so ``sort`` defaults to False: marts are written with a per-file sort
+on their leading key (``MART_SORT_KEYS``, no shuffle; tight Parquet min/max
+statistics) and report queries order what they show.  ``sort=True`` gives the
+statement's global order (a range shuffle).
 """
 
 from __future__ import annotations
@@ -24,7 +30,7 @@ def _one() -> F.Column:
     return F.count(F.lit(1))
 
 
-def daily_sales(orders: DataFrame, statuses: tuple[str, ...] = SALE_STATUSES, sort: bool = True) -> DataFrame:
+def daily_sales(orders: DataFrame, statuses: tuple[str, ...] = SALE_STATUSES, sort: bool = False) -> DataFrame:
     """Revenue and order volume per order day, sale statuses only."""
     sales = orders.where(F.col("status").isin(*statuses))
     out = sales.groupBy(F.col("order_date").cast("date").alias("sale_date")).agg(
@@ -40,7 +46,7 @@ def daily_sales(orders: DataFrame, statuses: tuple[str, ...] = SALE_STATUSES, so
 
 
 def customer_lifetime_value(users: DataFrame, orders: DataFrame,
-                            statuses: tuple[str, ...] = SALE_STATUSES, sort: bool = True) -> DataFrame:
+                            statuses: tuple[str, ...] = SALE_STATUSES, sort: bool = False) -> DataFrame:
     """Spend and order span per user; users without a sale order are kept with NULLs.
 
     The status test belongs to the join condition, so it filters the orders
@@ -121,7 +127,7 @@ def _product_select(base: DataFrame, fan_out: bool, sort: bool) -> DataFrame:
 
 
 def top_products(products: DataFrame, categories: DataFrame, order_items: DataFrame,
-                 reviews: DataFrame, sort: bool = True) -> DataFrame:
+                 reviews: DataFrame, sort: bool = False) -> DataFrame:
     """Units, orders, revenue and rating per product, as defined: item and review
     rows are joined on the same product, so unit and revenue sums count each
     item once per review of the product.  Distinct counts and the average
@@ -130,12 +136,12 @@ def top_products(products: DataFrame, categories: DataFrame, order_items: DataFr
 
 
 def top_products_exact(products: DataFrame, categories: DataFrame, order_items: DataFrame,
-                       reviews: DataFrame, sort: bool = True) -> DataFrame:
+                       reviews: DataFrame, sort: bool = False) -> DataFrame:
     """``top_products`` with each side aggregated on its own: true units and revenue."""
     return _product_select(_product_base(products, categories, order_items, reviews), False, sort)
 
 
-def inventory_movement(inventory_logs: DataFrame, products: DataFrame, sort: bool = True) -> DataFrame:
+def inventory_movement(inventory_logs: DataFrame, products: DataFrame, sort: bool = False) -> DataFrame:
     """Stock events per product, type and day, with the product's name and SKU."""
     moves = inventory_logs.groupBy(
         "product_id", "event_type", F.col("event_timestamp").cast("date").alias("event_date")
@@ -155,7 +161,7 @@ def inventory_movement(inventory_logs: DataFrame, products: DataFrame, sort: boo
     return out.orderBy(F.desc_nulls_last("event_date"), F.asc_nulls_last("product_name")) if sort else out
 
 
-def payment_success_rates(payments: DataFrame, sort: bool = True) -> DataFrame:
+def payment_success_rates(payments: DataFrame, sort: bool = False) -> DataFrame:
     """Count, amount and share of each status within its payment method."""
     grouped = payments.groupBy("payment_method", "payment_status").agg(
         _one().alias("transaction_count"),
@@ -167,7 +173,7 @@ def payment_success_rates(payments: DataFrame, sort: bool = True) -> DataFrame:
     return out.orderBy(F.asc_nulls_last("payment_method"), F.asc_nulls_last("payment_status")) if sort else out
 
 
-def shipping_performance(shipping_events: DataFrame, sort: bool = True) -> DataFrame:
+def shipping_performance(shipping_events: DataFrame, sort: bool = False) -> DataFrame:
     """Events and distinct orders per carrier, event type and day."""
     out = shipping_events.groupBy(
         "carrier", "event_type", F.col("event_timestamp").cast("date").alias("event_date")
@@ -179,7 +185,19 @@ def shipping_performance(shipping_events: DataFrame, sort: bool = True) -> DataF
                        F.asc_nulls_last("event_type")) if sort else out
 
 
-def build_marts(silver: dict[str, DataFrame], sort: bool = True) -> dict[str, DataFrame]:
+# Per-file sort keys used when a mart is written (leading ORDER BY key of each statement).
+MART_SORT_KEYS = {
+    "daily_sales": ["sale_date"],
+    "customer_lifetime_value": ["lifetime_value"],
+    "top_products": ["total_revenue"],
+    "top_products_exact": ["total_revenue"],
+    "inventory_movement": ["event_date", "product_name"],
+    "payment_success_rates": ["payment_method", "payment_status"],
+    "shipping_performance": ["event_date", "carrier", "event_type"],
+}
+
+
+def build_marts(silver: dict[str, DataFrame], sort: bool = False) -> dict[str, DataFrame]:
     """All six marts from a dict of silver tables."""
     return {
         "daily_sales": daily_sales(silver["orders"], sort=sort),

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakecart.operators.gold import build_marts, top_products_exact
+from lakecart.operators.gold import MART_SORT_KEYS, build_marts, top_products_exact
 from lakecart.operators.silver import silver_select
 from lakecart.schemas import GOLD_TABLES, TABLE_NAMES, spec
 from lakecart.session import scratch_dir
@@ -117,11 +117,12 @@ def read_silver(spark: SparkSession, locations: dict[str, str]) -> dict[str, Dat
 def build_gold(spark: SparkSession, layout: Layout, silver: dict[str, DataFrame],
                with_exact: bool = False) -> dict[str, str]:
     """Write the six marts (and optionally ``top_products_exact``) as Parquet tables."""
-    marts = build_marts(silver, sort=True)
+    marts = build_marts(silver)
     if with_exact:
         marts["top_products_exact"] = top_products_exact(
             silver["products"], silver["categories"], silver["order_items"], silver["product_reviews"])
-    return {name: write_table(spark, df, layout.gold_db, name, layout.gold_root) for name, df in marts.items()}
+    return {name: write_table(spark, df, layout.gold_db, name, layout.gold_root, sort_within=MART_SORT_KEYS[name])
+            for name, df in marts.items()}
 
 
 def run_all(spark: SparkSession, sources: dict[str, DataFrame], layout: Layout, run_date: str) -> dict:

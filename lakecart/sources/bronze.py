@@ -75,20 +75,19 @@ def register_bronze_table(spark: SparkSession, database: str, base: str, table:
 
 
 def raw_file_inventory(spark: SparkSession, raw_root: str, prefix: str = "raw") -> DataFrame:
-    """Landed CSV files under ``{raw_root}`` with their table, snapshot and row count.
+    """Landed CSV files under ``raw_root`` with their table, snapshot and record count.
 
     Only ``*.csv`` files at ``{prefix}/{known table}/dt=../file.csv`` qualify.
-    One scan over all tables; the file path comes from the ``_metadata`` column.
+    One scan over every table: a one-column CSV read still splits records
+    by the quoting rules, so the count is of records, not lines.
     """
-    frames = []
-    for table in TABLE_NAMES:
-        df = read_bronze(spark, raw_root, table, as_text=True)
-        frames.append(df.select(F.col("_metadata.file_path").alias("file_path")))
-    paths = frames[0]
-    for f in frames[1:]:
-        paths = paths.unionByName(f)
+    files = (spark.read.schema("c0 string")
+             .options(**CSV_READ_OPTIONS)
+             .option("pathGlobFilter", "*.csv")
+             .csv(f"{raw_root.rstrip('/')}/*/dt=*/")
+             .select(F.col("_metadata.file_path").alias("file_path")))
     pattern = rf"/{prefix}/([^/]+)/dt=([^/]+)/[^/]+\.csv$"
-    tagged = paths.select(
+    tagged = files.select(
         "file_path",
         F.regexp_extract("file_path", pattern, 1).alias("table_name"),
         F.regexp_extract("file_path", pattern, 2).alias("dt"),

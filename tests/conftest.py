@@ -1,0 +1,26 @@
+import os
+import sys
+import tempfile
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from lakecart.session import build_session  # noqa: E402
+
+SF_SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    s = build_session("local[*]", app_name="lakecart-tests", **{"spark.sql.shuffle.partitions": "8"})
+    s.sparkContext.setLogLevel("ERROR")
+    if not s.sparkContext.getCheckpointDir():
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lakecart-test-ckpt-"))
+    yield s
+    s.stop()
+
+
+@pytest.fixture()
+def workdir():
+    return tempfile.mkdtemp(prefix="lakecart-test-")
