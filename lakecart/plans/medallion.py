@@ -16,7 +16,7 @@ from lakecart.operators.silver import silver_select
 from lakecart.schemas import GOLD_TABLES, TABLE_NAMES, spec
 from lakecart.session import scratch_dir
 from lakecart.sinks.files import land_csv, write_table
-from lakecart.sources.bronze import read_bronze, register_bronze_table
+from lakecart.sources.bronze import latest_snapshot, read_bronze, register_bronze_table
 
 
 @dataclass(frozen=True)
@@ -68,8 +68,21 @@ def build_bronze(spark: SparkSession, layout: Layout, tables=TABLE_NAMES) -> dic
     return {t: register_bronze_table(spark, layout.bronze_db, layout.raw, t) for t in tables}
 
 
-def silver_frame(spark: SparkSession, layout: Layout, table: str, strict: bool = False) -> DataFrame:
-    return silver_select(read_bronze(spark, layout.raw, table, strict=strict), table, strict=strict)
+def silver_frame(spark: SparkSession, layout: Layout, table: str, strict: bool = False,
+                 snapshot: str = "all") -> DataFrame:
+    """Silver projection of a bronze table.
+
+    ``snapshot="all"`` reads every landed ``dt`` (the warehouse behaviour:
+    repeated full extracts pile up); ``"latest"`` keeps only the newest
+    registered snapshot, pruned at the file listing.
+    """
+    bronze = read_bronze(spark, layout.raw, table, strict=strict)
+    if snapshot == "latest":
+        latest = latest_snapshot(spark, f"{layout.bronze_db}.{table}")
+        bronze = bronze.where(F.col("dt") == F.lit(latest))
+    elif snapshot != "all":
+        raise ValueError(f"unknown snapshot mode {snapshot}")
+    return silver_select(bronze, table, strict=strict)
 
 
 def row_parity(spark: SparkSession, layout: Layout, silver_locations: dict[str, str]) -> DataFrame:
@@ -97,13 +110,13 @@ def parity_frame(frames: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
 
 
 def build_silver(spark: SparkSession, layout: Layout, tables=TABLE_NAMES, strict: bool = False,
-                 verify: bool = True) -> dict[str, str]:
+                 verify: bool = True, snapshot: str = "all") -> dict[str, str]:
     """Rebuild silver Parquet for ``tables``; raise ParityError on any row-count mismatch."""
     locations = {}
     for t in tables:
-        locations[t] = write_table(spark, silver_frame(spark, layout, t, strict), layout.silver_db, t,
+        locations[t] = write_table(spark, silver_frame(spark, layout, t, strict, snapshot), layout.silver_db, t,
                                    layout.silver_root)
-    if verify:
+    if verify and snapshot == "all":
         bad = row_parity(spark, layout, locations).where("status <> 'OK'").select("table_name").collect()
         if bad:
             raise ParityError("Silver row count mismatch: " + ", ".join(r.table_name for r in bad))

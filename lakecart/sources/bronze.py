@@ -93,3 +93,14 @@ def raw_file_inventory(spark: SparkSession, raw_root: str, prefix: str = "raw")
         F.regexp_extract("file_path", pattern, 2).alias("dt"),
     ).where(F.col("table_name").isin(*TABLE_NAMES))
     return tagged.groupBy("table_name", "dt", "file_path").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+def snapshots(spark: SparkSession, table_name: str) -> list[str]:
+    """``dt`` values registered for a bronze catalog table (one row per daily snapshot)."""
+    return sorted(r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table_name}").collect())
+
+
+def latest_snapshot(spark: SparkSession, table_name: str) -> str | None:
+    """Newest registered ``dt`` of a bronze table, from catalog metadata (no data scan)."""
+    values = snapshots(spark, table_name)
+    return values[-1] if values else None
