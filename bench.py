@@ -54,6 +54,7 @@ def main() -> None:
             "spark.driver.memory": "16g",
             "spark.sql.shuffle.partitions": str(max(8, 2 * int(cpus))),
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
+            "lakecart.tableParallelism": "8",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

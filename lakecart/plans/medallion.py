@@ -6,9 +6,11 @@ and fails loudly: a silver row-count mismatch against bronze raises.
 
 from __future__ import annotations
 
+import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakecart.operators.gold import MART_SORT_KEYS, build_marts, top_products_exact
@@ -54,13 +56,31 @@ class ParityError(RuntimeError):
     pass
 
 
+# Tables of one layer are independent jobs; submit a few at once so small
+# tables share the cluster instead of queueing behind each other.
+TABLE_PARALLELISM = 4
+
+
+def per_table(fn, items, parallelism: int | None = None) -> dict:
+    """Run ``fn(item)`` for each item as concurrent Spark jobs; re-raise the first failure."""
+    items = list(items)
+    if parallelism is None:
+        from pyspark.sql import SparkSession as _S
+        active = _S.getActiveSession()
+        conf = active.conf.get("lakecart.tableParallelism", None) if active else None
+        parallelism = int(conf) if conf else TABLE_PARALLELISM
+    if parallelism <= 1 or len(items) <= 1:
+        return {k: fn(k) for k in items}
+    with ThreadPoolExecutor(max_workers=min(parallelism, len(items))) as pool:
+        futures = {k: pool.submit(fn, k) for k in items}
+        return {k: f.result() for k, f in futures.items()}
+
+
 def extract(sources: dict[str, DataFrame], layout: Layout, run_date: str) -> dict[str, int]:
     """Land each source table as the ``dt=run_date`` snapshot; returns observed row counts."""
-    counts = {}
-    for table, df in sources.items():
+    for table in sources:
         spec(table)
-        counts[table] = land_csv(df, layout.raw, table, run_date)
-    return counts
+    return per_table(lambda t: land_csv(sources[t], layout.raw, t, run_date), sources)
 
 
 def build_bronze(spark: SparkSession, layout: Layout, tables=TABLE_NAMES) -> dict[str, str]:
@@ -112,14 +132,26 @@ def parity_frame(frames: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
 def build_silver(spark: SparkSession, layout: Layout, tables=TABLE_NAMES, strict: bool = False,
                  verify: bool = True, snapshot: str = "all") -> dict[str, str]:
     """Rebuild silver Parquet for ``tables``; raise ParityError on any row-count mismatch."""
-    locations = {}
-    for t in tables:
-        locations[t] = write_table(spark, silver_frame(spark, layout, t, strict, snapshot), layout.silver_db, t,
-                                   layout.silver_root)
-    if verify and snapshot == "all":
-        bad = row_parity(spark, layout, locations).where("status <> 'OK'").select("table_name").collect()
+    observed: dict[str, Observation] = {}
+
+    def build(t: str) -> str:
+        # Bronze rows are counted while silver reads them (no second CSV parse);
+        # silver rows are counted from the written files.
+        observed[t] = Observation(f"bronze_{t}_{uuid.uuid4().hex[:8]}")
+        bronze = read_bronze(spark, layout.raw, t, strict=strict)
+        if snapshot == "latest":
+            bronze = bronze.where(F.col("dt") == F.lit(latest_snapshot(spark, f"{layout.bronze_db}.{t}")))
+        elif snapshot != "all":
+            raise ValueError(f"unknown snapshot mode {snapshot}")
+        bronze = bronze.observe(observed[t], F.count(F.lit(1)).alias("rows"))
+        return write_table(spark, silver_select(bronze, t, strict=strict), layout.silver_db, t, layout.silver_root)
+
+    locations = per_table(build, tables)
+    if verify:
+        silver_rows = {r.table_name: r.row_count for r in table_row_counts(spark, locations).collect()}
+        bad = [t for t in tables if int(observed[t].get.get("rows", 0) or 0) != silver_rows.get(t)]
         if bad:
-            raise ParityError("Silver row count mismatch: " + ", ".join(r.table_name for r in bad))
+            raise ParityError("Silver row count mismatch: " + ", ".join(bad))
     return locations
 
 
@@ -134,8 +166,8 @@ def build_gold(spark: SparkSession, layout: Layout, silver: dict[str, DataFrame]
     if with_exact:
         marts["top_products_exact"] = top_products_exact(
             silver["products"], silver["categories"], silver["order_items"], silver["product_reviews"])
-    return {name: write_table(spark, df, layout.gold_db, name, layout.gold_root, sort_within=MART_SORT_KEYS[name])
-            for name, df in marts.items()}
+    return per_table(lambda name: write_table(spark, marts[name], layout.gold_db, name, layout.gold_root,
+                                              sort_within=MART_SORT_KEYS[name]), marts)
 
 
 def run_all(spark: SparkSession, sources: dict[str, DataFrame], layout: Layout, run_date: str) -> dict:
@@ -147,17 +179,22 @@ def run_all(spark: SparkSession, sources: dict[str, DataFrame], layout: Layout,
     return {"extract_counts": counts, "silver": silver_locs, "gold": gold_locs}
 
 
-def gold_row_counts(spark: SparkSession, gold_locations: dict[str, str]) -> DataFrame:
-    """(table_name, row_count) for every mart."""
+def table_row_counts(spark: SparkSession, locations: dict[str, str]) -> DataFrame:
+    """(table_name, row_count) for Parquet tables, one job."""
     frames = [spark.read.parquet(loc).agg(F.count(F.lit(1)).alias("row_count"))
               .select(F.lit(name).alias("table_name"), "row_count")
-              for name, loc in gold_locations.items()]
+              for name, loc in locations.items()]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)
     return out
 
 
+def gold_row_counts(spark: SparkSession, gold_locations: dict[str, str]) -> DataFrame:
+    """(table_name, row_count) for every mart."""
+    return table_row_counts(spark, gold_locations)
+
+
 def load_row_counts(spark: SparkSession, database: str, tables) -> DataFrame:
     """(table_name, row_count) per table in ``database``; a table that does not exist counts 0."""
     frames = []

@@ -24,7 +24,19 @@ CSV_WRITE_OPTIONS = {
 MAX_RECORDS_PER_FILE = 2_000_000
 
 
-def land_csv(df: DataFrame, base: str, table: str, dt: str, overwrite: bool = True) -> int:
+def spread(df: DataFrame, min_files: int | None = None) -> DataFrame:
+    """Round-robin an under-partitioned frame into ``min_files`` partitions.
+
+    multiLine CSV is read one file per task, so the file count written now is
+    the read parallelism later.  Frames that already have enough partitions
+    (a partitioned JDBC extract, a large scan) are left alone: no shuffle.
+    """
+    target = min_files or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
+def land_csv(df: DataFrame, base: str, table: str, dt: str, overwrite: bool = True,
+             min_files: int | None = None) -> int:
     """Write one snapshot to ``{base}/{table}/dt={dt}/`` and return its row count.
 
     Only the ``dt`` partition being written is replaced (dynamic partition
@@ -33,7 +45,7 @@ def land_csv(df: DataFrame, base: str, table: str, dt: str, overwrite: bool = Tr
     still gets a header-only file.
     """
     obs = Observation(f"land_{table}_{uuid.uuid4().hex[:8]}")
-    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    observed = spread(df, min_files).observe(obs, F.count(F.lit(1)).alias("rows"))
     (observed.withColumn("dt", F.lit(dt))
         .write.mode("overwrite" if overwrite else "append")
         .option("partitionOverwriteMode", "dynamic")

@@ -34,7 +34,8 @@ _ID_CACHE: dict[tuple, DataFrame] = {}
 
 
 def read_input(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the driver's tables (the relation is built once per session: no re-listing)."""
+    return _cached(spark, sf_dir, f"input:{name}", lambda: spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def _cached(spark: SparkSession, sf_dir: str, key: str, build) -> DataFrame:
