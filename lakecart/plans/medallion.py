@@ -83,9 +83,12 @@ def extract(sources: dict[str, DataFrame], layout: Layout, run_date: str) -> dic
     return per_table(lambda t: land_csv(sources[t], layout.raw, t, run_date), sources)
 
 
-def build_bronze(spark: SparkSession, layout: Layout, tables=TABLE_NAMES) -> dict[str, str]:
-    """Register the landed CSV as partitioned external tables and discover partitions."""
-    return {t: register_bronze_table(spark, layout.bronze_db, layout.raw, t) for t in tables}
+def build_bronze(spark: SparkSession, layout: Layout, tables=TABLE_NAMES, snapshot: str | None = None) -> dict[str, str]:
+    """Register the landed CSV as partitioned external tables and discover partitions.
+
+    With ``snapshot``, tables that already exist only get that day's partition.
+    """
+    return {t: register_bronze_table(spark, layout.bronze_db, layout.raw, t, snapshot=snapshot) for t in tables}
 
 
 def silver_frame(spark: SparkSession, layout: Layout, table: str, strict: bool = False,
@@ -173,7 +176,7 @@ def build_gold(spark: SparkSession, layout: Layout, silver: dict[str, DataFrame]
 def run_all(spark: SparkSession, sources: dict[str, DataFrame], layout: Layout, run_date: str) -> dict:
     """Extract → bronze → silver (parity-gated) → gold; returns counts and locations."""
     counts = extract(sources, layout, run_date)
-    build_bronze(spark, layout, tuple(sources))
+    build_bronze(spark, layout, tuple(sources), snapshot=run_date)
     silver_locs = build_silver(spark, layout, tuple(sources))
     gold_locs = build_gold(spark, layout, read_silver(spark, silver_locs))
     return {"extract_counts": counts, "silver": silver_locs, "gold": gold_locs}

@@ -48,19 +48,30 @@ def read_bronze(spark: SparkSession, base: str, table: str, strict: bool = False
             .csv(table_path(base, table)))
 
 
+def add_snapshot_partition(spark: SparkSession, table_name: str, base: str, table: str, dt: str) -> None:
+    """Register one landed snapshot without re-listing the others (the daily path)."""
+    spark.sql(f"ALTER TABLE {table_name} ADD IF NOT EXISTS PARTITION (dt='{dt}') "
+              f"LOCATION '{table_path(base, table)}/dt={dt}'")
+
+
 def _ddl_type(dt) -> str:
     return dt.simpleString().upper()
 
 
 def register_bronze_table(spark: SparkSession, database: str, base: str, table: str,
-                          recover_partitions: bool = True) -> str:
+                          recover_partitions: bool = True, snapshot: str | None = None) -> str:
     """External CSV table over the landed files, partitioned by ``dt``.
 
     ``DROP`` + ``CREATE`` replaces only the catalog entry; the files stay.
-    Partitions are registered with ``MSCK REPAIR TABLE``.
+    Partitions are registered with ``MSCK REPAIR TABLE`` (lists every ``dt``
+    folder).  With ``snapshot`` given and the table present, only that
+    snapshot's partition is added, so the daily cost does not grow with history.
     """
     s = spec(table)
     name = f"{database}.{table}"
+    if snapshot is not None and spark.catalog.tableExists(name):
+        add_snapshot_partition(spark, name, base, table, snapshot)
+        return name
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     cols = ", ".join(f"`{f.name}` {_ddl_type(f.dataType)}" for f in s.bronze_schema().fields)

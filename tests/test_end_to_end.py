@@ -49,8 +49,10 @@ def test_parity_gate_raises(spark, monkeypatch):
     import lakecart.plans.medallion as med
     layout = scratch_layout(spark, "parity")
     land_csv(raw_text(source_table(spark, SF_SMALL, "categories"), "categories"), layout.raw, "categories", "2024-01-01")
-    real = med.silver_frame
-    monkeypatch.setattr(med, "silver_frame", lambda s, l, t, strict=False: real(s, l, t, strict).limit(1))
+    real = med.silver_select
+    # A projection that silently drops rows must trip the gate.
+    monkeypatch.setattr(med, "silver_select",
+                        lambda b, t, strict=False: real(b, t, strict).where(F.col("category_id") % 2 == 0))
     import pytest
     with pytest.raises(ParityError):
         med.build_silver(spark, layout, ("categories",))

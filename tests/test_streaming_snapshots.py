@@ -34,3 +34,16 @@ def test_latest_snapshot_mode(spark):
     latest = build_silver(spark, layout, ("orders",), snapshot="latest")
     df = spark.read.parquet(latest["orders"])
     assert df.count() == 5 and {r.dt for r in df.select("dt").distinct().collect()} == {"2024-01-02"}
+
+
+def test_add_snapshot_partition(spark):
+    from lakecart.sources.bronze import register_bronze_table, snapshots
+    layout = scratch_layout(spark, "addpart")
+    src = raw_text(source_table(spark, SF_SMALL, "categories"), "categories")
+    land_csv(src, layout.raw, "categories", "2024-01-01")
+    name = register_bronze_table(spark, layout.bronze_db, layout.raw, "categories")
+    land_csv(src, layout.raw, "categories", "2024-01-02")
+    assert snapshots(spark, name) == ["2024-01-01"]
+    register_bronze_table(spark, layout.bronze_db, layout.raw, "categories", snapshot="2024-01-02")
+    assert snapshots(spark, name) == ["2024-01-01", "2024-01-02"]
+    assert spark.table(name).count() == 2 * src.count()
