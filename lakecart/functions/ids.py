@@ -7,6 +7,8 @@ partition, a bounded table) give each partition's starting offset, and one
 broadcast join of that small table yields the global number.  The tagged data
 is reliably checkpointed first so both uses see the same partition layout,
 and the numbered result is checkpointed so reuse does not repeat the work.
+Inputs whose size is checked to be small skip all that and are numbered in
+one task.
 """
 
 from __future__ import annotations
@@ -18,14 +20,23 @@ from pyspark.sql import functions as F
 _ROW_BITS = 33
 # Partition-offset tables up to this many rows are broadcast.
 MAX_OFFSET_ROWS = 1_000_000
+# Inputs proven (by a bounded count) to hold at most this many rows are
+# numbered in one task; anything larger takes the distributed path.
+SMALL_INPUT_ROWS = 50_000
 
 
-def dense_row_id(df: DataFrame, order_by: list[str | Column], id_col: str) -> DataFrame:
+def dense_row_id(df: DataFrame, order_by: list[str | Column], id_col: str,
+                 small_rows: int = SMALL_INPUT_ROWS) -> DataFrame:
     """Append ``id_col`` = 1-based position of each row in ``order_by`` order.
 
     Equal to ``row_number() OVER (ORDER BY order_by)``; rows tied on every
-    ``order_by`` column get consecutive ids in an unspecified order.
+    ``order_by`` column get consecutive ids in an unspecified order.  The
+    result is reliably checkpointed.
     """
+    if small_rows and df.limit(small_rows + 1).count() <= small_rows:
+        # Checked bound: a single-partition window over at most small_rows rows.
+        return df.withColumn(id_col, F.row_number().over(Window.orderBy(*order_by)).cast("bigint")) \
+                 .checkpoint(eager=True)
     tagged = df.orderBy(*order_by).withColumn("_mid", F.monotonically_increasing_id())
     tagged = tagged.checkpoint(eager=True)
     tagged = (tagged.withColumn("_part", F.shiftright("_mid", _ROW_BITS))

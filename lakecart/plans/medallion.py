@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakecart.operators.gold import MART_SORT_KEYS, build_marts, top_products_exact
-from lakecart.operators.silver import silver_select
+from lakecart.functions.clean import cast_lost
+from lakecart.operators.silver import silver_column, silver_select
 from lakecart.schemas import GOLD_TABLES, TABLE_NAMES, spec
 from lakecart.session import scratch_dir
 from lakecart.sinks.files import land_csv, write_table
@@ -133,8 +134,13 @@ def parity_frame(frames: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
 
 
 def build_silver(spark: SparkSession, layout: Layout, tables=TABLE_NAMES, strict: bool = False,
-                 verify: bool = True, snapshot: str = "all") -> dict[str, str]:
-    """Rebuild silver Parquet for ``tables``; raise ParityError on any row-count mismatch."""
+                 verify: bool = True, snapshot: str = "all", metrics: dict | None = None) -> dict[str, str]:
+    """Rebuild silver Parquet for ``tables``; raise ParityError on any row-count mismatch.
+
+    ``metrics`` (if given) receives, per table, the bronze row count and the
+    number of non-blank time values the cast turned into NULL
+    (``cast_loss(column)``), observed in the same pass that writes silver.
+    """
     observed: dict[str, Observation] = {}
 
     def build(t: str) -> str:
@@ -146,10 +152,14 @@ def build_silver(spark: SparkSession, layout: Layout, tables=TABLE_NAMES, strict
             bronze = bronze.where(F.col("dt") == F.lit(latest_snapshot(spark, f"{layout.bronze_db}.{t}")))
         elif snapshot != "all":
             raise ValueError(f"unknown snapshot mode {snapshot}")
-        bronze = bronze.observe(observed[t], F.count(F.lit(1)).alias("rows"))
+        losses = [F.count_if(cast_lost(c, silver_column(c, k))).alias(f"cast_loss({c})")
+                  for c, k in spec(t).columns if k in ("ts", "date")]
+        bronze = bronze.observe(observed[t], F.count(F.lit(1)).alias("rows"), *losses)
         return write_table(spark, silver_select(bronze, t, strict=strict), layout.silver_db, t, layout.silver_root)
 
     locations = per_table(build, tables)
+    if metrics is not None:
+        metrics.update({t: dict(observed[t].get) for t in tables})
     if verify:
         silver_rows = {r.table_name: r.row_count for r in table_row_counts(spark, locations).collect()}
         bad = [t for t in tables if int(observed[t].get.get("rows", 0) or 0) != silver_rows.get(t)]
@@ -177,9 +187,10 @@ def run_all(spark: SparkSession, sources: dict[str, DataFrame], layout: Layout,
     """Extract → bronze → silver (parity-gated) → gold; returns counts and locations."""
     counts = extract(sources, layout, run_date)
     build_bronze(spark, layout, tuple(sources), snapshot=run_date)
-    silver_locs = build_silver(spark, layout, tuple(sources))
+    metrics: dict = {}
+    silver_locs = build_silver(spark, layout, tuple(sources), metrics=metrics)
     gold_locs = build_gold(spark, layout, read_silver(spark, silver_locs))
-    return {"extract_counts": counts, "silver": silver_locs, "gold": gold_locs}
+    return {"extract_counts": counts, "silver": silver_locs, "gold": gold_locs, "silver_metrics": metrics}
 
 
 def table_row_counts(spark: SparkSession, locations: dict[str, str]) -> DataFrame:

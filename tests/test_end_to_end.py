@@ -21,6 +21,9 @@ def test_full_build_twice(spark):
     first = run_all(spark, sources(spark), layout, "2024-01-01")
     second = run_all(spark, sources(spark), layout, "2024-01-01")  # same day: replaced, not doubled
     assert first["extract_counts"] == second["extract_counts"]
+    m = second["silver_metrics"]
+    assert m["orders"]["rows"] == first["extract_counts"]["orders"]
+    assert m["orders"]["cast_loss(order_date)"] == 0 and m["payments"]["cast_loss(processed_at)"] == 0
     assert set(second["gold"]) == set(GOLD_TABLES)
     parity = row_parity(spark, layout, second["silver"]).collect()
     assert all(r.status == "OK" for r in parity)

@@ -73,9 +73,11 @@ def test_enforce_raises(spark):
 def test_dense_row_id_matches_row_number(spark):
     from pyspark.sql import Window, functions as F
     df = spark.range(0, 5000, numPartitions=7).select((F.col("id") * 7919 % 5003).alias("k"), F.col("id").alias("v"))
-    ours = dense_row_id(df, ["k", "v"], "rid").select("k", "v", "rid")
-    ref = df.withColumn("rid", F.row_number().over(Window.orderBy("k", "v")))
-    assert sorted(map(tuple, ours.collect())) == sorted(map(tuple, ref.collect()))
+    ref = sorted(map(tuple, df.withColumn("rid", F.row_number().over(Window.orderBy("k", "v"))).collect()))
+    distributed = dense_row_id(df, ["k", "v"], "rid", small_rows=100).select("k", "v", "rid")
+    small = dense_row_id(df, ["k", "v"], "rid").select("k", "v", "rid")
+    assert sorted(map(tuple, distributed.collect())) == ref
+    assert sorted(map(tuple, small.collect())) == ref
 
 
 def test_remap_and_missing_key(spark):
