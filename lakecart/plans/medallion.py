@@ -7,7 +7,6 @@ and fails loudly: a silver row-count mismatch against bronze raises.
 from __future__ import annotations
 
 import uuid
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -17,6 +16,7 @@ from lakecart.operators.gold import MART_SORT_KEYS, build_marts, top_products_ex
 from lakecart.functions.clean import cast_lost
 from lakecart.operators.silver import silver_column, silver_select
 from lakecart.schemas import GOLD_TABLES, TABLE_NAMES, spec
+from lakecart.jobs import per_table
 from lakecart.session import scratch_dir
 from lakecart.sinks.files import land_csv, write_table
 from lakecart.sources.bronze import latest_snapshot, read_bronze, register_bronze_table
@@ -57,26 +57,6 @@ class ParityError(RuntimeError):
     pass
 
 
-# Tables of one layer are independent jobs; submit a few at once so small
-# tables share the cluster instead of queueing behind each other.
-TABLE_PARALLELISM = 4
-
-
-def per_table(fn, items, parallelism: int | None = None) -> dict:
-    """Run ``fn(item)`` for each item as concurrent Spark jobs; re-raise the first failure."""
-    items = list(items)
-    if parallelism is None:
-        from pyspark.sql import SparkSession as _S
-        active = _S.getActiveSession()
-        conf = active.conf.get("lakecart.tableParallelism", None) if active else None
-        parallelism = int(conf) if conf else TABLE_PARALLELISM
-    if parallelism <= 1 or len(items) <= 1:
-        return {k: fn(k) for k in items}
-    with ThreadPoolExecutor(max_workers=min(parallelism, len(items))) as pool:
-        futures = {k: pool.submit(fn, k) for k in items}
-        return {k: f.result() for k, f in futures.items()}
-
-
 def extract(sources: dict[str, DataFrame], layout: Layout, run_date: str) -> dict[str, int]:
     """Land each source table as the ``dt=run_date`` snapshot; returns observed row counts."""
     for table in sources:

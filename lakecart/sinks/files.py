@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakecart.functions.clean import whitespace_all
+from lakecart.jobs import per_table
 from lakecart.sources.bronze import read_bronze, table_path
 
 CSV_WRITE_OPTIONS = {
@@ -81,16 +82,16 @@ def write_table(spark: SparkSession, df: DataFrame, database: str, name: str, ro
 
 def dump_csv(frames: dict[str, DataFrame], out_dir: str) -> dict[str, int]:
     """One flat CSV directory per non-empty table; empty tables are skipped."""
-    written = {}
-    for name, df in frames.items():
+    def dump(name: str) -> int | None:
+        df = frames[name]
         if df.isEmpty():  # stops at the first row found
-            continue
+            return None
         obs = Observation(f"dump_{name}_{uuid.uuid4().hex[:8]}")
-        path = f"{out_dir.rstrip('/')}/{name}"
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
-          .options(**CSV_WRITE_OPTIONS).csv(path)
-        written[name] = int(obs.get.get("rows", 0) or 0)
-    return written
+          .options(**CSV_WRITE_OPTIONS).csv(f"{out_dir.rstrip('/')}/{name}")
+        return int(obs.get.get("rows", 0) or 0)
+
+    return {name: n for name, n in per_table(dump, frames).items() if n is not None}
 
 
 def clean_raw_csv(spark: SparkSession, raw_root: str, clean_root: str, tables) -> dict[str, int]:
@@ -99,8 +100,7 @@ def clean_raw_csv(spark: SparkSession, raw_root: str, clean_root: str, tables) -
     Reads all columns as text, keeps the ``dt`` layout, writes under
     ``clean_root`` (raw files are never rewritten in place).  Returns rows per table.
     """
-    counts = {}
-    for t in tables:
+    def clean(t: str) -> int:
         raw = read_bronze(spark, raw_root, t, as_text=True)
         cleaned = raw.select(*[whitespace_all(c).alias(c) for c in raw.columns if c != "dt"], "dt")
         obs = Observation(f"clean_{t}_{uuid.uuid4().hex[:8]}")
@@ -108,5 +108,6 @@ def clean_raw_csv(spark: SparkSession, raw_root: str, clean_root: str, tables) -
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
             .options(**CSV_WRITE_OPTIONS).partitionBy("dt").csv(table_path(clean_root, t)))
-        counts[t] = int(obs.get.get("rows", 0) or 0)
-    return counts
+        return int(obs.get.get("rows", 0) or 0)
+
+    return per_table(clean, tables)
