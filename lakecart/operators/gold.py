@@ -103,9 +103,11 @@ def _product_base(products: DataFrame, categories: DataFrame, order_items: DataF
     cats = categories.select("category_id", F.col("name").alias("category_name"))
     p = products.select("product_id", "category_id", F.col("name").alias("product_name"), "sku",
                         F.col("price").alias("unit_price"))
-    joined = (p.join(items, "product_id", "left")
-               .join(revs, "product_id", "left")
-               .join(cats, "category_id", "left"))
+    # Category lookup first: the product_id joins then leave rows partitioned
+    # by product_id, which the final grouping reuses without another shuffle.
+    joined = (p.join(cats, "category_id", "left")
+               .join(items, "product_id", "left")
+               .join(revs, "product_id", "left"))
     keys = ["product_id", "product_name", "sku", "category_name", "unit_price"]
     return joined.groupBy(*keys).agg(
         _one().alias("_w"),
