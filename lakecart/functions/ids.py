@@ -37,7 +37,10 @@ def dense_row_id(df: DataFrame, order_by: list[str | Column], id_col: str,
         # Checked bound: a single-partition window over at most small_rows rows.
         return df.withColumn(id_col, F.row_number().over(Window.orderBy(*order_by)).cast("bigint")) \
                  .checkpoint(eager=True)
-    tagged = df.orderBy(*order_by).withColumn("_mid", F.monotonically_increasing_id())
+    # The input position breaks ties, so rows equal on every key (say a third
+    # of the table) can still be split across range partitions.
+    ordered = df.withColumn("_tie", F.monotonically_increasing_id()).orderBy(*order_by, "_tie").drop("_tie")
+    tagged = ordered.withColumn("_mid", F.monotonically_increasing_id())
     tagged = tagged.checkpoint(eager=True)
     tagged = (tagged.withColumn("_part", F.shiftright("_mid", _ROW_BITS))
                     .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))))

@@ -90,3 +90,20 @@ def test_remap_and_missing_key(spark):
     bad = spark.createDataFrame([(1, 4)], "order_id bigint, user_id bigint")
     with pytest.raises(MissingKeyError):
         remap_column(bad, "user_id", km)
+
+
+def test_dense_row_id_splits_a_hot_tie(spark):
+    """A third of the rows share one key: they must not all land in one range partition."""
+    from pyspark.sql import functions as F
+    df = spark.range(0, 3000, numPartitions=6).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"))
+    # Tiny data: stop AQE from merging the range partitions so the split is visible.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = dense_row_id(df, ["k"], "rid", small_rows=0)
+        ids = sorted(r.rid for r in out.collect())
+        per_part = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert ids == list(range(1, 3001))
+    assert max(r["count"] for r in per_part) < 1000
