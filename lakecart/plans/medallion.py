@@ -18,7 +18,7 @@ from lakecart.operators.silver import silver_column, silver_select
 from lakecart.schemas import GOLD_TABLES, TABLE_NAMES, spec
 from lakecart.jobs import per_table
 from lakecart.session import scratch_dir
-from lakecart.sinks.files import land_csv, write_table
+from lakecart.sinks.files import current_location, land_csv, write_table
 from lakecart.sources.bronze import latest_snapshot, read_bronze, register_bronze_table
 
 
@@ -152,6 +152,12 @@ def read_silver(spark: SparkSession, locations: dict[str, str]) -> dict[str, Dat
     return {t: spark.read.parquet(loc) for t, loc in locations.items()}
 
 
+def current_tables(spark: SparkSession, root: str, names) -> dict[str, str]:
+    """Newest committed location of each named table under ``root`` (missing ones left out)."""
+    found = {n: current_location(spark, root, n) for n in names}
+    return {n: loc for n, loc in found.items() if loc}
+
+
 def build_gold(spark: SparkSession, layout: Layout, silver: dict[str, DataFrame],
                with_exact: bool = False) -> dict[str, str]:
     """Write the six marts (and optionally ``top_products_exact``) as Parquet tables."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -70,7 +71,8 @@ def write_table(spark: SparkSession, df: DataFrame, database: str, name: str, ro
     table it replaces; readers see the old or the new version, never a
     half-cleared one.  Returns the new location.
     """
-    location = f"{root.rstrip('/')}/{name}/v-{uuid.uuid4().hex[:12]}"
+    # Version folders sort by creation time; readers take the newest committed one.
+    location = f"{root.rstrip('/')}/{name}/v-{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
     writer_df = df.sortWithinPartitions(*sort_within) if sort_within else df
     writer_df.write.mode("overwrite").parquet(location)
     full = f"{database}.{name}"
@@ -111,3 +113,21 @@ def clean_raw_csv(spark: SparkSession, raw_root: str, clean_root: str, tables) -
         return int(obs.get.get("rows", 0) or 0)
 
     return per_table(clean, tables)
+
+
+def current_location(spark: SparkSession, root: str, name: str) -> str | None:
+    """Newest committed version folder of a layer table (one with ``_SUCCESS``), by listing.
+
+    Lets a new process find tables without a persistent metastore.
+    """
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{name}")
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(base):
+        return None
+    versions = sorted((st.getPath().getName() for st in fs.listStatus(base)
+                       if st.isDirectory() and st.getPath().getName().startswith("v-")), reverse=True)
+    for v in versions:
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{name}/{v}/_SUCCESS")):
+            return f"{root.rstrip('/')}/{name}/{v}"
+    return None
