@@ -78,7 +78,8 @@ def write_table(spark: SparkSession, df: DataFrame, database: str, name: str, ro
     full = f"{database}.{name}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     spark.sql(f"DROP TABLE IF EXISTS {full}")
-    spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{location}'")
+    # The schema is known: registering with it skips inference from the files.
+    spark.catalog.createTable(full, path=location, source="parquet", schema=writer_df.schema)
     return location
 
 
