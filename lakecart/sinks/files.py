@@ -77,12 +77,21 @@ def write_table(spark: SparkSession, df: DataFrame, database: str, name: str, ro
     writer_df.write.mode("overwrite").parquet(location)
     full = f"{database}.{name}"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    spark.sql(f"DROP TABLE IF EXISTS {full}")
-    # The schema is known: registering with it skips inference from the files.
-    spark.catalog.createTable(full, path=location, source="parquet", schema=writer_df.schema)
+    if spark.catalog.tableExists(full) and _same_columns(spark.table(full).schema, writer_df.schema):
+        # One catalog change: readers resolve the old location or the new one.
+        spark.sql(f"ALTER TABLE {full} SET LOCATION '{location}'")
+        spark.sql(f"REFRESH TABLE {full}")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {full}")
+        # The schema is known: registering with it skips inference from the files.
+        spark.catalog.createTable(full, path=location, source="parquet", schema=writer_df.schema)
     return location
 
 
+def _same_columns(a, b) -> bool:
+    return [(f.name, f.dataType) for f in a.fields] == [(f.name, f.dataType) for f in b.fields]
+
+
 def dump_csv(frames: dict[str, DataFrame], out_dir: str) -> dict[str, int]:
     """One flat CSV directory per non-empty table; empty tables are skipped."""
     def dump(name: str) -> int | None:
