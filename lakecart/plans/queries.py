@@ -8,6 +8,7 @@ checkpoint directory and return a frame over what they wrote.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from functools import reduce
 
@@ -126,6 +127,7 @@ for _t in TABLE_NAMES:
 
 # ------------------------------------------------ one full medallion build
 _BUILDS: dict[tuple, dict] = {}
+_BUILD_LOCK = threading.Lock()
 
 
 def built_lakehouse(spark: SparkSession, sf_dir: str) -> dict:
@@ -136,12 +138,13 @@ def built_lakehouse(spark: SparkSession, sf_dir: str) -> dict:
     """
     prepare(spark)
     key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
-    if key not in _BUILDS:
-        layout = scratch_layout(spark, "lakehouse")
-        sources = {t: raw_text(source_table(spark, sf_dir, t, with_ids=True), t) for t in TABLE_NAMES}
-        result = run_all(spark, sources, layout, SNAPSHOT_DT)
-        _BUILDS[key] = {"layout": layout, **result}
-    return _BUILDS[key]
+    with _BUILD_LOCK:  # callers in several threads share one build
+        if key not in _BUILDS:
+            layout = scratch_layout(spark, "lakehouse")
+            sources = {t: raw_text(source_table(spark, sf_dir, t, with_ids=True), t) for t in TABLE_NAMES}
+            result = run_all(spark, sources, layout, SNAPSHOT_DT)
+            _BUILDS[key] = {"layout": layout, **result}
+        return _BUILDS[key]
 
 
 def _gold(spark, sf_dir, mart):

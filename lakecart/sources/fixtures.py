@@ -17,6 +17,8 @@ come from ``dense_row_id`` and are checkpointed once per session.
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,7 @@ EPOCH_TS = "2020-01-01 00:00:00"
 LINE_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
 
 _ID_CACHE: dict[tuple, DataFrame] = {}
+_CACHE_LOCK = threading.RLock()
 
 
 def read_input(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,9 +43,10 @@ def read_input(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _cached(spark: SparkSession, sf_dir: str, key: str, build) -> DataFrame:
     cache_key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), key)
-    if cache_key not in _ID_CACHE:
-        _ID_CACHE[cache_key] = build()
-    return _ID_CACHE[cache_key]
+    with _CACHE_LOCK:  # re-entrant: a build may read other cached inputs
+        if cache_key not in _ID_CACHE:
+            _ID_CACHE[cache_key] = build()
+        return _ID_CACHE[cache_key]
 
 
 def _epoch() -> Column:

@@ -50,3 +50,16 @@ def test_payment_shares_sum_to_100(spark, pairs):
                                                                  F.count("*").alias("k")).collect()
     for r in res:
         assert abs(r.p - 100.0) <= 0.01 * r.k + 1e-9
+
+
+def test_day_revenues_add_up_to_filtered_total(spark):
+    from lakecart.operators.gold import daily_sales
+    from lakecart.schemas import SALE_STATUSES
+    from lakecart.sources.fixtures import fixture_silver
+    from conftest import SF_SMALL
+    orders = fixture_silver(spark, SF_SMALL, "orders")
+    by_day = daily_sales(orders).agg(F.sum(F.col("total_revenue").cast("decimal(18,2)")).alias("s"),
+                                     F.sum("total_orders").alias("n")).first()
+    whole = orders.where(F.col("status").isin(*SALE_STATUSES)).agg(
+        F.sum(F.col("total_amount").cast("decimal(18,2)")).alias("s"), F.countDistinct("order_id").alias("n")).first()
+    assert by_day.s == whole.s and by_day.n == whole.n
