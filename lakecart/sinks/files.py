@@ -26,14 +26,20 @@ CSV_WRITE_OPTIONS = {
 MAX_RECORDS_PER_FILE = 2_000_000
 
 
+# An extract arriving in fewer partitions than this is spread before landing.
+SPREAD_FILES = 64
+
+
 def spread(df: DataFrame, min_files: int | None = None) -> DataFrame:
     """Round-robin an under-partitioned frame into ``min_files`` partitions.
 
     multiLine CSV is read one file per task, so the file count written now is
-    the read parallelism later.  Frames that already have enough partitions
-    (a partitioned JDBC extract, a large scan) are left alone: no shuffle.
+    the read parallelism later.  The target is small on purpose: large
+    extracts are already bounded per file by MAX_RECORDS_PER_FILE, and a frame
+    that has enough partitions (a partitioned JDBC extract, a large scan) is
+    left alone, so no shuffle is added where it would cost.
     """
-    target = min_files or df.sparkSession.sparkContext.defaultParallelism
+    target = min_files or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_FILES)
     return df.repartition(target) if df.rdd.getNumPartitions() < target else df
 
 
