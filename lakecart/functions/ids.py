@@ -33,7 +33,9 @@ def dense_row_id(df: DataFrame, order_by: list[str | Column], id_col: str,
     ``order_by`` column get consecutive ids in an unspecified order.  The
     result is reliably checkpointed.
     """
-    if small_rows and df.limit(small_rows + 1).count() <= small_rows:
+    # Bounded probe: an incremental collect scans partitions only until it has
+    # small_rows + 1 one-field rows (a count over a limit would start every task).
+    if small_rows and len(df.select(F.lit(1).alias("o")).limit(small_rows + 1).collect()) <= small_rows:
         # Checked bound: a single-partition window over at most small_rows rows.
         return df.withColumn(id_col, F.row_number().over(Window.orderBy(*order_by)).cast("bigint")) \
                  .checkpoint(eager=True)
