@@ -99,7 +99,9 @@ def check_referential(silver: dict[str, DataFrame]) -> DataFrame:
                 continue
             keys = (df.where(F.col(fk.column).isNotNull())
                       .groupBy(F.col(fk.column).alias("_k")).agg(F.count(F.lit(1)).alias("_n")))
-            parents = silver[fk.parent].select(F.col(fk.parent_column).alias("_k"))
+            # Distinct parent keys: partial aggregation removes repeats (snapshots) map-side,
+            # and its hash partitioning on the key is the one the anti join needs.
+            parents = silver[fk.parent].select(F.col(fk.parent_column).alias("_k")).distinct()
             orphans = keys.join(parents, "_k", "left_anti")
             frames.append(orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("violations"))
                           .select(F.lit(t).alias("table_name"),
