@@ -11,6 +11,8 @@ executor loss safe (files are never processed twice).
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
@@ -29,7 +31,9 @@ def silver_stream(spark: SparkSession, raw_root: str, table: str, out_path: str,
               .option("pathGlobFilter", "*.csv")
               .option("maxFilesPerTrigger", max_files_per_trigger)
               .csv(table_path(raw_root, table)))
-    checkpoint = checkpoint_location or f"{ensure_checkpoint_dir(spark).rstrip('/')}/silver-stream-{table}"
+    # One file log per output: two lakehouses streaming the same table must not share it.
+    out_key = hashlib.sha1(out_path.encode()).hexdigest()[:12]
+    checkpoint = checkpoint_location or f"{_shared_root(spark)}/silver-stream-{table}-{out_key}"
     return (silver_select(source, table).writeStream
             .format("parquet")
             .option("path", out_path)
@@ -40,6 +44,10 @@ def silver_stream(spark: SparkSession, raw_root: str, table: str, out_path: str,
             .start())
 
 
+def _shared_root(spark: SparkSession) -> str:
+    return (spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)).rstrip("/")
+
+
 def run_incremental(spark: SparkSession, raw_root: str, table: str, out_path: str,
                     checkpoint_location: str | None = None) -> None:
     """Process every snapshot landed since the last run, then return."""

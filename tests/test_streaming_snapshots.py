@@ -47,3 +47,12 @@ def test_add_snapshot_partition(spark):
     register_bronze_table(spark, layout.bronze_db, layout.raw, "categories", snapshot="2024-01-02")
     assert snapshots(spark, name) == ["2024-01-01", "2024-01-02"]
     assert spark.table(name).count() == 2 * src.count()
+
+
+def test_default_stream_checkpoints_are_per_output(spark, workdir):
+    layout = scratch_layout(spark, "stream2")
+    src = raw_text(source_table(spark, SF_SMALL, "categories"), "categories")
+    n = land_csv(src, layout.raw, "categories", "2024-01-01")
+    for out in (f"{workdir}/a", f"{workdir}/b"):  # same table, two outputs, default checkpoints
+        run_incremental(spark, layout.raw, "categories", out)
+        assert spark.read.parquet(out).count() == n
