@@ -72,9 +72,9 @@ def build_bronze(spark: SparkSession, layout: Layout, tables=TABLE_NAMES, snapsh
     return {t: register_bronze_table(spark, layout.bronze_db, layout.raw, t, snapshot=snapshot) for t in tables}
 
 
-def silver_frame(spark: SparkSession, layout: Layout, table: str, strict: bool = False,
+def bronze_frame(spark: SparkSession, layout: Layout, table: str, strict: bool = False,
                  snapshot: str = "all") -> DataFrame:
-    """Silver projection of a bronze table.
+    """A bronze table's rows for silver.
 
     ``snapshot="all"`` reads every landed ``dt`` (the warehouse behaviour:
     repeated full extracts pile up); ``"latest"`` keeps only the newest
@@ -82,11 +82,16 @@ def silver_frame(spark: SparkSession, layout: Layout, table: str, strict: bool =
     """
     bronze = read_bronze(spark, layout.raw, table, strict=strict)
     if snapshot == "latest":
-        latest = latest_snapshot(spark, f"{layout.bronze_db}.{table}")
-        bronze = bronze.where(F.col("dt") == F.lit(latest))
-    elif snapshot != "all":
+        return bronze.where(F.col("dt") == F.lit(latest_snapshot(spark, f"{layout.bronze_db}.{table}")))
+    if snapshot != "all":
         raise ValueError(f"unknown snapshot mode {snapshot}")
-    return silver_select(bronze, table, strict=strict)
+    return bronze
+
+
+def silver_frame(spark: SparkSession, layout: Layout, table: str, strict: bool = False,
+                 snapshot: str = "all") -> DataFrame:
+    """Silver projection of a bronze table (see ``bronze_frame`` for ``snapshot``)."""
+    return silver_select(bronze_frame(spark, layout, table, strict, snapshot), table, strict=strict)
 
 
 def row_parity(spark: SparkSession, layout: Layout, silver_locations: dict[str, str]) -> DataFrame:
@@ -127,11 +132,7 @@ def build_silver(spark: SparkSession, layout: Layout, tables=TABLE_NAMES, strict
         # Bronze rows are counted while silver reads them (no second CSV parse);
         # silver rows are counted from the written files.
         observed[t] = Observation(f"bronze_{t}_{uuid.uuid4().hex[:8]}")
-        bronze = read_bronze(spark, layout.raw, t, strict=strict)
-        if snapshot == "latest":
-            bronze = bronze.where(F.col("dt") == F.lit(latest_snapshot(spark, f"{layout.bronze_db}.{t}")))
-        elif snapshot != "all":
-            raise ValueError(f"unknown snapshot mode {snapshot}")
+        bronze = bronze_frame(spark, layout, t, strict, snapshot)
         losses = [F.count_if(cast_lost(c, silver_column(c, k))).alias(f"cast_loss({c})")
                   for c, k in spec(t).columns if k in ("ts", "date")]
         bronze = bronze.observe(observed[t], F.count(F.lit(1)).alias("rows"), *losses)
