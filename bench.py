@@ -52,7 +52,7 @@ def main() -> None:
         app_name="lakecart-bench",
         **{
             "spark.driver.memory": "16g",
-            "spark.sql.shuffle.partitions": str(max(8, 2 * int(cpus))),
+            "spark.sql.shuffle.partitions": cpus,  # about one per core locally; AQE coalesces
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
             "lakecart.tableParallelism": "8",
         },
