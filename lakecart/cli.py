@@ -8,6 +8,7 @@
     python -m lakecart.cli check   --root R [--fail]
     python -m lakecart.cli report  NAME --root R               # daily_revenue, top_customers, ...
     python -m lakecart.cli load    --root R --jdbc-url URL --mode append|truncate|fresh ...
+    python -m lakecart.cli build   --root R [--run-date D]     # bronze, silver, gold, check in one run
 
 Each step finds the previous step's output under ``--root`` (newest committed
 version of each table), so no persistent metastore is needed.
@@ -90,6 +91,14 @@ def cmd_check(spark, args):
         enforce(report)
 
 
+def cmd_build(spark, args):
+    """Bronze → silver (parity-gated) → gold → quality report, in one run over landed raw data."""
+    cmd_bronze(spark, args)
+    cmd_silver(spark, args)
+    cmd_gold(spark, args)
+    cmd_check(spark, args)
+
+
 REPORTS = {
     "daily_revenue": ("gold", "daily_sales"),
     "top_customers": ("gold", "customer_lifetime_value"),
@@ -150,6 +159,12 @@ def parser() -> argparse.ArgumentParser:
     r = add("report", cmd_report)
     r.add_argument("name", choices=sorted(REPORTS))
     add("load", cmd_load, jdbc=True).add_argument("--mode", choices=["append", "truncate", "fresh"], default="append")
+    b = add("build", cmd_build)
+    b.add_argument("--run-date")
+    b.add_argument("--strict", action="store_true")
+    b.add_argument("--snapshot", choices=["all", "latest"], default="all")
+    b.add_argument("--exact", action="store_true")
+    b.add_argument("--fail", action="store_true")
     return p
 
 

@@ -25,3 +25,11 @@ def test_steps_chain_through_the_filesystem(spark, capsys):
     cli.main(["report", "daily_revenue", "--root", root], spark=spark)
     out = capsys.readouterr().out
     assert "sale_date" in out and "unique(user_id)" in out
+
+
+def test_build_runs_all_layers(spark, capsys):
+    layout = scratch_layout(spark, "cli_build")
+    extract({t: raw_text(source_table(spark, SF_SMALL, t), t) for t in TABLE_NAMES}, layout, "2024-01-01")
+    cli.main(["build", "--root", layout.root, "--run-date", "2024-01-01"], spark=spark)
+    assert current_location(spark, layout.gold_root, "shipping_performance")
+    assert "fk(order_id->orders.order_id)" in capsys.readouterr().out
