@@ -143,3 +143,37 @@ def test_reports_top_k_tie_break(spark):
     top = [r.user_id for r in reports.top_customers(clv).collect()]
     assert top == [0, 1, 2, 3, 4]
     assert reports.top_customers(clv).first().full_name == "F L"
+
+
+def test_hot_product_a_third_of_all_rows(spark):
+    """One product holds a third of the items and reviews: results stay exact and items are
+    partially aggregated before their first shuffle (a hot key costs one row per task there)."""
+    items = spark.range(0, 3000).select(
+        F.col("id").alias("order_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 50 + 2).alias("product_id"),
+        (F.col("id") % 4 + 1).cast("int").alias("quantity"),
+        ((F.col("id") % 7 + 1) * 1.25).alias("total_price"))
+    reviews = spark.range(0, 300).select(
+        F.col("id").alias("review_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(1)).otherwise(F.col("id") % 50 + 2).alias("product_id"),
+        (F.col("id") % 5 + 1).cast("int").alias("rating"))
+    products = spark.range(1, 53).select(F.col("id").alias("product_id"), F.lit(1).cast("bigint").alias("category_id"),
+                                         F.concat(F.lit("P"), F.col("id")).alias("name"), F.lit("S").alias("sku"),
+                                         F.lit(2.5).alias("price"))
+    cats = spark.createDataFrame([(1, "C")], "category_id bigint, name string")
+    fast = gold.top_products(products, cats, items, reviews)
+    j = (products.alias("p").join(cats.alias("c"), "category_id", "left")
+         .join(items.alias("oi"), F.col("p.product_id") == F.col("oi.product_id"), "left")
+         .join(reviews.alias("pr"), F.col("p.product_id") == F.col("pr.product_id"), "left"))
+    slow = j.groupBy(F.col("p.product_id")).agg(
+        F.sum("oi.quantity").alias("u"), F.count_distinct("oi.order_id").alias("o"),
+        F.sum(F.col("oi.total_price").cast("decimal(18,2)")).cast("double").alias("rev"),
+        F.avg("pr.rating").alias("a"), F.count_distinct("pr.review_id").alias("n"))
+    got = sorted((r.product_id, r.total_units_sold, r.total_orders, r.total_revenue, r.avg_rating, r.total_reviews)
+                 for r in fast.collect())
+    want = sorted(tuple(r) for r in slow.collect())
+    assert got == want
+    hot = [g for g in got if g[0] == 1][0]
+    assert hot[2] == 1000 and hot[5] == 100
+    plan = spark._jvm.PythonSQLUtils.explainString(fast._jdf.queryExecution(), "simple")
+    assert "partial_sum(quantity" in plan and "partial_count(distinct order_id" in plan
