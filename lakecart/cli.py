@@ -135,8 +135,20 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="lakecart")
     sub = p.add_subparsers(dest="cmd", required=True)
 
+    helps = {
+        "extract": "read source tables over JDBC and land them as the run date's raw CSV snapshot",
+        "bronze": "register landed CSV as partitioned bronze tables and print their row counts",
+        "clean-raw": "rewrite raw CSV with whitespace runs collapsed, into <root>/raw_clean",
+        "silver": "cast and clean bronze into silver Parquet, gated on bronze/silver row parity",
+        "gold": "build the six gold marts from the newest silver tables",
+        "check": "run the data-quality checks over silver and print the report",
+        "report": "print one report query",
+        "load": "load silver tables into a relational target over JDBC",
+        "build": "bronze, silver, gold and checks in one run",
+    }
+
     def add(name, fn, jdbc=False):
-        sp = sub.add_parser(name)
+        sp = sub.add_parser(name, help=helps[name])
         sp.add_argument("--root", required=True, help="lakehouse root (raw/, silver/, gold/ below it)")
         sp.add_argument("--tables", nargs="*", help="subset of the ten source tables")
         if jdbc:
