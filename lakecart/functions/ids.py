@@ -22,7 +22,7 @@ _ROW_BITS = 33
 MAX_OFFSET_ROWS = 1_000_000
 # Inputs proven (by a bounded count) to hold at most this many rows are
 # numbered in one task; anything larger takes the distributed path.
-SMALL_INPUT_ROWS = 50_000
+SMALL_INPUT_ROWS = 10_000
 
 
 def dense_row_id(df: DataFrame, order_by: list[str | Column], id_col: str,
