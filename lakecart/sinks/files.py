@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lakecart.functions.clean import whitespace_all
 from lakecart.jobs import per_table
+from lakecart.schemas import spec
 from lakecart.sources.bronze import read_bronze, table_path
 
 CSV_WRITE_OPTIONS = {
@@ -23,7 +24,14 @@ CSV_WRITE_OPTIONS = {
     "encoding": "UTF-8",
 }
 # multiLine CSV cannot be split on read, so cap file size at write time.
+# Spark caps files by records, not bytes: tables with free-text columns (rows
+# up to a few hundred KB) get a much smaller record cap than narrow tables.
 MAX_RECORDS_PER_FILE = 2_000_000
+MAX_RECORDS_PER_FILE_TEXT = 20_000
+
+
+def records_per_file(table: str) -> int:
+    return MAX_RECORDS_PER_FILE_TEXT if any(k == "text" for _, k in spec(table).columns) else MAX_RECORDS_PER_FILE
 
 
 # An extract arriving in fewer partitions than this is spread before landing.
@@ -57,7 +65,7 @@ def land_csv(df: DataFrame, base: str, table: str, dt: str, overwrite: bool = Tr
     (observed.withColumn("dt", F.lit(dt))
         .write.mode("overwrite" if overwrite else "append")
         .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+        .option("maxRecordsPerFile", records_per_file(table))
         .options(**CSV_WRITE_OPTIONS)
         .partitionBy("dt")
         .csv(table_path(base, table)))
@@ -124,7 +132,7 @@ def clean_raw_csv(spark: SparkSession, raw_root: str, clean_root: str, tables) -
         obs = Observation(f"clean_{t}_{uuid.uuid4().hex[:8]}")
         (cleaned.observe(obs, F.count(F.lit(1)).alias("rows"))
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+            .option("maxRecordsPerFile", records_per_file(t))
             .options(**CSV_WRITE_OPTIONS).partitionBy("dt").csv(table_path(clean_root, t)))
         return int(obs.get.get("rows", 0) or 0)
 

@@ -35,7 +35,7 @@ NOTES = {
                          "join, so a hot key costs one row.",
     "report_best_sellers": "Top-k over the stored mart: TakeOrderedAndProject keeps k rows per task.",
     "silver_orders": "A projection of the bronze scan written straight to Parquet: no shuffle; one task per landed "
-                     "CSV file (files are capped at 2M records at extract).",
+                     "CSV file (files are capped per table at extract: 2M records, 20,000 for free-text tables).",
 }
 
 
