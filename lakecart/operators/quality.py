@@ -54,19 +54,12 @@ def duplicate_values(df: DataFrame, col: str) -> DataFrame:
     return df.groupBy(col).count().where(F.col("count") > 1)
 
 
-def check_not_null(silver: dict[str, DataFrame]) -> DataFrame:
-    frames = [_counts(df, t, [(f"not_null({c})", F.col(c).isNull()) for c in TABLES[t].not_null])
-              for t, df in silver.items()]
-    return _union(frames)
+def not_null_rules(table: str) -> list[tuple[str, Column]]:
+    return [(f"not_null({c})", F.col(c).isNull()) for c in TABLES[table].not_null]
 
 
-def check_accepted_values(silver: dict[str, DataFrame]) -> DataFrame:
-    frames = []
-    for t, df in silver.items():
-        rules = [(f"accepted({c})", ~F.col(c).isin(*vals)) for c, vals in TABLES[t].accepted.items()]
-        if rules:
-            frames.append(_counts(df, t, rules))
-    return _union(frames)
+def accepted_rules(table: str) -> list[tuple[str, Column]]:
+    return [(f"accepted({c})", ~F.col(c).isin(*vals)) for c, vals in TABLES[table].accepted.items()]
 
 
 def _range_violation(c: str, low: float, high: float | None, low_inclusive: bool) -> Column:
@@ -77,15 +70,52 @@ def _range_violation(c: str, low: float, high: float | None, low_inclusive: bool
     return ~ok
 
 
-def check_ranges(silver: dict[str, DataFrame]) -> DataFrame:
+def range_rules(table: str) -> list[tuple[str, Column]]:
+    return [(f"range({c})", _range_violation(c, *r)) for c, r in TABLES[table].ranges.items()]
+
+
+def consistency_rules(table: str) -> list[tuple[str, Column]]:
+    """Row arithmetic of the source: order total, line total, stock after a movement."""
+    if table == "orders":
+        total = money("subtotal") + money("tax") + money("shipping_cost")
+        return [("total_amount=subtotal+tax+shipping_cost", money("total_amount") != total)]
+    if table == "order_items":
+        line = F.col("quantity").cast("decimal(10,0)") * money("unit_price")
+        return [("total_price=quantity*unit_price", money("total_price") != line)]
+    if table == "inventory_logs":
+        prev, q = F.col("previous_quantity"), F.col("quantity")
+        expected = F.when(F.col("event_type").isin("received", "returned"), prev + q) \
+                    .otherwise(F.greatest(prev - q, F.lit(0)))
+        return [("new_quantity=max(previous+-quantity,0)", F.col("new_quantity") != expected)]
+    return []
+
+
+def _row_check(silver: dict[str, DataFrame], *rule_sets) -> DataFrame:
+    """One aggregation pass per table over the union of the given row-level rule sets."""
     frames = []
     for t, df in silver.items():
-        rules = [(f"range({c})", _range_violation(c, *r)) for c, r in TABLES[t].ranges.items()]
+        rules = [r for rule_set in rule_sets for r in rule_set(t)]
         if rules:
             frames.append(_counts(df, t, rules))
     return _union(frames)
 
 
+def check_not_null(silver: dict[str, DataFrame]) -> DataFrame:
+    return _row_check(silver, not_null_rules)
+
+
+def check_accepted_values(silver: dict[str, DataFrame]) -> DataFrame:
+    return _row_check(silver, accepted_rules)
+
+
+def check_ranges(silver: dict[str, DataFrame]) -> DataFrame:
+    return _row_check(silver, range_rules)
+
+
+def check_consistency(silver: dict[str, DataFrame]) -> DataFrame:
+    return _row_check(silver, consistency_rules)
+
+
 def check_referential(silver: dict[str, DataFrame]) -> DataFrame:
     """Child rows whose non-NULL foreign key has no parent row.
 
@@ -110,30 +140,16 @@ def check_referential(silver: dict[str, DataFrame]) -> DataFrame:
     return _union(frames)
 
 
-def check_consistency(silver: dict[str, DataFrame]) -> DataFrame:
-    """Row arithmetic of the source: order total, line total, stock after a movement."""
-    frames = []
-    if "orders" in silver:
-        total = money("subtotal") + money("tax") + money("shipping_cost")
-        frames.append(_counts(silver["orders"], "orders", [("total_amount=subtotal+tax+shipping_cost",
-                                                            money("total_amount") != total)]))
-    if "order_items" in silver:
-        line = F.col("quantity").cast("decimal(10,0)") * money("unit_price")
-        frames.append(_counts(silver["order_items"], "order_items", [("total_price=quantity*unit_price",
-                                                                      money("total_price") != line)]))
-    if "inventory_logs" in silver:
-        prev, q = F.col("previous_quantity"), F.col("quantity")
-        expected = F.when(F.col("event_type").isin("received", "returned"), prev + q) \
-                    .otherwise(F.greatest(prev - q, F.lit(0)))
-        frames.append(_counts(silver["inventory_logs"], "inventory_logs",
-                              [("new_quantity=max(previous+-quantity,0)", F.col("new_quantity") != expected)]))
-    return _union(frames)
-
-
 def run_checks(silver: dict[str, DataFrame]) -> DataFrame:
-    """Every check over the given silver tables as one report frame."""
-    return _union([check_unique(silver), check_not_null(silver), check_accepted_values(silver),
-                   check_ranges(silver), check_referential(silver), check_consistency(silver)])
+    """Every check over the given silver tables as one report frame.
+
+    All row-level rules of a table (not null, accepted values, ranges, row
+    arithmetic) are counted in one aggregation pass over it; uniqueness and
+    referential checks need their own shuffles.
+    """
+    return _union([check_unique(silver),
+                   _row_check(silver, not_null_rules, accepted_rules, range_rules, consistency_rules),
+                   check_referential(silver)])
 
 
 class QualityError(RuntimeError):

@@ -107,3 +107,12 @@ def test_dense_row_id_splits_a_hot_tie(spark):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert ids == list(range(1, 3001))
     assert max(r["count"] for r in per_part) < 1000
+
+
+def test_run_checks_equals_individual_checks(spark):
+    s = silver(spark)
+    separate = {}
+    for check in (quality.check_unique, quality.check_not_null, quality.check_accepted_values,
+                  quality.check_ranges, quality.check_referential, quality.check_consistency):
+        separate.update(rules(check(s)))
+    assert rules(quality.run_checks(s)) == separate
