@@ -33,3 +33,16 @@ def test_build_runs_all_layers(spark, capsys):
     cli.main(["build", "--root", layout.root, "--run-date", "2024-01-01"], spark=spark)
     assert current_location(spark, layout.gold_root, "shipping_performance")
     assert "fk(order_id->orders.order_id)" in capsys.readouterr().out
+
+
+def test_current_location_skips_uncommitted_versions(spark, workdir):
+    import os
+    from lakecart.sinks.files import write_table
+    root = f"{workdir}/silver"
+    committed = write_table(spark, spark.range(3), "lakecart_loc_test", "t", root)
+    # A newer version folder left by a failed build: files but no _SUCCESS marker.
+    broken = f"{root}/t/v-999999999999999-deadbeef"
+    os.makedirs(broken)
+    open(f"{broken}/part-00000.parquet", "w").write("partial")
+    assert current_location(spark, root, "t") == committed
+    assert current_location(spark, root, "missing") is None
