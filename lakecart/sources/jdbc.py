@@ -49,7 +49,8 @@ def load_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], m
     if mode == "append":
         writer = writer.mode("append")
     elif mode == "truncate":
-        writer = writer.mode("overwrite").option("truncate", "true")
+        # Parents are referenced by children's foreign keys: PostgreSQL only truncates them with CASCADE.
+        writer = writer.mode("overwrite").option("truncate", "true").option("cascadeTruncate", "true")
     elif mode == "fresh":
         writer = writer.mode("overwrite").option("truncate", "false")
         if column_types:
