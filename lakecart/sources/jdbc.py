@@ -63,11 +63,12 @@ def load_jdbc(df: DataFrame, url: str, table: str, properties: dict[str, str], m
 def load_all(frames: dict[str, DataFrame], url: str, properties: dict[str, str], mode: str = "append") -> dict:
     """Load tables parent-first (children first when truncating), then count rows in the target."""
     order = list(INSERT_ORDER)
-    if mode == "truncate":
-        # Children are emptied before parents; rows then go in parent-first.
+    if mode in ("truncate", "fresh"):
+        # Children are emptied (or recreated, which also drops their foreign keys)
+        # before their parents; rows then go in parent-first.
         for t in reversed(order):
             if t in frames:
-                load_jdbc(frames[t].limit(0), url, t, properties, mode="truncate")
+                load_jdbc(frames[t].limit(0), url, t, properties, mode=mode)
         mode = "append"
     for t in order:
         if t in frames:

@@ -55,3 +55,13 @@ def test_load_order_truncate_children_first(spark, monkeypatch):
     inserts = [t for t, m in events if m == "append"]
     assert truncs == ["order_items", "orders", "users"]
     assert inserts == [t for t in INSERT_ORDER if t in frames] == ["users", "orders", "order_items"]
+
+
+def test_fresh_load_recreates_children_first(spark, monkeypatch):
+    events = []
+    monkeypatch.setattr(jdbc, "load_jdbc", lambda df, url, t, props, mode="append", **kw: events.append((t, mode)))
+    monkeypatch.setattr(jdbc, "load_row_count", lambda s, url, t, props: 0)
+    frames = {t: spark.range(1) for t in ("categories", "products", "order_items")}
+    jdbc.load_all(frames, "jdbc:x://db", {}, mode="fresh")
+    assert [t for t, m in events if m == "fresh"] == ["order_items", "products", "categories"]
+    assert [t for t, m in events if m == "append"] == ["categories", "products", "order_items"]
