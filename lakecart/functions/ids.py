@@ -1,14 +1,11 @@
 """Consecutive row ids in a global order, without a single-partition window.
 
 ``row_number() OVER (ORDER BY k)`` with no PARTITION BY sends every row to one
-task.  Here the rows are range-partitioned and sorted by ``k``; each row gets
-its position inside its partition, the per-partition counts (one row per
-partition, a bounded table) give each partition's starting offset, and one
-broadcast join of that small table yields the global number.  The tagged data
-is reliably checkpointed first so both uses see the same partition layout,
-and the numbered result is checkpointed so reuse does not repeat the work.
-Inputs whose size is checked to be small skip all that and are numbered in
-one task.
+task.  Here the rows are range-partitioned and sorted by ``k`` and written
+once, tagged with their position inside their partition, so every later use
+sees the same layout.  The per-partition counts (one row per partition) give
+each partition's starting offset, and a join on the partition number yields
+the global id.  The same steps run for inputs of any size.
 """
 
 from __future__ import annotations
@@ -16,43 +13,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakecart.session import scratch_dir
+
 # monotonically_increasing_id = partition index << 33 | row position in partition.
 _ROW_BITS = 33
-# Partition-offset tables up to this many rows are broadcast.
-MAX_OFFSET_ROWS = 1_000_000
-# Inputs proven (by a bounded count) to hold at most this many rows are
-# numbered in one task; anything larger takes the distributed path.
-SMALL_INPUT_ROWS = 10_000
 
 
-def dense_row_id(df: DataFrame, order_by: list[str | Column], id_col: str,
-                 small_rows: int = SMALL_INPUT_ROWS) -> DataFrame:
+def _written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, safe from lost executors."""
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def dense_row_id(df: DataFrame, order_by: list[str | Column], id_col: str) -> DataFrame:
     """Append ``id_col`` = 1-based position of each row in ``order_by`` order.
 
     Equal to ``row_number() OVER (ORDER BY order_by)``; rows tied on every
-    ``order_by`` column get consecutive ids in an unspecified order.  The
-    result is reliably checkpointed.
+    ``order_by`` column get consecutive ids in an unspecified order.  The ids
+    are stable: they derive from a written table.
     """
-    # Bounded probe: an incremental collect scans partitions only until it has
-    # small_rows + 1 one-field rows (a count over a limit would start every task).
-    if small_rows and len(df.select(F.lit(1).alias("o")).limit(small_rows + 1).collect()) <= small_rows:
-        # Checked bound: a single-partition window over at most small_rows rows.
-        return df.withColumn(id_col, F.row_number().over(Window.orderBy(*order_by)).cast("bigint")) \
-                 .checkpoint(eager=True)
     # The input position breaks ties, so rows equal on every key (say a third
     # of the table) can still be split across range partitions.
     ordered = df.withColumn("_tie", F.monotonically_increasing_id()).orderBy(*order_by, "_tie").drop("_tie")
-    tagged = ordered.withColumn("_mid", F.monotonically_increasing_id())
-    tagged = tagged.checkpoint(eager=True)
-    tagged = (tagged.withColumn("_part", F.shiftright("_mid", _ROW_BITS))
-                    .withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))))
-    n_parts = tagged.rdd.getNumPartitions()
-    if n_parts > MAX_OFFSET_ROWS:
-        raise ValueError(f"{n_parts} partitions: offset table too large to broadcast")
-    counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
-    out = tagged.join(F.broadcast(offsets), "_part")
-    out = out.withColumn(id_col, (F.col("_offset") + F.col("_pos") + F.lit(1)).cast("bigint"))
-    # Materialise once more so later plans scan the ids instead of re-deriving offsets.
-    return out.drop("_mid", "_part", "_pos", "_offset").checkpoint(eager=True)
+    tagged = _written(ordered.withColumn("_mid", F.monotonically_increasing_id()), "row-ids")
+    part = F.shiftright("_mid", _ROW_BITS)
+    counts = tagged.groupBy(part.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per partition. Written, so its size is known when the join is planned.
+    offsets = _written(counts.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")), "row-offsets")
+    out = tagged.join(offsets, part == F.col("_p"))
+    position = F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    return out.withColumn(id_col, (F.col("_offset") + position + 1).cast("bigint")).drop("_mid", "_p", "_offset")

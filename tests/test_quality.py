@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from lakecart.operators import quality
 from lakecart.operators.keys import MissingKeyError, position_key_map, remap_column
 from lakecart.functions.ids import dense_row_id
@@ -70,14 +72,12 @@ def test_enforce_raises(spark):
         quality.enforce(quality.check_unique(silver(spark)))
 
 
-def test_dense_row_id_matches_row_number(spark):
+@pytest.mark.parametrize("rows", [0, 10, 5000, 50_000])
+def test_dense_row_id_matches_row_number(spark, rows):
     from pyspark.sql import Window, functions as F
-    df = spark.range(0, 5000, numPartitions=7).select((F.col("id") * 7919 % 5003).alias("k"), F.col("id").alias("v"))
+    df = spark.range(0, rows, numPartitions=7).select((F.col("id") * 7919 % 50_021).alias("k"), F.col("id").alias("v"))
     ref = sorted(map(tuple, df.withColumn("rid", F.row_number().over(Window.orderBy("k", "v"))).collect()))
-    distributed = dense_row_id(df, ["k", "v"], "rid", small_rows=100).select("k", "v", "rid")
-    small = dense_row_id(df, ["k", "v"], "rid").select("k", "v", "rid")
-    assert sorted(map(tuple, distributed.collect())) == ref
-    assert sorted(map(tuple, small.collect())) == ref
+    assert sorted(map(tuple, dense_row_id(df, ["k", "v"], "rid").select("k", "v", "rid").collect())) == ref
 
 
 def test_remap_and_missing_key(spark):
@@ -86,23 +86,25 @@ def test_remap_and_missing_key(spark):
     child = spark.createDataFrame([(1, 1), (2, 3)], "order_id bigint, user_id bigint")
     out = sorted(tuple(r) for r in remap_column(child, "user_id", km).collect())
     assert out == [(1, 501), (2, 503)]
-    import pytest
     bad = spark.createDataFrame([(1, 4)], "order_id bigint, user_id bigint")
     with pytest.raises(MissingKeyError):
         remap_column(bad, "user_id", km)
 
 
-def test_dense_row_id_splits_a_hot_tie(spark):
+def test_dense_row_id_splits_a_hot_tie(spark, monkeypatch):
     """A third of the rows share one key: they must not all land in one range partition."""
     from pyspark.sql import functions as F
+    from lakecart.functions import ids as module
+    written, write = [], module._written
+    monkeypatch.setattr(module, "_written", lambda df, name: written.append(write(df, name)) or written[-1])
     df = spark.range(0, 3000, numPartitions=6).select(
         F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"))
     # Tiny data: stop AQE from merging the range partitions so the split is visible.
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        out = dense_row_id(df, ["k"], "rid", small_rows=0)
+        out = dense_row_id(df, ["k"], "rid")
         ids = sorted(r.rid for r in out.collect())
-        per_part = out.groupBy(F.spark_partition_id().alias("p")).count().collect()
+        per_part = written[0].groupBy(F.shiftright("_mid", 33)).count().collect()
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert ids == list(range(1, 3001))
