@@ -31,7 +31,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Learns from the labelled documents outside the held-out fold, rejects by score."""
     seen = ~held_out(F.col("doc_id"))
     model = attention_mil.fit(docs.filter(seen), table(spark, sf_dir, "labels").filter(seen))
-    return attention_mil.score(docs, model).filter("predicted = 1").select(*docs.columns)
+    return docs.filter(attention_mil.score_column(model, docs["text"]) >= attention_mil.THRESHOLD)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakecart.llm.common import utf8_buffers
@@ -269,15 +269,20 @@ def fit(docs: DataFrame, labels: DataFrame, text_col: str = "text", key_col: str
     return train(bags, share)
 
 
+def score_column(model: MilModel | float, text: Column) -> Column:
+    """Probability of label 1 of a text."""
+    if isinstance(model, float):
+        return F.lit(model)
+
+    @F.arrow_udf("double")
+    def rate(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            yield pa.array(np.clip(np.round(score_bytes(model, *utf8_buffers(texts)), 6), 0.0, 1.0))
+
+    return rate(text)
+
+
 def score(docs: DataFrame, model: MilModel | float, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """``docs`` with ``score`` (probability of label 1) and ``predicted``."""
-    if isinstance(model, float):
-        scored = docs.withColumn("score", F.lit(model))
-    else:
-        @F.arrow_udf("double")
-        def rate(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            for texts in batches:
-                yield pa.array(np.clip(np.round(score_bytes(model, *utf8_buffers(texts)), 6), 0.0, 1.0))
-
-        scored = docs.withColumn("score", rate(F.col(text_col)))
+    scored = docs.withColumn("score", score_column(model, F.col(text_col)))
     return scored.withColumn("predicted", F.when(F.col("score") >= threshold, 1).otherwise(0))

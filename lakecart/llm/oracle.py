@@ -1,3 +1,141 @@
-"""DuckDB SQL for the operators that SQL can express (the others are tested against brute force)."""
+"""DuckDB SQL for the operators that SQL can express.
 
-ORACLE_SQL: dict[str, str] = {}
+Written from the methods' definitions: full scans and joins without index,
+hashing or block structure.  The other operators (trained models, XXH64
+fingerprints and shards, the Pfair schedule) are tested against brute force.
+"""
+
+CHAT = r"""
+WITH t AS (
+  SELECT conv_id, turn, nullif(role, '') AS who,
+         replace(replace(coalesce(text, ''), '<|im_start|>', '<| im_start|>'), '<|im_end|>', '<| im_end|>') AS body
+  FROM conversations),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, who NULLS FIRST, body) - 1 AS i FROM t),
+people AS (SELECT DISTINCT conv_id, who AS perspective FROM t WHERE who IS NOT NULL AND who <> 'system'),
+shown AS (
+  SELECT n.conv_id, p.perspective, n.i // 512 AS part, n.i, n.body,
+         coalesce(n.who = p.perspective, FALSE) AS mine,
+         '<|im_start|>' || CASE WHEN n.who IS NULL THEN 'user' WHEN n.who = 'system' THEN 'system'
+           WHEN n.who = p.perspective THEN 'assistant'
+           ELSE 'user name=' || replace(replace(regexp_replace(n.who, '\s+', '_', 'g'),
+                '<|im_start|>', '<| im_start|>'), '<|im_end|>', '<| im_end|>') END || chr(10) AS head
+  FROM numbered n JOIN people p ON n.conv_id IS NOT DISTINCT FROM p.conv_id),
+placed AS (
+  SELECT *, coalesce(sum(length(head) + length(body) + 11) OVER (
+    PARTITION BY conv_id, perspective, part ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS pos
+  FROM shown)
+SELECT conv_id, perspective, CAST(part AS INTEGER) AS part, CAST(count(*) AS INTEGER) AS n_turns,
+       CAST(count(*) FILTER (WHERE mine) AS INTEGER) AS n_masked,
+       string_agg(head || body || '<|im_end|>' || chr(10), '' ORDER BY i) AS rendered,
+       coalesce(string_agg(CAST(pos AS VARCHAR) || '-' || CAST(pos + length(body) + 10 AS VARCHAR), ',' ORDER BY i)
+                FILTER (WHERE mine), '') AS spans
+FROM placed GROUP BY conv_id, perspective, part
+"""
+
+LEAKS = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rn, doc_id,
+         [w for w in regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+') if w <> ''] AS dt
+  FROM documents),
+b AS (
+  SELECT coalesce(min(item_id), -1) AS item, it FROM (
+    SELECT item_id, [w for w in regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+') if w <> ''] AS it
+    FROM benchmark) GROUP BY it HAVING len(it) >= 4),
+masks(m, own) AS (
+  SELECT unnest([[0, 1, 2, 4, 8, 9], [0, 1, 4, 6, 7, 8], [0, 2, 3, 4, 5, 7]]), NULL
+  UNION SELECT range(len(it)), len(it) FROM b WHERE len(it) < 10),
+item_seeds AS (
+  SELECT DISTINCT item, m, p, [it[p + o + 1] for o in m] AS seed
+  FROM (SELECT item, it, m, unnest(range(CAST(len(it) - m[len(m)] AS BIGINT))) AS p FROM b, masks
+        WHERE len(it) > m[len(m)] AND len(it) = coalesce(own, len(it)))),
+doc_seeds AS (
+  SELECT rn, m, p, [dt[p + o + 1] for o in m] AS seed
+  FROM (SELECT rn, dt, m, unnest(range(CAST(len(dt) - m[len(m)] AS BIGINT))) AS p FROM d, masks WHERE len(dt) > m[len(m)])),
+aligned AS (
+  SELECT DISTINCT s.rn, i.item, s.p - i.p AS shift FROM doc_seeds s JOIN item_seeds i ON s.m = i.m AND s.seed = i.seed),
+matched AS (
+  SELECT rn, item, len(it) AS n,
+         len([k for k in range(len(it)) if k + shift >= 0 AND k + shift < len(dt) AND dt[k + shift + 1] = it[k + 1]]) AS hit
+  FROM aligned JOIN d USING (rn) JOIN b USING (item)),
+found AS (SELECT rn, item, n, max(hit) AS hit FROM matched WHERE hit >= 0.5 * n GROUP BY rn, item, n),
+best AS (
+  SELECT *, row_number() OVER (PARTITION BY rn ORDER BY hit / n DESC, item) AS place, count(*) OVER (PARTITION BY rn) AS n_items
+  FROM found)
+SELECT d.doc_id, best.rn IS NOT NULL AS contaminated, coalesce(n_items, 0) AS n_items, item AS best_item,
+       CAST(hit AS BIGINT) AS matched, CAST(n AS BIGINT) AS item_tokens
+FROM d LEFT JOIN best ON d.rn = best.rn AND place = 1
+"""
+
+# The patterns of the method's own list, written out as regular expressions over host + path.
+URLS = r"""
+WITH u AS (
+  SELECT row_number() OVER () AS rn, page_id,
+         CASE WHEN position('://' IN url) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
+h AS (
+  SELECT rn, page_id,
+         translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+prefix(verdict, rule, rhost, rpath) AS (VALUES
+  ('block', 'net/', 'net', '/'), ('allow', 'example.net/en/', 'example.net', '/en/'),
+  ('block', 'example.com/de/', 'example.com', '/de/'), ('allow', 'org/fr/', 'org', '/fr/')),
+patterns(verdict, rule, regex) AS (VALUES
+  ('block', '||casino*', '^([^/]*\.)?casino'), ('block', 'casino-win.', 'casino-win\.'), ('block', '.casino.', '\.casino\.'),
+  ('block', '-casino.', '-casino\.'), ('block', '/casino/', '/casino/'), ('block', '||bet365^', '^([^/]*\.)?bet365([^A-Za-z0-9._%-]|$)'),
+  ('block', '/poker/', '/poker/'), ('block', '-poker.', '-poker\.'), ('block', 'xxx.', 'xxx\.'), ('block', '/porn/', '/porn/'),
+  ('block', '||porn*', '^([^/]*\.)?porn'), ('block', '-sex.', '-sex\.'), ('block', '/warez/', '/warez/'),
+  ('block', '/viagra/', '/viagra/'), ('block', '-pills.', '-pills\.'), ('block', '/ads/*.js', '/ads/.*\.js'),
+  ('block', '/wp-login.php^', '/wp-login\.php([^A-Za-z0-9._%-]|$)'), ('block', '||tracker.', '^([^/]*\.)?tracker\.'),
+  ('block', '||adserver.', '^([^/]*\.)?adserver\.'), ('block', '/cgi-bin/*.exe^', '/cgi-bin/.*\.exe([^A-Za-z0-9._%-]|$)'),
+  ('allow', '/privacy/', '/privacy/'), ('allow', '||docs.', '^([^/]*\.)?docs\.')),
+fixed AS (
+  SELECT rn, arg_max(prefix.rule, length(prefix.rule)) AS rule, arg_max(prefix.verdict, length(prefix.rule)) AS verdict
+  FROM h, prefix WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY rn),
+own AS (
+  SELECT rn, rule, verdict, row_number() OVER (PARTITION BY rn ORDER BY length(rule) DESC, rule DESC) AS place
+  FROM h, patterns WHERE regexp_matches(host || path, regex))
+SELECT h.page_id, h.host, h.path, fixed.rule, coalesce(fixed.verdict, own.verdict, 'allow') AS verdict,
+       CASE WHEN fixed.rule IS NULL THEN own.rule END AS pattern
+FROM h LEFT JOIN fixed USING (rn) LEFT JOIN own ON h.rn = own.rn AND own.place = 1
+"""
+
+LANGUAGE_MODELS = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rn, doc_id, doc_id IN (SELECT doc_id FROM labels WHERE quality = 1 AND doc_id IS NOT NULL) AS good,
+         [w for w in regexp_split_to_array(lower(coalesce(text, '')), '[\x20\x09-\x0D]+') if w <> ''] AS ws
+  FROM documents),
+tokens AS (SELECT rn, good, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM d),
+counts AS (SELECT w, count(*) AS raw, count(*) FILTER (WHERE good) AS good FROM tokens GROUP BY w),
+total AS (SELECT sum(raw) AS raw, sum(good) AS good, sum(raw) / greatest(1, sum(good)) AS scale FROM counts),
+known AS (SELECT * FROM counts WHERE strlen(w) <= 64 ORDER BY raw DESC, w LIMIT 16384),
+-- '' is the unknown word, ' ' the start of a text.
+words AS (
+  SELECT * FROM known UNION ALL
+  SELECT '', (SELECT raw FROM total) - sum(raw), (SELECT good FROM total) - sum(good) FROM known),
+p1 AS (
+  SELECT w, (words.good + 0.5) / (total.good + 0.5 * (SELECT count(*) FROM words)) AS good,
+         (words.raw + 0.5 * scale) / (total.raw + 0.5 * scale * (SELECT count(*) FROM words)) AS raw
+  FROM words, total),
+pairs AS (
+  SELECT rn, t.good, coalesce(known.w, '') AS w, lag(coalesce(known.w, ''), 1, ' ') OVER (PARTITION BY rn ORDER BY i) AS v
+  FROM tokens t LEFT JOIN known ON t.w = known.w),
+bigrams AS (
+  SELECT v, w, count(*) AS raw, count(*) FILTER (WHERE good) AS good FROM pairs GROUP BY v, w HAVING count(*) >= 5),
+contexts AS (SELECT v, sum(raw) AS raw, sum(good) AS good FROM bigrams GROUP BY v),
+losses AS (
+  SELECT rn, count(*) AS n,
+    sum(-ln((coalesce(b.good, 0) + 50 * p1.good) / (coalesce(c.good, 0) + 50))) AS target,
+    sum(-ln((coalesce(b.raw, 0) + 50 * scale * p1.raw) / (coalesce(c.raw, 0) + 50 * scale))) AS background
+  FROM pairs JOIN p1 ON pairs.w = p1.w LEFT JOIN bigrams b ON b.v = pairs.v AND b.w = pairs.w
+       LEFT JOIN contexts c ON c.v = pairs.v, total GROUP BY rn)
+SELECT doc_id, coalesce(n, 0) AS n_tokens, coalesce(round(target / n, 6), 0) AS loss_target,
+       coalesce(round(background / n, 6), 0) AS loss_background, coalesce(round((target - background) / n, 6), 0) AS score
+FROM d LEFT JOIN losses USING (rn)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_chat_perspectives": CHAT,
+    "op8_spaced_seed": LEAKS,
+    "op9_url_rules": URLS,
+    "op10_cross_entropy": LANGUAGE_MODELS,
+}

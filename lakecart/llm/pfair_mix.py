@@ -34,6 +34,7 @@ time; an empty table gives an empty result.
 from __future__ import annotations
 
 import heapq
+import math
 from fractions import Fraction
 
 from pyspark.sql import DataFrame, Window
@@ -82,7 +83,7 @@ def one_period(units: list[int]) -> list[tuple[int, int, int, int, int]]:
     weights = [Fraction(u, period) for u in units]
 
     def window(s: int, k: int) -> tuple[int, int]:
-        return int(k / weights[s]), -int(-(k + 1) / weights[s])
+        return math.floor(k / weights[s]), math.ceil((k + 1) / weights[s])
 
     waiting = [(0, s, 0) for s in range(len(units))]  # (release, source, k)
     heapq.heapify(waiting)
@@ -182,9 +183,9 @@ def keep_mix(docs: DataFrame, placed: DataFrame, id_col: str = "doc_id", source_
     ends = materialize(placed.groupBy("source").agg(
         F.max(F.when(F.col("kept"), order)).alias("last"), F.bool_and("kept").alias("all_kept"))
         .filter("not all_kept").select(F.col("source").alias("_s"), "last", F.lit(True).alias("_cut")), "mix-ends")
-    own = F.struct(F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit("mix")).alias("h"),
-                   F.col(id_col).alias("id"),
-                   (F.octet_length(F.coalesce(text_col, F.lit(""))) + 1).cast("bigint").alias("size"))
-    return (docs.join(ends, F.col(source_col).eqNullSafe(F.col("_s")), "left")
-            .filter(F.col("_cut").isNull() | (F.col("last").isNotNull() & (own <= F.col("last"))))
-            .select(*docs.columns))
+    own = F.struct(F.xxhash64(F.coalesce(docs[id_col].cast("string"), F.lit("")), F.lit("mix")).alias("h"),
+                   docs[id_col].alias("id"),
+                   (F.octet_length(F.coalesce(docs[text_col], F.lit(""))) + 1).cast("bigint").alias("size"))
+    return (docs.join(ends, docs[source_col].eqNullSafe(ends["_s"]), "left")
+            .filter(ends["_cut"].isNull() | (ends["last"].isNotNull() & (own <= ends["last"])))
+            .select(*[docs[c] for c in docs.columns]))

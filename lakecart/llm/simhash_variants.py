@@ -121,7 +121,8 @@ def _first_slot(diff: Column, max_bits: int) -> Column:
         part = F.shiftrightunsigned(diff, a).bitwiseAND(F.lit((1 << (b - a)) - 1)) if n_seg > 1 else diff
         whole = s == n_seg - 1 and max_bits % 2 == 0
         # The differing position is the number of ones below it; an equal segment counts for position 0.
-        place = F.when(part == 0, 0).otherwise(F.bit_count(part - 1).cast("int"))
+        top = F.when(part == F.lit(_signed(1 << (BITS - 1))), BITS - 1)  # one less would overflow
+        place = F.when(part == 0, 0).otherwise(F.coalesce(top, F.bit_count(F.when(top.isNull(), part) - 1).cast("int")))
         slot = F.when(F.bit_count(part) <= (0 if whole else 1), F.lit(s * 65) if whole else place + (s * 65 + 1)).otherwise(slot)
     return slot
 
@@ -186,7 +187,7 @@ def keep_one(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id") -> Dat
         classes.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id"))
         .agg(F.bool_or(F.col(id_col) == F.col("component_id")).alias("stays"), F.count(F.lit(1)).alias("n"))
         .filter("not stays or n > 1"), "not-single")
-    repeated = marked.filter("stays").select("_id")
-    single = docs.join(marked.select("_id"), docs[id_col] == F.col("_id"), "left_anti")
-    first = docs.join(repeated, docs[id_col] == F.col("_id"), "left_semi").dropDuplicates([id_col])
+    repeated = marked.filter("stays")
+    single = docs.join(marked, docs[id_col] == marked["_id"], "left_anti")
+    first = docs.join(repeated, docs[id_col] == repeated["_id"], "left_semi").dropDuplicates([id_col])
     return single.unionByName(first)

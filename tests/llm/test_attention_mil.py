@@ -1,0 +1,103 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from lakecart.llm import attention_mil as mil
+from lakecart.llm.common import held_out
+from llm_frames import awkward_documents, no_documents
+
+SF = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    seen = ~held_out(F.col("doc_id"))
+    return mil.fit(spark.read.parquet(f"{SF}/documents.parquet").filter(seen),
+                   spark.read.parquet(f"{SF}/labels.parquet").filter(seen))
+
+
+def test_held_out_accuracy(spark, model):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter(held_out(F.col("doc_id")))
+    rows = mil.score(docs, model).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").collect()
+    assert sum(r.predicted == r.quality for r in rows) / len(rows) >= 0.95
+    good = [r for r in rows if r.quality == 1]
+    assert sum(r.predicted for r in good) / len(good) >= 0.98
+
+
+def bytes_of(texts):
+    parts = [t.encode() for t in texts]
+    return np.frombuffer(b"".join(parts), np.uint8), np.cumsum([0, *map(len, parts)])
+
+
+def test_attention_by_definition(model):
+    """Running sums over sections equal the softmax-weighted mean over all passages."""
+    text = "Ein Satz, und noch einer. " * 9000  # several sections
+    raw, offsets = bytes_of([text])
+    bags = [mil.passage_features(part, s, e)[0] for part, s, e, _ in mil._sections(raw, offsets)]
+    x = np.concatenate(bags)
+    assert len(x) == -(-len(raw) // mil.PASSAGE)
+    h = np.tanh(x @ model.encode + model.encode_b)
+    e = (np.tanh(h @ model.v) * (1 / (1 + np.exp(-(h @ model.u))))) @ model.w
+    a = np.exp(e - e.max())
+    z = (a / a.sum()) @ h
+    want = 1 / (1 + np.exp(-(z @ model.out + model.out_b + model.prior_shift)))
+    assert np.allclose(mil.score_bytes(model, raw, offsets), want)
+
+
+def test_texts_do_not_influence_each_other(model):
+    texts = ["short one", "", "Word " * 50_000, "!!! ### $$$ " * 30, "x"]
+    together = mil.score_bytes(model, *bytes_of(texts))
+    alone = [mil.score_bytes(model, *bytes_of([t]))[0] for t in texts]
+    assert np.allclose(together, alone)
+
+
+def test_repeats_by_brute_force():
+    words = "a b c d e x a b c d e y y z".split()
+    raw, offsets = bytes_of([" ".join(words)])
+    x, _ = mil.passage_features(raw, offsets[:1], offsets[1:])
+    f = x[0, mil.N_CLS + mil.TRIGRAM_BINS:]
+    n = len(words) + mil.SHRINK / 8
+    grams = [tuple(words[i:i + 5]) for i in range(len(words) - 4)]
+    assert np.isclose(f[2], sum(words.count(w) > 1 for w in words) / n)
+    assert np.isclose(f[3], 1 / n)
+    assert np.isclose(f[4], sum(grams.count(g) > 1 for g in grams) / n)
+
+
+def test_gradients_lower_the_loss():
+    rng = np.random.default_rng(5)
+    def bag(y):
+        x = rng.random((rng.integers(1, 6), mil.N_FEATURES)).astype(np.float32) * 0.1
+        x[rng.integers(len(x)), 3] += y  # one telling passage
+        return x, y
+    bags = [bag(i % 2) for i in range(300)]
+    m = mil.train(bags, 0.5, steps=300)
+    right = 0
+    for x, y in bags:
+        h, e = mil._attend(m, x)
+        a = np.exp(e) / np.exp(e).sum()
+        right += ((a @ h) @ m.out + m.out_b > 0) == bool(y)
+    assert right / len(bags) > 0.95
+
+
+def test_awkward_rows(spark, model):
+    docs = awkward_documents(spark)
+    out = mil.score(docs, model).select("score", "predicted").collect()
+    assert len(out) == docs.count()
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in out)
+    assert mil.score(no_documents(spark), model).count() == 0
+
+
+def test_too_little_to_learn(spark):
+    docs = awkward_documents(spark)
+    none = spark.createDataFrame([], "doc_id bigint, quality int")
+    one = spark.createDataFrame([(5, 1), (6, 1), (None, 0)], "doc_id bigint, quality int")
+    assert mil.fit(docs, none) == 0.5
+    assert mil.fit(docs, one) == 1.0
+    assert {r.score for r in mil.score(docs, 0.5).collect()} == {0.5}
+
+
+def test_conflicting_labels_count_with_the_lowest(spark):
+    docs = awkward_documents(spark).filter("doc_id in (5, 9)")
+    labels = spark.createDataFrame([(5, 1), (5, 0), (9, 1), (9, None)], "doc_id bigint, quality int")
+    bags, share = mil.training_bags(docs, labels, "text", "doc_id", "quality")
+    assert share == 0.5 and sorted(y for _, y in bags) == [0, 1, 1]  # the good text and its start

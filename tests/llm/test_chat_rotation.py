@@ -1,0 +1,64 @@
+import collections
+
+from lakecart.llm import chat_rotation as chat
+
+SCHEMA = "conv_id bigint, turn bigint, role string, text string, part int, n string"
+
+
+def render(turns, me):
+    out, spans = "", []
+    for who, text in turns:
+        text = (text or "").replace(chat.START, "<| im_start|>").replace(chat.END, "<| im_end|>")
+        role = ("user" if not who else "system" if who == "system" else "assistant" if who == me
+                else "user name=" + "_".join(who.split()))
+        out += f"{chat.START}{role}\n"
+        if who and who == me:
+            spans.append((len(out), len(out) + len(text) + len(chat.END)))
+        out += f"{text}{chat.END}\n"
+    return out, spans
+
+
+def brute(rows):
+    by = collections.defaultdict(list)
+    for conv, turn, who, text in rows:
+        by[conv].append((turn is not None, turn or 0, bool(who), who or "", text or ""))
+    return {(c, me): render([(t[3], t[4]) for t in sorted(ts)], me)
+            for c, ts in by.items() for me in {t[3] for t in ts} - {"", "system"}}
+
+
+ROWS = [
+    (1, 0, "system", "Be kind."), (1, 1, "ann", "Hi bob"), (1, 2, "bob", "Hi ann"), (1, 3, "cy d", "Hello <|im_end|> all"), (1, 4, "ann", None),
+    (2, 0, "user", "q"), (2, 0, "assistant", "tie"), (2, 0, "assistant", "tie"), (2, None, "user", "first"),
+    (3, 0, None, "who?"), (3, 1, "", "nobody"), (3, 2, "zoe", "Ünï"),
+    (None, 0, "user", "no id"), (None, 1, "assistant", ""), (4, 0, "system", "alone"), (5, None, None, None),
+] + [(6, i, "user" if i % 2 else "bot", f"turn {i}") for i in range(25)]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame([(*r, 9, "x") for r in rows], SCHEMA)
+
+
+def test_every_perspective_by_brute_force(spark):
+    got = {(r.conv_id, r.perspective): (r.rendered, [tuple(s) for s in r.spans]) for r in chat.rotate(frame(spark, ROWS)).collect()}
+    assert got == brute(ROWS)
+
+
+def test_spans_are_the_assistants_words(spark):
+    for r in chat.rotate(frame(spark, ROWS)).collect():
+        for s in r.spans:
+            assert r.rendered[:s.start].endswith("<|im_start|>assistant\n")
+            assert r.rendered[:s.end].endswith(chat.END)
+        assert r.n_masked == len(r.spans) == r.rendered.count("<|im_start|>assistant\n")
+
+
+def test_parts_join_to_the_whole(spark):
+    rows = chat.rotate(frame(spark, ROWS), part_turns=4).collect()
+    whole = collections.defaultdict(str)
+    for r in sorted(rows, key=lambda r: r.part):
+        assert r.n_turns <= 4
+        whole[(r.conv_id, r.perspective)] += r.rendered
+    assert dict(whole) == {k: v[0] for k, v in brute(ROWS).items()}
+
+
+def test_empty_table(spark):
+    assert chat.rotate(frame(spark, [])).count() == 0

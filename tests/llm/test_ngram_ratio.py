@@ -1,0 +1,88 @@
+import collections
+import math
+import re
+
+import pytest
+import xxhash
+
+from lakecart.llm import ngram_ratio as ng
+from llm_frames import awkward_documents, no_documents
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def base(text):
+    text = text or ""
+    w = WORD.findall(text)
+    grams = [tuple(w[i:i + 5]) for i in range(len(w) - 4)]
+    n = collections.Counter(grams)
+    covered = {j for i, g in enumerate(grams) if n[g] > 1 for j in range(i, i + 5)}
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    failed = len(w) < 10 or 100 * len(covered) > 20 * len(w)
+    return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered), failed)
+
+
+def bins(text, size):
+    def signed(x):
+        return x - (1 << 64) if x >> 63 else x
+
+    h = [signed(xxhash.xxh64_intdigest(w.encode(), 42)) for w in WORD.findall(text or "")]
+    pairs = [signed(xxhash.xxh64_intdigest((b % 2**64).to_bytes(8, "little"),
+                                           xxhash.xxh64_intdigest((a % 2**64).to_bytes(8, "little"), 42))) for a, b in zip(h, h[1:])]
+    return [x % size for x in h + pairs]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    extra = [(100, "a b c d e f a b c d e g a b c d e"), (101, "x x x x x x x x x x x"), (102, "l1 a\nl2\nl1 a\n \n \nl1 a"),
+             (103, "a b c d e " * 2), (104, "a\x0bb\x0cc\rd e f g h i j k l"), (105, "é ü |<>| $$$ a b c d e f g h")]
+    some = spark.createDataFrame(extra, "doc_id bigint, text string")
+    return awkward_documents(spark).select("doc_id", "text").unionByName(some)
+
+
+def test_base_counts_by_brute_force(spark, docs):
+    got = ng.judge(docs, [0.0] * 8)
+    rows = sorted([(r.doc_id is None, r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed)
+                   for r in got.collect()], key=repr)
+    assert rows == sorted([(r.doc_id is None, r.doc_id, *base(r.text)) for r in docs.collect()], key=repr)
+
+
+def test_ratio_by_brute_force(spark, docs):
+    size = 64
+    trusted = spark.createDataFrame([(5,), (8,), (8,), (20,), (None,), (999,)], "doc_id bigint")
+    table = ng.ratio_table(docs, trusted, bins=size)
+    raw, good = collections.Counter(), collections.Counter()
+    rows = docs.collect()
+    for r in rows:
+        raw.update(bins(r.text, size))
+        if r.doc_id in (5, 8, 20):
+            good.update(bins(r.text, size))
+    want = [math.log((good[b] + 1) / (sum(good.values()) + size)) - math.log((raw[b] + 1) / (sum(raw.values()) + size))
+            for b in range(size)]
+    assert table == pytest.approx(want)
+    got = ng.judge(docs, table, threshold=-0.01).collect()
+    expected = []
+    for r in rows:
+        b = bins(r.text, size)
+        ratio = sum(want[x] for x in b) / len(b) if b else 0.0
+        expected.append((r.doc_id is None, r.doc_id or 0, not base(r.text)[-1] and ratio >= -0.01, ratio))
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.kept, r.ratio) for r in got)
+    assert [g[:3] for g in got] == [e[:3] for e in sorted(expected)]
+    assert [g[3] for g in got] == pytest.approx([e[3] for e in sorted(expected)], abs=2e-6)
+
+
+def test_empty_tables(spark, docs):
+    none = spark.createDataFrame([], "doc_id bigint")
+    assert set(ng.ratio_table(docs, none, bins=16)) == {0.0}
+    assert set(ng.ratio_table(no_documents(spark), none, bins=16)) == {0.0}
+    assert ng.judge(no_documents(spark), [0.0] * 16).count() == 0
+
+
+def test_clean_labelled_documents_are_kept(spark):
+    sf = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    rows = ng.judge(docs, ng.ratio_table(docs, labels.filter("quality = 1"))).join(labels, "doc_id").collect()
+    judged = [r for r in rows if not r.base_failed]
+    assert all(r.kept for r in judged if r.quality == 1)
+    bad = [r for r in judged if r.quality == 0]
+    assert sum(r.kept for r in bad) / len(bad) < 0.3
