@@ -13,7 +13,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[*]", app_name="lakecart-tests", **{"spark.sql.shuffle.partitions": "8"})
+    s = build_session(os.environ.get("TEST_MASTER", "local[*]"), app_name="lakecart-tests", **{"spark.sql.shuffle.partitions": "8"})
     s.sparkContext.setLogLevel("ERROR")
     if not s.sparkContext.getCheckpointDir():
         s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lakecart-test-ckpt-"))
