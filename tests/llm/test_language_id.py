@@ -38,10 +38,12 @@ def test_tables_equal_the_convolution(net):
         assert np.allclose(got[i], want / want.sum(), atol=1e-4)
 
 
-def test_every_byte_counts_and_batches_do_not(net):
+def test_every_byte_counts_and_batches_do_not(spark, net):
     """A text is read to its end, and neither chunks nor neighbours change a result."""
     tables = lid._tables(net)
-    texts = ["the and of in " * 40 + "le une que est " * 4000, "der die und ich " * 3, "", "x"]
+    rows = spark.read.parquet(f"{SF}/documents.parquet").filter("n_chars > 500").orderBy("doc_id").collect()
+    some = {lang: [r.text for r in rows if r.lang == lang] for lang in ("en", "fr")}
+    texts = [some["en"][0][:400] + " " + " ".join(some["fr"]), some["en"][1], "", "x"]
     parts = [t.encode() for t in texts]
     raw = np.frombuffer(b"".join(parts), np.uint8)
     offsets = np.cumsum([0, *map(len, parts)])
