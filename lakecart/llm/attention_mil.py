@@ -88,8 +88,9 @@ def passage_features(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> t
     x[:, :N_CLS] = np.sqrt(np.bincount(pid * N_CLS + _CLS[raw], minlength=n * N_CLS).reshape(n, -1) / size)
     b = raw.astype(np.int64) | 32  # folds ASCII case
     tri = ((b[:-2] * 7919 + b[1:-1] * 104729 + b[2:] * 1299709) >> 7) % TRIGRAM_BINS
+    at = (pid[:-2] * TRIGRAM_BINS + tri)[sec[:-2] == sec[2:]]  # none runs over the end of its section
     x[:, N_CLS:N_CLS + TRIGRAM_BINS] = np.sqrt(
-        np.bincount(pid[:-2] * TRIGRAM_BINS + tri, minlength=n * TRIGRAM_BINS).reshape(n, -1) / size)
+        np.bincount(at, minlength=n * TRIGRAM_BINS).reshape(n, -1) / size)
     space = _SPACE[raw]
     first = np.zeros(len(raw), bool)
     first[starts[length > 0]] = True
