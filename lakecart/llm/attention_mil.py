@@ -104,14 +104,15 @@ def passage_features(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> t
     h = np.add.reduceat(val, ws)
     h ^= h >> np.uint64(29)
     wp, wsec = pid[ws], sec[ws]
-    words = np.bincount(wp, minlength=n) + SHRINK / 8
+    n_words = np.bincount(wp, minlength=n)
+    words = n_words + SHRINK / 8
 
     def share(flag, of):
         return np.bincount(of, weights=flag, minlength=n) / words
 
     f = x[:, N_CLS + TRIGRAM_BINS:]
     f[:, 0] = np.minimum(share(n_chars, wp) / 10, 5)
-    f[:, 1] = np.log1p(words) / 6
+    f[:, 1] = np.log1p(n_words) / 6
     f[:, 2] = share(_repeats(h ^ (wp.astype(np.uint64) * _NGRAM[5])), wp)
     if len(ws) > 1:
         f[:, 3] = share((h[1:] == h[:-1]) & (wsec[1:] == wsec[:-1]), wp[1:])
