@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakecart.functions.clean import safe_suffix, suffix_email, suffix_name, suffix_sku
+from lakecart.functions.clean import run_tag, suffix_email, suffix_name, suffix_sku
 from lakecart.functions.ids import dense_row_id
+from lakecart.schemas import INSERT_ORDER, spec
 
 
 class MissingKeyError(KeyError):
@@ -43,8 +44,8 @@ def remap_column(child: DataFrame, column: str, key_map: DataFrame, check: bool
 
 def append_suffix(categories: DataFrame | None, products: DataFrame | None, users: DataFrame | None,
                   run_id: str) -> dict[str, DataFrame]:
-    """Make text keys unique for an append load: ``name sfx``, ``sku-sfx``, ``local+sfx@domain``."""
-    sfx = safe_suffix(run_id)
+    """Make text keys unique for an append load: ``name tag``, ``sku-tag``, ``local+tag@domain``."""
+    sfx = run_tag(run_id)
     out = {}
     if categories is not None:
         out["categories"] = categories.withColumn("name", suffix_name("name", sfx))
@@ -53,3 +54,29 @@ def append_suffix(categories: DataFrame | None, products: DataFrame | None, user
     if users is not None:
         out["users"] = users.withColumn("email", suffix_email("email", sfx))
     return out
+
+
+def append_frames(frames: dict[str, DataFrame], last_ids: dict[str, int], run_id: str) -> dict[str, DataFrame]:
+    """The tables of an append load, with text keys and ids that the target doesn't hold yet.
+
+    ``last_ids``: the largest primary key of each target table (0 if empty).
+    The i-th row of a table, in the order of its old key, gets id last + i:
+    ids are given out here and not by the target, so parallel inserts can't
+    disturb them, and every child column that refers to a loaded parent is
+    remapped to the parent's new id (a child without its parent is an error).
+    The result is in parent-first order.
+    """
+    text = append_suffix(frames.get("categories"), frames.get("products"), frames.get("users"), run_id)
+    maps: dict[str, DataFrame] = {}
+    out: dict[str, DataFrame] = {}
+    for t in (t for t in INSERT_ORDER if t in frames):
+        s = spec(t)
+        pk = s.primary_key
+        df = text.get(t, frames[t])
+        numbered = dense_row_id(df.select(pk), [pk], "_i")
+        maps[t] = numbered.select(F.col(pk).alias("position"), (F.col("_i") + F.lit(int(last_ids.get(t, 0)))).alias("new_id"))
+        for fk in s.foreign_keys:
+            if fk.parent in maps:
+                df = remap_column(df, fk.column, maps[fk.parent])
+        out[t] = remap_column(df, pk, maps[t], check=False)
+    return out

@@ -12,7 +12,7 @@ columns the mapping leaves out:
   ``order_items.order_item_id`` (one shipping event per line item).
 
 Row ids that the mapping defines by a global ORDER BY (categories, line items)
-come from ``dense_row_id`` and are checkpointed once per session.
+come from ``dense_row_id`` and are written once per session.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakecart.functions.clean import clean_text, clean_trim
+from lakecart.functions.extract_text import extract_text
 from lakecart.functions.ids import dense_row_id
 from lakecart.schemas import SILVER_TYPES, spec
 
@@ -288,29 +289,18 @@ def fixture_silver(spark: SparkSession, sf_dir: str, table: str, with_ids: bool
     return silver_equivalent(source_table(spark, sf_dir, table, with_ids), table)
 
 
-def ts_text(c: str | Column) -> Column:
-    """Source timestamp text: ``yyyy-MM-dd HH:mm:ss[.ffffff]+00`` (fraction only when non-zero)."""
-    col = F.col(c) if isinstance(c, str) else c
-    frac = F.regexp_replace(F.date_format(col, "SSSSSS"), "0+$", "")
-    frac = F.when(frac == "", F.lit("")).otherwise(F.concat(F.lit("."), frac))
-    return F.concat(F.date_format(col, "yyyy-MM-dd HH:mm:ss"), frac, F.lit("+00"))
-
-
 def raw_text(source: DataFrame, table: str) -> DataFrame:
-    """The source table as its extract writes it: bronze column types, text padded.
+    """The source table as its extract writes it: time columns as zoned text, texts padded.
 
-    Timestamps and dates become zoned text, text columns get one blank on each
-    side (silver must trim it), numbers keep their type.
+    Text columns get one blank on each side (silver must trim it), numbers keep their type.
     """
-    s = spec(table)
-    cols = []
-    for c, kind in s.columns:
-        if kind in ("str", "text"):
-            cols.append(F.concat(F.lit(" "), F.col(c), F.lit(" ")).alias(c))
-        elif kind == "ts":
-            cols.append(ts_text(c).alias(c))
-        elif kind == "date":
-            cols.append(ts_text(F.col(c).cast("timestamp_ntz")).alias(c))
-        else:
-            cols.append(F.col(c))
-    return source.select(*cols)
+    padded = [F.concat(F.lit(" "), F.col(c), F.lit(" ")).alias(c) if kind in ("str", "text") else F.col(c)
+              for c, kind in spec(table).columns]
+    return extract_text(source.select(*padded), table)
+
+
+def typed_source(source: DataFrame, table: str) -> DataFrame:
+    """The source table with the types a relational driver delivers: instants, days and exact amounts."""
+    kinds = {"ts": "timestamp", "date": "date", "double": "decimal(12,2)"}
+    return source.select(*[F.col(c).cast(kinds[kind]).alias(c) if kind in kinds else F.col(c)
+                           for c, kind in spec(table).columns])

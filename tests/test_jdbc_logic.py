@@ -15,7 +15,7 @@ def _stub_reader(monkeypatch, spark, bounds):
         calls.append(dict(table=table, column=column, lower=lowerBound, upper=upperBound, parts=numPartitions,
                           props=properties))
         if "MIN(" in table:
-            return spark.createDataFrame([bounds], "lo bigint, hi bigint")
+            return spark.createDataFrame([bounds], "lo bigint, hi bigint, n bigint")
         return spark.createDataFrame([], cols)
 
     monkeypatch.setattr(DataFrameReader, "jdbc", fake_jdbc)
@@ -23,7 +23,7 @@ def _stub_reader(monkeypatch, spark, bounds):
 
 
 def test_extract_reads_primary_key_ranges(spark, monkeypatch):
-    calls = _stub_reader(monkeypatch, spark, (10, 500))
+    calls = _stub_reader(monkeypatch, spark, (10, 500, 200))
     df = jdbc.extract_jdbc(spark, "jdbc:x://db", "orders", {"user": "u"}, num_partitions=16)
     assert df.columns == spec("orders").column_names
     assert "MIN(order_id)" in calls[0]["table"] and "MAX(order_id)" in calls[0]["table"]
@@ -34,7 +34,7 @@ def test_extract_reads_primary_key_ranges(spark, monkeypatch):
 
 
 def test_extract_empty_table_reads_without_ranges(spark, monkeypatch):
-    calls = _stub_reader(monkeypatch, spark, (None, None))
+    calls = _stub_reader(monkeypatch, spark, (None, None, 0))
     jdbc.extract_jdbc(spark, "jdbc:x://db", "orders", {})
     assert calls[1]["column"] is None and calls[1]["parts"] is None
 
@@ -45,23 +45,44 @@ def test_unknown_table_refused(spark):
         jdbc.extract_jdbc(spark, "jdbc:x://db", "foo", {})
 
 
-def test_load_order_truncate_children_first(spark, monkeypatch):
+def _stub_loads(monkeypatch):
     events = []
-    monkeypatch.setattr(jdbc, "load_jdbc", lambda df, url, t, props, mode="append", **kw: events.append((t, mode)))
+    monkeypatch.setattr(jdbc, "run_sql", lambda spark, url, props, sql: events.extend(("sql", s.split("(")[0].strip()) for s in sql))
+    monkeypatch.setattr(jdbc, "load_jdbc", lambda df, url, t, props, **kw: events.append(("insert", t)))
     monkeypatch.setattr(jdbc, "load_row_count", lambda s, url, t, props: 0)
-    frames = {t: spark.range(1) for t in ("orders", "users", "order_items")}
-    jdbc.load_all(frames, "jdbc:x://db", {}, mode="truncate")
-    truncs = [t for t, m in events if m == "truncate"]
-    inserts = [t for t, m in events if m == "append"]
-    assert truncs == ["order_items", "orders", "users"]
-    assert inserts == [t for t in INSERT_ORDER if t in frames] == ["users", "orders", "order_items"]
+    monkeypatch.setattr(jdbc, "last_id", lambda s, url, t, props: 100)
+    return events
+
+
+def test_truncate_empties_before_parents_are_inserted_first(spark, monkeypatch):
+    events = _stub_loads(monkeypatch)
+    jdbc.load_all({t: spark.range(1) for t in ("orders", "users", "order_items")}, "jdbc:x://db", {}, mode="truncate")
+    assert events[0] == ("sql", "TRUNCATE TABLE order_items, orders, users RESTART IDENTITY CASCADE")
+    inserts = [t for kind, t in events if kind == "insert"]
+    assert inserts == [t for t in INSERT_ORDER if t in inserts] == ["users", "orders", "order_items"]
+    assert events[-1][1].startswith("SELECT setval")
+
+
+def test_fresh_recreates_children_first(spark, monkeypatch):
+    events = _stub_loads(monkeypatch)
+    jdbc.load_all({t: spark.range(1) for t in ("categories", "products")}, "jdbc:x://db", {}, mode="fresh")
+    assert [e for e in events if "TABLE" in e[1]] == [
+        ("sql", "DROP TABLE IF EXISTS products CASCADE"), ("sql", "DROP TABLE IF EXISTS categories CASCADE"),
+        ("sql", "CREATE TABLE categories"), ("sql", "CREATE TABLE products")]
+
+
+def test_append_gives_out_new_ids(spark, monkeypatch):
+    events, sent = _stub_loads(monkeypatch), {}
+    monkeypatch.setattr(jdbc, "load_jdbc", lambda df, url, t, props, **kw: sent.update({t: df}))
+    users = spark.createDataFrame([(1, "a@x.y"), (2, "b@x.y")], "user_id bigint, email string")
+    jdbc.load_all({"users": users}, "jdbc:x://db", {}, mode="append", run_id="r")
+    assert sorted(r.user_id for r in sent["users"].collect()) == [101, 102]
+    assert not any("TABLE" in s for _, s in events)
+    import pytest
+    with pytest.raises(ValueError):  # without a run id keys could collide
+        jdbc.load_all({"users": users}, "jdbc:x://db", {}, mode="append")
 
 
-def test_fresh_load_recreates_children_first(spark, monkeypatch):
-    events = []
-    monkeypatch.setattr(jdbc, "load_jdbc", lambda df, url, t, props, mode="append", **kw: events.append((t, mode)))
-    monkeypatch.setattr(jdbc, "load_row_count", lambda s, url, t, props: 0)
-    frames = {t: spark.range(1) for t in ("categories", "products", "order_items")}
-    jdbc.load_all(frames, "jdbc:x://db", {}, mode="fresh")
-    assert [t for t, m in events if m == "fresh"] == ["order_items", "products", "categories"]
-    assert [t for t, m in events if m == "append"] == ["categories", "products", "order_items"]
+def test_ranges_follow_rows_and_width():
+    assert jdbc.extract_partitions("orders", 0) == 1
+    assert jdbc.extract_partitions("product_reviews", 10**9) > 10 * jdbc.extract_partitions("order_items", 10**9) > 1000
