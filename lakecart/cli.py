@@ -7,7 +7,8 @@
     python -m lakecart.cli gold    --root R
     python -m lakecart.cli check   --root R [--fail]
     python -m lakecart.cli report  NAME --root R               # daily_revenue, top_customers, ...
-    python -m lakecart.cli load    --root R --jdbc-url URL --mode append|truncate|fresh ...
+    python -m lakecart.cli load    --root R --jdbc-url URL --mode append|truncate|fresh --run-id ID ...
+    python -m lakecart.cli prune   --root R [--keep N]         # remove old table versions
     python -m lakecart.cli build   --root R [--run-date D]     # bronze, silver, gold, check in one run
 
 Each step finds the previous step's output under ``--root`` (newest committed
@@ -57,10 +58,12 @@ def cmd_bronze(spark, args):
 
 def cmd_clean_raw(spark, args):
     from lakecart.sinks.files import clean_raw_csv
+    from lakecart.sources.bronze import raw_file_inventory
     layout = _layout(args)
     counts = clean_raw_csv(spark, layout.raw, f"{layout.root.rstrip('/')}/raw_clean", args.tables or TABLE_NAMES)
     for t, n in counts.items():
         print(f"{t:<20} {n:>12}")
+    raw_file_inventory(spark, f"{layout.root.rstrip('/')}/raw_clean", "raw_clean").orderBy("file_path").show(1000, truncate=False)
 
 
 def cmd_silver(spark, args):
@@ -84,8 +87,11 @@ def cmd_gold(spark, args):
 def cmd_check(spark, args):
     from lakecart.operators.quality import enforce, run_checks
     from lakecart.plans.medallion import current_tables, read_silver
+    from lakecart.sources.bronze import path_exists, read_bronze, table_path
     layout = _layout(args)
-    report = run_checks(read_silver(spark, current_tables(spark, layout.silver_root, TABLE_NAMES)))
+    silver = read_silver(spark, current_tables(spark, layout.silver_root, TABLE_NAMES))
+    raw = {t: read_bronze(spark, layout.raw, t, as_text=True) for t in silver if path_exists(spark, table_path(layout.raw, t))}
+    report = run_checks(silver, raw)
     report.orderBy("table_name", "rule").show(1000, truncate=False)
     if args.fail:
         enforce(report)
@@ -123,14 +129,25 @@ def cmd_report(spark, args):
 
 def cmd_load(spark, args):
     from lakecart.plans.medallion import current_tables, read_silver
+    from lakecart.plans.medallion import one_snapshot
     from lakecart.sources.jdbc import load_all
     layout = _layout(args)
     silver = read_silver(spark, current_tables(spark, layout.silver_root, args.tables or TABLE_NAMES))
-    frames = {t: df.drop("dt") for t, df in silver.items()}
-    for t, n in load_all(frames, args.jdbc_url, _jdbc_props(args), mode=args.mode).items():
+    frames = {t: one_snapshot(df, args.run_date) for t, df in silver.items()}
+    for t, n in load_all(frames, args.jdbc_url, _jdbc_props(args), mode=args.mode, run_id=args.run_id).items():
         print(f"{t:<20} {n:>12}")
 
 
+def cmd_prune(spark, args):
+    from lakecart.schemas import GOLD_TABLES
+    from lakecart.sinks.files import prune_versions
+    layout = _layout(args)
+    for root, names in ((layout.silver_root, TABLE_NAMES), (layout.gold_root, (*GOLD_TABLES, "top_products_exact"))):
+        for name in names:
+            for folder in prune_versions(spark, root, name, keep=args.keep):
+                print("removed", folder)
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="lakecart")
     sub = p.add_subparsers(dest="cmd", required=True)
@@ -143,7 +160,8 @@ def parser() -> argparse.ArgumentParser:
         "gold": "build the six gold marts from the newest silver tables",
         "check": "run the data-quality checks over silver and print the report",
         "report": "print one report query",
-        "load": "load silver tables into a relational target over JDBC",
+        "load": "load one snapshot of silver into a relational target over JDBC",
+        "prune": "delete old version folders of silver and gold tables",
         "build": "bronze, silver, gold and checks in one run",
     }
 
@@ -160,7 +178,7 @@ def parser() -> argparse.ArgumentParser:
         return sp
 
     add("extract", cmd_extract, jdbc=True).add_argument("--run-date", required=True)
-    sub.choices["extract"].add_argument("--partitions", type=int, default=64)
+    sub.choices["extract"].add_argument("--partitions", type=int, help="key ranges per table (default: from rows and row width)")
     add("bronze", cmd_bronze).add_argument("--run-date")
     add("clean-raw", cmd_clean_raw)
     s = add("silver", cmd_silver)
@@ -170,7 +188,11 @@ def parser() -> argparse.ArgumentParser:
     add("check", cmd_check).add_argument("--fail", action="store_true", help="exit non-zero on violations")
     r = add("report", cmd_report)
     r.add_argument("name", choices=sorted(REPORTS))
-    add("load", cmd_load, jdbc=True).add_argument("--mode", choices=["append", "truncate", "fresh"], default="append")
+    ld = add("load", cmd_load, jdbc=True)
+    ld.add_argument("--mode", choices=["append", "truncate", "fresh"], default="append")
+    ld.add_argument("--run-date", help="snapshot to load (default: the newest)")
+    ld.add_argument("--run-id", help="tells this append load's keys from those of other loads (needed for append)")
+    add("prune", cmd_prune).add_argument("--keep", type=int, default=2, help="published versions kept besides the current one")
     b = add("build", cmd_build)
     b.add_argument("--run-date")
     b.add_argument("--strict", action="store_true")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lakecart.functions.clean import (cast_lost, clean_date, clean_text, clean_trim, clean_ts,
                                       to_bigint, to_double, to_int)
 from lakecart.schemas import spec
+from lakecart.sources.bronze import MALFORMED
 
 
 def silver_column(column: str, kind: str, strict: bool = False) -> Column:
@@ -39,12 +40,20 @@ def silver_select(bronze: DataFrame, table: str, strict: bool = False) -> DataFr
     return bronze.select(*cols, F.col("dt"))
 
 
-def cast_loss_counts(bronze: DataFrame, table: str) -> DataFrame:
-    """(table_name, rule, violations): non-blank time text that the silver cast turned into NULL."""
-    s = spec(table)
-    checked = [(c, k) for c, k in s.columns if k in ("ts", "date")]
-    aggs = [F.count_if(cast_lost(c, silver_column(c, k))).alias(c) for c, k in checked]
-    wide = bronze.agg(*aggs)
-    stack = ", ".join(f"'cast_loss({c})', `{c}`" for c, _ in checked)
-    return wide.selectExpr(f"'{table}' AS table_name",
-                           f"stack({len(checked)}, {stack}) AS (rule, violations)")
+def loss_rules(table: str) -> list[tuple[str, Column]]:
+    """What the silver projection loses, as predicates over the all-text scan of bronze.
+
+    One rule for each column that is cast (non-blank text that becomes NULL),
+    and one for records with a wrong number of fields.
+    """
+    rules = [(f"cast_loss({c})", cast_lost(c, silver_column(c, k)))
+             for c, k in spec(table).columns if k not in ("str", "text")]
+    return [*rules, ("field_count", F.col(MALFORMED).isNotNull())]
+
+
+def cast_loss_counts(text_bronze: DataFrame, table: str) -> DataFrame:
+    """(table_name, rule, violations) of ``loss_rules`` in one pass over ``read_bronze(.., as_text=True)``."""
+    rules = loss_rules(table)
+    wide = text_bronze.agg(*[F.count_if(lost).alias(f"c{i}") for i, (_, lost) in enumerate(rules)])
+    stack = ", ".join(f"'{name}', c{i}" for i, (name, _) in enumerate(rules))
+    return wide.selectExpr(f"'{table}' AS table_name", f"stack({len(rules)}, {stack}) AS (rule, violations)")

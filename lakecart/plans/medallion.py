@@ -8,17 +8,18 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakecart.operators.gold import MART_SORT_KEYS, build_marts, top_products_exact
-from lakecart.functions.clean import cast_lost
-from lakecart.operators.silver import silver_column, silver_select
+from lakecart.functions.extract_text import extract_text
+from lakecart.operators.silver import loss_rules, silver_select
 from lakecart.schemas import GOLD_TABLES, TABLE_NAMES, spec
 from lakecart.jobs import per_table
 from lakecart.session import scratch_dir
-from lakecart.sinks.files import current_location, land_csv, write_table
+from lakecart.sinks.files import current_location, land_csv, publish, write_table, write_version
 from lakecart.sources.bronze import latest_snapshot, read_bronze, register_bronze_table
 
 
@@ -58,10 +59,13 @@ class ParityError(RuntimeError):
 
 
 def extract(sources: dict[str, DataFrame], layout: Layout, run_date: str) -> dict[str, int]:
-    """Land each source table as the ``dt=run_date`` snapshot; returns observed row counts."""
+    """Land each source table as the ``dt=run_date`` snapshot; returns observed row counts.
+
+    Time columns may be typed or text; they land as zoned text either way.
+    """
     for table in sources:
         spec(table)
-    return per_table(lambda t: land_csv(sources[t], layout.raw, t, run_date), sources)
+    return per_table(lambda t: land_csv(extract_text(sources[t], t), layout.raw, t, run_date), sources)
 
 
 def build_bronze(spark: SparkSession, layout: Layout, tables=TABLE_NAMES, snapshot: str | None = None) -> dict[str, str]:
@@ -74,13 +78,13 @@ def build_bronze(spark: SparkSession, layout: Layout, tables=TABLE_NAMES, snapsh
 
 def bronze_frame(spark: SparkSession, layout: Layout, table: str, strict: bool = False,
                  snapshot: str = "all") -> DataFrame:
-    """A bronze table's rows for silver.
+    """A bronze table's rows for silver, every column as text: silver does the casts and counts what they lose.
 
     ``snapshot="all"`` reads every landed ``dt`` (the warehouse behaviour:
     repeated full extracts pile up); ``"latest"`` keeps only the newest
     registered snapshot, pruned at the file listing.
     """
-    bronze = read_bronze(spark, layout.raw, table, strict=strict)
+    bronze = read_bronze(spark, layout.raw, table, strict=strict, as_text=True)
     if snapshot == "latest":
         return bronze.where(F.col("dt") == F.lit(latest_snapshot(spark, f"{layout.bronze_db}.{table}")))
     if snapshot != "all":
@@ -119,12 +123,17 @@ def parity_frame(frames: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
 
 
 def build_silver(spark: SparkSession, layout: Layout, tables=TABLE_NAMES, strict: bool = False,
-                 verify: bool = True, snapshot: str = "all", metrics: dict | None = None) -> dict[str, str]:
-    """Rebuild silver Parquet for ``tables``; raise ParityError on any row-count mismatch.
+                 verify: bool = True, snapshot: str = "all", metrics: dict | None = None,
+                 extracted: tuple[str, dict[str, int]] | None = None) -> dict[str, str]:
+    """Rebuild silver Parquet for ``tables``: write, count, compare, and only then publish.
+
+    Every table must hold as many rows as bronze delivered and, with
+    ``extracted`` = (dt, rows per table), as many rows of that snapshot as the
+    extract landed.  On any mismatch ParityError is raised and every table
+    stays at its previous version.
 
-    ``metrics`` (if given) receives, per table, the bronze row count and the
-    number of non-blank time values the cast turned into NULL
-    (``cast_loss(column)``), observed in the same pass that writes silver.
+    ``metrics`` (if given) receives, per table, the bronze row count and what
+    the casts lost (``loss_rules``), observed in the pass that writes silver.
     """
     observed: dict[str, Observation] = {}
 
@@ -133,19 +142,24 @@ def build_silver(spark: SparkSession, layout: Layout, tables=TABLE_NAMES, strict
         # silver rows are counted from the written files.
         observed[t] = Observation(f"bronze_{t}_{uuid.uuid4().hex[:8]}")
         bronze = bronze_frame(spark, layout, t, strict, snapshot)
-        losses = [F.count_if(cast_lost(c, silver_column(c, k))).alias(f"cast_loss({c})")
-                  for c, k in spec(t).columns if k in ("ts", "date")]
+        losses = [F.count_if(lost).alias(name) for name, lost in loss_rules(t)]
         bronze = bronze.observe(observed[t], F.count(F.lit(1)).alias("rows"), *losses)
-        return write_table(spark, silver_select(bronze, t, strict=strict), layout.silver_db, t, layout.silver_root)
+        return write_version(silver_select(bronze, t, strict=strict), t, layout.silver_root)
 
     locations = per_table(build, tables)
     if metrics is not None:
         metrics.update({t: dict(observed[t].get) for t in tables})
     if verify:
-        silver_rows = {r.table_name: r.row_count for r in table_row_counts(spark, locations).collect()}
-        bad = [t for t in tables if int(observed[t].get.get("rows", 0) or 0) != silver_rows.get(t)]
+        dt, landed = extracted or (None, {})
+        frames = [spark.read.parquet(loc).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("dt") == F.lit(dt)).alias("day"))
+                  .select(F.lit(t).alias("t"), "n", "day") for t, loc in locations.items()]
+        counts = {r.t: r for r in reduce(DataFrame.unionByName, frames).collect()}
+        bad = [t for t in tables if int(observed[t].get["rows"]) != counts[t].n
+               or t in landed and landed[t] != counts[t].day]
         if bad:
             raise ParityError("Silver row count mismatch: " + ", ".join(bad))
+    for t, location in locations.items():
+        publish(spark, layout.silver_db, t, location)
     return locations
 
 
@@ -153,8 +167,15 @@ def read_silver(spark: SparkSession, locations: dict[str, str]) -> dict[str, Dat
     return {t: spark.read.parquet(loc) for t, loc in locations.items()}
 
 
+def one_snapshot(silver: DataFrame, dt: str | None = None) -> DataFrame:
+    """The rows of one snapshot (default: the newest), without ``dt``, as a relational load needs them."""
+    if dt is None:
+        dt = silver.agg(F.max("dt")).first()[0]
+    return silver.where(F.col("dt") == F.lit(dt)).drop("dt")
+
+
 def current_tables(spark: SparkSession, root: str, names) -> dict[str, str]:
-    """Newest committed location of each named table under ``root`` (missing ones left out)."""
+    """Newest published location of each named table under ``root`` (missing ones left out)."""
     found = {n: current_location(spark, root, n) for n in names}
     return {n: loc for n, loc in found.items() if loc}
 
@@ -175,7 +196,7 @@ def run_all(spark: SparkSession, sources: dict[str, DataFrame], layout: Layout,
     counts = extract(sources, layout, run_date)
     build_bronze(spark, layout, tuple(sources), snapshot=run_date)
     metrics: dict = {}
-    silver_locs = build_silver(spark, layout, tuple(sources), metrics=metrics)
+    silver_locs = build_silver(spark, layout, tuple(sources), metrics=metrics, extracted=(run_date, counts))
     gold_locs = build_gold(spark, layout, read_silver(spark, silver_locs))
     return {"extract_counts": counts, "silver": silver_locs, "gold": gold_locs, "silver_metrics": metrics}
 

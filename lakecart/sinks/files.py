@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lakecart.functions.clean import whitespace_all
 from lakecart.jobs import per_table
 from lakecart.schemas import spec
-from lakecart.sources.bronze import read_bronze, table_path
+from lakecart.sources.bronze import MALFORMED, read_bronze, table_path
 
 CSV_WRITE_OPTIONS = {
     "header": "true",
@@ -23,82 +23,94 @@ CSV_WRITE_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
     "encoding": "UTF-8",
 }
-# multiLine CSV cannot be split on read, so cap file size at write time.
-# Spark caps files by records, not bytes: tables with free-text columns (rows
-# up to a few hundred KB) get a much smaller record cap than narrow tables.
-MAX_RECORDS_PER_FILE = 2_000_000
-MAX_RECORDS_PER_FILE_TEXT = 20_000
+# Marks a version folder that readers may use.
+PUBLISHED = "_PUBLISHED"
 
 
-def records_per_file(table: str) -> int:
-    return MAX_RECORDS_PER_FILE_TEXT if any(k == "text" for _, k in spec(table).columns) else MAX_RECORDS_PER_FILE
+def sized(df: DataFrame) -> DataFrame:
+    """``df`` in output partitions of about ``spark.sql.adaptive.advisoryPartitionSizeInBytes``.
 
+    A hint, so adaptive execution splits large and joins small partitions by
+    their measured bytes while the write itself runs: nothing is computed
+    beforehand.  File sizes, and so the tasks of a later multiLine read (one
+    per file), follow the bytes of the rows, whatever their number.
+    """
+    return df.hint("rebalance")
 
-# An extract arriving in fewer partitions than this is spread before landing.
-SPREAD_FILES = 64
 
+def _observed_rows(obs: Observation) -> int:
+    """The row count of a finished write; a missing metric is an error, not a zero."""
+    return int(obs.get["rows"])
 
-def spread(df: DataFrame, min_files: int | None = None) -> DataFrame:
-    """Round-robin an under-partitioned frame into ``min_files`` partitions.
 
-    multiLine CSV is read one file per task, so the file count written now is
-    the read parallelism later.  The target is small on purpose: large
-    extracts are already bounded per file by MAX_RECORDS_PER_FILE, and a frame
-    that has enough partitions (a partitioned JDBC extract, a large scan) is
-    left alone, so no shuffle is added where it would cost.
-    """
-    target = min_files or min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_FILES)
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+def _has_csv(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/*.csv")
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
 
 
-def land_csv(df: DataFrame, base: str, table: str, dt: str, overwrite: bool = True,
-             min_files: int | None = None) -> int:
+def land_csv(df: DataFrame, base: str, table: str, dt: str, overwrite: bool = True) -> int:
     """Write one snapshot to ``{base}/{table}/dt={dt}/`` and return its row count.
 
-    Only the ``dt`` partition being written is replaced (dynamic partition
-    overwrite), so earlier snapshots stay.  The count is observed during the
-    write itself, so it always describes what was written.  An empty snapshot
-    still gets a header-only file.
+    With ``overwrite`` only the ``dt`` partition being written is replaced
+    (dynamic partition overwrite), so earlier snapshots stay; without, rows
+    are added to it.  The count is observed during the write itself, so it
+    always describes what was written.  A snapshot without any row still gets
+    a header-only file; adding nothing to a day leaves the day as it is.
     """
     obs = Observation(f"land_{table}_{uuid.uuid4().hex[:8]}")
-    observed = spread(df, min_files).observe(obs, F.count(F.lit(1)).alias("rows"))
+    observed = sized(df).observe(obs, F.count(F.lit(1)).alias("rows"))
     (observed.withColumn("dt", F.lit(dt))
         .write.mode("overwrite" if overwrite else "append")
         .option("partitionOverwriteMode", "dynamic")
-        .option("maxRecordsPerFile", records_per_file(table))
         .options(**CSV_WRITE_OPTIONS)
         .partitionBy("dt")
         .csv(table_path(base, table)))
-    rows = int(obs.get.get("rows", 0) or 0)
-    if rows == 0:
+    rows = _observed_rows(obs)
+    folder = f"{table_path(base, table)}/dt={dt}"
+    if rows == 0 and (overwrite or not _has_csv(df.sparkSession, folder)):
         # partitionBy writes no file for an empty frame; write the header directly.
-        (df.limit(0).coalesce(1).write.mode("overwrite").options(**CSV_WRITE_OPTIONS)
-           .csv(f"{table_path(base, table)}/dt={dt}"))
+        (df.limit(0).coalesce(1).write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(folder))
     return rows
 
 
-def write_table(spark: SparkSession, df: DataFrame, database: str, name: str, root: str,
-                sort_within: list[str] | None = None) -> str:
-    """Build a Parquet table at a fresh location, then point the catalog at it.
-
-    Writing to a new directory keeps a rebuild safe when ``df`` reads the
-    table it replaces; readers see the old or the new version, never a
-    half-cleared one.  Returns the new location.
-    """
-    # Version folders sort by creation time; readers take the newest committed one.
+def write_version(df: DataFrame, name: str, root: str, sort_within: list[str] | None = None) -> str:
+    """Write a Parquet table to a fresh version folder that no reader uses yet; returns it."""
+    # Version folders sort by creation time; readers take the newest published one.
     location = f"{root.rstrip('/')}/{name}/v-{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
     writer_df = df.sortWithinPartitions(*sort_within) if sort_within else df
     writer_df.write.mode("overwrite").parquet(location)
+    return location
+
+
+def publish(spark: SparkSession, database: str, name: str, location: str) -> None:
+    """Make a written version the table: mark it, then point the catalog at it."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    marker = jvm.org.apache.hadoop.fs.Path(f"{location}/{PUBLISHED}")
+    marker.getFileSystem(conf).create(marker, True).close()
     full = f"{database}.{name}"
+    schema = spark.read.parquet(location).schema
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    if spark.catalog.tableExists(full) and _same_columns(spark.table(full).schema, writer_df.schema):
+    if spark.catalog.tableExists(full) and _same_columns(spark.table(full).schema, schema):
         # One catalog change: readers resolve the old location or the new one.
         spark.sql(f"ALTER TABLE {full} SET LOCATION '{location}'")
         spark.sql(f"REFRESH TABLE {full}")
     else:
         spark.sql(f"DROP TABLE IF EXISTS {full}")
         # The schema is known: registering with it skips inference from the files.
-        spark.catalog.createTable(full, path=location, source="parquet", schema=writer_df.schema)
+        spark.catalog.createTable(full, path=location, source="parquet", schema=schema)
+
+
+def write_table(spark: SparkSession, df: DataFrame, database: str, name: str, root: str,
+                sort_within: list[str] | None = None) -> str:
+    """Build a Parquet table at a fresh location, then point the catalog at it.
+
+    Writing to a new directory keeps a rebuild safe when ``df`` reads the
+    table it replaces; readers see the old or the new version, never a
+    half-cleared one.  Returns the new location.
+    """
+    location = write_version(df, name, root, sort_within)
+    publish(spark, database, name, location)
     return location
 
 
@@ -115,43 +127,73 @@ def dump_csv(frames: dict[str, DataFrame], out_dir: str) -> dict[str, int]:
         obs = Observation(f"dump_{name}_{uuid.uuid4().hex[:8]}")
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
           .options(**CSV_WRITE_OPTIONS).csv(f"{out_dir.rstrip('/')}/{name}")
-        return int(obs.get.get("rows", 0) or 0)
+        return _observed_rows(obs)
 
     return {name: n for name, n in per_table(dump, frames).items() if n is not None}
 
 
+class MalformedRecords(ValueError):
+    """Raw records with too few or too many fields."""
+
+
 def clean_raw_csv(spark: SparkSession, raw_root: str, clean_root: str, tables) -> dict[str, int]:
     """Rewrite raw CSV with every field's whitespace runs collapsed to one space and stripped.
 
     Reads all columns as text, keeps the ``dt`` layout, writes under
-    ``clean_root`` (raw files are never rewritten in place).  Returns rows per table.
+    ``clean_root`` (raw files are never rewritten in place).  Returns rows per
+    table; ``raw_file_inventory`` over ``clean_root`` gives them per file.
+    Records whose number of fields is wrong can't be rewritten field by field:
+    they are counted in the same pass and make the call fail.
     """
     def clean(t: str) -> int:
         raw = read_bronze(spark, raw_root, t, as_text=True)
-        cleaned = raw.select(*[whitespace_all(c).alias(c) for c in raw.columns if c != "dt"], "dt")
         obs = Observation(f"clean_{t}_{uuid.uuid4().hex[:8]}")
-        (cleaned.observe(obs, F.count(F.lit(1)).alias("rows"))
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .option("maxRecordsPerFile", records_per_file(t))
+        seen = raw.observe(obs, F.count(F.lit(1)).alias("rows"), F.count(MALFORMED).alias("malformed"))
+        cleaned = seen.select(*[whitespace_all(c).alias(c) for c in spec(t).column_names], "dt")
+        (cleaned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .options(**CSV_WRITE_OPTIONS).partitionBy("dt").csv(table_path(clean_root, t)))
-        return int(obs.get.get("rows", 0) or 0)
+        if obs.get["malformed"]:
+            raise MalformedRecords(f"{t}: {obs.get['malformed']} records have a wrong number of fields")
+        return _observed_rows(obs)
 
     return per_table(clean, tables)
 
 
-def current_location(spark: SparkSession, root: str, name: str) -> str | None:
-    """Newest committed version folder of a layer table (one with ``_SUCCESS``), by listing.
-
-    Lets a new process find tables without a persistent metastore.
-    """
+def _versions(spark: SparkSession, root: str, name: str) -> list[tuple[str, bool]]:
+    """(folder, published) of a layer table's versions, newest first, by listing."""
     jvm = spark.sparkContext._jvm
     base = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{name}")
     fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(base):
-        return None
-    versions = sorted((st.getPath().getName() for st in fs.listStatus(base)
-                       if st.isDirectory() and st.getPath().getName().startswith("v-")), reverse=True)
-    for v in versions:
-        if fs.exists(jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{name}/{v}/_SUCCESS")):
-            return f"{root.rstrip('/')}/{name}/{v}"
-    return None
+        return []
+    names = sorted((st.getPath().getName() for st in fs.listStatus(base)
+                    if st.isDirectory() and st.getPath().getName().startswith("v-")), reverse=True)
+    folders = [f"{root.rstrip('/')}/{name}/{v}" for v in names]
+    return [(f, fs.exists(jvm.org.apache.hadoop.fs.Path(f"{f}/{PUBLISHED}"))) for f in folders]
+
+
+def current_location(spark: SparkSession, root: str, name: str) -> str | None:
+    """Newest published version folder of a layer table, by listing.
+
+    Lets a new process find tables without a persistent metastore.
+    """
+    return next((folder for folder, published in _versions(spark, root, name) if published), None)
+
+
+def prune_versions(spark: SparkSession, root: str, name: str, keep: int = 2) -> list[str]:
+    """Delete a layer table's old version folders; returns them.
+
+    The current version and the ``keep`` published ones before it stay, and so
+    does anything newer than the current one (it may be being written).
+    """
+    versions = _versions(spark, root, name)
+    current = next((i for i, (_, published) in enumerate(versions) if published), None)
+    if current is None:
+        return []
+    older = versions[current + 1:]
+    stay = [f for f, published in older if published][:keep]
+    gone = [f for f, _ in older if f not in stay]
+    for f in gone:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    return gone

@@ -1,45 +1,55 @@
-"""Incremental silver: newly landed bronze snapshots cast and cleaned as they arrive.
+"""Incremental silver: snapshots cast and cleaned as they land or land again.
 
 The warehouse rebuilds silver in full on every run.  The same projection can
-run as a Structured Streaming query over the raw folder: each new
-``dt=..`` file is read once (the file source keeps the processed-file log in
-the checkpoint), cleaned with ``silver_select`` and appended to a Parquet
-folder.  ``availableNow`` processes what has landed and stops, so a daily
-scheduler can run it like a batch job; the checkpoint makes re-runs and
-executor loss safe (files are never processed twice).
+run as a Structured Streaming query over the raw folder: new files name the
+days they belong to, and each such day is read from bronze in full and
+replaces that day in silver (dynamic partition overwrite).  A day that lands
+again therefore replaces its rows and never doubles them, and repeating a
+batch after a failure changes nothing.  ``availableNow`` processes what has
+landed and stops, so a daily scheduler can run it like a batch job.
+
+The output is a Parquet folder partitioned by ``dt``; give it to
+``read_silver`` / ``build_gold`` as the table's location.  A snapshot that
+lands again without any row names no day; rebuild that day in full.
 """
 
 from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakecart.operators.silver import silver_select
-from lakecart.schemas import spec
 from lakecart.session import ensure_checkpoint_dir
-from lakecart.sources.bronze import CSV_READ_OPTIONS, table_path
+from lakecart.sources.bronze import MALFORMED, csv_read_options, read_bronze, table_path, text_schema
 
 
 def silver_stream(spark: SparkSession, raw_root: str, table: str, out_path: str,
                   checkpoint_location: str | None = None, max_files_per_trigger: int = 1000):
     """Start the incremental bronze → silver query for one table; returns the StreamingQuery."""
-    schema = spec(table).bronze_schema().add(T.StructField("dt", T.StringType(), True))
-    source = (spark.readStream.schema(schema)
-              .options(**CSV_READ_OPTIONS)
+    source = (spark.readStream.schema(text_schema(table).add(T.StructField("dt", T.StringType(), True)))
+              .options(**csv_read_options(table))
+              .option("columnNameOfCorruptRecord", MALFORMED)
               .option("pathGlobFilter", "*.csv")
               .option("maxFilesPerTrigger", max_files_per_trigger)
               .csv(table_path(raw_root, table)))
+
+    def replace_days(batch: DataFrame, batch_id: int) -> None:
+        # One row per landed day of this batch.
+        days = [r.dt for r in batch.select("dt").distinct().collect()]
+        if days:
+            bronze = read_bronze(spark, raw_root, table, as_text=True).where(F.col("dt").isin(*days))
+            (silver_select(bronze, table).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+             .partitionBy("dt").parquet(out_path))
+
     # One file log per output: two lakehouses streaming the same table must not share it.
     out_key = hashlib.sha1(out_path.encode()).hexdigest()[:12]
     checkpoint = checkpoint_location or f"{_shared_root(spark)}/silver-stream-{table}-{out_key}"
-    return (silver_select(source, table).writeStream
-            .format("parquet")
-            .option("path", out_path)
+    return (source.writeStream
+            .foreachBatch(replace_days)
             .option("checkpointLocation", checkpoint)
-            .partitionBy("dt")
-            .outputMode("append")
             .trigger(availableNow=True)
             .start())
 
