@@ -27,8 +27,6 @@ HEADLINE = [
     "gold_shipping_performance",
     "silver_product_reviews",
     "silver_orders",
-]
-AFTER_BUILD = [
     "silver_row_parity",
     "check_unique",
     "check_referential",
@@ -54,7 +52,7 @@ def main() -> None:
             "spark.driver.memory": "16g",
             "spark.sql.shuffle.partitions": cpus,  # about one per core locally; AQE coalesces
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
-            "lakecart.tableParallelism": "8",
+            "spark.lakecart.tableParallelism": "8",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -66,16 +64,10 @@ def main() -> None:
     run(spark.read.parquet(f"{sf_dir}/lineitem.parquet").groupBy("l_returnflag").count())
 
     timings: dict[str, float] = {}
-    for key in HEADLINE:
-        t0 = time.perf_counter()
-        run(qs[key](spark, sf_dir))
-        timings[key] = round(time.perf_counter() - t0, 3)
-
     t0 = time.perf_counter()
-    registry.built_lakehouse(spark, sf_dir)
+    registry.built_lakehouse(spark, sf_dir)  # the marts and checks below read its tables
     timings["medallion_build"] = round(time.perf_counter() - t0, 3)
-
-    for key in AFTER_BUILD:
+    for key in HEADLINE:
         t0 = time.perf_counter()
         run(qs[key](spark, sf_dir))
         timings[key] = round(time.perf_counter() - t0, 3)

@@ -19,7 +19,15 @@ def _col(c: str | Column) -> Column:
 
 
 def money(c: str | Column) -> Column:
-    return _col(c).cast(MONEY)
+    """The value in cents; NULL where it doesn't fit (``not_money`` counts those)."""
+    return _col(c).try_cast(MONEY)
+
+
+def not_money(c: str | Column) -> Column:
+    """True for an amount that is out of range or has more than two decimals."""
+    col = _col(c)
+    exact = money(col)
+    return col.isNotNull() & (exact.isNull() | (exact.cast("double") != col))
 
 
 def money_sum(c: str | Column) -> Column:
@@ -28,8 +36,8 @@ def money_sum(c: str | Column) -> Column:
 
 
 def money_avg(c: str | Column) -> Column:
-    """AVG of a money column: exact decimal sum / non-null count, in DOUBLE."""
-    return F.sum(money(c)).cast("double") / F.count(_col(c))
+    """AVG of a money column: exact decimal sum / count of the summed values, in DOUBLE."""
+    return F.sum(money(c)).cast("double") / F.count(money(c))
 
 
 def round_half_up_pct(part: str | Column, whole: str | Column) -> Column:

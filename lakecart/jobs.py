@@ -16,7 +16,7 @@ def per_table(fn, items, parallelism: int | None = None) -> dict:
     items = list(items)
     if parallelism is None:
         active = SparkSession.getActiveSession()
-        conf = active.conf.get("lakecart.tableParallelism", None) if active else None
+        conf = active.conf.get("spark.lakecart.tableParallelism", None) if active else None
         parallelism = int(conf) if conf else TABLE_PARALLELISM
     if parallelism <= 1 or len(items) <= 1:
         return {k: fn(k) for k in items}

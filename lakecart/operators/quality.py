@@ -12,7 +12,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakecart.functions.money import money
+from lakecart.functions.money import money, not_money
+from lakecart.operators.silver import cast_loss_counts
 from lakecart.schemas import TABLES
 
 RESULT_COLUMNS = ["table_name", "rule", "violations"]
@@ -49,11 +50,6 @@ def check_unique(silver: dict[str, DataFrame]) -> DataFrame:
     return _union(frames)
 
 
-def duplicate_values(df: DataFrame, col: str) -> DataFrame:
-    """Values of ``col`` that occur more than once, with their frequency."""
-    return df.groupBy(col).count().where(F.col("count") > 1)
-
-
 def not_null_rules(table: str) -> list[tuple[str, Column]]:
     return [(f"not_null({c})", F.col(c).isNull()) for c in TABLES[table].not_null]
 
@@ -74,6 +70,11 @@ def range_rules(table: str) -> list[tuple[str, Column]]:
     return [(f"range({c})", _range_violation(c, *r)) for c, r in TABLES[table].ranges.items()]
 
 
+def money_rules(table: str) -> list[tuple[str, Column]]:
+    """Amounts that the exact money aggregates would round or leave out."""
+    return [(f"money({c})", not_money(c)) for c, kind in TABLES[table].columns if kind == "double"]
+
+
 def consistency_rules(table: str) -> list[tuple[str, Column]]:
     """Row arithmetic of the source: order total, line total, stock after a movement."""
     if table == "orders":
@@ -112,6 +113,10 @@ def check_ranges(silver: dict[str, DataFrame]) -> DataFrame:
     return _row_check(silver, range_rules)
 
 
+def check_money(silver: dict[str, DataFrame]) -> DataFrame:
+    return _row_check(silver, money_rules)
+
+
 def check_consistency(silver: dict[str, DataFrame]) -> DataFrame:
     return _row_check(silver, consistency_rules)
 
@@ -140,16 +145,21 @@ def check_referential(silver: dict[str, DataFrame]) -> DataFrame:
     return _union(frames)
 
 
-def run_checks(silver: dict[str, DataFrame]) -> DataFrame:
-    """Every check over the given silver tables as one report frame.
+def check_cast_loss(text_bronze: dict[str, DataFrame]) -> DataFrame:
+    """Values and fields that silver can't hold, from the all-text scans of bronze."""
+    return _union([cast_loss_counts(df, t) for t, df in text_bronze.items()])
+
+
+def run_checks(silver: dict[str, DataFrame], text_bronze: dict[str, DataFrame] | None = None) -> DataFrame:
+    """Every check over the given silver tables (and their raw text, if given) as one report frame.
 
     All row-level rules of a table (not null, accepted values, ranges, row
     arithmetic) are counted in one aggregation pass over it; uniqueness and
     referential checks need their own shuffles.
     """
     return _union([check_unique(silver),
-                   _row_check(silver, not_null_rules, accepted_rules, range_rules, consistency_rules),
-                   check_referential(silver)])
+                   _row_check(silver, not_null_rules, accepted_rules, range_rules, money_rules, consistency_rules),
+                   check_referential(silver), *([check_cast_loss(text_bronze)] if text_bronze else [])])
 
 
 class QualityError(RuntimeError):

@@ -18,14 +18,17 @@ from pyspark.sql import functions as F
 from lakecart.functions.clean import (clean_date, clean_text, clean_trim, clean_ts, to_bigint, to_double,
                                       to_int, whitespace_all)
 from lakecart.operators import gold, quality, reports
-from lakecart.operators.keys import append_suffix, position_key_map, remap_column
-from lakecart.operators.silver import cast_loss_counts, silver_select
-from lakecart.plans.medallion import gold_row_counts, load_row_counts, row_parity, run_all, scratch_layout
-from lakecart.schemas import INSERT_ORDER, TABLE_NAMES
+from lakecart.operators.keys import append_frames, append_suffix, position_key_map, remap_column
+from lakecart.operators.silver import silver_select
+from lakecart.plans.medallion import (extract, gold_row_counts, load_row_counts, row_parity, run_all, scratch_layout,
+                                      silver_frame)
+from lakecart.schemas import INSERT_ORDER, TABLE_NAMES, spec
 from lakecart.session import apply_sql_defaults, ensure_checkpoint_dir, scratch_dir
-from lakecart.sinks.files import clean_raw_csv, dump_csv, land_csv, write_table
-from lakecart.sources.bronze import CSV_READ_OPTIONS, raw_file_inventory, read_bronze
-from lakecart.sources.fixtures import SNAPSHOT_DT, fixture_silver, raw_text, read_input, source_table
+from lakecart.sinks.files import CSV_WRITE_OPTIONS, clean_raw_csv, dump_csv, land_csv, write_table
+from lakecart.sources.bronze import (add_snapshot_partition, csv_read_options, partition_row_counts, raw_file_inventory,
+                                     read_bronze, table_path)
+from lakecart.sources.faults import damage, plant
+from lakecart.sources.fixtures import SNAPSHOT_DT, raw_text, read_input, source_table, typed_source
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -43,13 +46,13 @@ def prepare(spark: SparkSession) -> None:
     ensure_checkpoint_dir(spark)
 
 
+# ---------------------------------------------------------------- gold marts
 def silver_inputs(spark: SparkSession, sf_dir: str, *tables: str) -> dict[str, DataFrame]:
-    """Silver-shaped mapped tables for marts (ids that need a global sort are skipped)."""
-    prepare(spark)
-    return {t: fixture_silver(spark, sf_dir, t, with_ids=False) for t in tables}
+    """Built silver tables, as the marts read them in production."""
+    locations = built_lakehouse(spark, sf_dir)["silver"]
+    return {t: spark.read.parquet(locations[t]) for t in tables}
 
 
-# ---------------------------------------------------------------- gold marts
 @register("gold_daily_sales")
 def q_gold_daily_sales(spark, sf_dir):
     s = silver_inputs(spark, sf_dir, "orders")
@@ -126,6 +129,7 @@ for _t in TABLE_NAMES:
 
 
 # ------------------------------------------------ one full medallion build
+EMPTY_TABLE, EMPTY_DT = "cart_events", "2024-01-02"
 _BUILDS: dict[tuple, dict] = {}
 _BUILD_LOCK = threading.Lock()
 
@@ -143,6 +147,9 @@ def built_lakehouse(spark: SparkSession, sf_dir: str) -> dict:
             layout = scratch_layout(spark, "lakehouse")
             sources = {t: raw_text(source_table(spark, sf_dir, t, with_ids=True), t) for t in TABLE_NAMES}
             result = run_all(spark, sources, layout, SNAPSHOT_DT)
+            # A later day on which one table was empty: it has a partition and a file, but no rows.
+            land_csv(sources[EMPTY_TABLE].limit(0), layout.raw, EMPTY_TABLE, EMPTY_DT)
+            add_snapshot_partition(spark, f"{layout.bronze_db}.{EMPTY_TABLE}", layout.raw, EMPTY_TABLE, EMPTY_DT)
             _BUILDS[key] = {"layout": layout, **result}
         return _BUILDS[key]
 
@@ -167,6 +174,24 @@ def q_extract_row_counts(spark, sf_dir):
     return spark.createDataFrame([(t, int(n)) for t, n in counts.items()], "table_name string, row_count bigint")
 
 
+@register("extract_typed_roundtrip")
+def q_extract_typed_roundtrip(spark, sf_dir):
+    """Typed source tables through extract and silver: count and range of every time column."""
+    prepare(spark)
+    layout = scratch_layout(spark, "typed")
+    sources = {t: typed_source(source_table(spark, sf_dir, t, with_ids=False), t) for t in TABLE_NAMES}
+    extract(sources, layout, SNAPSHOT_DT)
+    frames = []
+    for t in TABLE_NAMES:
+        times = [c for c, kind in spec(t).columns if kind in ("ts", "date")]
+        wide = silver_frame(spark, layout, t).agg(*[
+            f(F.col(c)).cast("string").alias(f"{name}{i}") for i, c in enumerate(times)
+            for name, f in (("n", F.count), ("lo", F.min), ("hi", F.max))])
+        stack = ", ".join(f"'{c}', CAST(n{i} AS BIGINT), lo{i}, hi{i}" for i, c in enumerate(times))
+        frames.append(wide.selectExpr(f"'{t}' AS table_name", f"stack({len(times)}, {stack}) AS (column_name, n_values, least, greatest)"))
+    return reduce(DataFrame.unionByName, frames)
+
+
 @register("bronze_external_table")
 def q_bronze_external_table(spark, sf_dir):
     layout = built_lakehouse(spark, sf_dir)["layout"]
@@ -176,8 +201,8 @@ def q_bronze_external_table(spark, sf_dir):
 @register("bronze_partitions")
 def q_bronze_partitions(spark, sf_dir):
     layout = built_lakehouse(spark, sf_dir)["layout"]
-    frames = [spark.table(f"{layout.bronze_db}.{t}").groupBy("dt").agg(F.count(F.lit(1)).alias("row_count"))
-              .select(F.lit(t).alias("table_name"), "dt", "row_count") for t in TABLE_NAMES]
+    frames = [partition_row_counts(spark, f"{layout.bronze_db}.{t}").select(F.lit(t).alias("table_name"), "dt", "row_count")
+              for t in TABLE_NAMES]
     return reduce(DataFrame.unionByName, frames)
 
 
@@ -259,7 +284,7 @@ def q_dump_csv(spark, sf_dir):
     written = dump_csv(frames, out)
     if "processing_orders" in written:
         raise RuntimeError("an empty table was dumped")
-    counted = [spark.read.schema("c0 string").options(**CSV_READ_OPTIONS).csv(f"{out}/{t}")
+    counted = [spark.read.schema("c0 string").options(**csv_read_options()).csv(f"{out}/{t}")
                .agg(F.count(F.lit(1)).alias("row_count"))
                .select(F.lit(t).alias("table_name"), "row_count") for t in written]
     return reduce(DataFrame.unionByName, counted)
@@ -296,41 +321,63 @@ def q_load_row_counts(spark, sf_dir):
     return load_row_counts(spark, layout.silver_db, INSERT_ORDER)
 
 
+def _faulty_silver(spark, sf_dir):
+    """Built silver with faults planted into every table (``sources.faults``)."""
+    return {t: plant(df, t) for t, df in _all_silver(spark, sf_dir).items()}
+
+
 @register("check_unique")
 def q_check_unique(spark, sf_dir):
-    return quality.check_unique(_all_silver(spark, sf_dir))
+    return quality.check_unique(_faulty_silver(spark, sf_dir))
 
 
 @register("check_not_null")
 def q_check_not_null(spark, sf_dir):
-    return quality.check_not_null(_all_silver(spark, sf_dir))
+    return quality.check_not_null(_faulty_silver(spark, sf_dir))
 
 
 @register("check_accepted_values")
 def q_check_accepted_values(spark, sf_dir):
-    return quality.check_accepted_values(_all_silver(spark, sf_dir))
+    return quality.check_accepted_values(_faulty_silver(spark, sf_dir))
 
 
 @register("check_ranges")
 def q_check_ranges(spark, sf_dir):
-    return quality.check_ranges(_all_silver(spark, sf_dir))
+    return quality.check_ranges(_faulty_silver(spark, sf_dir))
 
 
 @register("check_referential")
 def q_check_referential(spark, sf_dir):
-    return quality.check_referential(_all_silver(spark, sf_dir))
+    return quality.check_referential(_faulty_silver(spark, sf_dir))
 
 
 @register("check_consistency")
 def q_check_consistency(spark, sf_dir):
-    return quality.check_consistency(_all_silver(spark, sf_dir))
+    return quality.check_consistency(_faulty_silver(spark, sf_dir))
+
+
+@register("check_money")
+def q_check_money(spark, sf_dir):
+    return quality.check_money(_faulty_silver(spark, sf_dir))
+
+
+# Tables whose raw files are damaged for ``check_cast_loss``.
+DAMAGED = ("orders", "products", "product_reviews", "inventory_logs")
 
 
 @register("check_cast_loss")
 def q_check_cast_loss(spark, sf_dir):
-    layout = built_lakehouse(spark, sf_dir)["layout"]
-    frames = [cast_loss_counts(read_bronze(spark, layout.raw, t), t) for t in TABLE_NAMES]
-    return reduce(DataFrame.unionByName, frames)
+    """Losses of the ten tables: four landed with unreadable values, one of them also with short and long records."""
+    layout, broken = built_lakehouse(spark, sf_dir)["layout"], scratch_layout(spark, "damaged")
+    for t in DAMAGED:
+        land_csv(damage(raw_text(source_table(spark, sf_dir, t, with_ids=False), t), t), broken.raw, t, SNAPSHOT_DT)
+    orders = raw_text(source_table(spark, sf_dir, "orders"), "orders")
+    short = orders.where(F.col("order_id") % 37 == 0).select(F.lit("no number").alias("order_id"), "user_id")
+    long = orders.where(F.col("order_id") % 41 == 0).withColumn("surplus", F.lit("x"))
+    for records in (short, long):
+        records.write.mode("append").options(**CSV_WRITE_OPTIONS).csv(f"{table_path(broken.raw, 'orders')}/dt={SNAPSHOT_DT}")
+    return quality.check_cast_loss({
+        t: read_bronze(spark, (broken if t in DAMAGED else layout).raw, t, as_text=True) for t in TABLE_NAMES})
 
 
 # -------------------------------------------------------------- reports (R*)
@@ -371,6 +418,8 @@ def q_report_low_stock(spark, sf_dir):
 
 # ------------------------------------------------------- keys (J4, P19)
 RUN_ID = "manual__2024-01-01T00:00:00+00:00"
+# Largest id that the first target table of ``append_load`` holds; the next ones hold multiples of it.
+LAST_IDS = 1_000_000
 
 
 @register("remap_foreign_keys")
@@ -400,6 +449,22 @@ def q_append_suffix_keys(spark, sf_dir):
     ])
 
 
+@register("append_load")
+def q_append_load(spark, sf_dir):
+    """An append load's rows: new ids after the target's, tagged keys, references remapped."""
+    prepare(spark)
+    tables = ("categories", "products", "users", "orders", "payments")
+    src = {t: source_table(spark, sf_dir, t, with_ids=False) for t in tables}
+    out = append_frames(src, {t: LAST_IDS * (i + 1) for i, t in enumerate(tables)}, RUN_ID)
+    null = F.lit(None).cast("string")
+    keys = {"categories": ("category_id", None, "name"), "products": ("product_id", "category_id", "sku"),
+            "users": ("user_id", None, "email"), "orders": ("order_id", "user_id", None), "payments": ("payment_id", "order_id", None)}
+    return reduce(DataFrame.unionByName, [
+        out[t].select(F.lit(t).alias("table_name"), F.col(pk).alias("key_id"),
+                      (F.col(parent) if parent else null.cast("bigint")).alias("parent_id"),
+                      (F.col(text) if text else null).alias("key_value")) for t, (pk, parent, text) in keys.items()])
+
+
 # ------------------------------------------------- column functions (P2–P11)
 @register("cast_bigint")
 def q_cast_bigint(spark, sf_dir):

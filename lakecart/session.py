@@ -1,8 +1,9 @@
 """Session defaults and shared scratch locations.
 
 Scratch data (landed CSV, silver/gold tables built by query keys, checkpoints)
-always lives under the cluster's shared ``spark.checkpoint.dir``.  A local
-temporary folder is used only when the session names none (tests, laptops).
+always lives under the cluster's shared ``spark.checkpoint.dir``.  A temporary
+folder stands in for it only on a ``local`` master, where one machine is all
+there is; on any other master a missing setting is an error.
 """
 
 from __future__ import annotations
@@ -47,10 +48,12 @@ def build_session(master: str | None = None, app_name: str = "lakecart", **extra
 def apply_sql_defaults(spark: SparkSession) -> None:
     """Set the runtime SQL options on an existing session (driver-provided sessions)."""
     for key, value in SESSION_DEFAULTS.items():
-        try:
-            spark.conf.set(key, value)
-        except Exception:  # static conf on a shared session: leave it as configured
-            pass
+        spark.conf.set(key, value)
+
+
+def is_local(master: str) -> bool:
+    """True where driver and executors are one process (``local``, ``local[..]``)."""
+    return master == "local" or master.startswith("local[")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -61,7 +64,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached outside a cluster: nothing names a shared folder.
+        if not is_local(sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="lakecart-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

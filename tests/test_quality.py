@@ -115,6 +115,6 @@ def test_run_checks_equals_individual_checks(spark):
     s = silver(spark)
     separate = {}
     for check in (quality.check_unique, quality.check_not_null, quality.check_accepted_values,
-                  quality.check_ranges, quality.check_referential, quality.check_consistency):
+                  quality.check_ranges, quality.check_money, quality.check_referential, quality.check_consistency):
         separate.update(rules(check(s)))
     assert rules(quality.run_checks(s)) == separate
