@@ -144,6 +144,8 @@ def built_lakehouse(spark: SparkSession, sf_dir: str) -> dict:
     key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"))
     with _BUILD_LOCK:  # callers in several threads share one build
         if key not in _BUILDS:
+            for old in [k for k in _BUILDS if k[:2] != key[:2]]:
+                del _BUILDS[old]  # of a session that has ended
             layout = scratch_layout(spark, "lakehouse")
             sources = {t: raw_text(source_table(spark, sf_dir, t, with_ids=True), t) for t in TABLE_NAMES}
             result = run_all(spark, sources, layout, SNAPSHOT_DT)

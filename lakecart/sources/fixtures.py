@@ -46,6 +46,8 @@ def _cached(spark: SparkSession, sf_dir: str, key: str, build) -> DataFrame:
     cache_key = (spark.sparkContext.applicationId, id(spark), sf_dir.rstrip("/"), key)
     with _CACHE_LOCK:  # re-entrant: a build may read other cached inputs
         if cache_key not in _ID_CACHE:
+            for old in [k for k in _ID_CACHE if k[:2] != cache_key[:2]]:
+                del _ID_CACHE[old]  # of a session that has ended
             _ID_CACHE[cache_key] = build()
         return _ID_CACHE[cache_key]
 
