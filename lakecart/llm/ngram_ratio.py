@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakecart.llm.storage import materialize
+from lakecart.llm.storage import broadcast_if_small, materialize
 
 BINS = 1 << 15
 SMOOTHING = 1.0
@@ -106,7 +106,7 @@ def ratio_table(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", tex
     numbers whatever the corpus; that bound lets it pass through the driver.
     """
     ids = materialize(trusted.select(F.col(id_col).alias("_id")).filter("_id is not null").distinct(), "trusted-ids")
-    side = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    side = broadcast_if_small(ids, BROADCAST_IDS)
     grams = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
              .join(side.withColumn("good", F.lit(1)), F.col("id") == F.col("_id"), "left")
              .select("good", words(F.col("t")).alias("w")).select("good", _word_hashes("w").alias("wh")).select("good", _bins("wh", bins).alias("b"))

@@ -20,8 +20,8 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """A broadcast hint where a bounded count proves at most ``max_rows`` rows; else a plain (shuffled) join side.
+    """A broadcast hint where a written table has at most ``max_rows`` rows; else a plain (shuffled) join side.
 
-    Call it on a materialised frame: counting must not run a long plan twice.
+    The count of a written table comes from the files' footers.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if df.count() <= max_rows else df

@@ -36,7 +36,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakecart.llm.storage import materialize
+from lakecart.llm.storage import broadcast_if_small, materialize
 
 #: Rules that decide before all others: (verdict, host and path prefix).
 PREFIX_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
@@ -112,7 +112,7 @@ def judge(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_col:
     rarest = F.min_by(F.coalesce("token", F.lit("")), F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token"))
     index = materialize(listed.join(seen, "token", "left").groupBy("list", "rule", "verdict", "regex")
                         .agg(rarest.alias("token")), "rule-index")
-    side = F.broadcast(index) if index.count() <= BROADCAST_RULES else index
+    side = broadcast_if_small(index, BROADCAST_RULES)
     fetch = words.unionByName(urls.select("host", "path", F.lit("").alias("token")))
     fits = fetch.join(side, "token").filter(F.expr("concat(host, path) rlike regex"))
 
