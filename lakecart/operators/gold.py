@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakecart.functions.money import money_avg, money_sum, round_half_up_pct
+from lakecart.functions.money import money, money_avg, money_sum, round_half_up_pct
 from lakecart.schemas import SALE_STATUSES
 
 
@@ -58,7 +58,7 @@ def customer_lifetime_value(users: DataFrame, orders: DataFrame,
                 .groupBy("user_id").agg(
                     F.count_distinct("order_id").alias("_orders"),
                     money_sum("total_amount").alias("_sum"),
-                    F.count("total_amount").alias("_n"),
+                    F.count(money("total_amount")).alias("_n"),
                     F.min(F.col("order_date").cast("date")).alias("_first"),
                     F.max(F.col("order_date").cast("date")).alias("_last"),
                 ))

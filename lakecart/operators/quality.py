@@ -36,7 +36,10 @@ def _counts(df: DataFrame, table: str, rules: list[tuple[str, Column]]) -> DataF
 
 
 def check_unique(silver: dict[str, DataFrame]) -> DataFrame:
-    """Duplicate rows per key and snapshot: SUM(count - 1) over repeated non-NULL values."""
+    """Duplicate rows per key and snapshot: SUM(count - 1) over repeated non-NULL values.
+
+    An exact answer shuffles every distinct key once; a table with two keys is scanned for each of them.
+    """
     frames = []
     for table, df in silver.items():
         s = TABLES[table]
