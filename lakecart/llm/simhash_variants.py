@@ -39,12 +39,14 @@ from pyspark.sql import functions as F
 
 from lakecart.llm.common import utf8_buffers
 from lakecart.llm.components import components
-from lakecart.llm.storage import materialize
+from lakecart.llm.storage import broadcast_if_small, materialize
 
 BITS = 64
 SEED = 42
 #: Fingerprints that one variant's bucket may hold to be verified in place.
 BUCKET = 64
+#: Shared variants that may be broadcast to the index; more of them join by a shuffle.
+BROADCAST_VARIANTS = 500_000
 # Bytes of text whose words are held at a time.
 PIECE = 1 << 20
 
@@ -135,8 +137,10 @@ def links(prints: DataFrame, fp: str, max_bits: int, bucket: int = BUCKET) -> Da
     """
     index = (prints.select(F.col(fp).alias("fp")).select("fp", F.explode(_variants(F.col("fp"), max_bits)).alias("k"))
              .select("fp", "k.slot", "k.value"))
-    counted = index.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("slot", "value"))).filter("n > 1")
-    shared = materialize(counted, "variants")
+    # Variants are counted first (partially aggregated, so a variant that a third of all fingerprints
+    # have is one row of each task); only those that several have meet their fingerprints again.
+    several = materialize(index.groupBy("slot", "value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "variants")
+    shared = materialize(index.join(broadcast_if_small(several, BROADCAST_VARIANTS), ["slot", "value"]), "shared-variants")
     small = shared.filter(F.col("n") <= bucket).groupBy("slot", "value").agg(F.collect_list("fp").alias("all"))
     near = lambda x, y, slot: (y > x) & (F.bit_count(x.bitwiseXOR(y)) <= max_bits) & (
         _first_slot(x.bitwiseXOR(y), max_bits) == slot)

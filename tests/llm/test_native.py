@@ -1,0 +1,16 @@
+"""The native operators plan no Python, pandas, Arrow or RDD code, and no operator a cross join."""
+
+import re
+
+import pytest
+
+from conftest import SF_SMALL
+from lakecart.llm import queries as llm
+
+NATIVE = ("op2_rendezvous_shards", "op3_chat_perspectives", "op5_ngram_ratio", "op8_spaced_seed", "op9_url_rules")
+
+
+@pytest.mark.parametrize("key", NATIVE)
+def test_plan_is_native(spark, key):
+    plan = llm.queries()[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow|ExistingRDD|CartesianProduct|NestedLoop", plan)

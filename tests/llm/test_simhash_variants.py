@@ -51,9 +51,9 @@ def cluster(rng, size, bits):
     return out | {rng.getrandbits(64) for _ in range(20)}
 
 
-@pytest.mark.parametrize("k", [0, 1, 2, 3])
-@pytest.mark.parametrize("bucket", [2, 64])
-def test_links_connect_as_all_pairs_do(spark, k, bucket):
+@pytest.mark.parametrize("k,bucket,broadcast", [(0, 64, 0), (1, 2, 9999), (2, 2, 9999), (2, 64, 0), (3, 2, 9999)])
+def test_links_connect_as_all_pairs_do(spark, monkeypatch, k, bucket, broadcast):
+    monkeypatch.setattr(sim, "BROADCAST_VARIANTS", broadcast)
     rng = random.Random(k)
     prints = cluster(rng, 40, 4) | cluster(rng, 40, 2) | {0, 1, 3, 7, (1 << 64) - 1}
     df = spark.createDataFrame([(signed(p),) for p in prints], "fp bigint")
