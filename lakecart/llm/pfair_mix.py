@@ -20,7 +20,9 @@ Positions inside a source are running byte sums over the global order of
 third of all rows is no single task's work.
 
 Target weights: given by name, or the natural byte shares with no source above
-``max_share`` (what a capped source loses, the others gain in proportion).
+``max_share`` (what a capped source loses, the others gain in proportion).  The
+cap and the length of the mix are worked out from every source by itself; the
+pool has no cap.
 The mix is as long as the scarcest source allows at the exact weights; a
 document is ``kept`` if it starts before its source's part of that length.
 Uncapped sources are used up completely.
@@ -66,6 +68,31 @@ def capped_shares(sizes: list[int], max_share: float) -> list[float]:
         capped |= over
 
 
+def source_weights(sizes: DataFrame, target: dict[str, float] | None, max_share: float) -> DataFrame:
+    """(source, bytes, weight) of every source with a weight, however small; weights sum to one.
+
+    The rule of ``capped_shares`` over a written table: the capped sources are
+    those above a number of bytes, which falls until it cuts off no more.
+    """
+    if target is not None:
+        given = sizes.sparkSession.createDataFrame([(s, float(w)) for s, w in target.items() if w > 0], "name string, given double")
+        named = sizes.join(F.broadcast(given), F.col("source").eqNullSafe(F.col("name")))
+        total = named.agg(F.sum("given")).first()[0] or 1.0
+        return named.select("source", "bytes", (F.col("given") / total).alias("weight"))
+    n, total = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+    cap = max(max_share, 1 / max(1, n))
+    capped, rest = 0, total
+    while True:
+        left = 1 - cap * capped
+        bar = cap * (1 + 1e-12) * rest / left
+        over = sizes.filter(F.col("bytes") > bar).agg(F.count(F.lit(1)), F.coalesce(F.sum("bytes"), F.lit(0))).first()
+        if over[0] == capped:
+            break
+        capped, rest = over[0], total - over[1]
+    weight = F.when(F.col("bytes") > bar, cap).otherwise(F.col("bytes") * left / max(1, rest))
+    return sizes.select("source", "bytes", weight.alias("weight"))
+
+
 def whole_units(shares: list[float], period: int) -> list[int]:
     """Shares in whole units that sum to ``period`` (largest remainders; at least one each)."""
     units = [max(1, int(s * period)) for s in shares]
@@ -122,41 +149,31 @@ def schedule(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
         (F.octet_length(F.coalesce(text_col, F.lit(""))) + 1).cast("bigint").alias("size"),
         F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit("mix")).alias("h")), "mix-rows")
     sizes = materialize(rows.groupBy("source").agg(F.sum("size").alias("bytes")), "mix-sizes")
-    if target is not None:
-        sizes = sizes.filter(F.col("source").isin([s for s, w in target.items() if w > 0]))
-    total = sizes.agg(F.sum("bytes")).first()[0]
+    weighed = materialize(source_weights(sizes, target, max_share), "mix-weights")
+    total, mix_bytes = weighed.agg(F.sum("bytes"), F.min(F.col("bytes") / F.col("weight"))).first()
     shares: dict = {}  # scheduled source (or POOL) -> exact weight
-    quota_blocks = 0.0
     if total:
-        large = [(r["source"], r["bytes"]) for r in sizes.filter(F.col("bytes") >= total * MIN_UNITS / period)
-                 .orderBy(F.col("source").asc_nulls_first()).collect()]
-        pooled = total - sum(b for _, b in large)
-        members = large + [(POOL, pooled)] * (pooled > 0)
-        if target is None:
-            weights = capped_shares([b for _, b in members], max_share)
-        else:
-            wanted = [target.get(s, 0.0) if s != POOL else
-                      sum(target.values()) - sum(target.get(x, 0.0) for x, _ in large) for s, _ in members]
-            weights = [w / sum(wanted) for w in wanted]
-        shares = {s: w for (s, _), w in zip(members, weights, strict=True)}
-        # The mix ends where the scarcest source does, at the exact weights.
-        quota_blocks = min(b / w for (_, b), w in zip(members, weights, strict=True))
+        large = weighed.filter(F.col("bytes") >= total * MIN_UNITS / period).orderBy(F.col("source").asc_nulls_first()).collect()
+        shares = {r["source"]: r["weight"] for r in large}
+        if sum(r["bytes"] for r in large) < total:
+            shares[POOL] = max(0.0, 1 - sum(shares.values()))
     names = list(shares)
     units = whole_units(list(shares.values()), period) if names else []
     spark = docs.sparkSession
     plan = spark.createDataFrame(one_period(units) if units else [], "s int, k int, release0 int, deadline0 int, slot0 int")
     named = spark.createDataFrame(
-        [(s if s != POOL else None, s == POOL, i, units[i], shares[s] * quota_blocks) for i, s in enumerate(names)],
-        "name string, pooled boolean, member int, units int, quota double")
+        [(s if s != POOL else None, s == POOL, i, units[i]) for i, s in enumerate(names)],
+        "name string, pooled boolean, member int, units int")
     # Both tables are bounded by the period. Positions count within the scheduled source,
     # so the pool's members follow one another in it.
-    listed = sizes.join(F.broadcast(named.filter("not pooled")), F.col("source").eqNullSafe(F.col("name")), "left")
+    listed = weighed.join(F.broadcast(named.filter("not pooled")), F.col("source").eqNullSafe(F.col("name")), "left")
     pool = [i for i, s in enumerate(names) if s == POOL]
-    base = listed.select(F.col("source").alias("sn"), "bytes",
+    # The mix ends where the scarcest source does, at the exact weights.
+    base = listed.select(F.col("source").alias("sn"), "bytes", (F.col("weight") * (mix_bytes or 0.0)).alias("quota"),
                          F.coalesce("member", F.lit(pool[0] if pool else None)).alias("member"))
     earlier = Window.partitionBy("member").orderBy(F.col("sn").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     base = materialize(base.withColumn("offset", F.coalesce(F.sum("bytes").over(earlier), F.lit(0)))
-                       .join(F.broadcast(named.select(F.col("member").alias("m"), "units", "quota")),
+                       .join(F.broadcast(named.select(F.col("member").alias("m"), "units")),
                              F.col("member") == F.col("m")).drop("m", "bytes"), "mix-sources")
     placed = (positions(rows).join(base, F.col("source").eqNullSafe(F.col("sn")), "left")
               .withColumn("at", F.col("start") + F.col("offset"))
@@ -169,7 +186,7 @@ def schedule(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
                     (F.col("_round") + F.col("deadline0")).alias("deadline"),
                     (F.col("_round") + F.col("slot0")).alias("slot"),
                     # A relative tolerance, as shares are floating point: an uncapped source stays whole.
-                    F.coalesce(F.col("at") < F.col("quota") * (1 + 1e-9), F.lit(False)).alias("kept")))
+                    F.coalesce(F.col("start") < F.col("quota") * (1 + 1e-9), F.lit(False)).alias("kept")))
 
 
 def keep_mix(docs: DataFrame, placed: DataFrame, id_col: str = "doc_id", source_col: str = "source",

@@ -117,3 +117,35 @@ def test_awkward_rows(spark):
     assert out.count() == placed.filter("kept").count()
     empty = mix.schedule(no_documents(spark))
     assert empty.count() == 0 and mix.keep_mix(no_documents(spark), empty).count() == 0
+
+
+def one_large_and_many_small(spark, small=3000, each=2):
+    """One source with a quarter of the bytes, the others tiny and equal."""
+    n = small * each
+    return spark.range(0, n + n // 3).select(
+        F.col("id").alias("doc_id"), F.when(F.col("id") >= n, "large").otherwise(F.format_string("s%05d", F.col("id") % small)).alias("source"),
+        F.repeat(F.lit("x"), 99).alias("text"))
+
+
+def test_the_pool_of_small_sources_is_not_capped(spark):
+    docs = one_large_and_many_small(spark)
+    placed = mix.schedule(docs, block=1000)
+    assert placed.filter("not kept").count() == 0
+    assert mix.keep_mix(docs, placed).count() == docs.count()
+
+
+@pytest.mark.parametrize("max_share", [0.05, 0.2, 0.4])
+def test_weights_of_a_table_follow_the_plain_rule(spark, max_share):
+    sizes = [500, 300, 90, 40, 30, 20, 10, 5, 5]
+    table = spark.createDataFrame([(f"s{i}", b) for i, b in enumerate(sizes)], "source string, bytes bigint")
+    got = {r.source: r.weight for r in mix.source_weights(table, None, max_share).collect()}
+    assert [got[f"s{i}"] for i in range(len(sizes))] == pytest.approx(mix.capped_shares(sizes, max_share))
+
+
+def test_small_sources_get_their_own_target_weights(spark):
+    docs = one_large_and_many_small(spark, small=600, each=10)
+    rows = mix.schedule(docs, target={"large": 0.5, "s00001": 0.3, "s00599": 0.2}, block=1000, period=1024).filter("kept").collect()
+    size = collections.Counter()
+    for r in rows:
+        size[r.source] += r.size
+    assert size["s00001"] == 1000 and size["s00599"] == 700 and size["large"] == 1700
