@@ -10,9 +10,14 @@ deadlines, so at any slot every source is within one block of its weight.
 Weights are whole shares of ``PERIOD`` slots.  After a period every source is
 exactly on its weight, so the schedule repeats: one period is drawn up by the
 rule above (``PERIOD`` entries, whatever the data) and any block of the corpus
-finds its slot by a join on its number within the period.  Sources too small
-for ``MIN_UNITS`` shares are pooled into one scheduled source, so at most
-``PERIOD / MIN_UNITS`` sources are told apart.
+finds its slot by a join on its number within the period.  Sources with a
+weight under ``MIN_UNITS`` shares are pooled into one scheduled source, so a
+period tells at most ``PERIOD / MIN_UNITS`` sources apart.  Inside the pool
+every document is due at its own source's weight, and a distributed sort by
+what is due lays them out, so a pooled source runs evenly through the pool.
+The pool's blocks meet their deadlines exactly; a source in it has no windows
+of its own and is on its weight up to a block or so, by the spread of the
+documents' hashes and not by a proof.
 
 Positions inside a source are running byte sums over the global order of
 (source, hash): rows are numbered with ``dense_row_id``, summed within runs of
@@ -37,6 +42,7 @@ from __future__ import annotations
 
 import heapq
 import math
+from collections.abc import Sequence
 from fractions import Fraction
 
 from pyspark.sql import DataFrame, Window
@@ -127,8 +133,8 @@ def one_period(units: list[int]) -> list[tuple[int, int, int, int, int]]:
     return out
 
 
-def positions(rows: DataFrame, run: int = RUN) -> DataFrame:
-    """``rows`` (source, h, id, size) with ``start``: the bytes before each row in its source, in the order of h."""
+def positions(rows: DataFrame, run: int = RUN, keep: Sequence[str] = ()) -> DataFrame:
+    """``rows`` (source, h, id, size, keep..) with ``start``: the bytes before each row in its source, in the order of h."""
     numbered = dense_row_id(rows, ["source", "h", "id", "size"], "n").withColumn("run", F.floor((F.col("n") - 1) / run))
     inside = Window.partitionBy("run", "source").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
     earlier = Window.partitionBy("s").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
@@ -137,7 +143,21 @@ def positions(rows: DataFrame, run: int = RUN) -> DataFrame:
     return (numbered.withColumn("in_run", F.coalesce(F.sum("size").over(inside), F.lit(0)))
             .join(totals, (F.col("run") == F.col("r")) & F.col("source").eqNullSafe(F.col("s")))
             .withColumn("start", F.col("in_run") + F.col("before"))
-            .select("id", "source", "size", "h", "start"))
+            .select("id", "source", "size", "h", "start", *keep))
+
+
+def interleaved(placed: DataFrame) -> DataFrame:
+    """The pool's rows with ``at``: the bytes before each row in the pool, its sources interleaved by weight.
+
+    The row at byte b of a source of weight w is due when the mix is b / w
+    bytes long.  As a point b inside each row one drawn by its hash is taken,
+    so sources of a single document spread over the whole mix as well.
+    """
+    inside = F.shiftrightunsigned(F.xxhash64("h", "start", F.lit("pool")), 11) / F.lit(float(1 << 53))
+    due = (F.col("start") + inside * F.col("size")) / F.col("weight")
+    own = F.struct(*[F.col(c) for c in placed.columns])
+    rows = placed.select(F.lit(None).cast("string").alias("source"), due.alias("h"), F.col("id"), F.col("size"), own.alias("own"))
+    return positions(rows, keep=["own"]).select("own.*", F.col("start").alias("at"))
 
 
 def schedule(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
@@ -153,7 +173,7 @@ def schedule(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
     total, mix_bytes = weighed.agg(F.sum("bytes"), F.min(F.col("bytes") / F.col("weight"))).first()
     shares: dict = {}  # scheduled source (or POOL) -> exact weight
     if total:
-        large = weighed.filter(F.col("bytes") >= total * MIN_UNITS / period).orderBy(F.col("source").asc_nulls_first()).collect()
+        large = weighed.filter(F.col("weight") >= MIN_UNITS / period).orderBy(F.col("source").asc_nulls_first()).collect()
         shares = {r["source"]: r["weight"] for r in large}
         if sum(r["bytes"] for r in large) < total:
             shares[POOL] = max(0.0, 1 - sum(shares.values()))
@@ -164,20 +184,21 @@ def schedule(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
     named = spark.createDataFrame(
         [(s if s != POOL else None, s == POOL, i, units[i]) for i, s in enumerate(names)],
         "name string, pooled boolean, member int, units int")
-    # Both tables are bounded by the period. Positions count within the scheduled source,
-    # so the pool's members follow one another in it.
+    # Both tables are bounded by the period. The mix ends where the scarcest source does, at the exact weights.
     listed = weighed.join(F.broadcast(named.filter("not pooled")), F.col("source").eqNullSafe(F.col("name")), "left")
     pool = [i for i, s in enumerate(names) if s == POOL]
-    # The mix ends where the scarcest source does, at the exact weights.
-    base = listed.select(F.col("source").alias("sn"), "bytes", (F.col("weight") * (mix_bytes or 0.0)).alias("quota"),
-                         F.coalesce("member", F.lit(pool[0] if pool else None)).alias("member"))
-    earlier = Window.partitionBy("member").orderBy(F.col("sn").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    base = materialize(base.withColumn("offset", F.coalesce(F.sum("bytes").over(earlier), F.lit(0)))
-                       .join(F.broadcast(named.select(F.col("member").alias("m"), "units")),
-                             F.col("member") == F.col("m")).drop("m", "bytes"), "mix-sources")
-    placed = (positions(rows).join(base, F.col("source").eqNullSafe(F.col("sn")), "left")
-              .withColumn("at", F.col("start") + F.col("offset"))
-              .withColumn("block", F.floor(F.col("at") / block).cast("bigint"))
+    member = F.coalesce("member", F.lit(pool[0] if pool else None).cast("int"))
+    base = materialize(
+        listed.select(F.col("source").alias("sn"), "weight", (F.col("weight") * (mix_bytes or 0.0)).alias("quota"), member.alias("member"))
+        .join(F.broadcast(named.select(F.col("member").alias("m"), "units")), F.col("member") == F.col("m")).drop("m"), "mix-sources")
+    placed = positions(rows).join(base, F.col("source").eqNullSafe(F.col("sn")), "left")
+    if pool:
+        placed = materialize(placed, "mix-positions")
+        in_pool = F.col("member").eqNullSafe(pool[0])
+        placed = placed.filter(~in_pool).withColumn("at", F.col("start")).unionByName(interleaved(placed.filter(in_pool)))
+    else:
+        placed = placed.withColumn("at", F.col("start"))
+    placed = (placed.withColumn("block", F.floor(F.col("at") / block).cast("bigint"))
               .withColumn("_k", (F.col("block") % F.col("units")).cast("int"))
               .withColumn("_round", F.floor(F.col("block") / F.col("units")).cast("bigint") * period))
     return (placed.join(F.broadcast(plan), (F.col("member") == F.col("s")) & (F.col("_k") == F.col("k")), "left")

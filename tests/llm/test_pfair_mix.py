@@ -149,3 +149,27 @@ def test_small_sources_get_their_own_target_weights(spark):
     for r in rows:
         size[r.source] += r.size
     assert size["s00001"] == 1000 and size["s00599"] == 700 and size["large"] == 1700
+
+
+def test_every_small_source_runs_evenly_through_the_mix(spark):
+    """3,000 small sources of 1 to 41 documents beside a large one: each is near its weight all along."""
+    n = F.when(F.col("i") == 0, 20_000).otherwise(1 + F.col("i") % 41)
+    docs = (spark.range(0, 3001).withColumnRenamed("id", "i").withColumn("j", F.explode(F.sequence(F.lit(1), n)))
+            .select((F.col("i") * 100_000 + F.col("j")).alias("doc_id"), F.format_string("s%05d", "i").alias("source"),
+                    F.repeat(F.lit("x"), 99).alias("text")))
+    block = 500
+    rows = mix.schedule(docs, block=block).collect()
+    assert all(r.kept for r in rows)
+    total = sum(r.size for r in rows)
+    sizes = collections.Counter()
+    for r in rows:
+        sizes[r.source] += r.size
+    done, worst, at = collections.Counter(), 0.0, 0
+    # Over a whole period; after it, what is left of the sources ends one by one.
+    for r in sorted((r for r in rows if r.slot < mix.PERIOD), key=lambda r: (r.slot, r.start)):
+        # Just before and just after its documents a source is farthest off.
+        worst = max(worst, abs(done[r.source] - at * sizes[r.source] / total))
+        done[r.source] += r.size
+        at += r.size
+        worst = max(worst, abs(done[r.source] - at * sizes[r.source] / total))
+    assert worst < 2 * block
