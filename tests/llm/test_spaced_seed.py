@@ -99,3 +99,22 @@ def test_planted_passages_of_the_table(spark):
     texts = {r.doc_id: " ".join(tokens(r.text)) for r in docs.collect()}
     whole = {d for d, t in texts.items() if any(" ".join(tokens(b.text)) in t for b in bench.collect())}
     assert whole <= bad and len(bad - whole) <= 2
+
+
+@pytest.mark.parametrize("bound", [0, 128 << 20])
+def test_partial_copies_and_copies_with_inserted_words(spark, monkeypatch, bound):
+    monkeypatch.setattr(ss, "BROADCAST_BYTES", bound)
+    item = lambda name, n: [f"{name}{i}" for i in range(n)]
+    long, mid, short = item("long", 250), item("mid", 60), item("short", 30)
+    around = lambda ws: " ".join(item("a", 20) + ws + item("b", 20))
+    docs = {
+        1: long[70:170], 2: [w if k % 10 else "zzz" for k, w in enumerate(long[70:170])],
+        3: mid[:20] + ["x"] + mid[20:40] + ["y"] + mid[40:], 4: short[:10] + ["x"] + short[10:20] + ["y"] + short[20:],
+        5: mid[:10] + mid[11:22] + mid[23:33] + mid[34:],  # words left out
+        6: long[70:82], 7: (short[:8] + ["x"]) * 6, 8: ["nothing"] * 50}  # a phrase, one phrase again and again
+    d = spark.createDataFrame([(i, around(ws)) for i, ws in docs.items()], "doc_id bigint, text string")
+    b = spark.createDataFrame([(i, " ".join(ws)) for i, ws in enumerate((long, mid, short))], "item_id bigint, text string")
+    rows = {r.doc_id: (r.best_item, r.matched) for r in ss.judge(d, b).filter("contaminated").collect()}
+    # Of document 2 the stretch begins after the first substitution.
+    assert rows == {1: (0, 100), 2: (0, 90), 3: (1, 60), 4: (2, 30), 5: (1, 57)}
+    assert sorted(r.doc_id for r in ss.remove_contaminated(d, b).collect()) == [6, 7, 8]
