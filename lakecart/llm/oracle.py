@@ -133,9 +133,56 @@ SELECT doc_id, coalesce(n, 0) AS n_tokens, coalesce(round(target / n, 6), 0) AS
 FROM d LEFT JOIN losses USING (rn)
 """
 
+SPELLINGS = r"""
+WITH RECURSIVE
+-- The CRC-32 table from its polynomial.
+poly AS (
+  SELECT [list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)
+          FOR i IN range(256)] AS crc),
+runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+  GROUP BY doc_id, run),
+-- UTF-8 bytes: one below 128, else 195 and the code point less 64 (À to ÿ).
+bytes AS (
+  SELECT *, flatten([CASE WHEN unicode(c) < 128 THEN [unicode(c)] ELSE [195, unicode(c) - 64] END
+                     FOR c IN string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run, '')]) AS b FROM runs),
+hashed AS (
+  SELECT run, n, xor(list_reduce([CAST(x AS BIGINT) FOR x IN b],
+           lambda c, x: xor(crc[CAST((xor(c, x) & 255) + 1 AS BIGINT)], c >> 8), 4294967295), 4294967295) AS h
+  FROM bytes, poly),
+spelt AS (
+  SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+  FROM hashed),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM spelt WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+-- A word without one of its code points, and where.
+holes AS (
+  SELECT DISTINCT word, length(word) AS l, p, substr(word, 1, p) || substr(word, p + 2) AS rest
+  FROM (SELECT word, unnest(range(length(word))) AS p FROM v)),
+edits AS (
+  SELECT a.word AS x, b.word AS y FROM holes a JOIN holes b ON a.l = b.l AND a.p = b.p AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT holes.word, v.word FROM holes JOIN v ON rest = v.word
+  UNION SELECT v.word, holes.word FROM holes JOIN v ON rest = v.word),
+near AS (
+  SELECT x, count(*) AS n_near, max(n) AS best_n FROM edits JOIN v ON y = word GROUP BY x),
+best AS (
+  SELECT near.x, min(y) AS best FROM near JOIN edits ON near.x = edits.x JOIN v ON y = word AND n = best_n GROUP BY near.x),
+formed AS (
+  SELECT v.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 2 * n THEN best END AS form,
+         CASE WHEN best_n >= 2 * n THEN best_n END AS form_n
+  FROM v LEFT JOIN near ON v.word = near.x LEFT JOIN best ON v.word = best.x),
+chain AS (
+  SELECT word, word AS here, 0 AS step FROM formed
+  UNION ALL SELECT chain.word, form, step + 1 FROM chain JOIN formed ON here = formed.word WHERE form IS NOT NULL),
+roots AS (SELECT word, arg_max(here, step) AS root FROM chain GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN roots USING (word)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_chat_perspectives": CHAT,
     "op8_spaced_seed": LEAKS,
     "op9_url_rules": URLS,
     "op10_cross_entropy": LANGUAGE_MODELS,
+    "op13_spelling_variants": SPELLINGS,
 }

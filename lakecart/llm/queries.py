@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, each over its whole table, and the pipeline."""
+"""The registered queries of the operators, each over its whole table, and the pipeline."""
 
 from __future__ import annotations
 
@@ -18,6 +18,7 @@ from lakecart.llm import (
     rendezvous,
     simhash_variants,
     spaced_seed,
+    spelling_variants,
     url_rules,
 )
 from lakecart.llm.common import held_out, table
@@ -80,9 +81,15 @@ def op10_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_entropy.score(docs, labels.filter("quality = 1"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = spelling_variants.vocabulary(table(spark, sf_dir, "documents"))
+    return spelling_variants.group_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (op1_language_id, op2_rendezvous_shards, op3_chat_perspectives, op4_attention_mil, op5_ngram_ratio,
-           op6_pfair_mix, op7_simhash_variants, op8_spaced_seed, op9_url_rules, op10_cross_entropy)
+           op6_pfair_mix, op7_simhash_variants, op8_spaced_seed, op9_url_rules, op10_cross_entropy,
+           op13_spelling_variants)
     return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
 
 

@@ -1,0 +1,93 @@
+"""Spelling variants against a comparison of every two words."""
+
+import collections
+import random
+import re
+import zlib
+
+import pytest
+
+from lakecart.llm import spelling_variants as sv
+from llm_frames import awkward_documents, no_documents
+
+LOWER = str.maketrans(sv.UPPER, sv.LOWER)
+
+
+def spelt(doc_id, run):
+    h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+    return run[:h % len(run)] + run[h % len(run) + 1:] if h % 97 == 0 else run
+
+
+def one_edit(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    if len(a) < len(b):
+        a, b = b, a
+    return len(a) == len(b) + 1 and any(a[:i] + a[i + 1:] == b for i in range(len(a)))
+
+
+def brute(docs):
+    n = collections.Counter(spelt(d, r) for d, t in docs for r in re.findall(sv.WORD, (t or "").translate(LOWER)))
+    return grouped({w: c for w, c in n.items() if len(w) >= 5 and c >= 3})
+
+
+def grouped(n):
+    near = {w: [v for v in n if one_edit(v, w)] for w in n}
+    best = {w: min(vs, key=lambda v: (-n[v], v)) for w, vs in near.items() if vs}
+    form = {w: v for w, v in best.items() if n[v] >= 2 * n[w]}
+    out = {}
+    for w in n:
+        root = w
+        while root in form:
+            root = form[root]
+        out[w] = (n[w], len(near[w]), form.get(w), n.get(form.get(w)), root)
+    return out
+
+
+def result(df):
+    return {r.word: (r.n, r.n_near, r.form, r.form_n, r.root) for r in df.collect()}
+
+
+@pytest.mark.parametrize("block,cells", [(sv.BLOCK, sv.CELLS), (3, 64)])
+def test_by_comparing_all_words(spark, monkeypatch, block, cells):
+    """Also with keys cut into many blocks, compared in small slices, and with shuffled full keys."""
+    monkeypatch.setattr(sv, "CELLS", cells)
+    monkeypatch.setattr(sv, "BROADCAST_KEYS", 10 if block == 3 else sv.BROADCAST_KEYS)
+    rng = random.Random(5)
+    n = {"".join(rng.choice("abé") for _ in range(rng.randint(5, 9))): rng.choice([3, 4, 7, 20, 90]) for _ in range(900)}
+    words = spark.createDataFrame(list(n.items()), "word string, n bigint")
+    assert result(sv.group_variants(words, block=block)) == grouped(n)
+
+
+def test_counts_and_misspellings_of_documents(spark):
+    docs = [(r.doc_id, r.text) for r in awkward_documents(spark).collect()]
+    assert result(sv.group_variants(sv.vocabulary(awkward_documents(spark)))) == brute(docs)
+
+
+def test_edits_at_every_place(spark):
+    n = {"carpet": 40, "arpet": 3, "carpe": 3, "carppet": 4, "carpets": 5, "xcarpet": 3, "cXrpet": 3, "capet": 21, "carpte": 9,
+         "a" * 3000: 3, "a" * 3001: 6, "a" * 3003: 12}
+    got = result(sv.group_variants(spark.createDataFrame(list(n.items()), "word string, n bigint")))
+    assert got == grouped(n)
+    assert got["carpet"][1] == 7 and got["capet"][2] is None and got["carpte"][2:] == (None, None, "carpte")  # a swap is two edits
+
+
+def test_long_chains_reach_their_root(spark):
+    n = {"a" * k: 3 << (k - 5) for k in range(5, 35)}
+    assert {v[4] for v in result(sv.group_variants(spark.createDataFrame(list(n.items()), "word string, n bigint"))).values()} == {"a" * 34}
+
+
+def test_ties_take_the_smallest_word(spark):
+    n = {"stone": 3, "store": 8, "stove": 8, "Stone": 8}
+    got = result(sv.group_variants(spark.createDataFrame(list(n.items()), "word string, n bigint")))
+    assert got["stone"][2] == "Stone" and got["store"][2] is None
+
+
+def test_empty_tables(spark):
+    assert sv.group_variants(sv.vocabulary(no_documents(spark))).count() == 0
+
+
+def test_a_key_that_all_words_share_is_cut_into_tiles(spark):
+    words = spark.createDataFrame([(f"{chr(97 + i // 26)}{chr(97 + i % 26)}tail", 3) for i in range(600)], "word string, n bigint")
+    sizes = [len(r.words) for r in sv.tiles(words, block=40).collect()]
+    assert max(sizes) < 160
