@@ -20,6 +20,7 @@ from lakecart.llm import (
     spaced_seed,
     spelling_variants,
     url_rules,
+    whitening,
 )
 from lakecart.llm.common import held_out, table
 from lakecart.llm.oracle import ORACLE_SQL
@@ -81,6 +82,10 @@ def op10_cross_entropy(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cross_entropy.score(docs, labels.filter("quality = 1"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.components(table(spark, sf_dir, "embeddings"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = spelling_variants.vocabulary(table(spark, sf_dir, "documents"))
     return spelling_variants.group_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
@@ -89,7 +94,7 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (op1_language_id, op2_rendezvous_shards, op3_chat_perspectives, op4_attention_mil, op5_ngram_ratio,
            op6_pfair_mix, op7_simhash_variants, op8_spaced_seed, op9_url_rules, op10_cross_entropy,
-           op13_spelling_variants)
+           op11_whitening, op13_spelling_variants)
     return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
 
 
