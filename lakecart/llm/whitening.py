@@ -143,7 +143,7 @@ def triangle(fit: DataFrame, d: int, n: int, sums: list[int]) -> np.ndarray:
         if len(r):
             yield batch(TaskContext.get().partitionId(), r)
 
-    def reduce(key, table: pa.Table) -> pa.Table:
+    def reduce(key, table):
         rows = _matrix(table.column("row"), d)
         return pa.Table.from_batches([batch(key[0].as_py(), _triangle((rows[a:a + ROWS] for a in range(0, len(rows), ROWS)), d))])
 

@@ -64,6 +64,17 @@ def test_unusable_and_repeated_rows(spark, monkeypatch, fan):
     check(wh.components(frame(spark, good + bad).repartition(9)).collect(), good)
 
 
+@pytest.mark.parametrize("fan", [wh.FAN, 2])
+def test_triangles_of_many_tasks(spark, monkeypatch, fan):
+    monkeypatch.setattr(wh, "FAN", fan)
+    rng = np.random.default_rng(4)
+    x = rng.integers(-50, 50, size=(90, 4))
+    table = spark.createDataFrame([(v.tolist(),) for v in x], "x array<bigint>").repartition(9)
+    r = wh.triangle(table, 4, 90, x.sum(0).tolist())
+    c = x - x.mean(0)
+    assert r.shape == (4, 4) and np.allclose(r.T @ r, c.T @ c)
+
+
 def test_few_components_null_ids_and_repeated_ids(spark):
     rng = np.random.default_rng(2)
     rows = [(None if i < 2 else i // 2, [float(c) for c in rng.normal(size=4)]) for i in range(30)]
