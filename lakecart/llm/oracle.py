@@ -179,10 +179,26 @@ roots AS (SELECT word, arg_max(here, step) AS root FROM chain GROUP BY word)
 SELECT word, form, root, n, n_near, form_n FROM formed JOIN roots USING (word)
 """
 
+PAGES = r"""
+-- The pages declare their article; its blocks are what stands between block tags.  Unit separators mark their ends.
+WITH inner_html AS (
+  SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article[^>]*>(.*?)(</article>|$)', 1) AS body FROM pages),
+cut AS (
+  SELECT page_id, url, string_split(regexp_replace(regexp_replace(body, '</?(p|h1|ul|li|div)( [^>]*)?>', chr(31), 'g'),
+         '</?(b|br|a)( [^>]*)?>', ' ', 'g'), chr(31)) AS parts FROM inner_html),
+-- Character references of the pages (the ampersand last, so that none is decoded twice).
+plain AS (
+  SELECT page_id, url, [trim(regexp_replace(regexp_replace(replace(replace(replace(p, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'),
+                             '&amp;?', '&', 'g'), '\s+', ' ', 'g')) FOR p IN parts] AS parts FROM cut)
+SELECT page_id, url, array_to_string([p FOR p IN parts IF p <> ''], chr(10) || chr(10)) AS text,
+       CAST(length(array_to_string([p FOR p IN parts IF p <> ''], chr(10) || chr(10))) AS BIGINT) AS n_chars FROM plain
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_chat_perspectives": CHAT,
     "op8_spaced_seed": LEAKS,
     "op9_url_rules": URLS,
     "op10_cross_entropy": LANGUAGE_MODELS,
+    "op12_page_text": PAGES,
     "op13_spelling_variants": SPELLINGS,
 }

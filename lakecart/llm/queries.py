@@ -14,6 +14,7 @@ from lakecart.llm import (
     cross_entropy,
     language_id,
     ngram_ratio,
+    page_text,
     pfair_mix,
     rendezvous,
     simhash_variants,
@@ -86,6 +87,10 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.components(table(spark, sf_dir, "embeddings"))
 
 
+def op12_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = spelling_variants.vocabulary(table(spark, sf_dir, "documents"))
     return spelling_variants.group_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
@@ -94,7 +99,7 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     ops = (op1_language_id, op2_rendezvous_shards, op3_chat_perspectives, op4_attention_mil, op5_ngram_ratio,
            op6_pfair_mix, op7_simhash_variants, op8_spaced_seed, op9_url_rules, op10_cross_entropy,
-           op11_whitening, op13_spelling_variants)
+           op11_whitening, op12_page_text, op13_spelling_variants)
     return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}
 
 

@@ -1,0 +1,140 @@
+"""Main text of pages: the scanner, the alignment against dynamic programming, and whole sites."""
+
+import random
+
+import numpy as np
+import pytest
+
+from lakecart.llm import alignment, page_text
+from lakecart.llm.page_blocks import ARTICLE, ASIDE, CONTENT, ELSEWHERE, MAIN, blocks
+
+SCHEMA = "page_id bigint, url string, html string, host string, path string, text string, key string, shared string, lines string, blocks string"
+
+
+def pages(spark, rows):
+    return spark.createDataFrame([(*r, "h", "p", "t", "k", "s", "l", "b") for r in rows], SCHEMA)
+
+
+def texts(spark, rows):
+    return {r.page_id: r.text for r in page_text.extract(pages(spark, rows)).collect()}
+
+
+@pytest.mark.parametrize("html,want", [
+    ("", []),
+    ("plain &amp; simple", [(ELSEWHERE, "plain & simple")]),
+    ("<p>one<p>two<br>three</p>four", [(ELSEWHERE, "one"), (ELSEWHERE, "two three"), (ELSEWHERE, "four")]),
+    ("<p>a <b>bold</b>  \n word&nbsp;x<!-- gone --></p>", [(ELSEWHERE, "a bold word x")]),
+    ("<head><title>t</title>x</head><body>y", [(ELSEWHERE, "y")]),
+    ("<script>if (a < b) '</p>'</script><style>p{}</style>z", [(ELSEWHERE, "z")]),
+    ("<script>never ended <p>x</p>", []),
+    ("<SCRIPT>1</SCRIPT ><P>X", [(ELSEWHERE, "X")]),
+    ("<nav><ul><li>a<li>b</ul></nav><article><h1>T</h1><p>x</article><footer>f", [
+        (ASIDE, "a"), (ASIDE, "b"), (ARTICLE, "T"), (ARTICLE, "x"), (ASIDE, "f")]),
+    ("<main><header><h1>T</h1></header><p>x</p></main>", [(MAIN, "T"), (MAIN, "x")]),
+    ("<header><h1>Site</h1></header><div class='post-content'>x</div>", [(ASIDE, "Site"), (CONTENT, "x")]),
+    ("<div class='ad'>a</div><div id=adSlot1>b</div><div class='shadow'>c</div>", [(ASIDE, "a"), (ASIDE, "b"), (ELSEWHERE, "c")]),
+    ("<body class='has-sidebar'><div class='no-comments'>x</div>", [(ELSEWHERE, "x")]),
+    ("<article>x<div class=comments><article class=comment>me too</article></div>y</article>", [
+        (ARTICLE, "x"), (ASIDE, "me too"), (ARTICLE, "y")]),
+    ("<article>x <span class='advert'>buy</span> y</article>", [(ARTICLE, "x"), (ASIDE, "buy"), (ARTICLE, "y")]),
+    ("<div role=navigation>m</div><div style='display: none'>h</div><p hidden>i<p>j", [
+        (ASIDE, "m"), (ASIDE, "h"), (ASIDE, "i"), (ELSEWHERE, "j")]),
+    ("<article><p><b>bold never ends<br><p>next</p></article>tail", [
+        (ARTICLE, "bold never ends"), (ARTICLE, "next"), (ELSEWHERE, "tail")]),
+    ("a < b and c > d &lt;p&gt; &copy; &#233; &am", [(ELSEWHERE, "a < b and c > d <p> © é &am")]),
+    ("<p title='a > b'>x</p><p title='never closed>y</p>", [(ELSEWHERE, "x"), (ELSEWHERE, "<p title='never closed>y")]),
+    ("<form>search</form><dialog>cookies</dialog><aside>s</aside>k", [(ASIDE, "search"), (ASIDE, "cookies"), (ASIDE, "s"), (ELSEWHERE, "k")]),
+    ("</div></article>x</p>", [(ELSEWHERE, "x")]),
+])
+def test_blocks(html, want):
+    assert blocks(html) == want
+
+
+def test_blocks_of_long_and_odd_pages():
+    assert len(blocks("<p>" + "x</p><p>" * 20_000)) == 20_000
+    assert blocks("<b>" * 20_000 + "x") == [(ELSEWHERE, "x")]
+    assert len(blocks("<div>" * 5_000 + "x" + "</div>" * 5_000)) == 1
+    assert blocks("<" * 50_000)[0][1] == "<" * 50_000
+
+
+def longest(a, b):
+    table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
+    return table[-1][-1]
+
+
+@pytest.mark.parametrize("bits", [alignment.BITS, 20])
+def test_alignment_by_dynamic_programming(monkeypatch, bits):
+    monkeypatch.setattr(alignment, "BITS", bits)
+    rng = random.Random(2)
+    for _ in range(300):
+        a = [rng.randint(0, rng.choice([2, 9, 40])) for _ in range(rng.randint(0, 40))]
+        b = [rng.randint(0, rng.choice([2, 9, 40])) for _ in range(rng.randint(0, 40))]
+        flags = alignment.shared(np.array(a, np.int64), np.array(b, np.int64))
+        part = [x for x, f in zip(a, flags) if f]
+        assert len(part) == longest(a, b)
+        rest = iter(b)
+        assert all(x in rest for x in part)  # a subsequence of b too
+
+
+def soup(title, body, ad):
+    """A page that names none of its parts, but for the advert."""
+    return (f"<html><body><div><a href=/>Home</a> <a href=/n>News</a></div><div>Read us every day</div><div class=ad>{ad}</div>"
+            f"<div><h1>{title}</h1>" + "".join(f"<p>{p}</p>" for p in body) + "</div><div>All rights reserved</div></body></html>")
+
+
+def test_a_site_without_marks_loses_what_its_pages_share(spark):
+    rng = random.Random(4)
+    body = lambda: [" ".join(rng.choice("abcdefgh") * 3 + str(rng.randint(0, 99)) for _ in range(12)) for _ in range(3)]
+    of = {i: (f"Title {i}", body()) for i in range(12)}
+    rows = [(i, f"http://s.example/{'news' if i % 2 else 'sport'}/{i}", soup(*of[i], f"buy {i}")) for i in of]
+    rows.append((99, "http://other.example/x", soup("Alone", ["only page"], "buy")))  # no neighbour: only the marked advert goes
+    got = texts(spark, rows)
+    assert {i: got[i] for i in of} == {i: "\n\n".join([t, *b]) for i, (t, b) in of.items()}
+    assert got[99] == "Home News\n\nRead us every day\n\nAlone\n\nonly page\n\nAll rights reserved"
+
+
+def test_the_nearest_path_of_the_host_is_the_neighbour(spark):
+    line = lambda s: f"<p>{s}</p><p>own words of {s} here and there</p>"
+    rows = [(1, "http://h/a/x1", "<p>news menu</p>" + line("one")), (2, "http://h/a/x2", "<p>news menu</p>" + line("two")),
+            (3, "http://h/b/y1", "<p>shop menu</p>" + line("six")), (4, "http://h/b/y2", "<p>shop menu</p>" + line("ten")),
+            (5, "http://g/b/y2", "<p>shop menu</p>" + line("odd"))]
+    got = texts(spark, rows)
+    assert [got[i].startswith("news") or got[i].startswith("shop") for i in range(1, 6)] == [False] * 4 + [True]
+
+
+def test_articles_keep_what_they_share(spark):
+    page = lambda i: f"<div>menu</div><article><p>own {i}</p><p>Released under the MIT License.</p></article><div>by us</div>"
+    got = texts(spark, [(i, f"http://h/{i}", page(i)) for i in range(4)])
+    assert got == {i: f"own {i}\n\nReleased under the MIT License." for i in range(4)}
+
+
+def test_versions_of_a_page_are_kept(spark):
+    """Copies under several addresses, and a page that differs in a word of a long text."""
+    long = "".join(f"<p>paragraph {i} with some words of its own</p>" for i in range(60))
+    rows = [(i, f"http://h/a/{i}", "<p>first</p>" + long) for i in range(5)] + [(9, "http://h/a/9", "<p>second</p>" + long)]
+    got = texts(spark, rows)
+    assert all(got[i].startswith("first\n\nparagraph 0") for i in range(5)) and got[9].startswith("second\n\nparagraph 0")
+
+
+def test_awkward_pages(spark):
+    rows = [(1, None, None), (2, "no scheme", ""), (None, "http://h/1", "<p>x</p>"), (3, "http://h/1", "<p>x</p>"), (3, "http://h/1", "<p>x</p>"),
+            (4, None, "<article>y</article>"), (5, "http://", " \n "), (6, "http://h/2", "<p>one two\tthree</p>" + "<p>z" * 30_000)]
+    out = page_text.extract(pages(spark, rows))
+    assert out.columns == ["page_id", "url", "text", "n_chars"]
+    got = out.collect()
+    assert sorted((r.page_id or 0, r.url or "", r.text[:14], r.n_chars) for r in got) == sorted([
+        (1, "", "", 0), (2, "no scheme", "", 0), (0, "http://h/1", "x", 1), (3, "http://h/1", "x", 1), (3, "http://h/1", "x", 1),
+        (4, "", "y", 1), (5, "http://", "", 0), (6, "http://h/2", "one two three\n", 13 + 3 * 30_000)])
+
+
+def test_a_hot_host_and_shuffled_decisions(spark, monkeypatch):
+    monkeypatch.setattr(page_text, "BROADCAST_BYTES", -1)
+    rows = [(i, f"http://hot/p/{i}", f"<p>menu</p><p>own text number {i}</p>") for i in range(400)]
+    assert texts(spark, rows) == {i: f"own text number {i}" for i in range(400)}
+
+
+def test_empty_table(spark):
+    assert page_text.extract(pages(spark, [])).count() == 0
