@@ -187,6 +187,41 @@ def shipping_performance(shipping_events: DataFrame, sort: bool = False) -> Data
                        F.asc_nulls_last("event_type")) if sort else out
 
 
+def sales_by_category(products: DataFrame, categories: DataFrame, orders: DataFrame, order_items: DataFrame,
+                      statuses: tuple[str, ...] = SALE_STATUSES) -> DataFrame:
+    """Units, order lines and revenue of sale orders per category and day, with subtotals.
+
+    ``level`` names the grouping set of a row: ``category_day``, ``category``
+    (all days), ``day`` (all categories), ``total``; the columns that a level
+    sums over are NULL.  Items of orders without a sale status or without an
+    order row are left out; a product without a category (or no product) counts
+    under a NULL category of its own.
+
+    Items meet their order once, are then reduced to one row per product and
+    day, and only those rows are looked up and expanded into the four sets.
+    """
+    sales = orders.where(F.col("status").isin(*statuses)).groupBy("order_id", F.col("order_date").cast("date").alias("sale_date")) \
+                  .agg(_one().alias("_o"))
+    # An order present twice (two snapshots) counts its lines twice, as the join would.
+    lines = order_items.groupBy("order_id", "product_id").agg(
+        _one().alias("_n"), F.sum("quantity").alias("_q"), money_sum("total_price").cast("decimal(38,2)").alias("_r"))
+    per_product = lines.join(sales, "order_id").groupBy("product_id", "sale_date").agg(
+        F.sum(F.col("_n") * F.col("_o")).alias("_n"), F.sum(F.col("_q") * F.col("_o")).alias("_q"),
+        F.sum((F.col("_r") * F.col("_o").cast("decimal(10,0)")).cast("decimal(38,2)")).alias("_r"))
+    named = (products.select("product_id", "category_id")
+             .join(categories.select("category_id", F.col("name").alias("category_name")), "category_id", "left")
+             .groupBy("product_id", "category_name").agg(_one().alias("_w")))
+    facts = per_product.join(named, "product_id", "left").select(
+        "category_name", "sale_date", F.coalesce("_w", F.lit(1)).alias("_w"), "_n", "_q", "_r")
+    both, neither = [F.col("category_name"), F.col("sale_date")], []
+    cube = facts.groupingSets([both, both[:1], both[1:], neither], *both).agg(
+        F.sum(F.col("_n") * F.col("_w")).alias("order_lines"), F.sum(F.col("_q") * F.col("_w")).alias("units"),
+        F.sum((F.col("_r") * F.col("_w").cast("decimal(10,0)")).cast("decimal(38,2)")).cast("double").alias("revenue"),
+        F.grouping_id("category_name", "sale_date").alias("_set"))
+    level = F.element_at(F.array(*map(F.lit, ("category_day", "category", "day", "total"))), (F.col("_set") + 1).cast("int"))
+    return cube.where("order_lines is not null").select(level.alias("level"), "category_name", "sale_date", "order_lines", "units", "revenue")
+
+
 # Per-file sort keys used when a mart is written (leading ORDER BY key of each statement).
 MART_SORT_KEYS = {
     "daily_sales": ["sale_date"],

@@ -38,18 +38,19 @@ def _counts(df: DataFrame, table: str, rules: list[tuple[str, Column]]) -> DataF
 def check_unique(silver: dict[str, DataFrame]) -> DataFrame:
     """Duplicate rows per key and snapshot: SUM(count - 1) over repeated non-NULL values.
 
-    An exact answer shuffles every distinct key once; a table with two keys is scanned for each of them.
+    All keys of a table are stacked as (rule, key) rows, so one scan and one
+    shuffle serve them all; each distinct key is shuffled once.
     """
     frames = []
     for table, df in silver.items():
         s = TABLES[table]
-        for col in (s.primary_key, *s.unique):
-            dup = (df.where(F.col(col).isNotNull())
-                     .groupBy("dt", col).agg(F.count(F.lit(1)).alias("n"))
-                     .where(F.col("n") > 1)
-                     .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("violations")))
-            frames.append(dup.select(F.lit(table).alias("table_name"), F.lit(f"unique({col})").alias("rule"),
-                                     "violations"))
+        keys = (s.primary_key, *s.unique)
+        stacked = F.array(*[F.struct(F.lit(i).alias("_rule"), F.col(c).cast("string").alias("_key")) for i, c in enumerate(keys)])
+        counts = (df.select("dt", F.explode(stacked).alias("_k")).select("dt", "_k.*").where(F.col("_key").isNotNull())
+                  .groupBy("dt", "_rule", "_key").agg((F.count(F.lit(1)) - 1).alias("_more")).where("_more > 0"))
+        of = lambda i: F.coalesce(F.sum(F.when(F.col("_rule") == i, F.col("_more"))), F.lit(0))
+        wide = counts.agg(*[of(i).alias(f"c{i}") for i in range(len(keys))])
+        frames.append(_wide_to_rows(wide, table, [f"unique({c})" for c in keys]))
     return _union(frames)
 
 
@@ -127,25 +128,29 @@ def check_consistency(silver: dict[str, DataFrame]) -> DataFrame:
 def check_referential(silver: dict[str, DataFrame]) -> DataFrame:
     """Child rows whose non-NULL foreign key has no parent row.
 
-    Children are first reduced to one row per key value (map-side partial
-    aggregation), so a hot key costs one row in the anti join.
+    A tagged-union anti join: every table is scanned once and gives, stacked,
+    its own key (marked as a parent's) and its references, as (parent table,
+    key, reference).  One shuffle on (parent table, key) then sees parents and
+    children together.  Both are counted before it, so a hot key is one row of
+    each task; a key without a parent's mark leaves its counts as violations.
     """
-    frames = []
+    refs = [(t, fk) for t in silver for fk in TABLES[t].foreign_keys if fk.parent in silver]
+    parents = list(dict.fromkeys(fk.parent for _, fk in refs))
+    tagged = []
     for t, df in silver.items():
-        for fk in TABLES[t].foreign_keys:
-            if fk.parent not in silver:
-                continue
-            keys = (df.where(F.col(fk.column).isNotNull())
-                      .groupBy(F.col(fk.column).alias("_k")).agg(F.count(F.lit(1)).alias("_n")))
-            # Distinct parent keys: partial aggregation removes repeats (snapshots) map-side,
-            # and its hash partitioning on the key is the one the anti join needs.
-            parents = silver[fk.parent].select(F.col(fk.parent_column).alias("_k")).distinct()
-            orphans = keys.join(parents, "_k", "left_anti")
-            frames.append(orphans.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("violations"))
-                          .select(F.lit(t).alias("table_name"),
-                                  F.lit(f"fk({fk.column}->{fk.parent}.{fk.parent_column})").alias("rule"),
-                                  "violations"))
-    return _union(frames)
+        entry = lambda parent, column, ref: F.struct(
+            F.lit(parents.index(parent)).alias("_parent"), F.col(column).alias("_key"), F.lit(ref).alias("_ref"))
+        own = [entry(t, c, -1) for c in dict.fromkeys(fk.parent_column for _, fk in refs if fk.parent == t)]
+        entries = own + [entry(fk.parent, fk.column, i) for i, (child, fk) in enumerate(refs) if child == t]
+        if entries:
+            tagged.append(df.select(F.explode(F.array(*entries)).alias("_e")).select("_e.*").where(F.col("_key").isNotNull()))
+    if not refs:
+        return silver[next(iter(silver))].sparkSession.createDataFrame([], "table_name string, rule string, violations bigint")
+    counts = _union(tagged).groupBy("_parent", "_key").agg(
+        F.max(F.col("_ref") < 0).alias("_known"), *[F.count_if(F.col("_ref") == i).alias(f"n{i}") for i in range(len(refs))])
+    wide = counts.where(~F.col("_known")).agg(*[F.coalesce(F.sum(f"n{i}"), F.lit(0)).cast("bigint").alias(f"c{i}") for i in range(len(refs))])
+    stack = ", ".join(f"'{t}', 'fk({fk.column}->{fk.parent}.{fk.parent_column})', c{i}" for i, (t, fk) in enumerate(refs))
+    return wide.selectExpr(f"stack({len(refs)}, {stack}) AS (table_name, rule, violations)")
 
 
 def check_cast_loss(text_bronze: dict[str, DataFrame]) -> DataFrame:
@@ -157,8 +162,8 @@ def run_checks(silver: dict[str, DataFrame], text_bronze: dict[str, DataFrame] |
     """Every check over the given silver tables (and their raw text, if given) as one report frame.
 
     All row-level rules of a table (not null, accepted values, ranges, row
-    arithmetic) are counted in one aggregation pass over it; uniqueness and
-    referential checks need their own shuffles.
+    arithmetic) are counted in one aggregation pass over it; uniqueness takes one
+    scan and shuffle per table, the references one scan per table and one shuffle.
     """
     return _union([check_unique(silver),
                    _row_check(silver, not_null_rules, accepted_rules, range_rules, money_rules, consistency_rules),

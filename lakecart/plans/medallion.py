@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from lakecart.operators.gold import MART_SORT_KEYS, build_marts, top_products_exact
 from lakecart.functions.extract_text import extract_text
 from lakecart.operators.silver import loss_rules, silver_select
+from lakecart.operators.snapshots import key_counts, latest_per_key
 from lakecart.schemas import GOLD_TABLES, TABLE_NAMES, spec
 from lakecart.jobs import per_table
 from lakecart.session import scratch_dir
@@ -82,12 +83,13 @@ def bronze_frame(spark: SparkSession, layout: Layout, table: str, strict: bool =
 
     ``snapshot="all"`` reads every landed ``dt`` (the warehouse behaviour:
     repeated full extracts pile up); ``"latest"`` keeps only the newest
-    registered snapshot, pruned at the file listing.
+    registered snapshot, pruned at the file listing; ``"latest_per_key"`` reads
+    every ``dt`` too, for silver to keep the newest row of each key.
     """
     bronze = read_bronze(spark, layout.raw, table, strict=strict, as_text=True)
     if snapshot == "latest":
         return bronze.where(F.col("dt") == F.lit(latest_snapshot(spark, f"{layout.bronze_db}.{table}")))
-    if snapshot != "all":
+    if snapshot not in ("all", "latest_per_key"):
         raise ValueError(f"unknown snapshot mode {snapshot}")
     return bronze
 
@@ -95,7 +97,12 @@ def bronze_frame(spark: SparkSession, layout: Layout, table: str, strict: bool =
 def silver_frame(spark: SparkSession, layout: Layout, table: str, strict: bool = False,
                  snapshot: str = "all") -> DataFrame:
     """Silver projection of a bronze table (see ``bronze_frame`` for ``snapshot``)."""
-    return silver_select(bronze_frame(spark, layout, table, strict, snapshot), table, strict=strict)
+    return _silver_of(bronze_frame(spark, layout, table, strict, snapshot), table, strict, snapshot)
+
+
+def _silver_of(bronze: DataFrame, table: str, strict: bool, snapshot: str) -> DataFrame:
+    silver = silver_select(bronze, table, strict=strict)
+    return latest_per_key(silver, table) if snapshot == "latest_per_key" else silver
 
 
 def row_parity(spark: SparkSession, layout: Layout, silver_locations: dict[str, str]) -> DataFrame:
@@ -134,6 +141,9 @@ def build_silver(spark: SparkSession, layout: Layout, tables=TABLE_NAMES, strict
 
     ``metrics`` (if given) receives, per table, the bronze row count and what
     the casts lost (``loss_rules``), observed in the pass that writes silver.
+
+    With ``snapshot="latest_per_key"`` silver holds one row per key instead,
+    and the gate compares with the keys of bronze (counted in a pass of its own).
     """
     observed: dict[str, Observation] = {}
 
@@ -144,7 +154,7 @@ def build_silver(spark: SparkSession, layout: Layout, tables=TABLE_NAMES, strict
         bronze = bronze_frame(spark, layout, t, strict, snapshot)
         losses = [F.count_if(lost).alias(name) for name, lost in loss_rules(t)]
         bronze = bronze.observe(observed[t], F.count(F.lit(1)).alias("rows"), *losses)
-        return write_version(silver_select(bronze, t, strict=strict), t, layout.silver_root)
+        return write_version(_silver_of(bronze, t, strict, snapshot), t, layout.silver_root)
 
     locations = per_table(build, tables)
     if metrics is not None:
@@ -154,8 +164,14 @@ def build_silver(spark: SparkSession, layout: Layout, tables=TABLE_NAMES, strict
         frames = [spark.read.parquet(loc).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("dt") == F.lit(dt)).alias("day"))
                   .select(F.lit(t).alias("t"), "n", "day") for t, loc in locations.items()]
         counts = {r.t: r for r in reduce(DataFrame.unionByName, frames).collect()}
-        bad = [t for t in tables if int(observed[t].get["rows"]) != counts[t].n
-               or t in landed and landed[t] != counts[t].day]
+        if snapshot == "latest_per_key":
+            keys = [key_counts(silver_frame(spark, layout, t, strict), t).select(F.lit(t).alias("t"), (F.col("keys") + F.col("keyless")).alias("n"))
+                    for t in tables]
+            expected = {r.t: r.n for r in reduce(DataFrame.unionByName, keys).collect()}
+            landed = {}  # a day's rows may have been replaced by later ones
+        else:
+            expected = {t: int(observed[t].get["rows"]) for t in tables}
+        bad = [t for t in tables if expected[t] != counts[t].n or t in landed and landed[t] != counts[t].day]
         if bad:
             raise ParityError("Silver row count mismatch: " + ", ".join(bad))
     for t, location in locations.items():

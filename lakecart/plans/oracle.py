@@ -571,6 +571,106 @@ UNION ALL SELECT 'users', n, NULL, regexp_replace(email, '@([^@]*)$', '') || '+'
 UNION ALL SELECT 'orders', o.n, u.n, NULL FROM o JOIN u USING (user_id)
 UNION ALL SELECT 'payments', y.n, o.n, NULL FROM y JOIN o USING (order_id)""", "categories", "products", "users", "orders", "payments")
 
+_LOADS = ("categories", "products", "users", "orders", "order_items", "payments", "shipping_events", "product_reviews",
+          "inventory_logs", "cart_events")
+
+
+def _append_load_all() -> str:
+    """Rows whose parents are all there, numbered after 1, 2, .. million in the order of their old key."""
+    ctes, out = [], []
+    for k, t in enumerate(_LOADS):
+        refs = [(c, parent) for child, c, parent in REFERENCES if child == t]
+        joins = " ".join(f"JOIN l_{p} p{i} ON m.{c} = p{i}.old" for i, (c, p) in enumerate(refs))
+        ids = [f"p{i}.new AS r{i}" for i in range(len(refs))] + [f"CAST(NULL AS BIGINT) AS r{i}" for i in range(len(refs), 2)]
+        pk = PRIMARY_KEYS[t]
+        ctes.append(f"l_{t} AS (SELECT m.{pk} AS old, {k + 1} * 1000000 + row_number() OVER (ORDER BY m.{pk}) AS new, "
+                    f"{', '.join(ids)} FROM m_{t} m {joins})")
+        out.append(f"SELECT '{t}' AS table_name, CAST(new AS BIGINT) AS key_id, CAST(r0 AS BIGINT) AS first_parent, "
+                   f"CAST(r1 AS BIGINT) AS second_parent FROM l_{t}")
+    return ", " + ",\n".join(ctes) + "\n" + _union(out)
+
+
+ORACLE["append_load_all"] = with_tables(_append_load_all(), *TABLES)
+
+# --- several snapshots ---
+ORACLE["silver_latest_per_key"] = with_tables("""
+, days AS (
+  SELECT * FROM s_orders
+  UNION ALL SELECT * REPLACE (CASE WHEN order_id % 2 = 0 THEN 'returned' ELSE status END AS status, '2024-01-02' AS dt)
+    FROM s_orders WHERE order_id % 3 = 0
+  UNION ALL SELECT * REPLACE ('cancelled' AS status, TIMESTAMP '2030-01-01' AS updated_at, '2024-01-02' AS dt)
+    FROM s_orders WHERE order_id % 12 = 0)
+SELECT * EXCLUDE (place) FROM (
+  SELECT *, row_number() OVER (PARTITION BY order_id ORDER BY dt DESC, updated_at DESC) AS place FROM days) WHERE place = 1""", "orders")
+ORACLE["report_freshness"] = """
+WITH landed AS (
+  SELECT 'cart_events' AS t, CAST(ts AS DATE) AS d, CAST(count(*) AS BIGINT) AS n FROM events
+  WHERE CAST(ts AS DATE) NOT IN (DATE '2024-01-10', DATE '2024-01-20') AND (CAST(ts AS DATE) <> DATE '2024-01-15' OR event_id % 10 = 0)
+  GROUP BY ALL
+  UNION ALL SELECT 'cart_events', DATE '2024-01-20', 0
+  UNION ALL SELECT 'inventory_logs', d, n * CASE WHEN d = DATE '2024-01-05' THEN 4 ELSE 1 END
+  FROM (SELECT CAST(ts AS DATE) AS d, count(*) AS n FROM events WHERE ts < TIMESTAMP '2024-01-26' GROUP BY ALL) x),
+days AS (
+  SELECT t, CAST(unnest(generate_series(CAST(f AS TIMESTAMP), CAST(e AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS d
+  FROM (SELECT t, min(d) AS f, (SELECT max(d) FROM landed) AS e FROM landed GROUP BY t)),
+seen AS (
+  SELECT days.t, days.d, n, (SELECT arg_max(b.n, b.d) FROM landed b WHERE b.t = days.t AND b.d < days.d AND b.n > 0) AS p
+  FROM days LEFT JOIN landed USING (t, d))
+SELECT t AS table_name, strftime(d, '%Y-%m-%d') AS dt, n AS row_count, p AS previous_rows, n - p AS change,
+  CASE WHEN n IS NULL THEN 'missing' WHEN n = 0 THEN 'empty' WHEN n < 0.5 * p THEN 'drop' WHEN n > 2 * p THEN 'jump' ELSE 'ok' END AS status
+FROM seen"""
+ORACLE["gold_daily_sales_incremental"] = with_tables(
+    ", d_orders AS (SELECT * FROM s_orders WHERE order_id % 5 <> 0 UNION ALL SELECT * FROM s_orders WHERE order_id % 3 = 0)"
+    + GOLD_SQL["daily_sales"][0].replace("s_orders", "d_orders"), "orders")
+ORACLE["gold_sales_by_category"] = with_tables("""
+, facts AS (
+  SELECT c.name AS category_name, o.order_date AS sale_date, i.quantity, CAST(i.total_price AS DECIMAL(18,2)) AS paid
+  FROM s_order_items i JOIN s_orders o USING (order_id) LEFT JOIN s_products p ON p.product_id = i.product_id
+  LEFT JOIN s_categories c ON c.category_id = p.category_id WHERE o.status IN ('delivered', 'shipped', 'processing'))
+SELECT 'category_day' AS level, category_name, sale_date, count(*) AS order_lines, CAST(sum(quantity) AS BIGINT) AS units,
+  CAST(sum(paid) AS DOUBLE) AS revenue FROM facts GROUP BY category_name, sale_date
+UNION ALL SELECT 'category', category_name, NULL, count(*), CAST(sum(quantity) AS BIGINT), CAST(sum(paid) AS DOUBLE) FROM facts GROUP BY category_name
+UNION ALL SELECT 'day', NULL, sale_date, count(*), CAST(sum(quantity) AS BIGINT), CAST(sum(paid) AS DOUBLE) FROM facts GROUP BY sale_date
+UNION ALL SELECT 'total', NULL, NULL, count(*), CAST(sum(quantity) AS BIGINT), CAST(sum(paid) AS DOUBLE) FROM facts HAVING count(*) > 0""",
+                                               "orders", "order_items", "products", "categories")
+
+
+def _content_parity() -> str:
+    """Where the planted faults change the multiset of a column's values, or of whole rows."""
+    has_tenth = "(SELECT count(*) FROM m_categories WHERE category_id % 10 = 0)"
+    landed = {("categories", "name"): has_tenth, ("categories", "*"): has_tenth}
+    cleaned = dict(landed)
+    cleaned |= {("orders", c): "(SELECT count(*) FROM m_orders WHERE order_id % 17 = 0)" for c in ("currency", "*")}
+    cleaned[("products", "*")] = ("(SELECT count(*) FROM m_products a JOIN m_products b ON b.product_id = xor(a.product_id, 1) "
+                                  "WHERE a.price <> b.price)")
+    for c, _, _ in SOURCE_COLUMNS["users"]:
+        cleaned[("users", c)] = f"(SELECT count(*) FROM s_users a, s_users b WHERE a.user_id = 1 AND b.user_id = 2 AND a.{c} IS DISTINCT FROM b.{c})"
+    cleaned[("users", "*")] = "(SELECT count(*) FROM s_users WHERE user_id = 1)"
+    verdict = lambda found: f"CASE WHEN {found} > 0 THEN 'MISMATCH' ELSE 'OK' END"
+    return _union([f"SELECT '{t}' AS table_name, '{c}' AS column_name, {verdict(landed.get((t, c), '0'))} AS landed, "
+                   f"{verdict(cleaned.get((t, c), '0'))} AS cleaned"
+                   for t, cols in SOURCE_COLUMNS.items() for c in [*(n for n, _, _ in cols), "*"]])
+
+
+ORACLE["silver_content_parity"] = with_tables(_content_parity(), *TABLES)
+
+
+def _contents(text) -> str:
+    """Sums of MD5-derived integers of every column; ``text`` turns a text column into what the files hold."""
+    parts = []
+    for t, cols in SOURCE_COLUMNS.items():
+        for c, kind, _ in cols:
+            value = (f"CAST(CAST(round({c} * 100) AS BIGINT) AS VARCHAR)" if kind == "double"
+                     else f"CAST({c} AS VARCHAR)" if kind in ("id", "int") else text(c))
+            digest = f"CAST('0x' || substr(md5(coalesce('1' || {value}, '0')), 1, 15) AS BIGINT)"
+            parts.append(f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS n_rows, "
+                         f"CAST(coalesce(sum({digest}), 0) AS VARCHAR) AS fingerprint FROM b_{t}")
+    return "".join(f", b_{t} AS ({b_view(t)})" for t in SOURCE_COLUMNS) + "\n" + _union(parts)
+
+
+ORACLE["bronze_content"] = with_tables(_contents(lambda c: c), *TABLES)
+ORACLE["raw_clean_content"] = with_tables(_contents(_ws), *TABLES)
+
 # --- column functions ---
 ORACLE["cast_bigint"] = """
 SELECT o_orderkey AS order_id, TRY_CAST(CAST(o_custkey AS VARCHAR) AS BIGINT) AS user_id_cast,

@@ -17,16 +17,18 @@ from pyspark.sql import functions as F
 
 from lakecart.functions.clean import (clean_date, clean_text, clean_trim, clean_ts, to_bigint, to_double,
                                       to_int, whitespace_all)
-from lakecart.operators import gold, quality, reports
+from lakecart.operators import gold, quality, reports, sales_state
+from lakecart.operators.content import ROW, content_parity, fingerprints
 from lakecart.operators.keys import append_frames, append_suffix, position_key_map, remap_column
 from lakecart.operators.silver import silver_select
-from lakecart.plans.medallion import (extract, gold_row_counts, load_row_counts, row_parity, run_all, scratch_layout,
+from lakecart.operators.snapshots import freshness
+from lakecart.plans.medallion import (build_silver, extract, gold_row_counts, load_row_counts, row_parity, run_all, scratch_layout,
                                       silver_frame)
 from lakecart.schemas import INSERT_ORDER, TABLE_NAMES, spec
 from lakecart.session import apply_sql_defaults, ensure_checkpoint_dir, scratch_dir
-from lakecart.sinks.files import CSV_WRITE_OPTIONS, clean_raw_csv, dump_csv, land_csv, write_table
+from lakecart.sinks.files import CSV_WRITE_OPTIONS, clean_raw_csv, dump_csv, land_backfill, land_csv, replace_days, write_table
 from lakecart.sources.bronze import (add_snapshot_partition, csv_read_options, partition_row_counts, raw_file_inventory,
-                                     read_bronze, table_path)
+                                     read_bronze, register_bronze_table, table_path)
 from lakecart.sources.faults import damage, plant
 from lakecart.sources.fixtures import SNAPSHOT_DT, raw_text, read_input, source_table, typed_source
 
@@ -305,6 +307,123 @@ def q_raw_clean_rewrite(spark, sf_dir):
     return cleaned.select(F.col("review_id").cast("bigint").alias("review_id"), "title", "body")
 
 
+# ------------------------------------------- several snapshots
+NEXT_DT = "2024-01-02"
+
+
+@register("silver_latest_per_key")
+def q_silver_latest_per_key(spark, sf_dir):
+    """Orders after a full extract and a partial one on the next day, in which some orders land twice."""
+    prepare(spark)
+    layout = scratch_layout(spark, "latestkey")
+    raw = raw_text(source_table(spark, sf_dir, "orders"), "orders")
+    land_csv(raw, layout.raw, "orders", SNAPSHOT_DT)
+    key = F.col("order_id")
+    changed = raw.where(key % 3 == 0).withColumn("status", F.when(key % 2 == 0, " returned ").otherwise(F.col("status")))
+    again = raw.where(key % 12 == 0).withColumn("status", F.lit("cancelled")).withColumn("updated_at", F.lit("2030-01-01 00:00:00+00"))
+    land_csv(changed.unionByName(again), layout.raw, "orders", NEXT_DT)
+    locations = build_silver(spark, layout, ("orders",), snapshot="latest_per_key")
+    return spark.read.parquet(locations["orders"])
+
+
+# Tables landed day by day for ``report_freshness``.
+DAILY = ("cart_events", "inventory_logs")
+
+
+@register("report_freshness")
+def q_report_freshness(spark, sf_dir):
+    """Two event tables landed by event day: one with a missing, an empty and a short day, one with a long day and an early end."""
+    prepare(spark)
+    layout = scratch_layout(spark, "freshness")
+    counts = []
+    for t in DAILY:
+        source = source_table(spark, sf_dir, t, with_ids=False)
+        key = F.col(spec(t).primary_key)
+        raw = raw_text(source, t).withColumn("dt", F.substring("event_timestamp", 1, 10))
+        if t == "cart_events":
+            raw = raw.where(~F.col("dt").isin("2024-01-10", "2024-01-20") & ((F.col("dt") != "2024-01-15") | (key % 10 == 0)))
+        else:
+            times = F.when(F.col("dt") == "2024-01-05", F.array(*map(F.lit, range(4)))).otherwise(F.array(F.lit(0)))
+            raw = raw.where(F.col("dt") <= "2024-01-25").withColumn("_copy", F.explode(times)).drop("_copy")
+        land_backfill(raw, layout.raw, t)
+        if t == "cart_events":
+            land_csv(raw.drop("dt").limit(0), layout.raw, t, "2024-01-20")
+        name = register_bronze_table(spark, layout.bronze_db, layout.raw, t)
+        counts.append(partition_row_counts(spark, name).select(F.lit(t).alias("table_name"), "dt", "row_count"))
+    return freshness(reduce(DataFrame.unionByName, counts))
+
+
+@register("gold_daily_sales_incremental")
+def q_gold_daily_sales_incremental(spark, sf_dir):
+    """Daily sales from day-wise state: a full day, a partial next day, then the first day lands again with fewer orders."""
+    prepare(spark)
+    root = scratch_dir(spark, "salesstate")
+    silver, state = f"{root}/silver_orders", f"{root}/state"
+    orders = _silver(spark, sf_dir, "orders")
+    key = F.col("order_id")
+    for dt, rows in ((SNAPSHOT_DT, orders), (NEXT_DT, orders.where(key % 3 == 0)), (SNAPSHOT_DT, orders.where(key % 5 != 0))):
+        replace_days(spark, rows.withColumn("dt", F.lit(dt)), silver, [dt])
+        landed = spark.read.schema(spec("orders").silver_schema()).option("basePath", silver).parquet(silver)
+        sales_state.update(spark, landed, state, [dt])
+    return sales_state.merged(spark, state)
+
+
+@register("gold_sales_by_category")
+def q_gold_sales_by_category(spark, sf_dir):
+    s = silver_inputs(spark, sf_dir, "products", "categories", "orders", "order_items")
+    return gold.sales_by_category(s["products"], s["categories"], s["orders"], s["order_items"])
+
+
+def _altered(spark, sf_dir):
+    """Built silver with content faults that leave every row count as it is: altered, exchanged and replaced values."""
+    silver = _all_silver(spark, sf_dir)
+    orders, products, users = silver["orders"], silver["products"], silver["users"]
+    silver["orders"] = orders.withColumn("currency", F.when(F.col("order_id") % 17 == 0, "EUR").otherwise(F.col("currency")))
+    pair = lambda c: c.bitwiseXOR(F.lit(1))
+    other = products.select(pair(F.col("product_id")).alias("product_id"), F.col("price").alias("_price"))
+    silver["products"] = products.join(other, "product_id", "left").withColumn("price", F.coalesce("_price", "price")).select(*products.columns)
+    silver["users"] = users.where("user_id <> 1").unionByName(users.where("user_id = 2"))
+    return silver
+
+
+@register("silver_content_parity")
+def q_silver_content_parity(spark, sf_dir):
+    """Content of all ten tables from extract over bronze to silver, with faults in a landed file and in silver."""
+    b = built_lakehouse(spark, sf_dir)
+    broken = scratch_layout(spark, "content")
+    extracts = {t: raw_text(source_table(spark, sf_dir, t, with_ids=True), t) for t in TABLE_NAMES}
+    name = F.when(F.col("category_id") % 10 == 0, "altered").otherwise(F.col("name"))
+    land_csv(extracts["categories"].withColumn("name", name), broken.raw, "categories", SNAPSHOT_DT)
+    bronze = {t: read_bronze(spark, (broken if t == "categories" else b["layout"]).raw, t, as_text=True) for t in TABLE_NAMES}
+    return content_parity(extracts, bronze, _altered(spark, sf_dir))
+
+
+def _content(df: DataFrame, table: str) -> DataFrame:
+    """(table_name, column_name, n_values, fingerprint): amounts in cents, the rest as text."""
+    cols = []
+    for c, kind in spec(table).columns:
+        value = F.round(F.col(c).cast("double") * 100).cast("bigint") if kind == "double" else F.col(c)
+        cols.append(value.cast("string").alias(c))
+    found = fingerprints(df.select(*cols), table, "raw")
+    return found.where(F.col("column_name") != ROW).select("table_name", "column_name", F.col("rows").alias("n_rows"), "fingerprint")
+
+
+@register("bronze_content")
+def q_bronze_content(spark, sf_dir):
+    """Every column of all ten tables as read back from the landed files."""
+    layout = built_lakehouse(spark, sf_dir)["layout"]
+    return reduce(DataFrame.unionByName, [_content(read_bronze(spark, layout.raw, t), t) for t in TABLE_NAMES])
+
+
+@register("raw_clean_content")
+def q_raw_clean_content(spark, sf_dir):
+    """Every column of all ten tables after the whitespace rewrite of all raw files."""
+    layout = built_lakehouse(spark, sf_dir)["layout"]
+    clean_root = f"{scratch_dir(spark, 'rawclean')}/raw_clean"
+    clean_raw_csv(spark, layout.raw, clean_root, TABLE_NAMES)
+    return reduce(DataFrame.unionByName, [_content(read_bronze(spark, clean_root, t, as_text=True), t) for t in TABLE_NAMES])
+
+
 # ------------------------------------------------------ quality checks (Q*)
 @register("silver_row_parity")
 def q_silver_row_parity(spark, sf_dir):
@@ -467,6 +586,27 @@ def q_append_load(spark, sf_dir):
                       (F.col(text) if text else null).alias("key_value")) for t, (pk, parent, text) in keys.items()])
 
 
+@register("append_load_all")
+def q_append_load_all(spark, sf_dir):
+    """An append load of all ten tables: new ids, and all eleven references remapped.
+
+    Rows that refer to a parent that isn't there are left out beforehand (the load refuses them).
+    """
+    prepare(spark)
+    src = {t: source_table(spark, sf_dir, t, with_ids=True) for t in TABLE_NAMES}
+    for t in INSERT_ORDER:
+        for fk in spec(t).foreign_keys:
+            parents = src[fk.parent].select(F.col(fk.parent_column).alias(fk.column))
+            src[t] = src[t].join(parents, fk.column, "left_semi").select(*spec(t).column_names)
+    out = append_frames(src, {t: LAST_IDS * (i + 1) for i, t in enumerate(INSERT_ORDER)}, RUN_ID)
+    frames = []
+    for t in INSERT_ORDER:
+        refs = [F.col(fk.column) for fk in spec(t).foreign_keys] + [F.lit(None).cast("bigint")] * 2
+        frames.append(out[t].select(F.lit(t).alias("table_name"), F.col(spec(t).primary_key).alias("key_id"),
+                                    refs[0].alias("first_parent"), refs[1].alias("second_parent")))
+    return reduce(DataFrame.unionByName, frames)
+
+
 # ------------------------------------------------- column functions (P2–P11)
 @register("cast_bigint")
 def q_cast_bigint(spark, sf_dir):

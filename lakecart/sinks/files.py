@@ -23,6 +23,8 @@ CSV_WRITE_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
     "encoding": "UTF-8",
 }
+# Files that a backfill spreads each day over at most.
+BACKFILL_FILES = 4
 # Marks a version folder that readers may use.
 PUBLISHED = "_PUBLISHED"
 
@@ -74,6 +76,45 @@ def land_csv(df: DataFrame, base: str, table: str, dt: str, overwrite: bool = Tr
     return rows
 
 
+def land_backfill(df: DataFrame, base: str, table: str) -> None:
+    """Write many snapshots in one job: each row lands in the day of its ``dt``, and every day named is replaced."""
+    (df.repartition("dt", F.pmod(F.xxhash64(*[c for c in df.columns if c != "dt"]), F.lit(BACKFILL_FILES)))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .options(**CSV_WRITE_OPTIONS).partitionBy("dt").csv(table_path(base, table)))
+
+
+def drop_day(spark: SparkSession, path: str, dt: str) -> None:
+    """Remove one day's partition folder, if there is one."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/dt={dt}")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(folder):
+        fs.delete(folder, True)
+
+
+def partition_days(spark: SparkSession, path: str) -> list[str]:
+    """The ``dt`` partitions of a folder, from its listing."""
+    base = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [st.getPath().getName() for st in fs.listStatus(base)] if fs.exists(base) else []
+    return sorted(n[3:] for n in names if n.startswith("dt="))
+
+
+def replace_days(spark: SparkSession, df: DataFrame, path: str, days: list[str]) -> None:
+    """Replace the Parquet partitions of ``days`` with the rows of ``df``; a day without rows loses its folder.
+
+    Dynamic overwrite leaves days that ``df`` does not name as they are, so the
+    days named are observed during the write and the others dropped afterwards.
+    """
+    days = sorted(set(days))
+    obs = Observation(f"days_{uuid.uuid4().hex[:8]}")
+    rows = [F.count_if(F.col("dt") == dt).alias(f"n{i}") for i, dt in enumerate(days)]
+    written = df.where(F.col("dt").isin(*days)).observe(obs, F.count(F.lit(1)).alias("all"), *rows)
+    written.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(path)
+    for i, dt in enumerate(days):
+        if not obs.get[f"n{i}"]:
+            drop_day(spark, path, dt)
+
+
 def write_version(df: DataFrame, name: str, root: str, sort_within: list[str] | None = None) -> str:
     """Write a Parquet table to a fresh version folder that no reader uses yet; returns it."""
     # Version folders sort by creation time; readers take the newest published one.

@@ -9,8 +9,12 @@ batch after a failure changes nothing.  ``availableNow`` processes what has
 landed and stops, so a daily scheduler can run it like a batch job.
 
 The output is a Parquet folder partitioned by ``dt``; give it to
-``read_silver`` / ``build_gold`` as the table's location.  A snapshot that
-lands again without any row names no day; rebuild that day in full.
+``read_silver`` / ``build_gold`` as the table's location.
+
+A snapshot that lands again without any row has a file with a header only, so
+the stream sees no row of it and no day is named.  Such days are found beside
+the stream, in the listing of the landed folders, and their rows leave silver
+after it (``empty_days``).
 """
 
 from __future__ import annotations
@@ -22,7 +26,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakecart.operators.silver import silver_select
+from lakecart.schemas import spec
 from lakecart.session import ensure_checkpoint_dir
+from lakecart.sinks.files import drop_day, partition_days
 from lakecart.sources.bronze import MALFORMED, csv_read_options, read_bronze, table_path, text_schema
 
 
@@ -58,6 +64,18 @@ def _shared_root(spark: SparkSession) -> str:
     return (spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)).rstrip("/")
 
 
+def empty_days(spark: SparkSession, raw_root: str, table: str) -> list[str]:
+    """Landed days whose files hold a header at most, by their sizes (a listing, no read)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table_path(raw_root, table)}/dt=*/*.csv")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    header = len(",".join(spec(table).column_names).encode()) + 2  # with a line end of either form
+    rows: dict[str, bool] = {}
+    for st in fs.globStatus(path) or []:
+        day = st.getPath().getParent().getName()[3:]
+        rows[day] = rows.get(day, False) or st.getLen() > header
+    return sorted(day for day, some in rows.items() if not some)
+
+
 def run_incremental(spark: SparkSession, raw_root: str, table: str, out_path: str,
                     checkpoint_location: str | None = None) -> None:
     """Process every snapshot landed since the last run, then return."""
@@ -65,3 +83,5 @@ def run_incremental(spark: SparkSession, raw_root: str, table: str, out_path: st
     q.awaitTermination()
     if q.exception():
         raise q.exception()
+    for dt in set(empty_days(spark, raw_root, table)) & set(partition_days(spark, out_path)):
+        drop_day(spark, out_path, dt)
