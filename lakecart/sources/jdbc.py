@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakecart.operators.keys import append_frames
-from lakecart.schemas import INSERT_ORDER, spec
+from lakecart.schemas import COLUMN_DEFAULTS, INSERT_ORDER, RESTRICTED, SHORT_AMOUNTS, spec
 
 # Assumed bytes of a value by column kind, to size the ranges of an extract.
 KIND_BYTES = {"id": 8, "int": 4, "double": 8, "ts": 30, "date": 30, "str": 40, "text": 2000}
@@ -62,7 +62,7 @@ SQL_TYPES = {"id": "INT", "int": "INT", "double": "NUMERIC(12,2)", "str": "TEXT"
 
 
 def create_table_sql(table: str) -> str:
-    """CREATE TABLE with the table's keys, NOT NULLs, references and CHECKs."""
+    """CREATE TABLE with the table's keys, NOT NULLs, defaults, references (and what deletes do) and CHECKs."""
     s = spec(table)
     references = {fk.column: fk for fk in s.foreign_keys}
     lines = []
@@ -70,13 +70,17 @@ def create_table_sql(table: str) -> str:
         if c == s.primary_key:
             lines.append(f"{c} SERIAL PRIMARY KEY")
             continue
-        parts = [c, SQL_TYPES[kind]]
+        parts = [c, "NUMERIC(10,2)" if (table, c) in SHORT_AMOUNTS else SQL_TYPES[kind]]
         if c in s.not_null:
             parts.append("NOT NULL")
+            default = "NOW()" if kind in ("ts", "date") else COLUMN_DEFAULTS.get(c)
+            if default:
+                parts.append(f"DEFAULT {default}")
         if c in s.unique:
             parts.append("UNIQUE")
         if c in references:
-            parts.append(f"REFERENCES {references[c].parent} ({references[c].parent_column})")
+            deleted = "RESTRICT" if (table, c) in RESTRICTED else "CASCADE"
+            parts.append(f"REFERENCES {references[c].parent} ({references[c].parent_column}) ON DELETE {deleted}")
         if c in s.accepted:
             values = ", ".join(f"'{v}'" for v in s.accepted[c])
             parts.append(f"CHECK ({c} IN ({values}))")

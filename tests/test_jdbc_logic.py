@@ -86,3 +86,18 @@ def test_append_gives_out_new_ids(spark, monkeypatch):
 def test_ranges_follow_rows_and_width():
     assert jdbc.extract_partitions("orders", 0) == 1
     assert jdbc.extract_partitions("product_reviews", 10**9) > 10 * jdbc.extract_partitions("order_items", 10**9) > 1000
+
+
+def test_created_tables_fill_in_and_protect_like_the_source():
+    of = {t: jdbc.create_table_sql(t) for t in INSERT_ORDER}
+    line = lambda t, c: next(x.strip().rstrip(",") for x in of[t].splitlines() if x.strip().startswith(c + " "))
+    assert line("products", "price") == "price NUMERIC(10,2) NOT NULL CHECK (price >= 0)"
+    assert line("products", "category_id").endswith("REFERENCES categories (category_id) ON DELETE RESTRICT")
+    assert line("products", "inventory_quantity") == "inventory_quantity INT NOT NULL DEFAULT 0 CHECK (inventory_quantity >= 0)"
+    assert line("orders", "currency") == "currency TEXT NOT NULL DEFAULT 'USD'"
+    assert line("orders", "order_date") == "order_date TIMESTAMPTZ NOT NULL DEFAULT NOW()"
+    assert line("orders", "total_amount") == "total_amount NUMERIC(12,2) NOT NULL"
+    assert line("orders", "user_id").endswith("ON DELETE CASCADE") and line("order_items", "product_id").endswith("ON DELETE RESTRICT")
+    assert line("order_items", "unit_price").startswith("unit_price NUMERIC(10,2)") and line("order_items", "total_price").startswith("total_price NUMERIC(12,2)")
+    assert all(s.count("DEFAULT NOW()") == sum(k in ("ts", "date") for _, k in spec(t).columns) for t, s in of.items())
+    assert sum(s.count("ON DELETE CASCADE") for s in of.values()) == 8 and sum(s.count("ON DELETE RESTRICT") for s in of.values()) == 3
