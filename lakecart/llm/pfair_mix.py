@@ -7,17 +7,21 @@ ceil((k + 1) / w) (deadline).  Every slot takes, of the released blocks, the
 one with the earliest deadline; with weights that sum to one this meets all
 deadlines, so at any slot every source is within one block of its weight.
 
-Weights are whole shares of ``PERIOD`` slots.  After a period every source is
-exactly on its weight, so the schedule repeats: one period is drawn up by the
-rule above (``PERIOD`` entries, whatever the data) and any block of the corpus
-finds its slot by a join on its number within the period.  Sources with a
-weight under ``MIN_UNITS`` shares are pooled into one scheduled source, so a
-period tells at most ``PERIOD / MIN_UNITS`` sources apart.  Inside the pool
-every document is due at its own source's weight, and a distributed sort by
-what is due lays them out, so a pooled source runs evenly through the pool.
-The pool's blocks meet their deadlines exactly; a source in it has no windows
-of its own and is on its weight up to a block or so, by the spread of the
-documents' hashes and not by a proof.
+Windows come from the exact weights (whole numbers out of their sum, about
+2^53), so nothing is rounded that could add up over a long schedule.  It is
+drawn up in chunks of ``PERIOD`` slots, each by a task of its own: how many
+blocks a source has had by a slot X is known without the slots before it, w X
+rounded down, or up for the sources whose next deadline is the earliest, as many
+as it takes to fill X slots.  From there the rule above runs slot by slot, from
+some slots before the chunk on, so it comes to the chunk as the chunk before
+leaves it; both ends of a chunk are found in this way and so fit together.
+
+A source that gets fewer than ``MIN_UNITS`` blocks in a chunk shares its place
+with the others of that kind, so a chunk tells at most ``PERIOD / MIN_UNITS``
+sources apart.  In the shared place every document is due when the mix is
+start / w bytes long, at its own source's weight, and a distributed sort by what
+is due lays the documents out.  Every document has the release and deadline of
+its own source's block, shared place or not.
 
 Positions inside a source are running byte sums over the global order of
 (source, hash): rows are numbered with ``dense_row_id``, summed within runs of
@@ -34,30 +38,33 @@ Uncapped sources are used up completely.
 
 Defined results: null source = a source of its own; null text = size 1 (sizes
 are UTF-8 bytes plus 1); a source without a target weight is not kept and has
-no slot; named sources without rows are left out; repeated rows count each
+no slot; ties (equal hash, id and size) follow each other in any order; named sources without rows are left out; repeated rows count each
 time; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import heapq
-import math
-from collections.abc import Sequence
-from fractions import Fraction
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import DataFrame, Window
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakecart.functions.ids import dense_row_id
-from lakecart.llm.storage import materialize
+from lakecart.llm.storage import broadcast_if_small, materialize
 
 BLOCK = 64 * 1024
 PERIOD = 1 << 14
 MIN_UNITS = 8
 MAX_SHARE = 1 / 3
 RUN = 4096
-#: Stands for the pool of small sources, which has no name.
-POOL = -1
+# Slots per source that the rule runs ahead of a chunk, to start it as the chunk before ends.
+LEAD = 8
+#: What all weights together come to in whole numbers.
+WHOLE = 1 << 53
+#: Blocks whose slots may be broadcast; more of them join by a shuffle.
+BROADCAST_BLOCKS = 500_000
 
 
 def capped_shares(sizes: list[int], max_share: float) -> list[float]:
@@ -99,40 +106,76 @@ def source_weights(sizes: DataFrame, target: dict[str, float] | None, max_share:
     return sizes.select("source", "bytes", weight.alias("weight"))
 
 
-def whole_units(shares: list[float], period: int) -> list[int]:
-    """Shares in whole units that sum to ``period`` (largest remainders; at least one each)."""
-    units = [max(1, int(s * period)) for s in shares]
-    rest = sorted(range(len(shares)), key=lambda i: (int(shares[i] * period) - shares[i] * period, i))
-    for i in range(period - sum(units)):
-        units[rest[i % len(rest)]] += 1
-    while sum(units) > period:
-        units[units.index(max(units))] -= 1
-    return units
-
+def rounded_blocks(weights: list[int], x: int, period: int) -> list[int]:
+    """Blocks of each source in the first ``x`` slots: x w rounded down, or up for the earliest deadlines.
 
-def one_period(units: list[int]) -> list[tuple[int, int, int, int, int]]:
-    """(source, k, release, deadline, slot) of every block of one period, earliest deadline first."""
-    period = sum(units)
-    weights = [Fraction(u, period) for u in units]
+    A source that may have no block in a chunk is rounded down always, so that its count never falls.
+    """
+    total = sum(weights)
+    done = [w * x // total for w in weights]
+    pending = sorted((-(-(k + 1) * total // w), i) for i, (w, k) in enumerate(zip(weights, done)) if w * x % total and w * period >= total)
+    for _, i in pending[:x - sum(done)]:
+        done[i] += 1
+    # Rounding down only leaves room where no other source has a part of a block.
+    done[weights.index(max(weights))] += x - sum(done)
+    return done
 
-    def window(s: int, k: int) -> tuple[int, int]:
-        return math.floor(k / weights[s]), math.ceil((k + 1) / weights[s])
 
-    waiting = [(0, s, 0) for s in range(len(units))]  # (release, source, k)
+def earliest_deadline_first(weights: list[int], now: list[int], first: int, slots: int, end: list[int] | None = None) -> list[tuple[int, int, int]]:
+    """(source, k, slot) in ``slots`` slots from ``first`` on, after ``now`` blocks of each source; with ``end`` up to those counts."""
+    total = sum(weights)
+    release = lambda s, k: k * total // weights[s]
+    deadline = lambda s, k: -(-(k + 1) * total // weights[s])
+    waiting = [(release(s, k), s, k) for s, k in enumerate(now) if end is None or k < end[s]]
     heapq.heapify(waiting)
     ready: list[tuple[int, int, int]] = []  # (deadline, source, k)
     out = []
-    for slot in range(period):
-        while waiting and waiting[0][0] <= slot:
+    for slot in range(first, first + slots):
+        while waiting and (waiting[0][0] <= slot or not ready):
             _, s, k = heapq.heappop(waiting)
-            heapq.heappush(ready, (window(s, k)[1], s, k))
-        deadline, s, k = heapq.heappop(ready)
-        out.append((s, k, window(s, k)[0], deadline, slot))
-        if k + 1 < units[s]:
-            heapq.heappush(waiting, (window(s, k + 1)[0], s, k + 1))
+            heapq.heappush(ready, (deadline(s, k), s, k))
+        _, s, k = heapq.heappop(ready)
+        out.append((s, k, slot))
+        if end is None or k + 1 < end[s]:
+            heapq.heappush(waiting, (release(s, k + 1), s, k + 1))
     return out
 
 
+def blocks_before(weights: list[int], x: int, period: int) -> list[int]:
+    """Blocks of each source in the first ``x`` slots: the rounded counts some slots earlier, and the rule run from there."""
+    ahead = min(x, max(64, LEAD * len(weights)))
+    done = rounded_blocks(weights, x - ahead, period)
+    for s, k, _ in earliest_deadline_first(weights, done, x - ahead, ahead):
+        done[s] = max(done[s], k + 1)
+    return done
+
+
+def one_chunk(weights: list[int], first: int, slots: int) -> list[tuple[int, int, int]]:
+    """(source, k, slot) of the blocks in ``slots`` slots from ``first`` on: of the released ones the earliest deadline first."""
+    start, end = blocks_before(weights, first, slots), blocks_before(weights, first + slots, slots)
+    return earliest_deadline_first(weights, start, first, slots, end)
+
+
+def one_period(units: list[int]) -> list[tuple[int, int, int, int, int]]:
+    """(source, k, release, deadline, slot) of the blocks of one period of whole units."""
+    period = sum(units)
+    return [(s, k, k * period // units[s], -(-(k + 1) * period // units[s]), slot) for s, k, slot in one_chunk(units, 0, period)]
+
+
+def chunk_plan(spark: SparkSession, weights: list[int], blocks: list[int], period: int) -> DataFrame:
+    """(s, k, slot) of the first ``blocks`` blocks of each source, a task per chunk of ``period`` slots."""
+    total = sum(weights)
+    chunks = max((-(-n * total // (w * period)) + 1 for n, w in zip(blocks, weights)), default=0)
+
+    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for c in batch["id"]:
+                rows = [r for r in one_chunk(weights, int(c) * period, period) if r[1] < blocks[r[0]]]
+                yield pd.DataFrame(rows, columns=["s", "k", "slot"])
+
+    return spark.range(0, chunks, 1, max(1, min(chunks, 10_000))).mapInPandas(draw, "s int, k bigint, slot bigint")
+
+
 def positions(rows: DataFrame, run: int = RUN, keep: Sequence[str] = ()) -> DataFrame:
     """``rows`` (source, h, id, size, keep..) with ``start``: the bytes before each row in its source, in the order of h."""
     numbered = dense_row_id(rows, ["source", "h", "id", "size"], "n").withColumn("run", F.floor((F.col("n") - 1) / run))
@@ -147,7 +190,7 @@ def positions(rows: DataFrame, run: int = RUN, keep: Sequence[str] = ()) -> Data
 
 
 def interleaved(placed: DataFrame) -> DataFrame:
-    """The pool's rows with ``at``: the bytes before each row in the pool, its sources interleaved by weight.
+    """The rows of sources that share a place with ``at``: the bytes before each row there, interleaved by weight.
 
     The row at byte b of a source of weight w is due when the mix is b / w
     bytes long.  As a point b inside each row one drawn by its hash is taken,
@@ -163,7 +206,11 @@ def interleaved(placed: DataFrame) -> DataFrame:
 def schedule(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
              target: dict[str, float] | None = None, max_share: float = MAX_SHARE, block: int = BLOCK,
              period: int = PERIOD) -> DataFrame:
-    """One row per document: id, source, size, h, start, block, release, deadline, slot, kept."""
+    """One row per document: id, source, size, h, start, own_start, block, release, deadline, slot, kept.
+
+    ``start`` is the document's place in the bytes of its source, or of the sources that share a place with it;
+    ``own_start``, ``block``, ``release`` and ``deadline`` are always those of its own source.
+    """
     rows = materialize(docs.select(
         F.col(id_col).alias("id"), F.col(source_col).alias("source"),
         (F.octet_length(F.coalesce(text_col, F.lit(""))) + 1).cast("bigint").alias("size"),
@@ -171,41 +218,35 @@ def schedule(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source"
     sizes = materialize(rows.groupBy("source").agg(F.sum("size").alias("bytes")), "mix-sizes")
     weighed = materialize(source_weights(sizes, target, max_share), "mix-weights")
     total, mix_bytes = weighed.agg(F.sum("bytes"), F.min(F.col("bytes") / F.col("weight"))).first()
-    shares: dict = {}  # scheduled source (or POOL) -> exact weight
-    if total:
-        large = weighed.filter(F.col("weight") >= MIN_UNITS / period).orderBy(F.col("source").asc_nulls_first()).collect()
-        shares = {r["source"]: r["weight"] for r in large}
-        if sum(r["bytes"] for r in large) < total:
-            shares[POOL] = max(0.0, 1 - sum(shares.values()))
-    names = list(shares)
-    units = whole_units(list(shares.values()), period) if names else []
+    # Sources with a place of their own: at most period / MIN_UNITS. The others share one.
+    large = weighed.filter(F.col("weight") >= MIN_UNITS / period).orderBy(F.col("source").asc_nulls_first()).collect()
+    places = [(r["source"], r["weight"], r["bytes"]) for r in large]
+    shared = (total or 0) - sum(n for _, _, n in places)
+    if shared:
+        places.append((None, max(0.0, 1 - sum(w for _, w, _ in places)), shared))
+    weights = [max(1, round(w * WHOLE)) for _, w, _ in places]
+    whole = max(1, sum(weights))
     spark = docs.sparkSession
-    plan = spark.createDataFrame(one_period(units) if units else [], "s int, k int, release0 int, deadline0 int, slot0 int")
-    named = spark.createDataFrame(
-        [(s if s != POOL else None, s == POOL, i, units[i]) for i, s in enumerate(names)],
-        "name string, pooled boolean, member int, units int")
-    # Both tables are bounded by the period. The mix ends where the scarcest source does, at the exact weights.
-    listed = weighed.join(F.broadcast(named.filter("not pooled")), F.col("source").eqNullSafe(F.col("name")), "left")
-    pool = [i for i, s in enumerate(names) if s == POOL]
-    member = F.coalesce("member", F.lit(pool[0] if pool else None).cast("int"))
+    named = spark.createDataFrame([(r["source"], i) for i, r in enumerate(large)], "name string, member int")
     base = materialize(
-        listed.select(F.col("source").alias("sn"), "weight", (F.col("weight") * (mix_bytes or 0.0)).alias("quota"), member.alias("member"))
-        .join(F.broadcast(named.select(F.col("member").alias("m"), "units")), F.col("member") == F.col("m")).drop("m"), "mix-sources")
+        weighed.join(F.broadcast(named), F.col("source").eqNullSafe(F.col("name")), "left")
+        .select(F.col("source").alias("sn"), "weight", (F.col("weight") * (mix_bytes or 0.0)).alias("quota"),
+                F.coalesce("member", F.lit(len(large) if shared else None).cast("int")).alias("member")), "mix-sources")
     placed = positions(rows).join(base, F.col("source").eqNullSafe(F.col("sn")), "left")
-    if pool:
+    if shared:
         placed = materialize(placed, "mix-positions")
-        in_pool = F.col("member").eqNullSafe(pool[0])
-        placed = placed.filter(~in_pool).withColumn("at", F.col("start")).unionByName(interleaved(placed.filter(in_pool)))
+        together = F.col("member").eqNullSafe(len(large))
+        placed = placed.filter(~together).withColumn("at", F.col("start")).unionByName(interleaved(placed.filter(together)))
     else:
         placed = placed.withColumn("at", F.col("start"))
-    placed = (placed.withColumn("block", F.floor(F.col("at") / block).cast("bigint"))
-              .withColumn("_k", (F.col("block") % F.col("units")).cast("int"))
-              .withColumn("_round", F.floor(F.col("block") / F.col("units")).cast("bigint") * period))
-    return (placed.join(F.broadcast(plan), (F.col("member") == F.col("s")) & (F.col("_k") == F.col("k")), "left")
-            .select("id", "source", "size", "h", F.col("at").alias("start"), "block",
-                    (F.col("_round") + F.col("release0")).alias("release"),
-                    (F.col("_round") + F.col("deadline0")).alias("deadline"),
-                    (F.col("_round") + F.col("slot0")).alias("slot"),
+    placed = placed.withColumn("block", F.floor(F.col("start") / block).cast("bigint")).withColumn("_k", F.floor(F.col("at") / block).cast("bigint"))
+    # The mix ends where the scarcest source does, at the exact weights; what a source has beyond it follows at the same pace.
+    plan = materialize(chunk_plan(spark, weights, [-(-n // block) for _, _, n in places], period), "mix-plan")
+    per_block = F.lit(float(whole)) / F.when(F.col("member") < len(large), F.get(F.array(*map(F.lit, weights or [1])).cast("array<double>"), F.col("member"))).otherwise(F.col("weight") * whole)
+    return (placed.join(broadcast_if_small(plan, BROADCAST_BLOCKS), (F.col("member") == F.col("s")) & (F.col("_k") == F.col("k")), "left")
+            .select("id", "source", "size", "h", F.col("at").alias("start"), F.col("start").alias("own_start"), "block",
+                    F.floor(F.col("block") * per_block).cast("bigint").alias("release"),
+                    F.ceil((F.col("block") + 1) * per_block).cast("bigint").alias("deadline"), "slot",
                     # A relative tolerance, as shares are floating point: an uncapped source stays whole.
                     F.coalesce(F.col("start") < F.col("quota") * (1 + 1e-9), F.lit(False)).alias("kept")))
 

@@ -41,13 +41,30 @@ def test_periods_repeat_the_plain_rule():
     assert got == plain
 
 
+@pytest.mark.parametrize("seed", range(8))
+def test_chunks_are_one_pfair_schedule(seed):
+    """Drawn up chunk by chunk from exact weights: gapless, in every window, and less than one block off all along."""
+    rng = random.Random(seed)
+    weights = [[1_000_003 + 17 * i for i in range(12)], [2 ** i for i in range(9)], [10 ** 9] + [10 ** 9 // 100] * 60][seed] if seed < 3 else \
+        [int(rng.paretovariate(0.7) * 10 ** 6) for _ in range(rng.randint(1, 30))]
+    slots = 2048
+    weights = [w for w in weights if w * slots >= mix.MIN_UNITS * sum(weights)]
+    total, done = sum(weights), collections.Counter()
+    for c in range(5):
+        for i, (s, k, slot) in enumerate(mix.one_chunk(weights, c * slots, slots)):
+            assert slot == c * slots + i and k == done[s]
+            assert k * total // weights[s] <= slot < -(-(k + 1) * total // weights[s])
+            assert abs(done[s] - slot * weights[s] / total) < 1
+            done[s] += 1
+            assert abs(done[s] - (slot + 1) * weights[s] / total) < 1
+        assert all(abs(done[s] - (c + 1) * slots * w / total) < 1 for s, w in enumerate(weights))
+
+
 def test_shares():
     assert mix.capped_shares([50, 30, 20], 0.4) == pytest.approx([0.4, 0.36, 0.24])
     assert mix.capped_shares([98, 1, 1], 0.4) == pytest.approx([0.4, 0.3, 0.3])
     assert mix.capped_shares([90, 10], 0.1) == pytest.approx([0.5, 0.5])
     assert mix.capped_shares([7], 0.3) == [1.0]
-    assert sum(mix.whole_units([0.9999, 0.00005, 0.00005], 1000)) == 1000
-    assert min(mix.whole_units([0.9999, 0.00005, 0.00005], 1000)) == 1
 
 
 def documents(spark, n=3000):
@@ -173,3 +190,39 @@ def test_every_small_source_runs_evenly_through_the_mix(spark):
         at += r.size
         worst = max(worst, abs(done[r.source] - at * sizes[r.source] / total))
     assert worst < 2 * block
+
+
+def test_long_schedules_stay_within_a_block(spark):
+    """Twelve sources of nearly equal size over twenty chunks: no deviation from the exact weight adds up."""
+    n, block, period = 12, 10, 1024
+    docs = spark.range(0, 20 * period * n).select(
+        F.col("id").alias("doc_id"), F.format_string("s%02d", F.col("id") % n).alias("source"), F.repeat(F.lit("x"), 9).alias("text"))
+    docs = docs.filter(F.col("doc_id") % 1009 > F.col("doc_id") % n * 7)  # sizes differ by a percent or so
+    # One block per document: the slot is the place in the mix.
+    rows = [(r.slot, r.source) for r in mix.schedule(docs, block=block, period=period).select("slot", "source", "size").collect()]
+    sizes = collections.Counter(s for _, s in rows)
+    assert len(sizes) == n and len(set(rows)) == len(rows)
+    total, done = len(rows), collections.Counter()
+    for at, (slot, source) in enumerate(sorted(rows)):
+        assert slot >= at
+        if slot > at:
+            break  # the first source has ended
+        assert abs(done[source] - at * sizes[source] / total) < 1
+        done[source] += 1
+        assert abs(done[source] - (at + 1) * sizes[source] / total) < 1
+    assert at > 0.99 * total
+
+
+def test_every_document_has_the_window_of_its_own_source(spark):
+    docs = one_large_and_many_small(spark, small=40, each=60)
+    rows = mix.schedule(docs, block=1000, period=128).collect()  # the small ones share a place
+    total = sum(r.size for r in rows)
+    sizes = collections.Counter()
+    for r in rows:
+        sizes[r.source] += r.size
+    for r in rows:
+        w = sizes[r.source] / total
+        assert r.block == r.own_start // 1000
+        assert r.release == pytest.approx(r.block / w, abs=1) and r.deadline == pytest.approx((r.block + 1) / w, abs=1)
+    early = [r for r in rows if not r.release - 1 <= r.slot <= r.deadline]
+    assert len(early) < 0.02 * len(rows)
