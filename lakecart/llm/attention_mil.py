@@ -15,8 +15,9 @@ document of any length is scored by running sums over its sections: a section
 is 64 passages, and the features that look beyond a passage (repeated word
 5-grams) look at its section.  Memory is bounded by a section, not a text.
 
-Defined results: null or empty text is one passage of zero features and gets
-the model's score for it; with no labels, or only one class, the score is the
+Defined results: null or empty text gets the labelled share of class 1; very
+long texts are scored whole; an empty table gives an empty result, equal texts
+equal scores; with no labels, or only one class, the score is the
 labelled share of class 1 (0.5 without labels); repeated rows score alike;
 extra columns pass through (``score`` and ``predicted`` are replaced).
 """
@@ -40,6 +41,8 @@ TRIGRAM_BINS = 64
 #: Bounds of the training sample: documents per class, and passages per document.
 MAX_DOCS_PER_CLASS = 1200
 MAX_PASSAGES = 16
+#: Beginnings of 4 to 630 characters that are learned from beside each whole text.
+BEGINNINGS = 2
 THRESHOLD = 0.3
 # Shares count as if the passage had so many more bytes, so that a few bytes prove little.
 SHRINK = 40
@@ -172,7 +175,8 @@ def score_bytes(m: MilModel, raw: np.ndarray, offsets: np.ndarray) -> np.ndarray
         np.add.at(num, doc[sec], h * a[:, None])
         np.add.at(den, doc[sec], a)
     z = num / den[:, None]
-    return 1 / (1 + np.exp(-(z @ m.out + m.out_b + m.prior_shift)))
+    score = 1 / (1 + np.exp(-(z @ m.out + m.out_b + m.prior_shift)))
+    return np.where(np.diff(offsets) == 0, 1 / (1 + np.exp(-m.prior_shift)), score)  # nothing but the labelled share to go by
 
 
 def train(bags: list[tuple[np.ndarray, int]], share_of_1: float, steps: int = 400, batch: int = 64,
@@ -221,8 +225,10 @@ def training_bags(docs: DataFrame, labels: DataFrame, text_col: str, key_col: st
     ``docs`` and ``labels`` hold only rows that may be learned from.  A key
     labelled twice counts with its lowest label.  The sample is the ``max_docs``
     labelled keys of each class with the smallest key hash, so the broadcast
-    side of the join has at most ``2 * max_docs`` rows; of a long document,
-    ``MAX_PASSAGES`` evenly spaced passages are learned from.
+    side of the join has at most ``2 * max_docs`` rows and the result at most
+    ``1 + BEGINNINGS`` bags for each of them (of several texts with one key, the
+    one with the smallest features); of a long document, ``MAX_PASSAGES`` evenly
+    spaced passages are learned from.
     """
     one = (labels.filter(F.col(label_col).isin(0, 1) & F.col(key_col).isNotNull())
            .groupBy(key_col).agg(F.min(label_col).alias("_y")))
@@ -253,12 +259,14 @@ def training_bags(docs: DataFrame, labels: DataFrame, text_col: str, key_col: st
             yield pa.array(out, pa.binary())
 
     found = docs.select(key_col, F.col(text_col).alias("_t")).join(F.broadcast(sample), key_col)
-    # The start of a good text is good as well, and teaches what short texts look like.
-    cut = F.substring("_t", F.lit(1), 4 + F.pmod(F.xxhash64(F.col(key_col).cast("string")), F.lit(120)).cast("int"))
-    starts = found.filter(F.col("_y") == 1).withColumn("_t", cut)
-    rows = (found.unionByName(starts)
-            .select(F.col(key_col).alias("_k"), "_y", features("_t").alias("_x")).collect())
-    rows.sort(key=lambda r: (r["_k"], r["_x"]))
+    # Beside each whole text some beginnings of it, of both classes alike: they teach how little a short text tells.
+    cut = lambda i: F.pow(F.lit(10.0), 0.6 + 2.2 * F.pmod(F.xxhash64(F.col(key_col).cast("string"), F.lit(i)), F.lit(1000)) / 1000)
+    texts = F.explode(F.array(F.struct(F.lit(0).alias("i"), F.col("_t").alias("t")), *[
+        F.struct(F.lit(i).alias("i"), F.substring(F.col("_t"), F.lit(1), cut(i).cast("int")).alias("t")) for i in range(1, BEGINNINGS + 1)]))
+    # One row of a key and beginning, however often the key occurs.
+    rows = (found.select(F.col(key_col).alias("_k"), "_y", texts.alias("b")).select("_k", "_y", "b.i", features("b.t").alias("_x"))
+            .groupBy("_k", "_y", "i").agg(F.min("_x").alias("_x")).collect())
+    rows.sort(key=lambda r: (r["_k"], r["i"], r["_x"]))
     return [(np.frombuffer(r["_x"], np.float32).reshape(-1, N_FEATURES), r["_y"]) for r in rows], share[1] / total
 
 

@@ -100,4 +100,31 @@ def test_conflicting_labels_count_with_the_lowest(spark):
     docs = awkward_documents(spark).filter("doc_id in (5, 9)")
     labels = spark.createDataFrame([(5, 1), (5, 0), (9, 1), (9, None)], "doc_id bigint, quality int")
     bags, share = mil.training_bags(docs, labels, "text", "doc_id", "quality")
-    assert share == 0.5 and sorted(y for _, y in bags) == [0, 1, 1]  # the good text and its start
+    assert share == 0.5 and sorted(y for _, y in bags) == [0] * (1 + mil.BEGINNINGS) + [1] * (1 + mil.BEGINNINGS)
+
+
+def test_short_texts_are_judged_alike(spark, model):
+    """Beginnings of held-out texts: junk is not waved through because it is short, nor is good text thrown out."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").filter(held_out(F.col("doc_id")))
+    rows = docs.join(spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id").select("text", "quality").collect()
+    for n, most in ((8, 0.75), (20, 0.6), (60, 0.4), (200, 0.25)):
+        rate = {}
+        for label in (0, 1):
+            texts = [r.text[:n] for r in rows if r.quality == label and r.text]
+            rate[label] = float((mil.score_bytes(model, *bytes_of(texts)) >= mil.THRESHOLD).mean())
+        accepted_junk, rejected_good = rate[0], 1 - rate[1]
+        print(n, accepted_junk, rejected_good)
+        assert accepted_junk <= most and rejected_good <= 0.15
+
+
+def test_empty_texts_get_the_labelled_share(spark, model):
+    share = 1 / (1 + np.exp(-model.prior_shift))
+    assert np.allclose(mil.score_bytes(model, *bytes_of(["", "x", ""]))[[0, 2]], share)
+
+
+def test_a_key_with_many_rows_gives_one_bag(spark):
+    docs = spark.range(0, 5000).select(F.lit(5).cast("bigint").alias("doc_id"), F.lit("the same text again").alias("text"))
+    docs = docs.unionByName(spark.createDataFrame([(6, "### $$$")], "doc_id bigint, text string"))
+    labels = spark.createDataFrame([(5, 1), (6, 0)], "doc_id bigint, quality int")
+    bags, _ = mil.training_bags(docs, labels, "text", "doc_id", "quality")
+    assert len(bags) == 2 * (1 + mil.BEGINNINGS)
