@@ -67,7 +67,8 @@ def op6_pfair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash_variants.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+    found = simhash_variants.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
+    return found.select("doc_id", "fingerprint", "component_id")
 
 
 def op8_spaced_seed(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,8 @@ neighbour, whose groups are bounded by the neighbourhood's size, links them.
 Defined results: no words (null, empty or blank text) -> fingerprint zero,
 linked like any other; a null id gets a fingerprint and its component's
 smallest non-null id (null if there is none); repeated rows are repeated in
-the result; ties don't arise (a bit needs more than half the hashes).
+the result; very long texts are hashed whole, in pieces; extra columns are left
+aside; an empty table gives an empty result; ties don't arise (a bit needs more than half the hashes).
 """
 
 from __future__ import annotations
@@ -169,29 +170,41 @@ def _neighbour_links(prints: DataFrame, max_bits: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
                     max_bits: int = 2, bucket: int = BUCKET) -> DataFrame:
-    """One row per document: id, ``fingerprint`` (16 hex digits), ``component_id`` (smallest id reachable)."""
-    rows = materialize(docs.select(F.col(id_col).alias("id"), fingerprints(F.col(text_col), shingle).alias("fp")), "simhash")
+    """One row per document: id, ``fingerprint`` (16 hex digits), ``component_id`` (smallest id reachable),
+    ``component`` (smallest fingerprint reachable) and ``text_key`` (hash of the text), as ``keep_one`` takes them."""
+    rows = materialize(docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("text_key"),
+                                   fingerprints(F.col(text_col), shingle).alias("fp")), "simhash")
     least = materialize(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-distinct")
     roots = components(links(least, "fp", max_bits, bucket), "a", "b")
     rooted = least.join(roots, least["fp"] == roots["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root"))
     of_root = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_print = rooted.join(of_root, "root").select("fp", "component_id")
+    of_print = rooted.join(of_root, "root").select("fp", "component_id", F.col("root").alias("component"))
     return rows.join(of_print, "fp").select(
-        F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+        F.col("id").alias(id_col), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", "component", "text_key")
 
 
-def keep_one(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The documents that stand for their component: those with its smallest id, each id once.
+def keep_one(docs: DataFrame, classes: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of each component: the one with the smallest id (null last), of these the one with the smallest text hash.
 
-    Rows with a null id stay, as they can't be told apart.  Only the ids that
-    go and the few that repeat are joined to the documents.
+    Documents are told apart by id and text, so rows that share an id (or have
+    none) but not the text go or stay each with its own component.  Of rows
+    that agree in both, the one with the smallest hash over all columns stays,
+    whatever the reading order.  Only the (id, text hash) that go and the few
+    that repeat are joined to the documents.
     """
-    marked = materialize(
-        classes.filter(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("_id"))
-        .agg(F.bool_or(F.col(id_col) == F.col("component_id")).alias("stays"), F.count(F.lit(1)).alias("n"))
-        .filter("not stays or n > 1"), "not-single")
-    repeated = marked.filter("stays")
-    single = docs.join(marked, docs[id_col] == marked["_id"], "left_anti")
-    first = docs.join(repeated, docs[id_col] == repeated["_id"], "left_semi").dropDuplicates([id_col])
+    rank = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("text_key").alias("key"))
+    stays = classes.groupBy("component").agg(F.min(rank).alias("first"))
+    pairs = classes.groupBy("component", F.col(id_col).alias("_id"), F.col("text_key").alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
+    is_first = F.col("first.id").eqNullSafe(F.col("_id")) & (F.col("first.key") == F.col("_key"))
+    marked = materialize(pairs.join(stays, "component").select("_id", "_key", "_n", is_first.alias("_stays"))
+                         .filter("not _stays or _n > 1"), "not-single")
+    repeated = marked.filter("_stays")
+    here = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
+    same = lambda side: docs[id_col].eqNullSafe(side["_id"]) & (here == side["_key"])
+    single = docs.join(marked, same(marked), "left_anti")
+    columns = [docs[c] for c in docs.columns]
+    copies = docs.join(repeated, same(repeated)).select(
+        repeated["_id"], repeated["_key"], F.struct(*columns).alias("_row"), F.xxhash64(*columns).alias("_order"))
+    first = copies.groupBy("_id", "_key").agg(F.min_by("_row", "_order").alias("_row")).select("_row.*")
     return single.unionByName(first)

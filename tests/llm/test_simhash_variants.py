@@ -117,8 +117,21 @@ def test_one_of_each_group_stays(spark):
     kept = sim.keep_one(docs, sim.near_duplicates(docs))
     ids = [r.doc_id for r in kept.collect()]
     assert kept.columns == docs.columns
-    # 1, 2 and 3 have no words; 5, 6 and 7 are copies; 8 is repeated; both rows without id stay.
+    # 1, 2, 3 and a row without id have no words; 5, 6 and 7 are copies; 8 is repeated; the text of the other row without id is its own.
     assert sorted(i for i in ids if i is not None) == [1, 4, 5, 8, 9, 10, *range(20, 32)]
-    assert ids.count(None) == 2
+    assert ids.count(None) == 1
     empty = no_documents(spark)
     assert sim.keep_one(empty, sim.near_duplicates(empty)).count() == 0
+
+
+def test_no_text_is_lost_with_its_id(spark):
+    """Ids that repeat over different texts, and copies without id."""
+    a, b = "one text of some words that is copied around here", "quite another text which only one row holds at all"
+    rows = [(1, a, "x"), (1, b, "x"), (None, a, "x"), (None, a, "y"), (2, a, "x"), (1, a, "z"), (None, "a third text of words with no id of its own", "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, component string")
+    runs = []
+    for parts in (1, 5):
+        again = docs.repartition(parts)
+        runs.append(sorted(((r.doc_id or 0), r.text, r.component) for r in sim.keep_one(again, sim.near_duplicates(again)).collect()))
+    assert runs[0] == runs[1]
+    assert [(i, t) for i, t, _ in runs[0]] == [(0, rows[-1][1]), (1, a), (1, b)]
