@@ -107,7 +107,7 @@ WITH d AS (
 tokens AS (SELECT rn, good, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM d),
 counts AS (SELECT w, count(*) AS raw, count(*) FILTER (WHERE good) AS good FROM tokens GROUP BY w),
 total AS (SELECT sum(raw) AS raw, sum(good) AS good, sum(raw) / greatest(1, sum(good)) AS scale FROM counts),
-known AS (SELECT * FROM counts WHERE strlen(w) <= 64 ORDER BY raw DESC, w LIMIT 16384),
+known AS (SELECT * FROM counts WHERE raw >= 5),
 -- '' is the unknown word, ' ' the start of a text.
 words AS (
   SELECT * FROM known UNION ALL
