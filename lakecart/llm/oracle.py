@@ -39,28 +39,47 @@ WITH d AS (
          [w for w in regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+') if w <> ''] AS dt
   FROM documents),
 b AS (
-  SELECT coalesce(min(item_id), -1) AS item, it FROM (
-    SELECT item_id, [w for w in regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+') if w <> ''] AS it
-    FROM benchmark) GROUP BY it HAVING len(it) >= 4),
+  SELECT row_number() OVER () AS item_row, min(item_id) AS item, it, len(it) AS n,
+         CASE WHEN len(it) >= 10 THEN 0.5 * len(it) WHEN len(it) >= 5 THEN len(it) - 1 ELSE len(it) END AS enough
+  FROM (SELECT item_id, [w for w in regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+') if w <> ''] AS it FROM benchmark)
+  GROUP BY it HAVING len(it) >= 1),
 masks(m, own) AS (
-  SELECT unnest([[0, 1, 2, 4, 8, 9], [0, 1, 4, 6, 7, 8], [0, 2, 3, 4, 5, 7]]), NULL
-  UNION SELECT range(len(it)), len(it) FROM b WHERE len(it) < 10),
+  SELECT unnest([[0, 1, 2, 4, 8, 9], [0, 1, 4, 6, 7, 8], [0, 2, 3, 4, 5, 7], [0, 1, 3, 4, 6, 7]]), 0
+  UNION SELECT range(h), h FROM (SELECT CASE WHEN n < 5 THEN n ELSE n // 2 END AS h FROM b WHERE n BETWEEN 3 AND 9)),
 item_seeds AS (
-  SELECT DISTINCT item, m, p, [it[p + o + 1] for o in m] AS seed
-  FROM (SELECT item, it, m, unnest(range(CAST(len(it) - m[len(m)] AS BIGINT))) AS p FROM b, masks
-        WHERE len(it) > m[len(m)] AND len(it) = coalesce(own, len(it)))),
+  SELECT DISTINCT item_row, m, p, [it[p + o + 1] for o in m] AS seed
+  FROM (SELECT item_row, it, n, m, own, unnest(range(CAST(n - m[len(m)] AS BIGINT))) AS p FROM b, masks WHERE n > m[len(m)] AND n >= 3)
+  WHERE own = 0 OR n < 10 AND own = CASE WHEN n < 5 THEN n ELSE n // 2 END AND p IN (0, n - own)),
 doc_seeds AS (
   SELECT rn, m, p, [dt[p + o + 1] for o in m] AS seed
   FROM (SELECT rn, dt, m, unnest(range(CAST(len(dt) - m[len(m)] AS BIGINT))) AS p FROM d, masks WHERE len(dt) > m[len(m)])),
 aligned AS (
-  SELECT DISTINCT s.rn, i.item, s.p - i.p AS shift FROM doc_seeds s JOIN item_seeds i ON s.m = i.m AND s.seed = i.seed),
-matched AS (
-  SELECT rn, item, len(it) AS n,
-         len([k for k in range(len(it)) if k + shift >= 0 AND k + shift < len(dt) AND dt[k + shift + 1] = it[k + 1]]) AS hit
-  FROM aligned JOIN d USING (rn) JOIN b USING (item)),
-found AS (SELECT rn, item, n, max(hit) AS hit FROM matched WHERE hit >= 0.5 * n GROUP BY rn, item, n),
+  SELECT DISTINCT s.rn, i.item_row, s.p - i.p AS shift FROM doc_seeds s JOIN item_seeds i ON s.m = i.m AND s.seed = i.seed),
+agreed AS (
+  SELECT rn, item_row, [k + shift >= 0 AND k + shift < len(dt) AND dt[k + shift + 1] = it[k + 1] for k in range(n)] AS a
+  FROM aligned JOIN d USING (rn) JOIN b USING (item_row)),
+-- The stretch with the highest score: one up for a token that agrees, three down (not below zero) for one that doesn't.
+scored AS (
+  SELECT rn, item_row, a, len([x for x in a if x]) AS hit,
+    list_reduce([{'same': x, 'score': 0, 'start': 0, 'best': 0, 'first': 0, 'last': 0, 'k': 0} for x in a],
+      lambda acc, e: {'same': e.same, 'score': CASE WHEN e.same THEN acc.score + 1 ELSE greatest(acc.score - 3, 0) END,
+        'start': CASE WHEN acc.score > 0 THEN acc.start ELSE acc.k END,
+        'best': CASE WHEN e.same AND acc.score + 1 > acc.best THEN acc.score + 1 ELSE acc.best END,
+        'first': CASE WHEN e.same AND acc.score + 1 > acc.best THEN CASE WHEN acc.score > 0 THEN acc.start ELSE acc.k END ELSE acc.first END,
+        'last': CASE WHEN e.same AND acc.score + 1 > acc.best THEN acc.k ELSE acc.last END, 'k': acc.k + 1},
+      {'same': false, 'score': 0, 'start': 0, 'best': 0, 'first': 0, 'last': 0, 'k': 0}) AS run
+  FROM agreed),
+pieces AS (
+  SELECT rn, item_row, hit, run.best AS best, CASE WHEN run.best >= 6 THEN [k for k in range(run.first, run.last + 1) if a[k + 1]] ELSE [] END AS piece
+  FROM scored JOIN b USING (item_row) WHERE hit >= enough OR run.best >= 6),
+whole AS (
+  SELECT rn, item_row, max(hit) AS hit, max(best) AS best, len(list_distinct(flatten(list(piece)))) AS whole FROM pieces GROUP BY rn, item_row),
+found AS (
+  SELECT rn, item, n, CASE WHEN hit >= enough THEN hit ELSE greatest(hit, whole) END AS hit
+  FROM whole JOIN b USING (item_row) WHERE hit >= enough OR best >= 20 OR whole >= enough
+  UNION ALL SELECT rn, item, n, n FROM d JOIN b ON dt = it WHERE n < 3),
 best AS (
-  SELECT *, row_number() OVER (PARTITION BY rn ORDER BY hit / n DESC, item) AS place, count(*) OVER (PARTITION BY rn) AS n_items
+  SELECT *, row_number() OVER (PARTITION BY rn ORDER BY hit / n DESC, item NULLS LAST) AS place, count(*) OVER (PARTITION BY rn) AS n_items
   FROM found)
 SELECT d.doc_id, best.rn IS NOT NULL AS contaminated, coalesce(n_items, 0) AS n_items, item AS best_item,
        CAST(hit AS BIGINT) AS matched, CAST(n AS BIGINT) AS item_tokens

@@ -11,6 +11,19 @@ def tokens(text):
     return [t for t in re.split(r"[\W_]+", (text or "").lower()) if t]
 
 
+def stretch(agrees):
+    """(score, first, last) of the best stretch."""
+    score = start = 0
+    best = (0, 0, 0)
+    for k, same in enumerate(agrees):
+        if not score:
+            start = k
+        score = score + 1 if same else max(score - ss.MISS, 0)
+        if same and score > best[0]:
+            best = (score, start, k)
+    return best
+
+
 def brute(docs, items):
     """(doc row, item) -> matched, by trying every alignment that one mask proposes."""
     out = {}
@@ -18,16 +31,29 @@ def brute(docs, items):
         dt = tokens(text)
         for item, itext in items:
             it = tokens(itext)
-            if len(it) < ss.MIN_TOKENS:
+            n = len(it)
+            if n and n < ss.MIN_TOKENS and dt == it:
+                out[(d, item)] = n
+            if n < ss.MIN_TOKENS:
                 continue
-            masks = [*ss.MASKS, *([tuple(range(len(it)))] if len(it) < ss.SPAN else [])]
-            for shift in range(-len(it) + 1, len(dt)):
-                def same(k):
-                    return 0 <= k + shift < len(dt) and dt[k + shift] == it[k]
-                if any(all(same(p + o) for o in m) for m in masks for p in range(len(it) - m[-1])):
-                    hit = sum(map(same, range(len(it))))
-                    if hit >= ss.MIN_SHARE * len(it):
-                        out[(d, item)] = max(hit, out.get((d, item), 0))
+            enough = ss.MIN_SHARE * n if n >= ss.SPAN else n - 1 if n >= ss.ONE_OFF else n
+            half = n if n < ss.ONE_OFF else n // 2
+            places = [[p + o for o in m] for m in ss.MASKS for p in range(n - m[-1])]
+            if n < ss.SPAN:
+                places += [list(range(half)), list(range(n - half, n))]
+            most, best, inside = 0, 0, set()
+            for shift in range(-n + 1, len(dt)):
+                same = [0 <= k + shift < len(dt) and dt[k + shift] == it[k] for k in range(n)]
+                if any(all(same[k] for k in place) for place in places):
+                    most = max(most, sum(same))
+                    score, first, last = stretch(same)
+                    best = max(best, score)
+                    if score >= ss.PIECE_SCORE:
+                        inside |= {k for k in range(first, last + 1) if same[k]}
+            if most >= enough:
+                out[(d, item)] = most
+            elif best >= ss.RUN_SCORE or len(inside) >= enough:
+                out[(d, item)] = max(most, len(inside))
     return out
 
 
@@ -55,11 +81,11 @@ def frames(spark, case):
 def test_by_brute_force(spark, case):
     docs, items = case
     got = {(r.id, r.item): r.matched for r in ss.contamination(*frames(spark, case)).collect()}
-    first = [(i if i is not None else -1, t) for i, t in items if i != 52]  # equal items count as the smallest
+    first = [(i, t) for i, t in items if i != 52]  # equal items count as the smallest
     assert got == brute(docs, first)
-    assert {(200 + i, i) for i in (0, 1, 2, 3, 4, 5, 7)} <= set(got)
+    assert {(200 + i, i) for i in range(8)} <= set(got)
     assert {(300, 0), (301, 1), (307, 7)} <= set(got)
-    assert not any(d in range(100, 200) or d in range(400, 500) for d, _ in got if d != 405)
+    assert not any(d in range(100, 200) or d in range(400, 500) for d, _ in got)
 
 
 def test_shuffled_joins_give_the_same(spark, case, monkeypatch):
@@ -118,3 +144,66 @@ def test_partial_copies_and_copies_with_inserted_words(spark, monkeypatch, bound
     # Of document 2 the stretch begins after the first substitution.
     assert rows == {1: (0, 100), 2: (0, 90), 3: (1, 60), 4: (2, 30), 5: (1, 57)}
     assert sorted(r.doc_id for r in ss.remove_contaminated(d, b).collect()) == [6, 7, 8]
+
+
+def planted(n_items=20, seed=7):
+    """Items of 3, 6, 30 and 60 tokens, and documents that hold them exactly or with substitutions; clean ones between."""
+    rng = random.Random(seed)
+    say = lambda n: [rng.choice(WORDS) + rng.choice("abcdefgh") + rng.choice("stuv") for _ in range(n)]
+    items, docs = [], {}
+    for i in range(n_items):
+        for kind, n in enumerate((3, 6, 30, 60)):
+            items.append((10 * i + kind, say(n)))
+            it = list(items[-1][1])
+            if n == 6:
+                it[rng.randrange(6)] = "changed"
+            if n == 30:
+                it.insert(rng.randrange(5, 25), "put"), it.insert(rng.randrange(5, 25), "in")
+            if n == 60:
+                it = [w if (k + i) % 3 else "zzz" for k, w in enumerate(it)]
+            docs[10 * i + kind] = say(30) + it + say(30)
+            docs[10_000 + 10 * i + kind] = say(70)
+    return items, docs
+
+
+def test_short_items_and_dense_substitutions_are_found(spark):
+    items, docs = planted()
+    d = spark.createDataFrame([(i, " ".join(ws)) for i, ws in docs.items()], "doc_id bigint, text string")
+    b = spark.createDataFrame([(i, " ".join(ws)) for i, ws in items], "item_id bigint, text string")
+    found = {(r.id, r.item) for r in ss.contamination(d, b).collect()}
+    for kind in range(4):
+        of = [i for i, _ in items if i % 10 == kind]
+        assert sum((i, i) in found for i in of) / len(of) >= 0.9
+    assert not any(i >= 10_000 for i, _ in found)
+
+
+def test_the_operator_follows_its_sql(spark):
+    import duckdb
+
+    from lakecart.llm.oracle import LEAKS
+    items, docs = planted(6, seed=9)
+    items += [(500, ["one", "two"]), (501, ["solo"]), (None, ["no", "id", "at", "all", "here"])]
+    docs |= {20_000: ["one", "two"], 20_001: ["solo"], 20_002: ["solo", "act"], 20_003: ["a", "no", "id", "at", "all", "here", "b"],
+             20_004: items[3][1][:25] + ["x"] * 30}
+    rows = [(i, " ".join(ws)) for i, ws in docs.items()] + [(1, None), (None, "")]
+    bench = [(i, " ".join(ws)) for i, ws in items]
+    got = ss.judge(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(bench, "item_id bigint, text string"))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.execute("CREATE TABLE benchmark (item_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    con.executemany("INSERT INTO benchmark VALUES (?, ?)", bench)
+    cur = con.execute(LEAKS)
+    names = [c[0] for c in cur.description]
+    want = sorted(cur.fetchall(), key=repr)
+    assert sorted((tuple(r[n] for n in names) for r in got.collect()), key=repr) == want
+    marked = {r[0] for r in want if r[1]}
+    assert {20_000, 20_001, 20_003, 20_004} <= marked and 20_002 not in marked
+
+
+def test_the_shuffled_plan_carries_ids_and_positions_only(spark, case, monkeypatch):
+    monkeypatch.setattr(ss, "BROADCAST_BYTES", 0)
+    plan = ss.contamination(*frames(spark, case))._jdf.queryExecution().optimizedPlan().toString()
+    join = next(line for line in plan.splitlines() if "Join Inner, (seed" in line)
+    below = plan.splitlines()[plan.splitlines().index(join) + 1]
+    assert "dt#" not in below.split("AS")[0]
