@@ -1,3 +1,4 @@
+import collections
 import random
 import re
 
@@ -42,7 +43,11 @@ def brute(docs, items):
             if n < ss.SPAN:
                 places += [list(range(half)), list(range(n - half, n))]
             most, best, inside = 0, 0, set()
-            for shift in range(-n + 1, len(dt)):
+            # Alignments with fewer agreeing tokens than any mask names can't be proposed.
+            at = {w: [k for k, x in enumerate(it) if x == w] for w in it}
+            agree = collections.Counter(j - k for j, w in enumerate(dt) for k in at.get(w, ()))
+            least = min(map(len, places))
+            for shift in (s for s, c in agree.items() if c >= least):
                 same = [0 <= k + shift < len(dt) and dt[k + shift] == it[k] for k in range(n)]
                 if any(all(same[k] for k in place) for place in places):
                     most = max(most, sum(same))
