@@ -22,6 +22,14 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % FOLDS == 0
 
 
+def free_name(name: str, columns: list[str]) -> str:
+    """``name``, with underscores put before it until no column (in any case) is called so."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def utf8_buffers(arr) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of an Arrow string array and its n + 1 offsets; a null has length 0."""
     arr = arr.cast(pa.large_binary()) if not pa.types.is_large_binary(arr.type) else arr

@@ -22,6 +22,7 @@ same name).
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,15 +31,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakecart.llm.common import utf8_buffers
+from lakecart.llm.common import free_name, utf8_buffers
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 EMBED = 8
-#: Bounds of the training sample: documents per language, languages, windows per document.
+#: Bounds of the training sample: documents per language, documents in all, windows per document.
 MAX_DOCS_PER_LANG = 700
-MAX_LANGS = 256
+MAX_DOCS = 180_000
+#: Every language is learned; more than these are an error.
+MAX_LANGS = 4096
 WINDOWS_PER_DOC = 3
 UNDETERMINED = "und"
 
@@ -64,18 +67,22 @@ def training_sample(labelled: DataFrame, text_col: str, lang_col: str, key_col:
     """(lang, windows) of a bounded, hash-chosen sample with up to about ``max_docs`` documents a language.
 
     One column-pruned count per language gives each language's sampling rate;
-    the sample itself is a filter on a hash of the key and a top-k by it.
+    the sample itself is a filter on a hash of the key and a top-k by it.  All
+    languages take part; where they are many, each has ``MAX_DOCS`` divided by
+    their number of documents.  More than ``MAX_LANGS`` raise a ValueError.
     """
     rows = labelled.filter(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-    counts = rows.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(MAX_LANGS).collect()
+    counts = rows.groupBy(lang_col).count().limit(MAX_LANGS + 1).collect()
     if not counts:
         return []
+    if len(counts) > MAX_LANGS:
+        raise ValueError(f"more than {MAX_LANGS} languages")
+    max_docs = min(max_docs, MAX_DOCS // len(counts))
     h = F.xxhash64(F.col(key_col).cast("string"), F.lit("language-sample"))
     unit = F.shiftrightunsigned(h, 11) / F.lit(float(1 << 53))
     # A quarter more than asked for, so that the cut below rarely binds unevenly.
-    keep = F.lit(False)
-    for r in counts:
-        keep = keep | ((F.col(lang_col) == r[lang_col]) & (unit < min(1.0, 1.25 * max_docs / r["count"])))
+    rates = F.from_json(F.lit(json.dumps({r[lang_col]: min(1.0, 1.25 * max_docs / r["count"]) for r in counts})), "map<string,double>")
+    keep = unit < F.try_element_at(rates, F.col(lang_col))
     n = F.length(text_col)
     starts = [F.lit(1), F.greatest(F.lit(1), F.floor(n / 2).cast("int")), F.greatest(F.lit(1), n - WINDOW)]
     picked = (rows.filter(keep)
@@ -94,9 +101,10 @@ def _windows(texts: list[bytes]) -> np.ndarray:
     return out
 
 
-def train(sample: list[tuple[str, list[str]]], steps: int = 500, batch: int = 64, seed: int = 7) -> ByteConvNet | None:
-    """Adam on the cross entropy of window labels, every language equally often."""
+def train(sample: list[tuple[str, list[str]]], steps: int | None = None, batch: int = 64, seed: int = 7) -> ByteConvNet | None:
+    """Adam on the cross entropy of window labels, every language equally often (500 steps, or 10 a language)."""
     langs = sorted({lang for lang, _ in sample})
+    steps = max(500, 10 * len(langs)) if steps is None else steps
     if not langs:
         return None
     rng = np.random.default_rng(seed)
@@ -212,8 +220,9 @@ def identify(docs: DataFrame, net: ByteConvNet | None, text_col: str = "text") -
             yield pa.StructArray.from_arrays([pa.array(best.astype(np.int32)), pa.array(score)], ["i", "p"])
 
     names = F.array(*[F.lit(x) for x in net.langs])
-    out = docs.withColumn("_lid", classify(F.when(has_letter, F.col(text_col))))
+    lid = free_name("_lid", docs.columns)
+    out = docs.withColumn(lid, classify(F.when(has_letter, F.col(text_col))))
     return out.withColumns({
-        "lang_pred": F.when(has_letter, F.get(names, F.col("_lid.i"))).otherwise(F.lit(UNDETERMINED)),
-        "score": F.when(has_letter, F.col("_lid.p")).otherwise(F.lit(0.0)),
-    }).drop("_lid")
+        "lang_pred": F.when(has_letter, F.get(names, F.col(f"{lid}.i"))).otherwise(F.lit(UNDETERMINED)),
+        "score": F.when(has_letter, F.col(f"{lid}.p")).otherwise(F.lit(0.0)),
+    }).drop(lid)

@@ -82,3 +82,19 @@ def test_sample_is_bounded_and_covers_rare_languages(spark):
     n = {k: sum(lang == k for lang, _ in sample) for k in ("big", "small")}
     assert n["small"] == 40 and 60 <= n["big"] <= 300
     assert all(len(w) <= lid.WINDOW for _, ws in sample for w in ws)
+
+
+def test_every_language_is_sampled(spark, monkeypatch):
+    rows = [(i, f"word{i % 300}", f"l'{i % 300}\"") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert len({lang for lang, _ in lid.training_sample(docs, "text", "lang", "doc_id")}) == 300
+    monkeypatch.setattr(lid, "MAX_LANGS", 299)
+    with pytest.raises(ValueError):
+        lid.training_sample(docs, "text", "lang", "doc_id")
+
+
+def test_a_column_named_like_the_internal_one(spark):
+    docs = spark.createDataFrame([(1, "some text", 5)], "doc_id bigint, text string, _lid int")
+    net = lid.train([("en", ["some text"]), ("fr", ["un texte"])], steps=2)
+    row = lid.identify(docs, net).first()
+    assert row["_lid"] == 5 and row.lang_pred in ("en", "fr")
