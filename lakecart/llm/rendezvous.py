@@ -7,14 +7,18 @@ its share w_j / sum(w) of the keys, the key and the shard list alone decide
 w_new / sum(w) of them move, none between the old shards.  The choice is a
 plain expression: no shuffle, and skewed keys don't matter to it.
 
-Slots number the rows of a shard from 0 in the order of a key hash.  No task
-sees a whole shard: rows equal in all columns are first counted (partial
-aggregation), each shard's hash range is cut into buckets, and a bucket's
-start comes from the bucket counts of its shard.
+Slots number the rows of a shard from 0 in the order of a hash over the whole
+row.  No task sees a whole shard: rows equal in all columns are first counted
+(partial aggregation), each shard's hash range is cut into buckets, and a
+bucket's start comes from the bucket counts of its shard.  Rows that share a
+key (or have none) but differ elsewhere fall in different buckets.
 
 Defined results: a null key hashes like the empty text; a null text has 0
 bytes (size 1) and the checksum of the empty text; repeated rows share a shard
-and get consecutive slots; an empty table gives an empty result.
+and get consecutive slots; equal hashes are ordered by the columns; very long
+texts are measured whole; columns called size, text_crc32, law, shard,
+grown_shard or slot are replaced by the results, all others pass through
+whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,6 +26,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakecart.llm.common import free_name
+
 LAW = "key"
 SALT = "rendezvous"
 #: Buckets that a shard's rows are numbered in.
@@ -58,20 +64,21 @@ def assign_shards(docs: DataFrame, weights: list[float], key_col: str = "doc_id"
 
 
 def number_slots(rows: DataFrame, order_by: Column, shard_col: str = "shard", buckets: int = BUCKETS) -> DataFrame:
-    """``rows`` with ``slot``, gapless from 0 in each shard, in the order of a hash of ``order_by``."""
+    """``rows`` with ``slot``, gapless from 0 in each shard, in the order of a hash of ``order_by`` and the row."""
+    rows = rows.drop("slot")
     columns = rows.columns
-    counted = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
-    counted = counted.withColumn("_h", F.xxhash64(order_by.cast("string")))
+    n, h, b, t, s, c, begin, at, i = (free_name(f"_{x}", columns) for x in ("n", "h", "b", "t", "s", "c", "start", "at", "i"))
+    counted = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias(n))
+    # The whole row: rows of one hot key spread over the buckets.
+    counted = counted.withColumn(h, F.xxhash64(order_by.cast("string"), *columns))
     # Signed order of the hash: buckets are equal ranges of it.
-    counted = counted.withColumn("_b", F.floor((F.col("_h") / float(1 << 63) + 1) / 2 * buckets).cast("int"))
-    total = counted.groupBy(shard_col, "_b").agg(F.sum("_n").alias("_t"))
-    before = Window.partitionBy(shard_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    start = total.select(F.col(shard_col).alias("_s"), F.col("_b").alias("_c"),
-                         F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_start"))
-    inside = Window.partitionBy(shard_col, "_b").orderBy("_h", *[c for c in columns if c != shard_col]).rowsBetween(
+    counted = counted.withColumn(b, F.least(F.lit(buckets - 1), F.floor((F.col(h) / float(1 << 63) + 1) / 2 * buckets).cast("int")))
+    total = counted.groupBy(shard_col, b).agg(F.sum(n).alias(t))
+    before = Window.partitionBy(shard_col).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    start = total.select(F.col(shard_col).alias(s), F.col(b).alias(c), F.coalesce(F.sum(t).over(before), F.lit(0)).alias(begin))
+    inside = Window.partitionBy(shard_col, b).orderBy(h, *[x for x in columns if x != shard_col]).rowsBetween(
         Window.unboundedPreceding, -1)
-    placed = counted.withColumn("_at", F.coalesce(F.sum("_n").over(inside), F.lit(0))).join(
-        start, (F.col(shard_col) == F.col("_s")) & (F.col("_b") == F.col("_c")))
-    return placed.select(*columns, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_n") - 1)).alias("_i"),
-                         "_start", "_at").select(
-        *columns, (F.col("_start") + F.col("_at") + F.col("_i")).cast("bigint").alias("slot"))
+    placed = counted.withColumn(at, F.coalesce(F.sum(n).over(inside), F.lit(0))).join(
+        start, (F.col(shard_col) == F.col(s)) & (F.col(b) == F.col(c)))
+    return placed.select(*columns, F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1)).alias(i), begin, at).select(
+        *columns, (F.col(begin) + F.col(at) + F.col(i)).cast("bigint").alias("slot"))

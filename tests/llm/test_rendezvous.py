@@ -68,3 +68,21 @@ def test_edges(spark):
         rv.shard_of(F.lit(1), [])
     with pytest.raises(ValueError):
         rv.shard_of(F.lit(1), [1.0, 0.0])
+
+
+def test_rows_of_a_hot_key_spread_over_buckets(spark):
+    """A third of the rows without a key: none of the windows that number rows gets more than a few of them."""
+    rows = spark.range(0, 60_000).select(F.when(F.col("id") % 3 != 0, F.col("id")).alias("doc_id"), F.col("id").alias("size"), F.lit(0).alias("shard"))
+    slots = rv.number_slots(rows, F.col("doc_id"), buckets=64)
+    assert slots.agg(F.count("slot"), F.count_distinct("slot"), F.max("slot")).first()[:] == (60_000, 60_000, 59_999)
+    # Rows without a key are spread evenly over the whole order.
+    at = [r.n for r in slots.filter("doc_id is null").groupBy(F.floor(F.col("slot") / 6000)).agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(at) == 10 and 1700 < min(at) and max(at) < 2300
+
+
+def test_columns_named_like_the_internal_ones(spark):
+    names = ["_n", "_h", "_b", "_t", "_s", "_c", "_start", "_at", "_i"]
+    rows = spark.range(0, 50).select(F.col("id").alias("doc_id"), F.lit(0).alias("shard"), *[(F.col("id") * 3).alias(c) for c in names])
+    out = rv.number_slots(rows, F.col("doc_id"), buckets=4).collect()
+    assert sorted(r.slot for r in out) == list(range(50))
+    assert all(r[c] == 3 * r.doc_id for r in out for c in names)
