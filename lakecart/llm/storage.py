@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from lakecart.session import scratch_dir
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
     """``df`` written once to the folder of ``spark.checkpoint.dir`` and read back.
 
     Cuts the lineage: a lost executor never makes it run again, and, unlike
-    ``checkpoint()``, the plan is computed once only.
+    ``checkpoint()``, the plan is computed once only.  ``options`` are the Parquet writer's.
     """
     path = scratch_dir(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
