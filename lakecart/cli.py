@@ -3,7 +3,7 @@
     spark-submit -m lakecart.cli extract --root R --run-date D --jdbc-url URL --user U --password P
     python -m lakecart.cli bronze  --root R [--run-date D]     # register tables, print row counts
     python -m lakecart.cli clean-raw --root R                  # whitespace rewrite into R/raw_clean
-    python -m lakecart.cli silver  --root R [--strict] [--snapshot latest|latest_per_key]
+    python -m lakecart.cli silver  --root R [--strict] [--snapshot latest|latest_per_key] [--quarantine]
     python -m lakecart.cli gold    --root R
     python -m lakecart.cli check   --root R [--fail]
     python -m lakecart.cli report  NAME --root R               # daily_revenue, top_customers, ...
@@ -72,7 +72,7 @@ def cmd_silver(spark, args):
     tables = tuple(args.tables or TABLE_NAMES)
     build_bronze(spark, layout, tables)
     metrics: dict = {}
-    build_silver(spark, layout, tables, strict=args.strict, snapshot=args.snapshot, metrics=metrics)
+    build_silver(spark, layout, tables, strict=args.strict, snapshot=args.snapshot, metrics=metrics, quarantine=args.quarantine)
     for t, m in metrics.items():
         print(t, m)
 
@@ -184,6 +184,7 @@ def parser() -> argparse.ArgumentParser:
     s = add("silver", cmd_silver)
     s.add_argument("--strict", action="store_true")
     s.add_argument("--snapshot", choices=["all", "latest", "latest_per_key"], default="all")
+    s.add_argument("--quarantine", action="store_true", help="keep the raw records that silver can't hold whole, with file and reasons")
     add("gold", cmd_gold).add_argument("--exact", action="store_true", help="also build top_products_exact")
     add("check", cmd_check).add_argument("--fail", action="store_true", help="exit non-zero on violations")
     r = add("report", cmd_report)
@@ -197,6 +198,7 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--run-date")
     b.add_argument("--strict", action="store_true")
     b.add_argument("--snapshot", choices=["all", "latest", "latest_per_key"], default="all")
+    b.add_argument("--quarantine", action="store_true", help="keep the raw records that silver can't hold whole, with file and reasons")
     b.add_argument("--exact", action="store_true")
     b.add_argument("--fail", action="store_true")
     return p

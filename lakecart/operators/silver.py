@@ -5,6 +5,9 @@ Row-count preserving, one ``select`` per table, all built-in expressions.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,6 +54,27 @@ def loss_rules(table: str) -> list[tuple[str, Column]]:
     return [*rules, ("field_count", F.col(MALFORMED).isNotNull())]
 
 
+# How a record is written again from its fields.
+RECORD_OPTIONS = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
+def quarantined(text_bronze: DataFrame, table: str) -> DataFrame:
+    """(table_name, dt, file, record, reasons) of every raw record that silver can't hold whole.
+
+    ``text_bronze`` is ``read_bronze(.., as_text=True)``.  ``reasons`` are the
+    names of all ``loss_rules`` that the record breaks, in their order.  A
+    record with a wrong number of fields is kept as it was read, any other is
+    written again from its fields (the same text, but for quotes that it didn't
+    need).  Rows are only filtered and projected, so this scales with the scan;
+    repeated records are all kept; no losses -> no rows.
+    """
+    rules = loss_rules(table)
+    record = F.coalesce(F.col(MALFORMED), F.to_csv(F.struct(*spec(table).column_names), RECORD_OPTIONS))
+    return (text_bronze.where(reduce(or_, [lost for _, lost in rules]))
+            .select(F.lit(table).alias("table_name"), "dt", F.col("_metadata.file_path").alias("file"), record.alias("record"),
+                    F.array_compact(F.array(*[F.when(lost, F.lit(name)) for name, lost in rules])).alias("reasons")))
+
+
 def cast_loss_counts(text_bronze: DataFrame, table: str) -> DataFrame:
     """(table_name, rule, violations) of ``loss_rules`` in one pass over ``read_bronze(.., as_text=True)``."""
     rules = loss_rules(table)

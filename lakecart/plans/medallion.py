@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lakecart.operators.gold import MART_SORT_KEYS, build_marts, top_products_exact
 from lakecart.functions.extract_text import extract_text
-from lakecart.operators.silver import loss_rules, silver_select
+from lakecart.operators.silver import loss_rules, quarantined, silver_select
 from lakecart.operators.snapshots import key_counts, latest_per_key
 from lakecart.schemas import GOLD_TABLES, TABLE_NAMES, spec
 from lakecart.jobs import per_table
@@ -42,6 +42,14 @@ class Layout:
     def silver_root(self) -> str:
         return f"{self.root.rstrip('/')}/silver"
 
+    @property
+    def quarantine_db(self) -> str:
+        return f"{self.silver_db}_quarantine"
+
+    @property
+    def quarantine_root(self) -> str:
+        return f"{self.root.rstrip('/')}/quarantine"
+
     @property
     def gold_root(self) -> str:
         return f"{self.root.rstrip('/')}/gold"
@@ -131,7 +139,7 @@ def parity_frame(frames: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
 
 def build_silver(spark: SparkSession, layout: Layout, tables=TABLE_NAMES, strict: bool = False,
                  verify: bool = True, snapshot: str = "all", metrics: dict | None = None,
-                 extracted: tuple[str, dict[str, int]] | None = None) -> dict[str, str]:
+                 extracted: tuple[str, dict[str, int]] | None = None, quarantine: bool = False) -> dict[str, str]:
     """Rebuild silver Parquet for ``tables``: write, count, compare, and only then publish.
 
     Every table must hold as many rows as bronze delivered and, with
@@ -144,6 +152,9 @@ def build_silver(spark: SparkSession, layout: Layout, tables=TABLE_NAMES, strict
 
     With ``snapshot="latest_per_key"`` silver holds one row per key instead,
     and the gate compares with the keys of bronze (counted in a pass of its own).
+
+    With ``quarantine`` the raw records behind the losses are published beside
+    silver, once it has passed the gate (``write_quarantine``).
     """
     observed: dict[str, Observation] = {}
 
@@ -174,11 +185,34 @@ def build_silver(spark: SparkSession, layout: Layout, tables=TABLE_NAMES, strict
         bad = [t for t in tables if expected[t] != counts[t].n or t in landed and landed[t] != counts[t].day]
         if bad:
             raise ParityError("Silver row count mismatch: " + ", ".join(bad))
+    kept: dict[str, str] = {}
+    if quarantine:
+        lossy = {t: any(n for rule, n in observed[t].get.items() if rule != "rows") for t in tables}
+        kept = write_quarantine(spark, layout, lossy, strict, snapshot)
     for t, location in locations.items():
         publish(spark, layout.silver_db, t, location)
+    for t, location in kept.items():
+        publish(spark, layout.quarantine_db, t, location)
     return locations
 
 
+def write_quarantine(spark: SparkSession, layout: Layout, lossy: dict[str, bool], strict: bool = False,
+                     snapshot: str = "all") -> dict[str, str]:
+    """Write the quarantined records of every table that lost anything; returns the new, unpublished locations.
+
+    A Spark job has one output, so a table with losses is scanned once more;
+    the build has counted them already, so the others cost no scan: they get an
+    empty version, and only where an earlier build has left records.
+    """
+    def write(t: str) -> str | None:
+        if not lossy[t] and current_location(spark, layout.quarantine_root, t) is None:
+            return None
+        bad = quarantined(bronze_frame(spark, layout, t, strict, snapshot), t)
+        return write_version(bad if lossy[t] else bad.limit(0), t, layout.quarantine_root)
+
+    return {t: location for t, location in per_table(write, lossy).items() if location}
+
+
 def read_silver(spark: SparkSession, locations: dict[str, str]) -> dict[str, DataFrame]:
     return {t: spark.read.parquet(loc) for t, loc in locations.items()}
 

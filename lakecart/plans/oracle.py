@@ -513,6 +513,27 @@ def _check_cast_loss() -> str:
 
 ORACLE["check_cast_loss"] = with_tables(_check_cast_loss(), *TABLES)
 
+
+def _silver_quarantine() -> str:
+    def row(t: str, key: str, reasons: str, where: str) -> str:
+        user = "COALESCE(CAST(user_id AS VARCHAR), '')" if t == "orders" else "CAST(NULL AS VARCHAR)"
+        return (f"SELECT '{t}' AS table_name, '2024-01-01' AS dt, '{t}/dt=2024-01-01' AS folder, {key} AS record_key, "
+                f"{user} AS order_user, {reasons} AS reasons FROM s_{t} WHERE {where}")
+
+    parts = [row("orders", "'no number'", "'cast_loss(order_id),field_count'", "order_id % 37 = 0"),
+             row("orders", "CAST(order_id AS VARCHAR)", "'field_count'", "order_id % 41 = 0")]
+    for t in DAMAGED:
+        pk = PRIMARY_KEYS[t]
+        lost = {c: f"({pk} % {DAMAGE[kind]} = 0 AND {c} IS NOT NULL)" for c, kind, _ in SOURCE_COLUMNS[t] if kind in DAMAGE}
+        # A damaged key can't be read back from its record.
+        key = f"CASE WHEN {lost[pk]} THEN 'oops' ELSE CAST({pk} AS VARCHAR) END" if pk in lost else f"CAST({pk} AS VARCHAR)"
+        reasons = ", ".join(f"CASE WHEN {bad} THEN 'cast_loss({c})' END" for c, bad in lost.items())
+        parts.append(row(t, key, f"concat_ws(',', {reasons})", " OR ".join(lost.values())))
+    return " UNION ALL ".join(parts)
+
+
+ORACLE["silver_quarantine"] = with_tables(_silver_quarantine(), *DAMAGED)
+
 # --- reports over the marts: ranked, then cut at the rank ---
 def _first(n: int, columns: str, source: str, order: str) -> str:
     return f"SELECT {columns} FROM (SELECT *, row_number() OVER (ORDER BY {order}) AS place FROM {source}) ranked WHERE place <= {n}"

@@ -490,6 +490,12 @@ DAMAGED = ("orders", "products", "product_reviews", "inventory_logs")
 def q_check_cast_loss(spark, sf_dir):
     """Losses of the ten tables: four landed with unreadable values, one of them also with short and long records."""
     layout, broken = built_lakehouse(spark, sf_dir)["layout"], scratch_layout(spark, "damaged")
+    land_damaged(spark, sf_dir, broken)
+    return quality.check_cast_loss({
+        t: read_bronze(spark, (broken if t in DAMAGED else layout).raw, t, as_text=True) for t in TABLE_NAMES})
+
+
+def land_damaged(spark: SparkSession, sf_dir: str, broken) -> None:
     for t in DAMAGED:
         land_csv(damage(raw_text(source_table(spark, sf_dir, t, with_ids=False), t), t), broken.raw, t, SNAPSHOT_DT)
     orders = raw_text(source_table(spark, sf_dir, "orders"), "orders")
@@ -497,8 +503,21 @@ def q_check_cast_loss(spark, sf_dir):
     long = orders.where(F.col("order_id") % 41 == 0).withColumn("surplus", F.lit("x"))
     for records in (short, long):
         records.write.mode("append").options(**CSV_WRITE_OPTIONS).csv(f"{table_path(broken.raw, 'orders')}/dt={SNAPSHOT_DT}")
-    return quality.check_cast_loss({
-        t: read_bronze(spark, (broken if t in DAMAGED else layout).raw, t, as_text=True) for t in TABLE_NAMES})
+
+
+@register("silver_quarantine")
+def q_silver_quarantine(spark, sf_dir):
+    """Silver of the damaged tables is built, and every record that it can't hold whole is kept with its file and reasons."""
+    prepare(spark)
+    layout = scratch_layout(spark, "quarantine")
+    land_damaged(spark, sf_dir, layout)
+    build_silver(spark, layout, DAMAGED, quarantine=True)
+    kept = reduce(DataFrame.unionByName, [spark.table(f"{layout.quarantine_db}.{t}") for t in DAMAGED])
+    fields = F.split("record", ",")
+    return kept.select(
+        "table_name", "dt", F.regexp_extract("file", r"/raw/(\w+/dt=[^/]+)/[^/]+\.csv$", 1).alias("folder"),
+        fields[0].alias("record_key"), F.when(F.col("table_name") == "orders", fields[1]).alias("order_user"),
+        F.array_join("reasons", ",").alias("reasons"))
 
 
 # -------------------------------------------------------------- reports (R*)

@@ -187,6 +187,50 @@ def test_losses_are_in_the_build_metrics(spark):
     assert metrics["orders"]["cast_loss(subtotal)"] == 1
 
 
+def test_bad_records_are_kept_with_file_and_reason(spark):
+    layout = scratch_layout(spark, "quarantine")
+    damaged(spark, layout.raw)
+    raw = f"{layout.raw}/orders/dt={DAY}/orders.csv"
+    lines = open(raw).read().splitlines()
+    build_bronze(spark, layout, ("orders",))
+    build_silver(spark, layout, ("orders",))
+    assert not os.path.exists(layout.quarantine_root)  # only where asked for
+    build_silver(spark, layout, ("orders",), quarantine=True)
+    rows = spark.table(f"{layout.quarantine_db}.orders").collect()
+    assert {r.record: r.reasons for r in rows} == {
+        lines[2]: ["cast_loss(order_id)"], lines[3]: ["cast_loss(subtotal)"], lines[4]: ["field_count"], lines[5]: ["field_count"],
+        lines[6]: ["cast_loss(created_at)", "cast_loss(updated_at)"]}
+    assert {(r.table_name, r.dt, r.file.endswith(f"/orders/dt={DAY}/orders.csv")) for r in rows} == {("orders", DAY, True)}
+    # Mended raw data leave no record behind, and silver has all rows both times.
+    with open(raw, "w") as f:
+        f.write("\n".join(lines[:2]) + "\n")
+    build_silver(spark, layout, ("orders",), quarantine=True)
+    assert spark.table(f"{layout.quarantine_db}.orders").count() == 0 and spark.table(f"{layout.silver_db}.orders").count() == 1
+
+
+def test_a_failed_gate_publishes_no_quarantine(spark):
+    layout = scratch_layout(spark, "quarantine-gate")
+    damaged(spark, layout.raw)
+    build_bronze(spark, layout, ("orders",))
+    with pytest.raises(medallion.ParityError):
+        build_silver(spark, layout, ("orders",), extracted=(DAY, {"orders": 99}), quarantine=True)
+    assert not spark.catalog.tableExists(f"{layout.quarantine_db}.orders")
+
+
+def test_quoted_fields_stay_one_record_in_quarantine(spark):
+    layout = scratch_layout(spark, "quarantine-text")
+    s = spec("product_reviews")
+    values = {c: {"id": "1", "int": "oops", "double": "1.0", "ts": "2024-01-01 00:00:00+00", "date": "2024-01-01 00:00:00+00"}.get(k, 'a, "b"\nc') for c, k in s.columns}
+    frame = spark.createDataFrame([tuple(values[c] for c in s.column_names)], ", ".join(f"{c} string" for c in s.column_names))
+    land_csv(frame, layout.raw, "product_reviews", DAY)
+    build_bronze(spark, layout, ("product_reviews",))
+    build_silver(spark, layout, ("product_reviews",), quarantine=True)
+    [row] = spark.table(f"{layout.quarantine_db}.product_reviews").collect()
+    again = spark.createDataFrame([(row.record,)], "r string").selectExpr(
+        "from_csv(r, '" + ", ".join(f"{c} string" for c in s.column_names) + "', map('escape', '\"', 'multiLine', 'true')) AS f").first().f
+    assert again.asDict() == values and row.reasons == [f"cast_loss({c})" for c, k in s.columns if k == "int"]
+
+
 def test_empty_days_are_listed(spark):
     layout = scratch_layout(spark, "days")
     df = payments(spark).limit(4)
