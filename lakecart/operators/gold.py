@@ -223,6 +223,11 @@ def sales_by_category(products: DataFrame, categories: DataFrame, orders: DataFr
 
 
 # Per-file sort keys used when a mart is written (leading ORDER BY key of each statement).
+# Of marts whose reports want the largest: (value, key).
+MART_RANGE_KEYS = {
+    "customer_lifetime_value": ("lifetime_value", "user_id"),
+    "top_products": ("total_revenue", "product_id"),
+}
 MART_SORT_KEYS = {
     "daily_sales": ["sale_date"],
     "customer_lifetime_value": ["lifetime_value"],

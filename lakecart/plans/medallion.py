@@ -13,14 +13,14 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from lakecart.operators.gold import MART_SORT_KEYS, build_marts, top_products_exact
+from lakecart.operators.gold import MART_RANGE_KEYS, MART_SORT_KEYS, build_marts, top_products_exact
 from lakecart.functions.extract_text import extract_text
 from lakecart.operators.silver import loss_rules, quarantined, silver_select
 from lakecart.operators.snapshots import key_counts, latest_per_key
 from lakecart.schemas import GOLD_TABLES, TABLE_NAMES, spec
 from lakecart.jobs import per_table
 from lakecart.session import scratch_dir
-from lakecart.sinks.files import current_location, land_csv, publish, write_table, write_version
+from lakecart.sinks.files import current_location, land_csv, publish, write_ranged, write_table, write_version
 from lakecart.sources.bronze import latest_snapshot, read_bronze, register_bronze_table
 
 
@@ -231,14 +231,26 @@ def current_tables(spark: SparkSession, root: str, names) -> dict[str, str]:
 
 
 def build_gold(spark: SparkSession, layout: Layout, silver: dict[str, DataFrame],
-               with_exact: bool = False) -> dict[str, str]:
-    """Write the six marts (and optionally ``top_products_exact``) as Parquet tables."""
+               with_exact: bool = False, ranged: bool = False, files: int | None = None) -> dict[str, str]:
+    """Write the six marts (and optionally ``top_products_exact``) as Parquet tables.
+
+    With ``ranged`` the marts of ``MART_RANGE_KEYS`` are laid out by their value
+    (one more shuffle), so that their top-k reports open only the files they
+    need (``sinks.files.top_candidates``); ``files`` fixes the number of files.
+    """
     marts = build_marts(silver)
     if with_exact:
         marts["top_products_exact"] = top_products_exact(
             silver["products"], silver["categories"], silver["order_items"], silver["product_reviews"])
-    return per_table(lambda name: write_table(spark, marts[name], layout.gold_db, name, layout.gold_root,
-                                              sort_within=MART_SORT_KEYS[name]), marts)
+
+    def write(name: str) -> str:
+        if not ranged or name not in MART_RANGE_KEYS:
+            return write_table(spark, marts[name], layout.gold_db, name, layout.gold_root, sort_within=MART_SORT_KEYS[name])
+        location = write_ranged(spark, marts[name], name, layout.gold_root, *MART_RANGE_KEYS[name], files)
+        publish(spark, layout.gold_db, name, location)
+        return location
+
+    return per_table(write, marts)
 
 
 def run_all(spark: SparkSession, sources: dict[str, DataFrame], layout: Layout, run_date: str) -> dict:

@@ -555,6 +555,9 @@ ORACLE["report_top_customers"] = over_marts(_first(
 ORACLE["report_best_sellers"] = over_marts(_first(
     10, f"product_name, category_name, sku, total_units_sold, total_orders, {_cents('total_revenue')}, {_cents('avg_rating')}, "
         "total_reviews", "g_top_products", "total_revenue DESC NULLS LAST, product_id"), "top_products")
+# The layout of a mart doesn't change its reports.
+ORACLE["report_top_customers_ranged"] = ORACLE["report_top_customers"]
+ORACLE["report_best_sellers_ranged"] = ORACLE["report_best_sellers"]
 ORACLE["report_payment_rates"] = over_marts(
     f"SELECT payment_method, payment_status, transaction_count, {_cents('total_amount')}, {_cents('pct_of_method')} "
     "FROM g_payment_success_rates", "payment_success_rates")

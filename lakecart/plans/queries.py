@@ -26,7 +26,7 @@ from lakecart.plans.medallion import (build_silver, extract, gold_row_counts, lo
                                       silver_frame)
 from lakecart.schemas import INSERT_ORDER, TABLE_NAMES, spec
 from lakecart.session import apply_sql_defaults, ensure_checkpoint_dir, scratch_dir
-from lakecart.sinks.files import CSV_WRITE_OPTIONS, clean_raw_csv, dump_csv, land_backfill, land_csv, replace_days, write_table
+from lakecart.sinks.files import CSV_WRITE_OPTIONS, clean_raw_csv, dump_csv, land_backfill, land_csv, replace_days, top_candidates, write_ranged, write_table
 from lakecart.sources.bronze import (add_snapshot_partition, csv_read_options, partition_row_counts, raw_file_inventory,
                                      read_bronze, register_bronze_table, table_path)
 from lakecart.sources.faults import damage, plant
@@ -541,6 +541,24 @@ def q_report_best_sellers(spark, sf_dir):
     return reports.best_sellers(_gold(spark, sf_dir, "top_products"))
 
 
+def _ranged_mart(spark, sf_dir, mart: str, k: int, files: int = 32) -> DataFrame:
+    """The candidates of a mart's top-k report, from the mart laid out by the report's value."""
+    by, key = gold.MART_RANGE_KEYS[mart]
+    layout = scratch_layout(spark, f"ranged_{mart}")
+    location = write_ranged(spark, _gold(spark, sf_dir, mart), mart, layout.gold_root, by, key, files)
+    return top_candidates(spark, location, by, k)
+
+
+@register("report_top_customers_ranged")
+def q_report_top_customers_ranged(spark, sf_dir):
+    return reports.top_customers(_ranged_mart(spark, sf_dir, "customer_lifetime_value", 5), 5)
+
+
+@register("report_best_sellers_ranged")
+def q_report_best_sellers_ranged(spark, sf_dir):
+    return reports.best_sellers(_ranged_mart(spark, sf_dir, "top_products", 10), 10)
+
+
 @register("report_payment_rates")
 def q_report_payment_rates(spark, sf_dir):
     return reports.payment_rates(_gold(spark, sf_dir, "payment_success_rates"))

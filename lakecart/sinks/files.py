@@ -5,7 +5,7 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakecart.functions.clean import whitespace_all
@@ -25,6 +25,10 @@ CSV_WRITE_OPTIONS = {
 }
 # Files that a backfill spreads each day over at most.
 BACKFILL_FILES = 4
+# Folder of a ranged version that lists what each of its files holds.
+RANGES = "_ranges"
+# Files that a read names one by one; beyond that it skips by the files' own statistics.
+NAMED_FILES = 1000
 # Marks a version folder that readers may use.
 PUBLISHED = "_PUBLISHED"
 
@@ -155,6 +159,43 @@ def write_table(spark: SparkSession, df: DataFrame, database: str, name: str, ro
     return location
 
 
+def write_ranged(spark: SparkSession, df: DataFrame, name: str, root: str, by: str, key: str, files: int | None = None) -> str:
+    """Write a Parquet version whose files hold disjoint, falling ranges of ``by``, and a list of these ranges; returns it.
+
+    Rows that tie on ``by`` are split by ``key``, so one value that many rows
+    have doesn't make one huge file.  Adaptive execution sizes the files
+    unless their number is given.  The list (``_ranges`` in the version's
+    folder, which table readers pass over) has one row per file.
+    """
+    order = [F.desc_nulls_last(by), F.asc_nulls_last(key)]
+    ranged = df.repartitionByRange(*([files] if files else []), *order)
+    location = write_version(ranged.sortWithinPartitions(*order), name, root)
+    (spark.read.schema(df.schema).parquet(location).groupBy(F.col("_metadata.file_name").alias("file"))
+        .agg(F.count(by).alias("n"), F.min(by).alias("lo"), F.max(by).alias("hi"))
+        .write.parquet(f"{location}/{RANGES}"))
+    return location
+
+
+def top_candidates(spark: SparkSession, location: str, by: str, k: int) -> DataFrame:
+    """Rows of a ``write_ranged`` version that include its ``k`` with the largest ``by``, read from as few files as can be.
+
+    Of the files in falling order of their smallest value, those that together
+    hold ``k`` values name a value that the ``k`` largest all reach; files that
+    don't reach it are not opened.  Ties with the last one are all included, so
+    any tie-break can follow.  With fewer than ``k`` non-null values, all rows.
+    """
+    table, ranges = spark.read.parquet(location), spark.read.parquet(f"{location}/{RANGES}")
+    # One row per file.
+    running = F.sum("n").over(Window.orderBy(F.desc("lo"), "file").rowsBetween(Window.unboundedPreceding, 0))
+    least = ranges.where("n > 0").select("lo", running.alias("n")).where(F.col("n") >= k).agg(F.max("lo")).first()[0]
+    if least is None:
+        return table
+    reach = [r.file for r in ranges.where(F.col("hi") >= F.lit(least)).select("file").limit(NAMED_FILES + 1).collect()]
+    if len(reach) <= NAMED_FILES:
+        table = spark.read.schema(table.schema).parquet(*[f"{location}/{f}" for f in reach])
+    return table.where(F.col(by) >= F.lit(least))
+
+
 def _same_columns(a, b) -> bool:
     return [(f.name, f.dataType) for f in a.fields] == [(f.name, f.dataType) for f in b.fields]
 

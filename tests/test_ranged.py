@@ -1,0 +1,54 @@
+"""Marts laid out by value: top-k reports open only the files that can hold their rows."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakecart.sinks import files
+
+
+@pytest.fixture
+def mart(spark, workdir):
+    def make(values, n=8):
+        df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "user_id bigint, lifetime_value double")
+        return df, files.write_ranged(spark, df, "clv", workdir, "lifetime_value", "user_id", n)
+    return make
+
+
+def top(df, k):
+    return [tuple(r) for r in df.orderBy(F.desc_nulls_last("lifetime_value"), F.asc_nulls_last("user_id")).limit(k).collect()]
+
+
+VALUES = {
+    "distinct": [float(i * 37 % 1000) for i in range(1000)],
+    "ties": [float(i % 3) for i in range(900)],
+    "one value": [5.0] * 400,
+    "nulls": [None if i % 3 == 0 else float(i % 50) for i in range(500)],
+    "few": [None] * 50 + [1.0, 2.0],
+    "none": [],
+}
+
+
+@pytest.mark.parametrize("name", VALUES)
+@pytest.mark.parametrize("k", [1, 7, 300])
+def test_top_rows_are_those_of_the_whole_table(spark, mart, name, k):
+    df, location = mart(VALUES[name])
+    assert top(files.top_candidates(spark, location, "lifetime_value", k), k) == top(df, k)
+    assert spark.read.parquet(location).count() == df.count()
+
+
+def test_files_that_cannot_matter_are_not_opened(spark, mart):
+    _, location = mart(VALUES["distinct"])
+    every = spark.read.parquet(location).inputFiles()
+    read = files.top_candidates(spark, location, "lifetime_value", 5).inputFiles()
+    assert len(every) == 8 and len(read) == 1 and set(read) < set(every)
+
+
+def test_a_common_value_is_spread_over_files(spark, mart):
+    _, location = mart(VALUES["one value"])
+    assert len(spark.read.parquet(location).inputFiles()) > 4
+
+
+def test_more_files_than_can_be_named(spark, mart, monkeypatch):
+    df, location = mart(VALUES["ties"])
+    monkeypatch.setattr(files, "NAMED_FILES", 1)
+    assert top(files.top_candidates(spark, location, "lifetime_value", 400), 400) == top(df, 400)
