@@ -1,6 +1,6 @@
 """Command line: the pipeline steps as separate runs, like the warehouse scripts.
 
-    spark-submit -m lakecart.cli extract --root R --run-date D --jdbc-url URL --user U --password P
+    spark-submit -m lakecart.cli extract --root R --run-date D --jdbc-url URL --user U --password-file F
     python -m lakecart.cli bronze  --root R [--run-date D]     # register tables, print row counts
     python -m lakecart.cli clean-raw --root R                  # whitespace rewrite into R/raw_clean
     python -m lakecart.cli silver  --root R [--strict] [--snapshot latest|latest_per_key] [--quarantine]
@@ -32,8 +32,10 @@ def _jdbc_props(args) -> dict[str, str]:
     props = {}
     if args.user:
         props["user"] = args.user
-    if args.password:
-        props["password"] = args.password
+    if args.password_file:
+        # Not an argument itself: those can be read in process lists.
+        with open(args.password_file) as f:
+            props["password"] = f.readline().rstrip("\r\n")
     if args.driver:
         props["driver"] = args.driver
     return props
@@ -166,13 +168,13 @@ def parser() -> argparse.ArgumentParser:
     }
 
     def add(name, fn, jdbc=False):
-        sp = sub.add_parser(name, help=helps[name])
+        sp = sub.add_parser(name, allow_abbrev=False, help=helps[name])
         sp.add_argument("--root", required=True, help="lakehouse root (raw/, silver/, gold/ below it)")
         sp.add_argument("--tables", nargs="*", help="subset of the ten source tables")
         if jdbc:
             sp.add_argument("--jdbc-url", required=True)
             sp.add_argument("--user")
-            sp.add_argument("--password")
+            sp.add_argument("--password-file", help="file on the driver whose first line is the password")
             sp.add_argument("--driver")
         sp.set_defaults(fn=fn)
         return sp

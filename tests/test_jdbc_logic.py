@@ -1,5 +1,6 @@
 """JDBC extract/load logic with Spark's JDBC calls stubbed (no database is started)."""
 
+import pytest
 from pyspark.sql import DataFrameReader
 
 from lakecart.schemas import INSERT_ORDER, spec
@@ -101,3 +102,13 @@ def test_created_tables_fill_in_and_protect_like_the_source():
     assert line("order_items", "unit_price").startswith("unit_price NUMERIC(10,2)") and line("order_items", "total_price").startswith("total_price NUMERIC(12,2)")
     assert all(s.count("DEFAULT NOW()") == sum(k in ("ts", "date") for _, k in spec(t).columns) for t, s in of.items())
     assert sum(s.count("ON DELETE CASCADE") for s in of.values()) == 8 and sum(s.count("ON DELETE RESTRICT") for s in of.values()) == 3
+
+
+def test_the_password_comes_from_a_file(tmp_path):
+    from lakecart import cli
+    secret = tmp_path / "secret"
+    secret.write_text("p w\nsecond line\n")
+    args = cli.parser().parse_args(["load", "--root", "r", "--jdbc-url", "jdbc:x:", "--user", "u", "--password-file", str(secret)])
+    assert cli._jdbc_props(args) == {"user": "u", "password": "p w"}
+    with pytest.raises(SystemExit):
+        cli.parser().parse_args(["load", "--root", "r", "--jdbc-url", "jdbc:x:", "--password", "p"])
