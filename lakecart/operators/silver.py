@@ -17,6 +17,10 @@ from lakecart.schemas import spec
 from lakecart.sources.bronze import MALFORMED
 
 
+#: Marks the columns of ``with_silver``.
+CAST = "_silver_"
+
+
 def silver_column(column: str, kind: str, strict: bool = False) -> Column:
     c = F.col(column)
     if kind == "id":
@@ -37,23 +41,32 @@ def silver_column(column: str, kind: str, strict: bool = False) -> Column:
 
 
 def silver_select(bronze: DataFrame, table: str, strict: bool = False) -> DataFrame:
-    """Cast and clean a bronze table into its silver shape (``dt`` passed through)."""
-    s = spec(table)
-    cols = [silver_column(c, kind, strict).alias(c) for c, kind in s.columns]
+    """Cast and clean a bronze table into its silver shape (``dt`` passed through).
+
+    Of a frame that holds the cast values already (``with_silver``), these are taken.
+    """
+    have = set(bronze.columns)
+    cols = [(F.col(f"{CAST}{c}") if f"{CAST}{c}" in have else silver_column(c, kind, strict)).alias(c)
+            for c, kind in spec(table).columns]
     return bronze.select(*cols, F.col("dt"))
 
 
-def loss_rules(table: str) -> list[tuple[str, Column]]:
-    """What the silver projection loses, as predicates over the all-text scan of bronze.
+def loss_rules(table: str, cast: bool = False) -> list[tuple[str, Column]]:
+    """What the silver projection loses, as predicates over the all-text scan of bronze (``cast``: over ``with_silver``).
 
     One rule for each column that is cast (non-blank text that becomes NULL),
     and one for records with a wrong number of fields.
     """
-    rules = [(f"cast_loss({c})", cast_lost(c, silver_column(c, k)))
+    rules = [(f"cast_loss({c})", cast_lost(c, F.col(f"{CAST}{c}") if cast else silver_column(c, k)))
              for c, k in spec(table).columns if k not in ("str", "text")]
     return [*rules, ("field_count", F.col(MALFORMED).isNotNull())]
 
 
+def with_silver(text_bronze: DataFrame, table: str, strict: bool = False) -> DataFrame:
+    """The all-text scan with the silver value of every column beside it (``CAST`` + name): each value is cast once."""
+    return text_bronze.select("*", *[silver_column(c, k, strict).alias(f"{CAST}{c}") for c, k in spec(table).columns])
+
+
 # How a record is written again from its fields.
 RECORD_OPTIONS = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 

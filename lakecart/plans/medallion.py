@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lakecart.operators.gold import MART_RANGE_KEYS, MART_SORT_KEYS, build_marts, top_products_exact
 from lakecart.functions.extract_text import extract_text
-from lakecart.operators.silver import loss_rules, quarantined, silver_select
+from lakecart.operators.silver import loss_rules, quarantined, silver_select, with_silver
 from lakecart.operators.snapshots import key_counts, latest_per_key
 from lakecart.schemas import GOLD_TABLES, TABLE_NAMES, spec
 from lakecart.jobs import per_table
@@ -33,6 +33,8 @@ class Layout:
     bronze_db: str = "lakecart_bronze"
     silver_db: str = "lakecart_silver"
     gold_db: str = "lakecart_gold"
+    # Codec of the raw files (``sinks.files.csv_options``): None leaves them plain.
+    compression: str | None = None
 
     @property
     def raw(self) -> str:
@@ -60,7 +62,7 @@ def scratch_layout(spark: SparkSession, name: str) -> Layout:
     root = scratch_dir(spark, name)
     tag = root.rsplit("-", 1)[-1]
     return Layout(root=root, bronze_db=f"lakecart_bronze_{tag}", silver_db=f"lakecart_silver_{tag}",
-                  gold_db=f"lakecart_gold_{tag}")
+                  gold_db=f"lakecart_gold_{tag}", compression="gzip")
 
 
 class ParityError(RuntimeError):
@@ -74,7 +76,7 @@ def extract(sources: dict[str, DataFrame], layout: Layout, run_date: str) -> dic
     """
     for table in sources:
         spec(table)
-    return per_table(lambda t: land_csv(extract_text(sources[t], t), layout.raw, t, run_date), sources)
+    return per_table(lambda t: land_csv(extract_text(sources[t], t), layout.raw, t, run_date, compression=layout.compression), sources)
 
 
 def build_bronze(spark: SparkSession, layout: Layout, tables=TABLE_NAMES, snapshot: str | None = None) -> dict[str, str]:
@@ -105,11 +107,10 @@ def bronze_frame(spark: SparkSession, layout: Layout, table: str, strict: bool =
 def silver_frame(spark: SparkSession, layout: Layout, table: str, strict: bool = False,
                  snapshot: str = "all") -> DataFrame:
     """Silver projection of a bronze table (see ``bronze_frame`` for ``snapshot``)."""
-    return _silver_of(bronze_frame(spark, layout, table, strict, snapshot), table, strict, snapshot)
+    return _kept(silver_select(bronze_frame(spark, layout, table, strict, snapshot), table, strict), table, snapshot)
 
 
-def _silver_of(bronze: DataFrame, table: str, strict: bool, snapshot: str) -> DataFrame:
-    silver = silver_select(bronze, table, strict=strict)
+def _kept(silver: DataFrame, table: str, snapshot: str) -> DataFrame:
     return latest_per_key(silver, table) if snapshot == "latest_per_key" else silver
 
 
@@ -162,10 +163,10 @@ def build_silver(spark: SparkSession, layout: Layout, tables=TABLE_NAMES, strict
         # Bronze rows are counted while silver reads them (no second CSV parse);
         # silver rows are counted from the written files.
         observed[t] = Observation(f"bronze_{t}_{uuid.uuid4().hex[:8]}")
-        bronze = bronze_frame(spark, layout, t, strict, snapshot)
-        losses = [F.count_if(lost).alias(name) for name, lost in loss_rules(t)]
-        bronze = bronze.observe(observed[t], F.count(F.lit(1)).alias("rows"), *losses)
-        return write_version(_silver_of(bronze, t, strict, snapshot), t, layout.silver_root)
+        both = with_silver(bronze_frame(spark, layout, t, strict, snapshot), t, strict)
+        losses = [F.count_if(lost).alias(name) for name, lost in loss_rules(t, cast=True)]
+        both = both.observe(observed[t], F.count(F.lit(1)).alias("rows"), *losses)
+        return write_version(_kept(silver_select(both, t, strict=strict), t, snapshot), t, layout.silver_root)
 
     locations = per_table(build, tables)
     if metrics is not None:

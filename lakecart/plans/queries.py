@@ -26,7 +26,7 @@ from lakecart.plans.medallion import (build_silver, extract, gold_row_counts, lo
                                       silver_frame)
 from lakecart.schemas import INSERT_ORDER, TABLE_NAMES, spec
 from lakecart.session import apply_sql_defaults, ensure_checkpoint_dir, scratch_dir
-from lakecart.sinks.files import CSV_WRITE_OPTIONS, clean_raw_csv, dump_csv, land_backfill, land_csv, replace_days, top_candidates, write_ranged, write_table
+from lakecart.sinks.files import clean_raw_csv, csv_options, dump_csv, land_backfill, land_csv, replace_days, top_candidates, write_ranged, write_table
 from lakecart.sources.bronze import (add_snapshot_partition, csv_read_options, partition_row_counts, raw_file_inventory,
                                      read_bronze, register_bronze_table, table_path)
 from lakecart.sources.faults import damage, plant
@@ -100,7 +100,7 @@ def q_gold_shipping_performance(spark, sf_dir):
 # ------------------------------------------------- bronze → silver, per table
 def land_fixture(spark: SparkSession, sf_dir: str, table: str, layout) -> int:
     src = source_table(spark, sf_dir, table, with_ids=True)
-    return land_csv(raw_text(src, table), layout.raw, table, SNAPSHOT_DT)
+    return land_csv(raw_text(src, table), layout.raw, table, SNAPSHOT_DT, compression=layout.compression)
 
 
 def _silver_key(table: str) -> QueryFn:
@@ -152,7 +152,7 @@ def built_lakehouse(spark: SparkSession, sf_dir: str) -> dict:
             sources = {t: raw_text(source_table(spark, sf_dir, t, with_ids=True), t) for t in TABLE_NAMES}
             result = run_all(spark, sources, layout, SNAPSHOT_DT)
             # A later day on which one table was empty: it has a partition and a file, but no rows.
-            land_csv(sources[EMPTY_TABLE].limit(0), layout.raw, EMPTY_TABLE, EMPTY_DT)
+            land_csv(sources[EMPTY_TABLE].limit(0), layout.raw, EMPTY_TABLE, EMPTY_DT, compression=layout.compression)
             add_snapshot_partition(spark, f"{layout.bronze_db}.{EMPTY_TABLE}", layout.raw, EMPTY_TABLE, EMPTY_DT)
             _BUILDS[key] = {"layout": layout, **result}
         return _BUILDS[key]
@@ -237,10 +237,10 @@ def q_bronze_partition_overwrite(spark, sf_dir):
     prepare(spark)
     layout = scratch_layout(spark, "overwrite")
     raw = raw_text(source_table(spark, sf_dir, "orders"), "orders")
-    land_csv(raw, layout.raw, "orders", "2024-01-01")
-    land_csv(raw, layout.raw, "orders", "2024-01-02")
+    land_csv(raw, layout.raw, "orders", "2024-01-01", compression=layout.compression)
+    land_csv(raw, layout.raw, "orders", "2024-01-02", compression=layout.compression)
     # Same-day re-run with a different extract replaces only that day.
-    land_csv(raw.where(F.trim("status") == "delivered"), layout.raw, "orders", "2024-01-02")
+    land_csv(raw.where(F.trim("status") == "delivered"), layout.raw, "orders", "2024-01-02", compression=layout.compression)
     return read_bronze(spark, layout.raw, "orders").groupBy("dt").agg(F.count(F.lit(1)).alias("row_count"))
 
 
@@ -250,7 +250,7 @@ def q_bronze_empty_extract(spark, sf_dir):
     layout = scratch_layout(spark, "empty")
     raw = raw_text(source_table(spark, sf_dir, "orders"), "orders")
     # No source order is ever 'processing': an empty snapshot.
-    land_csv(raw.where(F.trim("status") == "processing"), layout.raw, "orders", SNAPSHOT_DT)
+    land_csv(raw.where(F.trim("status") == "processing"), layout.raw, "orders", SNAPSHOT_DT, compression=layout.compression)
     rows = read_bronze(spark, layout.raw, "orders").agg(F.count(F.lit(1)).alias("row_count"))
     lines = spark.read.text(f"{layout.raw}/orders/dt={SNAPSHOT_DT}").agg(F.count(F.lit(1)).alias("header_lines"))
     return _empty_extract_frame(rows, lines)
@@ -285,7 +285,7 @@ def q_dump_csv(spark, sf_dir):
     out = scratch_dir(spark, "dump")
     frames = {t: source_table(spark, sf_dir, t, with_ids=False) for t in TABLE_NAMES}
     frames["processing_orders"] = frames["orders"].where(F.col("status") == "processing")
-    written = dump_csv(frames, out)
+    written = dump_csv(frames, out, "gzip")
     if "processing_orders" in written:
         raise RuntimeError("an empty table was dumped")
     counted = [spark.read.schema("c0 string").options(**csv_read_options()).csv(f"{out}/{t}")
@@ -300,7 +300,7 @@ def q_raw_clean_rewrite(spark, sf_dir):
     layout = scratch_layout(spark, "rawclean")
     land_fixture(spark, sf_dir, "product_reviews", layout)
     clean_root = f"{layout.root}/raw_clean"
-    counts = clean_raw_csv(spark, layout.raw, clean_root, ["product_reviews"])
+    counts = clean_raw_csv(spark, layout.raw, clean_root, ["product_reviews"], layout.compression)
     if not sum(counts.values()):
         raise RuntimeError("raw clean wrote no rows")
     cleaned = read_bronze(spark, clean_root, "product_reviews", as_text=True)
@@ -317,11 +317,11 @@ def q_silver_latest_per_key(spark, sf_dir):
     prepare(spark)
     layout = scratch_layout(spark, "latestkey")
     raw = raw_text(source_table(spark, sf_dir, "orders"), "orders")
-    land_csv(raw, layout.raw, "orders", SNAPSHOT_DT)
+    land_csv(raw, layout.raw, "orders", SNAPSHOT_DT, compression=layout.compression)
     key = F.col("order_id")
     changed = raw.where(key % 3 == 0).withColumn("status", F.when(key % 2 == 0, " returned ").otherwise(F.col("status")))
     again = raw.where(key % 12 == 0).withColumn("status", F.lit("cancelled")).withColumn("updated_at", F.lit("2030-01-01 00:00:00+00"))
-    land_csv(changed.unionByName(again), layout.raw, "orders", NEXT_DT)
+    land_csv(changed.unionByName(again), layout.raw, "orders", NEXT_DT, compression=layout.compression)
     locations = build_silver(spark, layout, ("orders",), snapshot="latest_per_key")
     return spark.read.parquet(locations["orders"])
 
@@ -347,7 +347,7 @@ def q_report_freshness(spark, sf_dir):
             raw = raw.where(F.col("dt") <= "2024-01-25").withColumn("_copy", F.explode(times)).drop("_copy")
         land_backfill(raw, layout.raw, t)
         if t == "cart_events":
-            land_csv(raw.drop("dt").limit(0), layout.raw, t, "2024-01-20")
+            land_csv(raw.drop("dt").limit(0), layout.raw, t, "2024-01-20", compression=layout.compression)
         name = register_bronze_table(spark, layout.bronze_db, layout.raw, t)
         counts.append(partition_row_counts(spark, name).select(F.lit(t).alias("table_name"), "dt", "row_count"))
     return freshness(reduce(DataFrame.unionByName, counts))
@@ -393,7 +393,7 @@ def q_silver_content_parity(spark, sf_dir):
     broken = scratch_layout(spark, "content")
     extracts = {t: raw_text(source_table(spark, sf_dir, t, with_ids=True), t) for t in TABLE_NAMES}
     name = F.when(F.col("category_id") % 10 == 0, "altered").otherwise(F.col("name"))
-    land_csv(extracts["categories"].withColumn("name", name), broken.raw, "categories", SNAPSHOT_DT)
+    land_csv(extracts["categories"].withColumn("name", name), broken.raw, "categories", SNAPSHOT_DT, compression=broken.compression)
     bronze = {t: read_bronze(spark, (broken if t == "categories" else b["layout"]).raw, t, as_text=True) for t in TABLE_NAMES}
     return content_parity(extracts, bronze, _altered(spark, sf_dir))
 
@@ -420,7 +420,7 @@ def q_raw_clean_content(spark, sf_dir):
     """Every column of all ten tables after the whitespace rewrite of all raw files."""
     layout = built_lakehouse(spark, sf_dir)["layout"]
     clean_root = f"{scratch_dir(spark, 'rawclean')}/raw_clean"
-    clean_raw_csv(spark, layout.raw, clean_root, TABLE_NAMES)
+    clean_raw_csv(spark, layout.raw, clean_root, TABLE_NAMES, layout.compression)
     return reduce(DataFrame.unionByName, [_content(read_bronze(spark, clean_root, t, as_text=True), t) for t in TABLE_NAMES])
 
 
@@ -497,12 +497,12 @@ def q_check_cast_loss(spark, sf_dir):
 
 def land_damaged(spark: SparkSession, sf_dir: str, broken) -> None:
     for t in DAMAGED:
-        land_csv(damage(raw_text(source_table(spark, sf_dir, t, with_ids=False), t), t), broken.raw, t, SNAPSHOT_DT)
+        land_csv(damage(raw_text(source_table(spark, sf_dir, t, with_ids=False), t), t), broken.raw, t, SNAPSHOT_DT, compression=broken.compression)
     orders = raw_text(source_table(spark, sf_dir, "orders"), "orders")
     short = orders.where(F.col("order_id") % 37 == 0).select(F.lit("no number").alias("order_id"), "user_id")
     long = orders.where(F.col("order_id") % 41 == 0).withColumn("surplus", F.lit("x"))
     for records in (short, long):
-        records.write.mode("append").options(**CSV_WRITE_OPTIONS).csv(f"{table_path(broken.raw, 'orders')}/dt={SNAPSHOT_DT}")
+        records.write.mode("append").options(**csv_options(broken.compression)).csv(f"{table_path(broken.raw, 'orders')}/dt={SNAPSHOT_DT}")
 
 
 @register("silver_quarantine")
@@ -515,7 +515,7 @@ def q_silver_quarantine(spark, sf_dir):
     kept = reduce(DataFrame.unionByName, [spark.table(f"{layout.quarantine_db}.{t}") for t in DAMAGED])
     fields = F.split("record", ",")
     return kept.select(
-        "table_name", "dt", F.regexp_extract("file", r"/raw/(\w+/dt=[^/]+)/[^/]+\.csv$", 1).alias("folder"),
+        "table_name", "dt", F.regexp_extract("file", r"/raw/(\w+/dt=[^/]+)/[^/]+\.csv(?:\.gz)?$", 1).alias("folder"),
         fields[0].alias("record_key"), F.when(F.col("table_name") == "orders", fields[1]).alias("order_user"),
         F.array_join("reasons", ",").alias("reasons"))
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lakecart.functions.clean import whitespace_all
 from lakecart.jobs import per_table
 from lakecart.schemas import spec
-from lakecart.sources.bronze import MALFORMED, read_bronze, table_path
+from lakecart.sources.bronze import CSV_FILES, MALFORMED, read_bronze, table_path
 
 CSV_WRITE_OPTIONS = {
     "header": "true",
@@ -23,6 +23,8 @@ CSV_WRITE_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
     "encoding": "UTF-8",
 }
+# Records of a raw file at most, where a table's fields are short.
+RECORDS_PER_FILE = 1_000_000
 # Files that a backfill spreads each day over at most.
 BACKFILL_FILES = 4
 # Folder of a ranged version that lists what each of its files holds.
@@ -44,18 +46,26 @@ def sized(df: DataFrame) -> DataFrame:
     return df.hint("rebalance")
 
 
+def csv_options(compression: str | None = None) -> dict[str, str]:
+    """Writer options of raw files; ``compression="gzip"`` writes ``.csv.gz``, which every reader here takes as well.
+
+    Raw text repeats itself so much that the fastest level leaves about a quarter of it.
+    """
+    return CSV_WRITE_OPTIONS | ({"compression": compression, "zlib.compress.level": "BEST_SPEED"} if compression else {})
+
+
 def _observed_rows(obs: Observation) -> int:
     """The row count of a finished write; a missing metric is an error, not a zero."""
     return int(obs.get["rows"])
 
 
 def _has_csv(spark: SparkSession, folder: str) -> bool:
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/*.csv")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{CSV_FILES}")
     found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
     return found is not None and len(found) > 0
 
 
-def land_csv(df: DataFrame, base: str, table: str, dt: str, overwrite: bool = True) -> int:
+def land_csv(df: DataFrame, base: str, table: str, dt: str, overwrite: bool = True, compression: str | None = None) -> int:
     """Write one snapshot to ``{base}/{table}/dt={dt}/`` and return its row count.
 
     With ``overwrite`` only the ``dt`` partition being written is replaced
@@ -63,20 +73,27 @@ def land_csv(df: DataFrame, base: str, table: str, dt: str, overwrite: bool = Tr
     are added to it.  The count is observed during the write itself, so it
     always describes what was written.  A snapshot without any row still gets
     a header-only file; adding nothing to a day leaves the day as it is.
+
+    Free text may be long, so tables with such columns are dealt out by bytes
+    (``sized``).  Elsewhere a bound on a file's records bounds its bytes too,
+    and the rows are written where they are, without a shuffle.
     """
     obs = Observation(f"land_{table}_{uuid.uuid4().hex[:8]}")
-    observed = sized(df).observe(obs, F.count(F.lit(1)).alias("rows"))
+    options = csv_options(compression)
+    free_text = any(kind == "text" for _, kind in spec(table).columns)
+    observed = (sized(df) if free_text else df).observe(obs, F.count(F.lit(1)).alias("rows"))
     (observed.withColumn("dt", F.lit(dt))
         .write.mode("overwrite" if overwrite else "append")
         .option("partitionOverwriteMode", "dynamic")
-        .options(**CSV_WRITE_OPTIONS)
+        .option("maxRecordsPerFile", RECORDS_PER_FILE)
+        .options(**options)
         .partitionBy("dt")
         .csv(table_path(base, table)))
     rows = _observed_rows(obs)
     folder = f"{table_path(base, table)}/dt={dt}"
     if rows == 0 and (overwrite or not _has_csv(df.sparkSession, folder)):
         # partitionBy writes no file for an empty frame; write the header directly.
-        (df.limit(0).coalesce(1).write.mode("overwrite").options(**CSV_WRITE_OPTIONS).csv(folder))
+        (df.limit(0).coalesce(1).write.mode("overwrite").options(**options).csv(folder))
     return rows
 
 
@@ -124,7 +141,7 @@ def write_version(df: DataFrame, name: str, root: str, sort_within: list[str] |
     # Version folders sort by creation time; readers take the newest published one.
     location = f"{root.rstrip('/')}/{name}/v-{int(time.time() * 1000):015d}-{uuid.uuid4().hex[:8]}"
     writer_df = df.sortWithinPartitions(*sort_within) if sort_within else df
-    writer_df.write.mode("overwrite").parquet(location)
+    writer_df.write.mode("overwrite").option("compression", "zstd").parquet(location)
     return location
 
 
@@ -200,15 +217,15 @@ def _same_columns(a, b) -> bool:
     return [(f.name, f.dataType) for f in a.fields] == [(f.name, f.dataType) for f in b.fields]
 
 
-def dump_csv(frames: dict[str, DataFrame], out_dir: str) -> dict[str, int]:
-    """One flat CSV directory per non-empty table; empty tables are skipped."""
+def dump_csv(frames: dict[str, DataFrame], out_dir: str, compression: str | None = None) -> dict[str, int]:
+    """One flat CSV directory per non-empty table (see ``csv_options``); empty tables are skipped."""
     def dump(name: str) -> int | None:
         df = frames[name]
         if df.isEmpty():  # stops at the first row found
             return None
         obs = Observation(f"dump_{name}_{uuid.uuid4().hex[:8]}")
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite") \
-          .options(**CSV_WRITE_OPTIONS).csv(f"{out_dir.rstrip('/')}/{name}")
+          .option("maxRecordsPerFile", RECORDS_PER_FILE).options(**csv_options(compression)).csv(f"{out_dir.rstrip('/')}/{name}")
         return _observed_rows(obs)
 
     return {name: n for name, n in per_table(dump, frames).items() if n is not None}
@@ -218,7 +235,7 @@ class MalformedRecords(ValueError):
     """Raw records with too few or too many fields."""
 
 
-def clean_raw_csv(spark: SparkSession, raw_root: str, clean_root: str, tables) -> dict[str, int]:
+def clean_raw_csv(spark: SparkSession, raw_root: str, clean_root: str, tables, compression: str | None = None) -> dict[str, int]:
     """Rewrite raw CSV with every field's whitespace runs collapsed to one space and stripped.
 
     Reads all columns as text, keeps the ``dt`` layout, writes under
@@ -233,7 +250,7 @@ def clean_raw_csv(spark: SparkSession, raw_root: str, clean_root: str, tables) -
         seen = raw.observe(obs, F.count(F.lit(1)).alias("rows"), F.count(MALFORMED).alias("malformed"))
         cleaned = seen.select(*[whitespace_all(c).alias(c) for c in spec(t).column_names], "dt")
         (cleaned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .options(**CSV_WRITE_OPTIONS).partitionBy("dt").csv(table_path(clean_root, t)))
+            .options(**csv_options(compression)).partitionBy("dt").csv(table_path(clean_root, t)))
         if obs.get["malformed"]:
             raise MalformedRecords(f"{t}: {obs.get['malformed']} records have a wrong number of fields")
         return _observed_rows(obs)

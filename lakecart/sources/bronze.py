@@ -22,6 +22,8 @@ CSV_READ_OPTIONS = {
     "enforceSchema": "true",
     "encoding": "UTF-8",
 }
+# Raw files: plain, or compressed with gzip.
+CSV_FILES = "*.{csv,csv.gz}"
 # Name of the column that holds records whose number of fields is wrong.
 MALFORMED = "_malformed"
 
@@ -44,7 +46,7 @@ def text_schema(table: str) -> T.StructType:
 
 def read_bronze(spark: SparkSession, base: str, table: str, strict: bool = False,
                 as_text: bool = False) -> DataFrame:
-    """Scan ``{base}/{table}/dt=*/*.csv`` with the table's bronze schema.
+    """Scan ``{base}/{table}/dt=*/*.csv`` (or ``.csv.gz``) with the table's bronze schema.
 
     ``strict`` fails on a malformed record instead of NULLing the bad field;
     ``as_text`` reads every column as STRING (silver, raw-file cleaning) and
@@ -57,7 +59,7 @@ def read_bronze(spark: SparkSession, base: str, table: str, strict: bool = False
             .options(**csv_read_options(table))
             .option("columnNameOfCorruptRecord", MALFORMED)
             .option("mode", "FAILFAST" if strict else "PERMISSIVE")
-            .option("pathGlobFilter", "*.csv")
+            .option("pathGlobFilter", CSV_FILES)
             .option("basePath", table_path(base, table))
             .csv(table_path(base, table)))
 
@@ -102,7 +104,7 @@ def register_bronze_table(spark: SparkSession, database: str, base: str, table:
 def raw_file_inventory(spark: SparkSession, raw_root: str, prefix: str = "raw") -> DataFrame:
     """Landed CSV files under ``raw_root`` with their table, snapshot and record count.
 
-    Only ``*.csv`` files at ``{prefix}/{known table}/dt=../file.csv`` qualify,
+    Only ``*.csv`` (or ``*.csv.gz``) files at ``{prefix}/{known table}/dt=../file.csv`` qualify,
     and only the folders of known tables are listed and read.  Files that hold
     a header only count 0.  A one-column CSV read still splits records by the
     quoting rules, so the count is of records, not lines.
@@ -112,13 +114,13 @@ def raw_file_inventory(spark: SparkSession, raw_root: str, prefix: str = "raw")
     if not folders:
         return spark.createDataFrame([], "table_name string, dt string, file_path string, row_count bigint")
     # Only paths are selected, so the files' contents aren't read here.
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").option("recursiveFileLookup", "true")
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", CSV_FILES).option("recursiveFileLookup", "true")
              .load(folders).select(F.col("path").alias("file_path")))
-    pattern = rf"/{prefix}/([^/]+)/dt=([^/]+)/[^/]+\.csv$"
+    pattern = rf"/{prefix}/([^/]+)/dt=([^/]+)/[^/]+\.csv(\.gz)?$"
     listed = files.select(
         F.regexp_extract("file_path", pattern, 1).alias("table_name"),
         F.regexp_extract("file_path", pattern, 2).alias("dt"), "file_path").where(F.col("table_name") != "")
-    counts = (spark.read.schema("c0 string").options(**csv_read_options()).option("pathGlobFilter", "*.csv")
+    counts = (spark.read.schema("c0 string").options(**csv_read_options()).option("pathGlobFilter", CSV_FILES)
               .option("recursiveFileLookup", "true").csv(folders)
               .groupBy(F.col("_metadata.file_path").alias("p")).agg(F.count(F.lit(1)).alias("n")))
     # Both readers name a file by its URI, but may differ in the slashes after the scheme.

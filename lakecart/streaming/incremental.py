@@ -29,7 +29,7 @@ from lakecart.operators.silver import silver_select
 from lakecart.schemas import spec
 from lakecart.session import ensure_checkpoint_dir
 from lakecart.sinks.files import drop_day, partition_days
-from lakecart.sources.bronze import MALFORMED, csv_read_options, read_bronze, table_path, text_schema
+from lakecart.sources.bronze import CSV_FILES, MALFORMED, csv_read_options, read_bronze, table_path, text_schema
 
 
 def silver_stream(spark: SparkSession, raw_root: str, table: str, out_path: str,
@@ -38,7 +38,7 @@ def silver_stream(spark: SparkSession, raw_root: str, table: str, out_path: str,
     source = (spark.readStream.schema(text_schema(table).add(T.StructField("dt", T.StringType(), True)))
               .options(**csv_read_options(table))
               .option("columnNameOfCorruptRecord", MALFORMED)
-              .option("pathGlobFilter", "*.csv")
+              .option("pathGlobFilter", CSV_FILES)
               .option("maxFilesPerTrigger", max_files_per_trigger)
               .csv(table_path(raw_root, table)))
 
@@ -65,14 +65,23 @@ def _shared_root(spark: SparkSession) -> str:
 
 
 def empty_days(spark: SparkSession, raw_root: str, table: str) -> list[str]:
-    """Landed days whose files hold a header at most, by their sizes (a listing, no read)."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table_path(raw_root, table)}/dt=*/*.csv")
+    """Landed days whose files hold a header at most, by their sizes (a listing; only tiny compressed files are read)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{table_path(raw_root, table)}/dt=*/{CSV_FILES}")
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     header = len(",".join(spec(table).column_names).encode()) + 2  # with a line end of either form
     rows: dict[str, bool] = {}
+    unsure: set[str] = set()
     for st in fs.globStatus(path) or []:
-        day = st.getPath().getParent().getName()[3:]
-        rows[day] = rows.get(day, False) or st.getLen() > header
+        day, packed = st.getPath().getParent().getName()[3:], st.getPath().getName().endswith(".gz")
+        # A compressed header is at most a few bytes longer than the plain one.
+        some = st.getLen() > header + 64 * packed
+        rows[day] = rows.get(day, False) or some
+        if packed and not some:
+            unsure.add(day)
+    unsure -= {day for day, some in rows.items() if some}
+    if unsure:
+        found = read_bronze(spark, raw_root, table).where(F.col("dt").isin(*unsure)).select("dt").distinct().collect()
+        rows |= {r.dt: True for r in found}
     return sorted(day for day, some in rows.items() if not some)
 
 
