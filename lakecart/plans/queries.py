@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from lakecart.functions.clean import (clean_date, clean_text, clean_trim, clean_ts, to_bigint, to_double,
                                       to_int, whitespace_all)
 from lakecart.operators import gold, quality, reports, sales_state
-from lakecart.operators.content import ROW, content_parity, fingerprints
+from lakecart.operators.content import content_parity, fingerprints
 from lakecart.operators.keys import append_frames, append_suffix, position_key_map, remap_column
 from lakecart.operators.silver import silver_select
 from lakecart.operators.snapshots import freshness
@@ -404,8 +404,8 @@ def _content(df: DataFrame, table: str) -> DataFrame:
     for c, kind in spec(table).columns:
         value = F.round(F.col(c).cast("double") * 100).cast("bigint") if kind == "double" else F.col(c)
         cols.append(value.cast("string").alias(c))
-    found = fingerprints(df.select(*cols), table, "raw")
-    return found.where(F.col("column_name") != ROW).select("table_name", "column_name", F.col("rows").alias("n_rows"), "fingerprint")
+    found = fingerprints(df.select(*cols), table, "raw", whole=False)
+    return found.select("table_name", "column_name", F.col("rows").alias("n_rows"), "fingerprint")
 
 
 @register("bronze_content")
