@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from lakecart.session import scratch_dir
 
+# Ids mostly follow each other: written as differences they take next to no room.
+_KEYS_OPTIONS = {"compression": "zstd", "parquet.writer.version": "PARQUET_2_0"}
 # monotonically_increasing_id = partition index << 33 | row position in partition.
 _ROW_BITS = 33
 
@@ -22,7 +24,7 @@ _ROW_BITS = 33
 def _written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, safe from lost executors."""
     path = scratch_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**_KEYS_OPTIONS).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from lakecart.functions.clean import (clean_date, clean_text, clean_trim, clean_ts, to_bigint, to_double,
                                       to_int, whitespace_all)
+from lakecart.functions.ids import _written as written
 from lakecart.operators import gold, quality, reports, sales_state
 from lakecart.operators.content import content_parity, fingerprints
 from lakecart.operators.keys import append_frames, append_suffix, position_key_map, remap_column
@@ -630,11 +631,17 @@ def q_append_load_all(spark, sf_dir):
     Rows that refer to a parent that isn't there are left out beforehand (the load refuses them).
     """
     prepare(spark)
-    src = {t: source_table(spark, sf_dir, t, with_ids=True) for t in TABLE_NAMES}
+    src = {}
     for t in INSERT_ORDER:
-        for fk in spec(t).foreign_keys:
+        s = spec(t)
+        # Of every row what the load's keys are made of. Written, so that the numbering, the lookups and the
+        # checks of each reference don't join the parents all over again.
+        keys = list(dict.fromkeys([s.primary_key, *s.unique, *[fk.column for fk in s.foreign_keys]]))
+        rows = source_table(spark, sf_dir, t, with_ids=True)
+        for fk in s.foreign_keys:
             parents = src[fk.parent].select(F.col(fk.parent_column).alias(fk.column))
-            src[t] = src[t].join(parents, fk.column, "left_semi").select(*spec(t).column_names)
+            rows = rows.join(parents, fk.column, "left_semi")
+        src[t] = written(rows.select(*keys), f"append-{t}") if s.foreign_keys else rows.select(*keys)
     out = append_frames(src, {t: LAST_IDS * (i + 1) for i, t in enumerate(INSERT_ORDER)}, RUN_ID)
     frames = []
     for t in INSERT_ORDER:
