@@ -111,6 +111,28 @@ def test_sales_state_reads_changed_days_only(spark, workdir):
     assert len(changed.inputFiles()) and spark.read.parquet(silver).count() == 9
 
 
+def test_sales_state_takes_bytes_by_the_id(spark):
+    day, far = "2024-01-01", [i * 32768 + s for i in range(-50, 50) for s in (-1, 0, 1)]  # spread: 3 ids in every 32,768
+    n = 1000  # and close together
+    rows = spark.createDataFrame([(i, "2023-05-01") for i in far] + [(i, "2023-05-02") for i in range(n)], "order_id bigint, d string")
+    fill = {"order_id": F.col("order_id"), "user_id": F.lit(7), "order_date": F.col("d").cast("date"), "status": F.lit("shipped"), "dt": F.lit(day)}
+    silver = rows.select(*[fill.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in spec("orders").silver_schema().fields])
+    bits = sales_state.day_bits(silver.unionByName(silver)).where("id_column = 'order_id'")
+    assert dict(bits.dtypes)["bits"] == "bigint"  # binary bitmaps are of one size, whatever they hold
+    got = {str(r.sale_date): (r.n, r.ids) for r in bits.groupBy("sale_date").agg(F.count("*").alias("n"), F.sum(F.bit_count("bits")).alias("ids")).collect()}
+    assert got["2023-05-01"] == (200, len(far)) and got["2023-05-02"] == (-(-n // 64), n)
+    plan = sales_state.day_bits(silver)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "ObjectHashAggregate" not in plan
+
+
+def test_sales_state_keeps_the_least_and_largest_ids(spark, workdir):
+    ids = [-2**63, -2**63 + 1, -65, -64, -63, -1, 0, 1, 63, 64, 2**63 - 64, 2**63 - 1]
+    df = orders(spark, [(i, ids[-1 - k], "2023-05-01", "shipped", 1.0, dt) for k, i in enumerate(ids) for dt in ("2024-01-01", "2024-01-02")])
+    sales_state.update(spark, df, workdir, ["2024-01-01", "2024-01-02"])
+    row = sales_state.merged(spark, workdir).first()
+    assert (row.total_orders, row.unique_customers) == (len(ids), len(ids))
+
+
 def test_content_parity_sees_what_counts_do_not(spark):
     layout = scratch_layout(spark, "content")
     raw = raw_text(source_table(spark, SF_SMALL, "products"), "products")
