@@ -212,3 +212,33 @@ def test_the_shuffled_plan_carries_ids_and_positions_only(spark, case, monkeypat
     join = next(line for line in plan.splitlines() if "Join Inner, (seed" in line)
     below = plan.splitlines()[plan.splitlines().index(join) + 1]
     assert "dt#" not in below.split("AS")[0]
+
+
+def test_only_positions_that_meet_a_seed_are_shuffled(spark, case, monkeypatch):
+    """Beyond the bound the shuffled side of the seed join grows with the hits, not with the documents."""
+    written, plans, real = {}, {}, ss.materialize
+
+    def kept(df, name, **options):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        written[name] = real(df, name, **options)
+        return written[name]
+
+    monkeypatch.setattr(ss, "materialize", kept)
+    monkeypatch.setattr(ss, "BROADCAST_BYTES", 0)
+    docs, bench = frames(spark, case)
+    found = ss.contamination(docs, bench)
+    positions = docs.select(ss.F.sum(ss.F.size(ss.tokens(ss.F.col("text"))))).first()[0] * len(ss.MASKS)
+    assert 0 < written["seed-windows"].count() < positions / 5
+    joins = [line for line in plans["seed-windows"].splitlines() if "Join " in line]
+    assert "(seed" in joins[0] and "sieve_row" in joins[1]  # the bitmap comes before the shuffle
+    assert 0 < written["seed-documents"].count() < docs.count()
+    assert found.select("id").distinct().exceptAll(written["seed-documents"].select("id").distinct()).count() == 0
+
+
+def test_seeds_are_counted_as_what_they_take_in_memory(spark, case, monkeypatch):
+    """A hash table of seeds takes more than twice the 48 bytes of a row."""
+    docs, bench = frames(spark, case)
+    found = []
+    monkeypatch.setattr(ss, "_small", lambda df, size: found.append(df.agg(ss.F.sum(size) / ss.F.count(ss.F.lit(1))).first()[0]) or True)
+    ss.contamination(docs, bench)
+    assert min(found) >= 120
