@@ -35,6 +35,26 @@ def money_sum(c: str | Column) -> Column:
     return F.sum(money(c))
 
 
+def cents(c: str | Column) -> Column:
+    """The value as a whole number of cents; NULL where it doesn't fit. A third of a decimal sum's bytes in a shuffle."""
+    return (money(c) * F.lit(100).cast("decimal(3,0)")).cast("bigint")
+
+
+#: Cents are summed as multiples of this and a rest, which stay far from a long's limits (10^9 rows of any amounts).
+CENTS_PART = 1 << 32
+
+
+def cents_parts(c: str | Column) -> tuple[Column, Column]:
+    """Cents in multiples of ``CENTS_PART`` (rounded down) and the rest: sums of both give the exact sum (``from_parts``)."""
+    return F.shiftright(_col(c), 32), _col(c).bitwiseAND(F.lit(CENTS_PART - 1))
+
+
+def from_parts(high: str | Column, low: str | Column) -> Column:
+    """The exact amount, as a decimal with two digits, whose cents' parts were summed up."""
+    whole = _col(high).cast("decimal(19,0)") * F.lit(CENTS_PART).cast("decimal(10,0)") + _col(low).cast("decimal(19,0)")
+    return whole * F.lit("0.01").cast("decimal(3,2)")
+
+
 def money_avg(c: str | Column) -> Column:
     """AVG of a money column: exact decimal sum / count of the summed values, in DOUBLE."""
     return F.sum(money(c)).cast("double") / F.count(money(c))

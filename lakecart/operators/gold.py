@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakecart.functions.money import money, money_avg, money_sum, round_half_up_pct
+from lakecart.functions.money import cents, cents_parts, from_parts, money, money_avg, money_sum, round_half_up_pct
 from lakecart.schemas import SALE_STATUSES
 
 
@@ -197,17 +197,21 @@ def sales_by_category(products: DataFrame, categories: DataFrame, orders: DataFr
     order row are left out; a product without a category (or no product) counts
     under a NULL category of its own.
 
-    Items meet their order once, are then reduced to one row per product and
-    day, and only those rows are looked up and expanded into the four sets.
+    Items meet their order by one shuffle (grouping them by order and product
+    first would shuffle nearly every line twice, as hardly any order has a
+    product twice; an order with very many lines is split by adaptive
+    execution), are then reduced to one row per product and day, and only those
+    rows are looked up and expanded into the four sets.
     """
     sales = orders.where(F.col("status").isin(*statuses)).groupBy("order_id", F.col("order_date").cast("date").alias("sale_date")) \
                   .agg(_one().alias("_o"))
     # An order present twice (two snapshots) counts its lines twice, as the join would.
-    lines = order_items.groupBy("order_id", "product_id").agg(
-        _one().alias("_n"), F.sum("quantity").alias("_q"), money_sum("total_price").cast("decimal(38,2)").alias("_r"))
+    lines = order_items.select("order_id", "product_id", "quantity", cents("total_price").alias("_c"))
+    high, low = cents_parts("_c")
     per_product = lines.join(sales, "order_id").groupBy("product_id", "sale_date").agg(
-        F.sum(F.col("_n") * F.col("_o")).alias("_n"), F.sum(F.col("_q") * F.col("_o")).alias("_q"),
-        F.sum((F.col("_r") * F.col("_o").cast("decimal(10,0)")).cast("decimal(38,2)")).alias("_r"))
+        F.sum("_o").alias("_n"), F.sum(F.col("quantity") * F.col("_o")).alias("_q"),
+        F.sum(high * F.col("_o")).alias("_high"), F.sum(low * F.col("_o")).alias("_low")) \
+        .withColumn("_r", from_parts("_high", "_low"))
     named = (products.select("product_id", "category_id")
              .join(categories.select("category_id", F.col("name").alias("category_name")), "category_id", "left")
              .groupBy("product_id", "category_name").agg(_one().alias("_w")))

@@ -109,3 +109,26 @@ def test_fingerprints_are_sums_of_md5(spark):
     number = lambda v: int(md5(("0" if v is None else "1" + v).encode()).hexdigest()[:15], 16)
     got = {r.column_name: r.fingerprint for r in fingerprints(df, "categories", "s", whole=False).collect()}
     assert got["name"] == str(sum(map(number, values))) and got["description"] == str(5 * number(None)) and "*" not in got
+
+
+def test_the_raw_cleaner_gives_the_same_fields_as_the_pattern(spark, workdir):
+    """Records with and without whitespace runs, blank fields and nulls, in one table."""
+    from lakecart.functions.clean import whitespace_all
+    df = raw(spark, "payments").limit(200)
+    n = F.col("payment_id") % 5
+    odd = df.withColumn("currency", F.when(n == 0, " U  S\u00a0D ").when(n == 1, "  ").when(n == 2, "EUR").otherwise(F.col("currency")))
+    land_csv(odd, f"{workdir}/raw", "payments", DAY)
+    read = read_bronze(spark, f"{workdir}/raw", "payments", as_text=True).drop("_malformed", "dt")
+    clean_raw_csv(spark, f"{workdir}/raw", f"{workdir}/clean", ["payments"])
+    got = read_bronze(spark, f"{workdir}/clean", "payments", as_text=True).drop("_malformed", "dt")
+    want = read.select(*[F.nullif(whitespace_all(c), F.lit("")).alias(c) for c in read.columns])
+    assert got.count() == 200 and same(got, want)
+
+
+def test_lines_are_shuffled_once_for_sales_by_category(spark):
+    """Lines meet their order by one shuffle, without a grouping by order and product first, and carry no wide decimals."""
+    from lakecart.operators.gold import sales_by_category
+    t = {n: source_table(spark, SF_SMALL, n, with_ids=False) for n in ("products", "categories", "orders", "order_items")}
+    plan = sales_by_category(t["products"], t["categories"], t["orders"], t["order_items"])._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "hashpartitioning(order_id" in x and "product_id" in x]
+    assert not [x for x in plan.splitlines() if "Aggregate" in x and "keys=[order_id" in x and "product_id" in x]

@@ -22,3 +22,14 @@ def test_money_sum_and_avg_are_exact(spark):
     exact = sum(Decimal(str(v)) for v in vals)
     assert r.s == float(exact)
     assert r.m == float(exact) / len(vals)
+
+
+def test_sums_of_cents_in_parts_are_exact(spark):
+    """Also of amounts whose cents would overflow a long when summed, and of negative ones."""
+    from lakecart.functions.money import cents, cents_parts, from_parts
+    vals = [Decimal("9999999999999999.99")] * 300 + [Decimal("-9999999999999999.99")] * 7 + [Decimal("-0.01"), Decimal("42949672.96"), Decimal("0.10"), None]
+    df = spark.createDataFrame([(v,) for v in vals], "a decimal(18,2)").select(cents("a").alias("c"))
+    high, low = cents_parts("c")
+    r = df.agg(F.sum(high).alias("h"), F.sum(low).alias("l")).select(from_parts("h", "l").alias("s")).first()
+    assert r.s == sum(v for v in vals if v is not None)
+    assert df.limit(0).agg(F.sum(high).alias("h"), F.sum(low).alias("l")).select(from_parts("h", "l").alias("s")).first().s is None
