@@ -29,15 +29,18 @@ NULL, VALUE = "0", "1"
 PART_BITS = 22
 
 
+NULL_MD5 = hashlib.md5(NULL.encode()).hexdigest()
+
+
 def _md5(c: Column) -> Column:
     """MD5 of a value's text in hex; NULL's is known beforehand."""
-    known = hashlib.md5(NULL.encode()).hexdigest()
-    return F.when(c.isNull(), F.lit(known)).otherwise(F.md5(F.concat(F.lit(VALUE), c.cast("string")).cast("binary")))
+    return F.when(c.isNull(), F.lit(NULL_MD5)).otherwise(F.md5(F.concat(F.lit(VALUE), c.cast("string")).cast("binary")))
 
 
 def _number(md5: Column) -> Column:
-    """60 bits of an MD5."""
-    return F.conv(F.substring(md5, 1, 15), 16, 10).cast("bigint")
+    """60 bits of an MD5; those of NULL's are known beforehand, as the conversion takes longer than the hash."""
+    number = F.conv(F.substring(md5, 1, 15), 16, 10).cast("bigint")
+    return F.when(md5 == F.lit(NULL_MD5), F.lit(int(NULL_MD5[:15], 16)).cast("bigint")).otherwise(number)
 
 
 def _parts(name: str) -> list[Column]:

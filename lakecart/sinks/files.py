@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakecart.functions.clean import whitespace_all
+from lakecart.functions.clean import plain_fields, whitespace_all
 from lakecart.jobs import per_table
 from lakecart.schemas import spec
 from lakecart.sources.bronze import CSV_FILES, MALFORMED, read_bronze, table_path
@@ -243,12 +243,18 @@ def clean_raw_csv(spark: SparkSession, raw_root: str, clean_root: str, tables, c
     table; ``raw_file_inventory`` over ``clean_root`` gives them per file.
     Records whose number of fields is wrong can't be rewritten field by field:
     they are counted in the same pass and make the call fail.
+
+    The short fields of most records have nothing to collapse: one match over
+    all of them spares them the pattern for whitespace runs.
     """
     def clean(t: str) -> int:
+        short = [c for c, kind in spec(t).columns if kind != "text"]
         raw = read_bronze(spark, raw_root, t, as_text=True)
         obs = Observation(f"clean_{t}_{uuid.uuid4().hex[:8]}")
         seen = raw.observe(obs, F.count(F.lit(1)).alias("rows"), F.count(MALFORMED).alias("malformed"))
-        cleaned = seen.select(*[whitespace_all(c).alias(c) for c in spec(t).column_names], "dt")
+        once = lambda c: F.when(F.col("_plain"), F.btrim(F.col(c), F.lit(" "))).otherwise(whitespace_all(c))
+        cleaned = seen.withColumn("_plain", plain_fields(short)).select(
+            *[(once(c) if c in short else whitespace_all(c)).alias(c) for c in spec(t).column_names], "dt")
         (cleaned.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .options(**csv_options(compression)).partitionBy("dt").csv(table_path(clean_root, t)))
         if obs.get["malformed"]:
